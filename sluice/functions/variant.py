@@ -7,6 +7,8 @@ native expressions and return NULL where the rule gives no value.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, functions as F
 
 # Largest value of a 96-bit decimal; longer numbers do not parse.
@@ -17,26 +19,32 @@ _SIGNED_NUMBER = rf"^([+-]?{_NUMBER}|{_NUMBER}\s*[+-])$"
 
 
 def parse_whole(text: Column) -> Column:
-    """Parse JSON text into a VARIANT, NULL unless the *whole* text is one JSON value.
+    """Parse JSON text into a VARIANT array of the value and a closing mark.
 
     ``try_parse_json`` stops after the first value and ignores what follows. Wrapping the
-    text as ``[text,0]`` makes trailing text a syntax error or shifts the closing mark.
+    text as ``[text,0]`` turns trailing text into a syntax error or another element count;
+    :func:`whole_value` reads the value and checks the count.
     """
     return F.try_parse_json(F.concat(F.lit("["), text, F.lit(",0]")))
 
 
-def whole_value(wrapped: Column, as_type: str) -> Column:
-    """Read the value out of :func:`parse_whole`'s result as the given type."""
-    closed = (F.try_variant_get(wrapped, "$[1]", "int") == 0) & F.try_variant_get(
-        wrapped, "$[2]", "variant"
-    ).isNull()
-    return F.when(closed, F.try_variant_get(wrapped, "$[0]", as_type))
+def as_array(parsed: Column, element_type: str) -> Column:
+    return F.try_variant_get(parsed, "$", f"array<{element_type}>")
+
 
+def whole_value(elements: Column) -> Column:
+    """First element of :func:`as_array`; NULL if the text was not one whole value."""
+    return F.when(F.size(elements) == 2, F.get(elements, F.lit(0)))
 
-def fields(value: Column, names: list[str]) -> Column:
-    """An object's members as a struct of VARIANTs; NULL if the value is no object."""
-    inner = ", ".join(f"`{n}`: variant" for n in names)
-    return F.try_variant_get(value, "$", f"struct<{inner}>")
+
+def fields(value: Column, names: Sequence[str]) -> Column:
+    """An object's members as a struct of VARIANTs; NULL if the value is no object.
+
+    Taking a nested *object* out as VARIANT copies it, so read the innermost members in one
+    cast to a nested struct type where possible.
+    """
+    members = ", ".join(f"`{n}`: variant" for n in names)
+    return F.try_variant_get(value, "$", f"struct<{members}>")
 
 
 def is_text(value: Column) -> Column:
@@ -60,25 +68,36 @@ def int_from_text(text_value: Column) -> Column:
 def integer(value: Column) -> Column:
     """A whole JSON number within 32 bits, or a string that reads as one."""
     kind = F.schema_of_variant(value)
-    return F.when(kind == "BIGINT", F.try_variant_get(value, "$", "int")).when(
-        kind == "STRING", int_from_text(F.try_variant_get(value, "$", "string"))
+    return F.when(
+        kind.isin("BIGINT", "STRING"), F.try_variant_get(value, "$", "string").try_cast("int")
+    )
+
+
+def number_text(value: Column) -> Column:
+    """Text of a JSON number or string, as (text, quoted); NULL for a boolean."""
+    kind = F.schema_of_variant(value)
+    return F.when(
+        kind != "BOOLEAN",
+        F.struct(
+            F.try_variant_get(value, "$", "string").alias("text"),
+            (kind == "STRING").alias("quoted"),
+        ),
     )
 
 
-def wide_decimal(value: Column, scale: int) -> Column:
+def wide_decimal(number: Column, scale: int) -> Column:
     """A JSON number, or text in number format, rounded half up to ``scale`` digits.
 
-    The result has room for more digits than any target column: whether it fits the column
-    is a constraint of the table, see :func:`decimal_fits`.
+    Takes :func:`number_text`. The result has room for more digits than any target column:
+    whether it fits the column is a constraint of the table, see :func:`decimal_fits`.
     """
-    wide = f"decimal(38,{scale})"
-    kind = F.schema_of_variant(value)
-    trimmed = F.regexp_replace(F.try_variant_get(value, "$", "string"), r"^\s+|\s+$", "")
+    trimmed = F.regexp_replace(number["text"], r"^\s+|\s+$", "")
     digits = F.regexp_replace(trimmed, r"[,+\s-]", "")
-    signed = F.when(F.contains(trimmed, F.lit("-")), F.concat(F.lit("-"), digits)).otherwise(digits)
-    return F.when(
-        kind == "STRING", F.when(trimmed.rlike(_SIGNED_NUMBER), signed.try_cast(wide))
-    ).when(kind != "BOOLEAN", F.try_variant_get(value, "$", wide))
+    sign = F.when(F.contains(trimmed, F.lit("-")), "-").otherwise("")
+    plain = F.when(~number["quoted"], number["text"]).when(
+        trimmed.rlike(_SIGNED_NUMBER), F.concat(sign, digits)
+    )
+    return plain.try_cast(f"decimal(38,{scale})")
 
 
 def parsed_decimal(wide: Column) -> Column:
@@ -90,12 +109,12 @@ def decimal_fits(wide: Column, precision: int, scale: int) -> Column:
     return wide.isNull() | wide.try_cast(f"decimal({precision},{scale})").isNotNull()
 
 
-def day(value: Column) -> Column:
+def day(raw: Column) -> Column:
     """A date out of ISO date or date-time text, ``MM/dd/yyyy`` or ``d MMM yyyy``.
 
-    Date-times with a zone are read as their UTC day, whatever the session's zone is.
+    Takes trimmed text. Date-times with a zone are read as their UTC day, whatever the
+    session's zone is.
     """
-    raw = F.btrim(text(value))
     zoned = F.to_utc_timestamp(raw.try_cast("timestamp"), F.current_timezone())
     return (
         F.when(raw.rlike(r"^\d{4}-\d{1,2}(-\d{1,2})?$"), raw.try_cast("date"))

@@ -15,61 +15,81 @@ from sluice import schemas as S
 from sluice.functions import variant as V
 from sluice.functions.barrier import computed_once
 
-# Members read from each part of the live envelope (fixed values).
-_ENVELOPE = ["operation", "data"]
-_DATA = ["eventsource", "eventrow"]
-_SOURCE = ["db", "schema", "tbl", "pkkey", "transaction", "commitlsn", "lsn"]
+# Members read from the live envelope and from the documented one (fixed values).
 _TRANSACTION = ["commitlsn", "lsn", "committime"]
-_DOCUMENTED = ["operation", "schema", "table", "primaryKey", "before", "after", "commitLsn", "transactionId"]
-
-
-def _struct_of_variants(names: Sequence[str]) -> str:
-    return "struct<" + ", ".join(f"`{n}`: variant" for n in names) + ">"
-
-
-def unwrap_json(df: DataFrame, value: str, names: Sequence[str], into: str) -> DataFrame:
-    """Read an object that may also be given as a JSON string holding the object.
-
-    Adds column ``into``, a struct of the named members as VARIANTs; NULL if it is neither.
+_LIVE_DATA = (
+    "struct<eventsource: struct<db: variant, schema: variant, tbl: variant,"
+    " pkkey: array<struct<value: variant>>,"
+    " transaction: struct<commitlsn: variant, lsn: variant, committime: variant>,"
+    " commitlsn: variant, lsn: variant>,"
+    " eventrow: struct<current: variant>>"
+)
+_DOCUMENTED_DATA = (
+    "struct<operation: variant, schema: variant, `table`: variant, primaryKey: variant,"
+    " before: variant, after: variant, commitLsn: variant, transactionId: variant>"
+)
+
+
+def unwrap_json(df: DataFrame, data_type: str, members: str = "") -> DataFrame:
+    """Parse ``value`` and read its ``data`` member, an object or a JSON string holding one.
+
+    Adds ``_env`` (``data`` and further members of the envelope, NULL if the message is no
+    object) and ``_data`` of the given type, NULL if it is neither. ``_parsed`` and
+    ``_nested`` hold the parsed texts for a closer look at unusual messages.
     """
-    direct, nested = f"_{into}_direct", f"_{into}_nested"
-    return (
-        df.withColumn(direct, V.fields(F.col(value), list(names)))
-        .withColumn(nested, F.when(F.col(direct).isNull(), V.parse_whole(V.text(F.col(value)))))
-        .withColumn(
-            into,
-            F.coalesce(F.col(direct), V.whole_value(F.col(nested), _struct_of_variants(names))),
-        )
-        .drop(direct, nested)
+    env = f"struct<{members}data: {data_type}>"
+    df = df.withColumn("_parsed", V.parse_whole(F.col("value"))).withColumn(
+        "_elements", V.as_array(F.col("_parsed"), env)
     )
+    df = computed_once(
+        df, {"_env": V.whole_value(F.col("_elements"))}, [c for c in df.columns if c != "_elements"]
+    )
+    as_text = V.text(F.try_variant_get(F.col("_parsed"), "$[0].data", "variant"))
+    df = df.withColumn(
+        "_nested",
+        F.when(F.col("_env").isNotNull() & F.col("_env.data").isNull(), V.parse_whole(as_text)),
+    ).withColumn("_elements", V.as_array(F.col("_nested"), data_type))
+    return df.withColumn(
+        "_data", F.coalesce("_env.data", V.whole_value(F.col("_elements")))
+    ).drop("_elements")
+
+
+def _present(member: str) -> Column:
+    """A member of ``data`` that is there, whatever it holds (JSON null too)."""
+    return F.coalesce(
+        F.try_variant_get(F.col("_nested"), f"$[0].{member}", "variant"),
+        F.try_variant_get(F.col("_parsed"), f"$[0].data.{member}", "variant"),
+    ).isNotNull()
 
 
 def _open_live(df: DataFrame) -> DataFrame:
-    """Split the live envelope into its parts: ``_env``, ``_data``, ``_src``, ``row`` ..."""
-    df = df.withColumn("_whole", V.parse_whole(F.col("value"))).withColumn(
-        "_env", V.whole_value(F.col("_whole"), _struct_of_variants(_ENVELOPE))
-    )
-    df = unwrap_json(df.drop("_whole"), "_env.data", _DATA, "_data")
-    df = computed_once(df, {
-        "_src": V.fields(F.col("_data.eventsource"), _SOURCE),
-        "_image": V.fields(F.col("_data.eventrow"), ["current"]),
-    })
+    """Split the live envelope into its parts: ``_env``, ``_data``, ``_key``, ``row`` ..."""
+    df = unwrap_json(df, _LIVE_DATA, "operation: variant, ")
+    keys = F.col("_data.eventsource.pkkey")
+    current = F.col("_data.eventrow.current")
     return row_image(computed_once(df, {
-        "_key": F.try_variant_get(F.col("_src.pkkey"), "$[0]", "variant"),
-        "_txn": V.fields(F.col("_src.transaction"), _TRANSACTION),
-        "_row_text": F.when(V.is_text(F.col("_image.current")), V.parse_whole(V.text(F.col("_image.current")))),
+        "_has_key": F.coalesce(F.size(keys) > 0, F.lit(False)),
+        "_key": F.get(keys, F.lit(0)),
+        "_current": current,
+        "_row_text": V.text(current),
     }))
 
 
 def row_image(df: DataFrame) -> DataFrame:
     """The row after the change: ``current`` as VARIANT, or no image if missing or null."""
-    current = F.col("_image.current")
-    return computed_once(df, {
-        "row": F.when(V.is_text(current), V.whole_value(F.col("_row_text"), "variant"))
-        .when(~V.is_absent(current), current),
-        "has_row": F.coalesce(~V.is_absent(current), F.lit(False)),
-        "_key_value": V.fields(F.col("_key"), ["value"]),
-    }, [c for c in df.columns if c != "_row_text"])
+    current, row_text = F.col("_current"), F.col("_row_text")
+    df = computed_once(df, {
+        "has_row": ~V.is_absent(current),
+        "_row_elements": V.as_array(
+            F.when(row_text.isNotNull(), V.parse_whole(row_text)), "variant"
+        ),
+    })
+    return df.withColumn(
+        "row",
+        F.when(F.col("has_row") & row_text.isNull(), current).otherwise(
+            V.whole_value(F.col("_row_elements"))
+        ),
+    ).drop("_row_elements", "_row_text", "_current")
 
 
 def _bad_text(value: Column) -> Column:
@@ -79,35 +99,42 @@ def _bad_text(value: Column) -> Column:
 
 def _live_reject_reason() -> Column:
     """First rule a message breaks, or NULL. Every rule is about one part of the envelope."""
-    data, src, key = F.col("_env.data"), F.col("_src"), F.col("_key")
+    source = F.col("_data.eventsource")
     return (
         F.when(F.col("_env").isNull(), "bad message")
         .when(_bad_text(F.col("_env.operation")), "bad operation")
-        .when(data.isNull(), "no data")
-        .when(F.col("_data").isNull(), "bad data")
-        .when(F.col("_data.eventsource").isNotNull() & src.isNull(), "bad eventsource")
-        .when(_bad_text(src["tbl"]), "bad table")
-        .when(key.isNotNull() & F.col("_key_value").isNull(), "bad primary key")
-        .when(_bad_text(F.col("_key_value.value")), "bad primary key")
-        .when(F.col("_data.eventrow").isNotNull() & F.col("_image").isNull(), "bad eventrow")
+        .when(
+            F.col("_data").isNull(),
+            F.when(
+                F.try_variant_get(F.col("_parsed"), "$[0].data", "variant").isNull(), "no data"
+            ).otherwise("bad data"),
+        )
+        .when(source.isNull() & _present("eventsource"), "bad eventsource")
+        .when(_bad_text(source["tbl"]), "bad table")
+        .when(F.col("_has_key") & F.col("_key").isNull(), "bad primary key")
+        .when(_bad_text(F.col("_key.value")), "bad primary key")
+        .when(F.col("_data.eventrow").isNull() & _present("eventrow"), "bad eventrow")
         .when(F.col("has_row") & F.col("row").isNull(), "bad row image")
-        .when(src["transaction"].isNotNull() & F.col("_txn").isNull(), "bad transaction")
+        .when(
+            source.isNotNull() & source["transaction"].isNull() & _present("eventsource.transaction"),
+            "bad transaction",
+        )
     )
 
 
+def _member(path: str) -> Column:
+    """Text of a string member of the envelope."""
+    return V.text(F.col(path))
+
+
 def commit_lsn() -> Column:
     """First non-empty string among five places, cut to the ledger's column size."""
-    places = [
-        F.col("_txn.commitlsn"), F.col("_txn.lsn"), F.col("_txn.committime"),
-        F.col("_src.commitlsn"), F.col("_src.lsn"),
-    ]
-    found = F.coalesce(*[F.nullif(V.text(p), F.lit("")) for p in places], F.lit(S.NO_LSN))
+    source = "_data.eventsource"
+    places = [f"{source}.transaction.{m}" for m in _TRANSACTION] + [f"{source}.commitlsn", f"{source}.lsn"]
+    found = F.coalesce(*[F.nullif(_member(p), F.lit("")) for p in places], F.lit(S.NO_LSN))
     return F.left(found, F.lit(S.LSN_LENGTH))
 
 
-_ENVELOPE_COLUMNS = ["operation", "table", "key_id", "commit_lsn", "row", "has_row", "reject_reason"]
-
-
 def decode_live(df: DataFrame) -> DataFrame:
     """Decode live envelopes.
 
@@ -116,9 +143,9 @@ def decode_live(df: DataFrame) -> DataFrame:
     """
     keep = df.columns
     return computed_once(_open_live(df), {
-        "operation": F.coalesce(V.text(F.col("_env.operation")), F.lit(S.UNKNOWN_OPERATION)),
-        "table": F.coalesce(V.text(F.col("_src.tbl")), F.lit("")),
-        "key_id": F.nullif(V.int_from_text(V.text(F.col("_key_value.value"))), F.lit(0)),
+        "operation": F.coalesce(_member("_env.operation"), F.lit(S.UNKNOWN_OPERATION)),
+        "table": F.coalesce(_member("_data.eventsource.tbl"), F.lit("")),
+        "key_id": F.nullif(_member("_key.value").try_cast("int"), F.lit(0)),
         "commit_lsn": commit_lsn(),
         "row": F.col("row"),
         "has_row": F.col("has_row"),
@@ -135,34 +162,31 @@ def decode_documented(df: DataFrame, key_columns: dict[str, str] | None = None)
     """
     key_columns = key_columns or {s.name: s.key for s in (S.ORDERS, S.ORDER_LINES)}
     keep = df.columns
-    df = df.withColumn("_whole", V.parse_whole(F.col("value"))).withColumn(
-        "_env", V.whole_value(F.col("_whole"), _struct_of_variants(["data"]))
-    )
-    df = unwrap_json(df, "_env.data", _DOCUMENTED, "_data")
-    df = df.withColumn("_pk", V.fields(F.col("_data.primaryKey"), list(key_columns.values())))
-    op_text = V.text(F.col("_data.operation"))
+    df = unwrap_json(df, _DOCUMENTED_DATA)
+    keys = list(key_columns.values())
+    df = computed_once(df, {"_pk": V.fields(F.col("_data.primaryKey"), keys)})
+    op_text = _member("_data.operation")
     operation = F.coalesce(
         *[F.when(op_text == long, F.lit(short)) for long, short in S.LONG_OPERATIONS.items()], op_text
     )
-    table = V.text(F.col("_data.table"))
+    table = _member("_data.table")
     key = F.coalesce(*[
         F.when(table == name, V.integer(F.col("_pk")[column])) for name, column in key_columns.items()
     ])
     after = F.col("_data.after")
     reason = (
         F.when(F.col("_env").isNull(), "bad message")
-        .when(F.col("_env.data").isNull(), "no data")
         .when(F.col("_data").isNull(), "bad data")
         .when(op_text.isNull(), "bad operation")
-        .when(V.text(F.col("_data.schema")).isNull() | table.isNull(), "bad table")
+        .when(_member("_data.schema").isNull() | table.isNull(), "bad table")
         .when(F.col("_pk").isNull(), "bad primary key")
         .when(op_text.isin("INSERT", "UPDATE") & V.is_absent(after), "no row image")
     )
-    lsn = F.coalesce(F.nullif(V.text(F.col("_data.commitLsn")), F.lit("")), F.lit(S.NO_LSN))
+    lsn = F.coalesce(F.nullif(_member("_data.commitLsn"), F.lit("")), F.lit(S.NO_LSN))
     before = F.col("_data.before")
     return computed_once(df, {
         "operation": operation,
-        "schema_name": V.text(F.col("_data.schema")),
+        "schema_name": _member("_data.schema"),
         "table": F.coalesce(table, F.lit("")),
         "key_id": F.nullif(key, F.lit(0)),
         "commit_lsn": F.left(lsn, F.lit(S.LSN_LENGTH)),
@@ -170,21 +194,29 @@ def decode_documented(df: DataFrame, key_columns: dict[str, str] | None = None)
         "has_row": F.coalesce(~V.is_absent(after), F.lit(False)),
         "reject_reason": reason,
         "before": F.when(~V.is_absent(before), before),
-        "transaction_id": V.text(F.col("_data.transactionId")),
+        "transaction_id": _member("_data.transactionId"),
     }, keep)
 
 
-def _typed(column: S.Column, cells: str) -> Column:
-    cell = F.col(f"{cells}.{column.name}")
+def _read(column: S.Column) -> Column:
+    """First step of typing a cell: all that looks at the JSON value."""
+    cell = F.col(f"_cells.{column.name}")
     if column.kind == "int":
         return V.integer(cell)
-    if column.kind == "date":
-        return V.day(cell)
     if column.kind == "decimal":
-        return V.wide_decimal(cell, column.scale)
+        return V.number_text(cell)
+    if column.kind == "date":
+        return F.btrim(V.text(cell))
     return V.text(cell)
 
 
+def _convert(column: S.Column, read: Column) -> Column:
+    """Second step: what was read, as the column's type (decimals still wide)."""
+    if column.kind == "decimal":
+        return V.wide_decimal(read, column.scale)
+    return V.day(read) if column.kind == "date" else read
+
+
 def _violates(column: S.Column, value: Column) -> Column:
     """The typed value does not go into the target column (or is NULL where required)."""
     bad = F.lit(False)
@@ -202,9 +234,9 @@ def _any(conditions: Sequence[Column]) -> Column:
     return result
 
 
-# Columns typed per step: keeps each generated method small enough to be compiled to
+# Columns read per step: keeps each generated method small enough to be compiled to
 # machine code (8000 bytes of bytecode).
-_COLUMNS_PER_STEP = 3
+_COLUMNS_PER_STEP = 5
 
 
 def typed_rows(decoded: DataFrame, spec: S.TableSpec, into: str | None = None) -> DataFrame:
@@ -218,8 +250,9 @@ def typed_rows(decoded: DataFrame, spec: S.TableSpec, into: str | None = None) -
     kept = [c for c in decoded.columns if c not in ("key", "reject_reason")]
     previous_key = F.col("key") if "key" in decoded.columns else F.lit(None).cast("int")
     mine = F.col("table") == spec.name
+    names = [spec.key, *spec.column_names]
     df = computed_once(decoded, {
-        "_cells": F.when(mine, V.fields(F.col("row"), [spec.key, *spec.column_names])),
+        "_cells": F.when(mine, V.fields(F.col("row"), names)),
         "key": previous_key,
     })
 
@@ -232,7 +265,7 @@ def typed_rows(decoded: DataFrame, spec: S.TableSpec, into: str | None = None) -
         & F.col("_key_in_row").isNull()
     )
     df = computed_once(df, {
-        "_key_in_row": F.when(mine & F.col("key_id").isNull(), V.integer(key_cell)),
+        "_key_in_row": F.when(F.col("key_id").isNull(), V.integer(key_cell)),
     })
     df = computed_once(df, {
         "key": F.when(mine, F.coalesce(F.col("key_id"), F.col("_key_in_row"), F.lit(0))).otherwise(
@@ -245,17 +278,17 @@ def typed_rows(decoded: DataFrame, spec: S.TableSpec, into: str | None = None) -
         ),
     }, [c for c in df.columns if c not in ("key", "reject_reason", "_key_in_row")])
 
-    # The other columns, a few at a time.
-    parts = [
-        spec.columns[i : i + _COLUMNS_PER_STEP]
-        for i in range(0, len(spec.columns), _COLUMNS_PER_STEP)
-    ]
-    for n, part in enumerate(parts):
-        df = computed_once(df, {f"_c{n}_{c.name}": _typed(c, "_cells") for c in part})
+    # The other columns: read a few at a time, then convert those that need it.
+    for i in range(0, len(spec.columns), _COLUMNS_PER_STEP):
+        part = spec.columns[i : i + _COLUMNS_PER_STEP]
+        df = computed_once(df, {f"_{c.name}": _read(c) for c in part})
+    df = computed_once(df.drop("_cells"), {
+        f"_{c.name}": _convert(c, F.col(f"_{c.name}"))
+        for c in spec.columns if c.kind in ("decimal", "date")
+    })
     value = {
-        c.name: V.parsed_decimal(F.col(f"_c{n}_{c.name}")) if c.kind == "decimal" else F.col(f"_c{n}_{c.name}")
-        for n, part in enumerate(parts)
-        for c in part
+        c.name: V.parsed_decimal(F.col(f"_{c.name}")) if c.kind == "decimal" else F.col(f"_{c.name}")
+        for c in spec.columns
     }
     changes_row = F.col("operation").isin(S.INSERT, S.UPDATE)
     violation = _any([_violates(c, value[c.name]) for c in spec.columns])
@@ -324,29 +357,28 @@ def feed_view(df: DataFrame) -> DataFrame:
     """One line per readable message of *any* table, for people to look at."""
     first, last = F.col("_names.CustomerFirstName"), F.col("_names.CustomerLastName")
     keep = [*S.EVENT_ID, "arrival"]
-    opened = _open_live(df.select(*keep, "value")).withColumn(
-        "_names", V.fields(F.col("row"), ["CustomerFirstName", "CustomerLastName"])
-    )
+    names = ["CustomerFirstName", "CustomerLastName"]
+    opened = computed_once(_open_live(df.select(*keep, "value")), {
+        "_names": V.fields(F.col("row"), names),
+    })
     unreadable = (
         _live_reject_reason().isin(
             "bad message", "bad operation", "no data", "bad data", "bad eventsource",
             "bad table", "bad primary key", "bad eventrow", "bad row image",
         )
-        | _bad_text(F.col("_src.db"))
-        | _bad_text(F.col("_src.schema"))
+        | _bad_text(F.col("_data.eventsource.db"))
+        | _bad_text(F.col("_data.eventsource.schema"))
         | (F.col("has_row") & F.col("_names").isNull())
         | _bad_text(first)
         | _bad_text(last)
     )
-    key = F.nullif(V.text(F.col("_key_value.value")), F.lit(""))
+    key = F.nullif(_member("_key.value"), F.lit(""))
     db, schema, table = (
-        F.coalesce(V.text(F.col(f"_src.{m}")), F.lit("")) for m in ("db", "schema", "tbl")
-    )
-    name = F.concat_ws(
-        " ", F.coalesce(V.text(first), F.lit("")), F.coalesce(V.text(last), F.lit(""))
+        F.coalesce(_member(f"_data.eventsource.{m}"), F.lit("")) for m in ("db", "schema", "tbl")
     )
+    name = F.concat_ws(" ", *[F.coalesce(_member(f"_names.{n}"), F.lit("")) for n in names])
     lines = computed_once(opened, {
-        "operation": F.coalesce(V.text(F.col("_env.operation")), F.lit(S.UNKNOWN_OPERATION)),
+        "operation": F.coalesce(_member("_env.operation"), F.lit(S.UNKNOWN_OPERATION)),
         "database": db,
         "schema": schema,
         "table": table,
