@@ -83,13 +83,10 @@ def new_events(events: DataFrame, ledger: DataFrame) -> DataFrame:
     return events.join(ledger.select(*S.EVENT_ID), S.EVENT_ID, "left_anti")
 
 
-def fresh_events(events: DataFrame, ledger: DataFrame) -> DataFrame:
-    """First copy of every event that is not in the ledger, rejects included.
-
-    Where an event has both a usable and a rejected copy, the usable one counts.
-    """
-    rejected = F.col("reject_reason").isNotNull()
-    return new_events(_first_per_event(events, rejected, F.col("arrival")), ledger)
+def unique_events(events: DataFrame) -> DataFrame:
+    """:func:`dedup_in_batch` with rejects kept: the first usable copy of every event counts,
+    or the first copy if none is usable."""
+    return _first_per_event(events, F.col("reject_reason").isNotNull(), F.col("arrival"))
 
 
 def classify(events: DataFrame, ledger: DataFrame | None = None) -> DataFrame:
