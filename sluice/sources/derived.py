@@ -177,7 +177,7 @@ def broker_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows with a broker's column names, out of ``events``: timestamps are not in offset order."""
     events = read_table(spark, sf_dir, "events")
     late = F.when(F.col("event_id") % 10 == 0, F.lit(3600)).otherwise(F.lit(0))
-    seconds = F.unix_micros("ts") - late * 1_000_000
+    micros = F.unix_micros(F.col("ts").cast("timestamp")) - late * 1_000_000
     return events.select(
         F.lit(None).cast("binary").alias("key"),
         F.to_json(F.struct(F.lit("INS").alias("operation"), F.col("props").alias("data")))
@@ -186,5 +186,130 @@ def broker_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("orders").alias("topic"),
         (F.col("event_id") % PARTITIONS).cast("int").alias("partition"),
         F.col("event_id").alias("offset"),
-        F.timestamp_micros(seconds).alias("timestamp"),
+        F.timestamp_micros(micros).alias("timestamp"),
     )
+
+
+def _quoted(name: str, text: Column) -> Column:
+    """``"name":"<text as a JSON string>"``."""
+    pair = F.to_json(F.struct(text.alias(name)))
+    return F.substring(pair, F.lit(2), F.length(pair) - 2)
+
+
+def _pick(selector: Column, *texts: str | Column) -> Column:
+    """The n-th fragment where the selector is n."""
+    return F.element_at(
+        F.array(*[t if isinstance(t, Column) else F.lit(t) for t in texts]),
+        (selector + 1).cast("int"),
+    )
+
+
+def _join(*parts: str | Column) -> Column:
+    return F.concat(*[p if isinstance(p, Column) else F.lit(p) for p in parts])
+
+
+# What each 23rd of the keys does wrong in the irregular feed; the rest is readable.
+REJECT_CASES = {
+    0: "truncated", 1: "no data", 2: "null data", 3: "null eventrow", 4: "numeric key value",
+    5: "broken data text", 6: "broken row text", 7: "trailing text", 8: "numeric eventsource",
+    9: "null transaction", 10: "numeric operation", 11: "numeric table", 12: "array message",
+    13: "array row", 14: "fractional key column",
+}
+
+
+def irregular_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One INS message per order, in every shape the decoding rules tell apart.
+
+    Which shape a part takes depends on the key modulo small numbers, so the expected result
+    can be written as CASE expressions.
+    """
+    orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    k = F.col("o_orderkey")
+    key = k.cast("string")
+    case = k % 23
+    operation = F.when(case == 10, '"operation":7,').otherwise(
+        _pick(k % 10, *['"operation":"INS",'] * 8, '"operation":null,', "")
+    )
+    table = F.when(case == 11, '"tbl":5').otherwise(
+        F.when(k % 17 == 16, '"tbl":"orders"').otherwise('"tbl":"Orders"')
+    )
+    primary_key = (
+        F.when(case == 4, _join(',"pkkey":[{"value":', key, "}]"))
+        .when(case == 14, "")
+        .otherwise(_pick(
+            k % 8,
+            _join(',"pkkey":[{"columnname":"OrderID","value":"', key, '"}]'),
+            ',"pkkey":[{"value":"0"}]',
+            ',"pkkey":[{"value":"abc"}]',
+            "",
+            ',"pkkey":[]',
+            _join(',"pkkey":[{"value":"', key, '"},{"value":"999"}]'),
+            _join(',"pkkey":[{"value":" ', key, ' "}]'),
+            ',"pkkey":{}',
+        ))
+    )
+    lsn = F.when(case == 9, ',"transaction":null').otherwise(_pick(
+        k % 7,
+        _join(',"transaction":{"committime":"T","commitlsn":"C', key, '"}'),
+        _join(',"transaction":{"commitlsn":"","lsn":"N', key, '"}'),
+        _join(',"transaction":{"committime":"T', key, '"}'),
+        _join(',"transaction":{},"commitlsn":"S', key, '"'),
+        _join(',"lsn":"U', key, '"'),
+        ',"transaction":{"lsn":5}',
+        F.lit(',"transaction":{"lsn":"' + "x" * 70 + '"}'),
+    ))
+    own_key = F.when(case == 14, '"OrderID":1.5,').otherwise(
+        _pick(k % 3, _join('"OrderID":', key, ","), _join('"OrderID":"', key, '",'), "")
+    )
+    cells = _join(
+        own_key,
+        '"Quantity":', _pick(
+            F.floor(k / 2) % 7, "2", '"2"', '" 2 "', "2.0", '"2.0"', "true", "3000000000"
+        ),
+        ',"Price":', _pick(k % 6, "11.5", '"11.50"', '"1,000"', '"2e0"', '"x"', "2e0"),
+        ',"Company":', F.when(k % 4 == 0, "7").otherwise(_join('"', F.col("o_orderstatus"), '"')),
+        ',"SalesDate":', _pick(
+            k % 5, '"2026-04-20"', '"2026-04-20T23:30:00"', '"04/20/2026"', '"20 Apr 2026"', "5"
+        ),
+        F.when(k % 2 == 0, ',"EstimatedShipDate":"2026-04-20T23:30:00-05:00"').otherwise(""),
+    )
+    row = _join("{", cells, "}")
+    current = (
+        F.when(case == 13, '"current":[]')
+        .when(case == 6, _quoted("current", _join("{", cells)))
+        .when(k % 2 == 0, _quoted("current", row))
+        .otherwise(_join('"current":', row))
+    )
+    event_row = F.when(case == 3, '"eventrow":null').otherwise(_join('"eventrow":{', current, ',"old":null}'))
+    source = F.when(case == 8, '"eventsource":5').otherwise(
+        _join('"eventsource":{', table, primary_key, lsn, "}")
+    )
+    data = _join("{", source, ",", event_row, "}")
+    data_member = (
+        F.when(case == 1, '"extra":1')
+        .when(case == 2, '"data":null')
+        .when(case == 5, _quoted("data", _join(data, ",")))
+        .when(F.floor(k / 3) % 2 == 0, _quoted("data", data))
+        .otherwise(_join('"data":', data))
+    )
+    message = _join("{", operation, data_member, "}")
+    value = (
+        F.when(case == 0, F.substring(message, F.lit(1), F.length(message) - 1))
+        .when(case == 7, _join(message, " and more"))
+        .when(case == 12, _join("[", message, "]"))
+        .otherwise(message)
+    )
+    return orders.select(
+        (k % PARTITIONS).cast("int").alias("partition_id"),
+        k.alias("sequence_number"),
+        k.alias("arrival"),
+        value.alias("value"),
+    )
+
+
+def feed_with_unknown_operations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The Orders feed with another operation code on every change of each 13th key."""
+    changes = order_changes(spark, sf_dir)
+    operation = F.when(F.col("key") % 13 == 0, "TRUNC").otherwise(F.col("operation"))
+    changes = changes.withColumn("operation", operation)
+    return _messages(changes, live_json(changes))
