@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from collections.abc import Mapping, Sequence
 
+from pyspark.sql import DataFrame
 
-def computed_once(df: DataFrame, columns: dict[str, Column], keep: list[str] | None = None) -> DataFrame:
-    """``df.select(*keep, **columns)`` whose filters stay above it.
+
+def computed_once(
+    df: DataFrame, columns: Mapping[str, str], keep: Sequence[str] | None = None
+) -> DataFrame:
+    """Select ``keep`` (default: all other columns) and SQL expressions, filters staying above.
 
     Catalyst pushes a filter below a projection by writing the projected expressions into
     the filter. For decoded columns that repeats the JSON parsing for every mention of a
@@ -14,5 +18,5 @@ def computed_once(df: DataFrame, columns: dict[str, Column], keep: list[str] | N
     rows, stays in generated code, and filters on its output are not moved below it.
     """
     keep = [c for c in df.columns if c not in columns] if keep is None else keep
-    row = F.struct(*[expr.alias(name) for name, expr in columns.items()])
-    return df.select(*keep, F.inline(F.array(row)))
+    row = ", ".join(f"{expression} AS `{name}`" for name, expression in columns.items())
+    return df.selectExpr(*[f"`{c}`" for c in keep], f"inline(array(struct({row})))")

@@ -9,14 +9,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from sluice import schemas as S
 from sluice.functions import variant as V
 from sluice.functions.barrier import computed_once
 
 # Members read from the live envelope and from the documented one (fixed values).
-_TRANSACTION = ["commitlsn", "lsn", "committime"]
 _LIVE_DATA = (
     "struct<eventsource: struct<db: variant, schema: variant, tbl: variant,"
     " pkkey: array<struct<value: variant>>,"
@@ -28,6 +27,14 @@ _DOCUMENTED_DATA = (
     "struct<operation: variant, schema: variant, `table`: variant, primaryKey: variant,"
     " before: variant, after: variant, commitLsn: variant, transactionId: variant>"
 )
+# Places of the commit LSN, in order of preference (fixed values).
+_LSN_PLACES = [
+    "_data.eventsource.transaction.commitlsn",
+    "_data.eventsource.transaction.lsn",
+    "_data.eventsource.transaction.committime",
+    "_data.eventsource.commitlsn",
+    "_data.eventsource.lsn",
+]
 
 
 def unwrap_json(df: DataFrame, data_type: str, members: str = "") -> DataFrame:
@@ -37,102 +44,77 @@ def unwrap_json(df: DataFrame, data_type: str, members: str = "") -> DataFrame:
     object) and ``_data`` of the given type, NULL if it is neither. ``_parsed`` and
     ``_nested`` hold the parsed texts for a closer look at unusual messages.
     """
+    keep = df.columns
     env = f"struct<{members}data: {data_type}>"
-    df = df.withColumn("_parsed", V.parse_whole(F.col("value"))).withColumn(
-        "_elements", V.as_array(F.col("_parsed"), env)
+    df = df.selectExpr(*keep, f"{V.parse_whole('value')} AS _parsed")
+    df = df.selectExpr("*", f"{V.as_array('_parsed', env)} AS _elements")
+    keep = [*keep, "_parsed"]
+    df = computed_once(df, {"_env": V.whole_value("_elements")}, keep)
+    as_text = V.text("try_variant_get(_parsed, '$[0].data', 'variant')")
+    df = df.selectExpr(
+        "*",
+        f"IF(_env IS NOT NULL AND _env.data IS NULL, {V.parse_whole(as_text)}, NULL) AS _nested",
     )
-    df = computed_once(
-        df, {"_env": V.whole_value(F.col("_elements"))}, [c for c in df.columns if c != "_elements"]
+    df = df.selectExpr("*", f"{V.as_array('_nested', data_type)} AS _elements")
+    return df.selectExpr(
+        *keep, "_env", "_nested", f"coalesce(_env.data, {V.whole_value('_elements')}) AS _data"
     )
-    as_text = V.text(F.try_variant_get(F.col("_parsed"), "$[0].data", "variant"))
-    df = df.withColumn(
-        "_nested",
-        F.when(F.col("_env").isNotNull() & F.col("_env.data").isNull(), V.parse_whole(as_text)),
-    ).withColumn("_elements", V.as_array(F.col("_nested"), data_type))
-    return df.withColumn(
-        "_data", F.coalesce("_env.data", V.whole_value(F.col("_elements")))
-    ).drop("_elements")
 
 
-def _present(member: str) -> Column:
+def _present(member: str) -> str:
     """A member of ``data`` that is there, whatever it holds (JSON null too)."""
-    return F.coalesce(
-        F.try_variant_get(F.col("_nested"), f"$[0].{member}", "variant"),
-        F.try_variant_get(F.col("_parsed"), f"$[0].data.{member}", "variant"),
-    ).isNotNull()
+    return (
+        f"(coalesce(try_variant_get(_nested, '$[0].{member}', 'variant'),"
+        f" try_variant_get(_parsed, '$[0].data.{member}', 'variant')) IS NOT NULL)"
+    )
 
 
 def _open_live(df: DataFrame) -> DataFrame:
     """Split the live envelope into its parts: ``_env``, ``_data``, ``_key``, ``row`` ..."""
     df = unwrap_json(df, _LIVE_DATA, "operation: variant, ")
-    keys = F.col("_data.eventsource.pkkey")
-    current = F.col("_data.eventrow.current")
     return row_image(computed_once(df, {
-        "_has_key": F.coalesce(F.size(keys) > 0, F.lit(False)),
-        "_key": F.get(keys, F.lit(0)),
-        "_current": current,
-        "_row_text": V.text(current),
+        "_has_key": "coalesce(size(_data.eventsource.pkkey) > 0, false)",
+        "_key": "get(_data.eventsource.pkkey, 0)",
+        "_current": "_data.eventrow.current",
+        "_row_text": V.text("_data.eventrow.current"),
     }))
 
 
 def row_image(df: DataFrame) -> DataFrame:
     """The row after the change: ``current`` as VARIANT, or no image if missing or null."""
-    current, row_text = F.col("_current"), F.col("_row_text")
     df = computed_once(df, {
-        "has_row": ~V.is_absent(current),
-        "_row_elements": V.as_array(
-            F.when(row_text.isNotNull(), V.parse_whole(row_text)), "variant"
-        ),
+        "has_row": f"NOT {V.is_absent('_current')}",
+        "_row_elements": f"IF(_row_text IS NOT NULL, {V.as_array(V.parse_whole('_row_text'), 'variant')}, NULL)",
     })
-    return df.withColumn(
-        "row",
-        F.when(F.col("has_row") & row_text.isNull(), current).otherwise(
-            V.whole_value(F.col("_row_elements"))
-        ),
-    ).drop("_row_elements", "_row_text", "_current")
-
-
-def _bad_text(value: Column) -> Column:
-    """A member that must be a string, null or missing, but is something else."""
-    return value.isNotNull() & ~F.is_variant_null(value) & ~V.is_text(value)
-
-
-def _live_reject_reason() -> Column:
-    """First rule a message breaks, or NULL. Every rule is about one part of the envelope."""
-    source = F.col("_data.eventsource")
-    return (
-        F.when(F.col("_env").isNull(), "bad message")
-        .when(_bad_text(F.col("_env.operation")), "bad operation")
-        .when(
-            F.col("_data").isNull(),
-            F.when(
-                F.try_variant_get(F.col("_parsed"), "$[0].data", "variant").isNull(), "no data"
-            ).otherwise("bad data"),
-        )
-        .when(source.isNull() & _present("eventsource"), "bad eventsource")
-        .when(_bad_text(source["tbl"]), "bad table")
-        .when(F.col("_has_key") & F.col("_key").isNull(), "bad primary key")
-        .when(_bad_text(F.col("_key.value")), "bad primary key")
-        .when(F.col("_data.eventrow").isNull() & _present("eventrow"), "bad eventrow")
-        .when(F.col("has_row") & F.col("row").isNull(), "bad row image")
-        .when(
-            source.isNotNull() & source["transaction"].isNull() & _present("eventsource.transaction"),
-            "bad transaction",
-        )
+    dropped = ("_row_elements", "_row_text", "_current")
+    return df.selectExpr(
+        *[c for c in df.columns if c not in dropped],
+        "CASE WHEN has_row AND _row_text IS NULL THEN _current"
+        f" ELSE {V.whole_value('_row_elements')} END AS row",
     )
 
 
-def _member(path: str) -> Column:
-    """Text of a string member of the envelope."""
-    return V.text(F.col(path))
+# First rule a live message breaks, or NULL. Every rule is about one part of the envelope.
+_LIVE_REJECT_REASON = f"""CASE
+    WHEN _env IS NULL THEN 'bad message'
+    WHEN {V.is_bad_text('_env.operation')} THEN 'bad operation'
+    WHEN _data IS NULL THEN
+        IF(try_variant_get(_parsed, '$[0].data', 'variant') IS NULL, 'no data', 'bad data')
+    WHEN _data.eventsource IS NULL AND {_present('eventsource')} THEN 'bad eventsource'
+    WHEN {V.is_bad_text('_data.eventsource.tbl')} THEN 'bad table'
+    WHEN _has_key AND _key IS NULL THEN 'bad primary key'
+    WHEN {V.is_bad_text('_key.value')} THEN 'bad primary key'
+    WHEN _data.eventrow IS NULL AND {_present('eventrow')} THEN 'bad eventrow'
+    WHEN has_row AND row IS NULL THEN 'bad row image'
+    WHEN _data.eventsource IS NOT NULL AND _data.eventsource.transaction IS NULL
+        AND {_present('eventsource.transaction')} THEN 'bad transaction'
+    END"""
 
 
-def commit_lsn() -> Column:
-    """First non-empty string among five places, cut to the ledger's column size."""
-    source = "_data.eventsource"
-    places = [f"{source}.transaction.{m}" for m in _TRANSACTION] + [f"{source}.commitlsn", f"{source}.lsn"]
-    found = F.coalesce(*[F.nullif(_member(p), F.lit("")) for p in places], F.lit(S.NO_LSN))
-    return F.left(found, F.lit(S.LSN_LENGTH))
+def commit_lsn(places: Sequence[str]) -> str:
+    """First non-empty string among the places, cut to the ledger's column size."""
+    found = ", ".join(f"nullif({V.text(p)}, '')" for p in places)
+    return f"left(coalesce({found}, '{S.NO_LSN}'), {S.LSN_LENGTH})"
 
 
 def decode_live(df: DataFrame) -> DataFrame:
@@ -141,16 +123,15 @@ def decode_live(df: DataFrame) -> DataFrame:
     Adds operation, table, key_id (first key part, NULL if absent or 0), commit_lsn, row
     (VARIANT), has_row and reject_reason to the message columns.
     """
-    keep = df.columns
     return computed_once(_open_live(df), {
-        "operation": F.coalesce(_member("_env.operation"), F.lit(S.UNKNOWN_OPERATION)),
-        "table": F.coalesce(_member("_data.eventsource.tbl"), F.lit("")),
-        "key_id": F.nullif(_member("_key.value").try_cast("int"), F.lit(0)),
-        "commit_lsn": commit_lsn(),
-        "row": F.col("row"),
-        "has_row": F.col("has_row"),
-        "reject_reason": _live_reject_reason(),
-    }, keep)
+        "operation": f"coalesce({V.text('_env.operation')}, '{S.UNKNOWN_OPERATION}')",
+        "table": f"coalesce({V.text('_data.eventsource.tbl')}, '')",
+        "key_id": f"nullif(try_cast({V.text('_key.value')} AS INT), 0)",
+        "commit_lsn": commit_lsn(_LSN_PLACES),
+        "row": "row",
+        "has_row": "has_row",
+        "reject_reason": _LIVE_REJECT_REASON,
+    }, df.columns)
 
 
 def decode_documented(df: DataFrame, key_columns: dict[str, str] | None = None) -> DataFrame:
@@ -161,77 +142,67 @@ def decode_documented(df: DataFrame, key_columns: dict[str, str] | None = None)
     needs no ``after`` image. All header members are required.
     """
     key_columns = key_columns or {s.name: s.key for s in (S.ORDERS, S.ORDER_LINES)}
-    keep = df.columns
-    df = unwrap_json(df, _DOCUMENTED_DATA)
-    keys = list(key_columns.values())
-    df = computed_once(df, {"_pk": V.fields(F.col("_data.primaryKey"), keys)})
-    op_text = _member("_data.operation")
-    operation = F.coalesce(
-        *[F.when(op_text == long, F.lit(short)) for long, short in S.LONG_OPERATIONS.items()], op_text
-    )
-    table = _member("_data.table")
-    key = F.coalesce(*[
-        F.when(table == name, V.integer(F.col("_pk")[column])) for name, column in key_columns.items()
-    ])
-    after = F.col("_data.after")
-    reason = (
-        F.when(F.col("_env").isNull(), "bad message")
-        .when(F.col("_data").isNull(), "bad data")
-        .when(op_text.isNull(), "bad operation")
-        .when(_member("_data.schema").isNull() | table.isNull(), "bad table")
-        .when(F.col("_pk").isNull(), "bad primary key")
-        .when(op_text.isin("INSERT", "UPDATE") & V.is_absent(after), "no row image")
+    opened = computed_once(unwrap_json(df, _DOCUMENTED_DATA), {
+        "_pk": V.fields("_data.primaryKey", list(key_columns.values())),
+        "_op": V.text("_data.operation"),
+        "_table": V.text("_data.table"),
+        "_schema": V.text("_data.schema"),
+    })
+    codes = " ".join(f"WHEN '{long}' THEN '{short}'" for long, short in S.LONG_OPERATIONS.items())
+    keys = " ".join(
+        f"WHEN '{table}' THEN {V.integer(f'_pk.`{column}`')}" for table, column in key_columns.items()
     )
-    lsn = F.coalesce(F.nullif(_member("_data.commitLsn"), F.lit("")), F.lit(S.NO_LSN))
-    before = F.col("_data.before")
-    return computed_once(df, {
-        "operation": operation,
-        "schema_name": _member("_data.schema"),
-        "table": F.coalesce(table, F.lit("")),
-        "key_id": F.nullif(key, F.lit(0)),
-        "commit_lsn": F.left(lsn, F.lit(S.LSN_LENGTH)),
-        "row": F.when(~V.is_absent(after), after),
-        "has_row": F.coalesce(~V.is_absent(after), F.lit(False)),
-        "reject_reason": reason,
-        "before": F.when(~V.is_absent(before), before),
-        "transaction_id": _member("_data.transactionId"),
-    }, keep)
-
-
-def _read(column: S.Column) -> Column:
+    no_after = V.is_absent("_data.after")
+    return computed_once(opened, {
+        "operation": f"CASE _op {codes} ELSE coalesce(_op, '{S.UNKNOWN_OPERATION}') END",
+        "schema_name": "_schema",
+        "table": "coalesce(_table, '')",
+        "key_id": f"nullif(CASE _table {keys} END, 0)",
+        "commit_lsn": commit_lsn(["_data.commitLsn"]),
+        "row": f"IF({no_after}, NULL, _data.after)",
+        "has_row": f"NOT {no_after}",
+        "reject_reason": f"""CASE
+            WHEN _env IS NULL THEN 'bad message'
+            WHEN _data IS NULL THEN 'bad data'
+            WHEN _op IS NULL THEN 'bad operation'
+            WHEN _schema IS NULL OR _table IS NULL THEN 'bad table'
+            WHEN _pk IS NULL THEN 'bad primary key'
+            WHEN _op IN ('INSERT', 'UPDATE') AND {no_after} THEN 'no row image'
+            END""",
+        "before": f"IF({V.is_absent('_data.before')}, NULL, _data.before)",
+        "transaction_id": V.text("_data.transactionId"),
+    }, df.columns)
+
+
+def _read(column: S.Column) -> str:
     """First step of typing a cell: all that looks at the JSON value."""
-    cell = F.col(f"_cells.{column.name}")
+    cell = f"_cells.`{column.name}`"
     if column.kind == "int":
         return V.integer(cell)
     if column.kind == "decimal":
         return V.number_text(cell)
-    if column.kind == "date":
-        return F.btrim(V.text(cell))
-    return V.text(cell)
+    return f"btrim({V.text(cell)})" if column.kind == "date" else V.text(cell)
 
 
-def _convert(column: S.Column, read: Column) -> Column:
+def _convert(column: S.Column) -> str:
     """Second step: what was read, as the column's type (decimals still wide)."""
-    if column.kind == "decimal":
-        return V.wide_decimal(read, column.scale)
-    return V.day(read) if column.kind == "date" else read
+    read = f"`_{column.name}`"
+    return V.day(read) if column.kind == "date" else V.wide_decimal(read, column.scale)
+
 
+def _value(column: S.Column) -> str:
+    value = f"`_{column.name}`"
+    return V.parsed_decimal(value) if column.kind == "decimal" else value
 
-def _violates(column: S.Column, value: Column) -> Column:
+
+def _violation(column: S.Column) -> str:
     """The typed value does not go into the target column (or is NULL where required)."""
-    bad = F.lit(False)
+    rules = [] if column.nullable else [f"{_value(column)} IS NULL"]
     if column.kind == "text":
-        bad = F.coalesce(F.length(value) > column.size, F.lit(False))
+        rules.append(f"coalesce(length({_value(column)}) > {column.size}, false)")
     elif column.kind == "decimal":
-        bad = ~V.decimal_fits(value, column.size, column.scale)
-    return bad if column.nullable else (bad | value.isNull())
-
-
-def _any(conditions: Sequence[Column]) -> Column:
-    result = F.lit(False)
-    for condition in conditions:
-        result = result | condition
-    return result
+        rules.append(f"NOT {V.decimal_fits(_value(column), column.size, column.scale)}")
+    return " OR ".join(rules) or "false"
 
 
 # Columns read per step: keeps each generated method small enough to be compiled to
@@ -246,60 +217,42 @@ def typed_rows(decoded: DataFrame, spec: S.TableSpec, into: str | None = None) -
     Rows of other tables get NULL for both. Where the key or a value cannot go into the
     target, ``reject_reason`` says so; absent members become NULL, extra members are ignored.
     """
-    into = into or spec.name
     kept = [c for c in decoded.columns if c not in ("key", "reject_reason")]
-    previous_key = F.col("key") if "key" in decoded.columns else F.lit(None).cast("int")
-    mine = F.col("table") == spec.name
-    names = [spec.key, *spec.column_names]
+    previous_key = "key" if "key" in decoded.columns else "CAST(NULL AS INT)"
+    mine = f"(table = '{spec.name}')"
     df = computed_once(decoded, {
-        "_cells": F.when(mine, V.fields(F.col("row"), names)),
+        "_cells": f"IF({mine}, {V.fields('row', [spec.key, *spec.column_names])}, NULL)",
         "key": previous_key,
     })
 
     # The key: first key part of the envelope, else the row's key column, else 0.
-    key_cell = F.col(f"_cells.{spec.key}")
-    key_unusable = (
-        F.col("key_id").isNull()
-        & ~V.is_absent(key_cell)
-        & (F.schema_of_variant(key_cell) != "STRING")
-        & F.col("_key_in_row").isNull()
-    )
+    own_key = f"_cells.`{spec.key}`"
+    df = computed_once(df, {"_key_in_row": f"IF(key_id IS NULL, {V.integer(own_key)}, NULL)"})
+    bad_key = f"key_id IS NULL AND _key_in_row IS NULL AND {V.is_bad_text(own_key)}"
     df = computed_once(df, {
-        "_key_in_row": F.when(F.col("key_id").isNull(), V.integer(key_cell)),
-    })
-    df = computed_once(df, {
-        "key": F.when(mine, F.coalesce(F.col("key_id"), F.col("_key_in_row"), F.lit(0))).otherwise(
-            F.col("key")
-        ),
-        "reject_reason": F.coalesce(
-            F.col("reject_reason"),
-            F.when(mine & F.col("has_row") & F.col("_cells").isNull(), "row image is no object")
-            .when(mine & F.coalesce(key_unusable, F.lit(False)), "bad key column"),
-        ),
-    }, [c for c in df.columns if c not in ("key", "reject_reason", "_key_in_row")])
+        "key": f"IF({mine}, coalesce(key_id, _key_in_row, 0), key)",
+        "reject_reason": f"""CASE WHEN reject_reason IS NOT NULL THEN reject_reason
+            WHEN {mine} AND has_row AND _cells IS NULL THEN 'row image is no object'
+            WHEN {mine} AND {bad_key} THEN 'bad key column' END""",
+    }, [*kept, "_cells"])
 
     # The other columns: read a few at a time, then convert those that need it.
     for i in range(0, len(spec.columns), _COLUMNS_PER_STEP):
         part = spec.columns[i : i + _COLUMNS_PER_STEP]
         df = computed_once(df, {f"_{c.name}": _read(c) for c in part})
-    df = computed_once(df.drop("_cells"), {
-        f"_{c.name}": _convert(c, F.col(f"_{c.name}"))
-        for c in spec.columns if c.kind in ("decimal", "date")
-    })
-    value = {
-        c.name: V.parsed_decimal(F.col(f"_{c.name}")) if c.kind == "decimal" else F.col(f"_{c.name}")
-        for c in spec.columns
-    }
-    changes_row = F.col("operation").isin(S.INSERT, S.UPDATE)
-    violation = _any([_violates(c, value[c.name]) for c in spec.columns])
-    image = F.struct(*[value[c.name].try_cast(c.data_type).alias(c.name) for c in spec.columns])
+    convert = {f"_{c.name}": _convert(c) for c in spec.columns if c.kind in ("decimal", "date")}
+    if convert:
+        df = computed_once(df, convert, [c for c in df.columns if c not in convert and c != "_cells"])
+    changes_row = f"operation IN ('{S.INSERT}', '{S.UPDATE}')"
+    violation = " OR ".join(f"({_violation(c)})" for c in spec.columns)
+    image = ", ".join(
+        f"try_cast({_value(c)} AS {c.data_type.simpleString()}) AS `{c.name}`" for c in spec.columns
+    )
     return computed_once(df, {
-        "key": F.col("key"),
-        into: F.when(mine, image),
-        "reject_reason": F.coalesce(
-            F.col("reject_reason"),
-            F.when(mine & changes_row & violation, "value does not fit the table"),
-        ),
+        "key": "key",
+        into or spec.name: f"IF({mine}, struct({image}), NULL)",
+        "reject_reason": f"""CASE WHEN reject_reason IS NOT NULL THEN reject_reason
+            WHEN {mine} AND {changes_row} AND ({violation}) THEN 'value does not fit the table' END""",
     }, kept)
 
 
@@ -331,14 +284,12 @@ def typed_events(decoded: DataFrame, specs: Sequence[S.TableSpec]) -> DataFrame:
     are part of the result if they may belong to a subscribed table.
     """
     names = [s.name for s in specs]
-    unreadable = F.col("reject_reason").isNotNull()
-    df = decoded.filter(F.col("table").isin(names) | unreadable)
+    df = decoded.filter(F.col("table").isin(names) | F.col("reject_reason").isNotNull())
     for spec in specs:
         df = typed_rows(df, spec)
-    return df.select(
-        *S.EVENT_ID, "arrival", "operation", "table", "key", "commit_lsn",
-        *names, "reject_reason",
-        F.when(F.col("reject_reason").isNotNull(), F.col("value")).alias("value"),
+    return df.selectExpr(
+        *S.EVENT_ID, "arrival", "operation", "table", "key", "commit_lsn", *names,
+        "reject_reason", "IF(reject_reason IS NOT NULL, value, NULL) AS value",
     )
 
 
@@ -355,36 +306,30 @@ def rejects(events: DataFrame) -> DataFrame:
 
 def feed_view(df: DataFrame) -> DataFrame:
     """One line per readable message of *any* table, for people to look at."""
-    first, last = F.col("_names.CustomerFirstName"), F.col("_names.CustomerLastName")
     keep = [*S.EVENT_ID, "arrival"]
     names = ["CustomerFirstName", "CustomerLastName"]
-    opened = computed_once(_open_live(df.select(*keep, "value")), {
-        "_names": V.fields(F.col("row"), names),
-    })
-    unreadable = (
-        _live_reject_reason().isin(
-            "bad message", "bad operation", "no data", "bad data", "bad eventsource",
-            "bad table", "bad primary key", "bad eventrow", "bad row image",
-        )
-        | _bad_text(F.col("_data.eventsource.db"))
-        | _bad_text(F.col("_data.eventsource.schema"))
-        | (F.col("has_row") & F.col("_names").isNull())
-        | _bad_text(first)
-        | _bad_text(last)
+    opened = computed_once(
+        _open_live(df.select(*keep, "value")), {"_names": V.fields("row", names)}
     )
-    key = F.nullif(_member("_key.value"), F.lit(""))
-    db, schema, table = (
-        F.coalesce(_member(f"_data.eventsource.{m}"), F.lit("")) for m in ("db", "schema", "tbl")
-    )
-    name = F.concat_ws(" ", *[F.coalesce(_member(f"_names.{n}"), F.lit("")) for n in names])
+    # Transactions are not looked at here, so a bad one does not hide the message.
+    unreadable = " OR ".join([
+        f"coalesce({_LIVE_REJECT_REASON}, 'bad transaction') <> 'bad transaction'",
+        "(has_row AND _names IS NULL)",
+        *[
+            f"coalesce({V.is_bad_text(m)}, false)"
+            for m in ("_data.eventsource.db", "_data.eventsource.schema", *[f"_names.{n}" for n in names])
+        ],
+    ])
+    part = {m: f"coalesce({V.text(f'_data.eventsource.{m}')}, '')" for m in ("db", "schema", "tbl")}
+    first, last = (f"coalesce({V.text(f'_names.{n}')}, '')" for n in names)
     lines = computed_once(opened, {
-        "operation": F.coalesce(_member("_env.operation"), F.lit(S.UNKNOWN_OPERATION)),
-        "database": db,
-        "schema": schema,
-        "table": table,
-        "table_full_name": F.concat(schema, F.lit("."), table),
-        "primary_key": F.coalesce(F.concat(F.lit("ID: "), key), F.lit("")),
-        "customer_name": F.btrim(name),
-        "_readable": ~F.coalesce(unreadable, F.lit(False)),
+        "operation": f"coalesce({V.text('_env.operation')}, '{S.UNKNOWN_OPERATION}')",
+        "database": part["db"],
+        "schema": part["schema"],
+        "table": part["tbl"],
+        "table_full_name": f"concat({part['schema']}, '.', {part['tbl']})",
+        "primary_key": f"coalesce(concat('ID: ', nullif({V.text('_key.value')}, '')), '')",
+        "customer_name": f"btrim(concat({first}, ' ', {last}))",
+        "_readable": f"NOT ({unreadable})",
     }, keep)
     return lines.filter("_readable").drop("_readable").withColumn("received_at", F.current_timestamp())

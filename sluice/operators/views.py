@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from sluice import schemas as S
+from sluice.functions.barrier import computed_once
 from sluice.operators import apply as A, decode as X
 
 DUPLICATE, FROM_STATE = "DUP", "—"
@@ -248,9 +249,10 @@ def delete_where(target: DataFrame, condition: Column) -> DataFrame:
 
 def change_mask(decoded: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Names of the columns that differ between a change's before and after images."""
-    images = X.computed_once(decoded.filter(F.col("reject_reason").isNull()), {
-        "_before": F.try_variant_get("before", "$", _string_members(columns)),
-        "_after": F.try_variant_get("row", "$", _string_members(columns)),
+    members = ", ".join(f"`{c}`: string" for c in columns)
+    images = computed_once(decoded.filter(F.col("reject_reason").isNull()), {
+        "_before": f"try_variant_get(before, '$', 'struct<{members}>')",
+        "_after": f"try_variant_get(row, '$', 'struct<{members}>')",
     })
     differs = [
         F.when(~F.col(f"_before.{c}").eqNullSafe(F.col(f"_after.{c}")), F.lit(c)) for c in columns
@@ -259,7 +261,3 @@ def change_mask(decoded: DataFrame, columns: Sequence[str]) -> DataFrame:
         *S.EVENT_ID, "arrival", "operation", "key_id",
         F.array_compact(F.array(*differs)).alias("changed"),
     )
-
-
-def _string_members(columns: Sequence[str]) -> str:
-    return "struct<" + ", ".join(f"`{c}`: string" for c in columns) + ">"

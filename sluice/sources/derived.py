@@ -176,7 +176,7 @@ def feed_with_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
 def broker_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows with a broker's column names, out of ``events``: timestamps are not in offset order."""
     events = read_table(spark, sf_dir, "events")
-    late = F.when(F.col("event_id") % 10 == 0, F.lit(3600)).otherwise(F.lit(0))
+    late = F.when(F.col("event_id") % 10 == 0, F.lit(3600)).otherwise(F.lit(0)).cast("long")
     micros = F.unix_micros(F.col("ts").cast("timestamp")) - late * 1_000_000
     return events.select(
         F.lit(None).cast("binary").alias("key"),
@@ -208,6 +208,12 @@ def _join(*parts: str | Column) -> Column:
     return F.concat(*[p if isinstance(p, Column) else F.lit(p) for p in parts])
 
 
+def _step(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """Add columns whose expressions stay where they are (see ``computed_once``)."""
+    row = F.struct(*[c.alias(n) for n, c in columns.items()])
+    return df.select(*df.columns, F.inline(F.array(row)))
+
+
 # What each 23rd of the keys does wrong in the irregular feed; the rest is readable.
 REJECT_CASES = {
     0: "truncated", 1: "no data", 2: "null data", 3: "null eventrow", 4: "numeric key value",
@@ -274,17 +280,22 @@ def irregular_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(k % 2 == 0, ',"EstimatedShipDate":"2026-04-20T23:30:00-05:00"').otherwise(""),
     )
     row = _join("{", cells, "}")
+    rows = _step(orders.withColumn("k", k), {
+        "case": case.cast("int"), "operation": operation, "cells": cells,
+        "source": F.when(case == 8, '"eventsource":5').otherwise(
+            _join('"eventsource":{', table, primary_key, lsn, "}")
+        ),
+    })
+    k, case, cells = F.col("k"), F.col("case"), F.col("cells")
     current = (
         F.when(case == 13, '"current":[]')
         .when(case == 6, _quoted("current", _join("{", cells)))
-        .when(k % 2 == 0, _quoted("current", row))
-        .otherwise(_join('"current":', row))
+        .when(k % 2 == 0, _quoted("current", _join("{", cells, "}")))
+        .otherwise(_join('"current":{', cells, "}"))
     )
     event_row = F.when(case == 3, '"eventrow":null').otherwise(_join('"eventrow":{', current, ',"old":null}'))
-    source = F.when(case == 8, '"eventsource":5').otherwise(
-        _join('"eventsource":{', table, primary_key, lsn, "}")
-    )
-    data = _join("{", source, ",", event_row, "}")
+    rows = _step(rows, {"data": _join("{", F.col("source"), ",", event_row, "}")})
+    data = F.col("data")
     data_member = (
         F.when(case == 1, '"extra":1')
         .when(case == 2, '"data":null')
@@ -292,18 +303,19 @@ def irregular_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.floor(k / 3) % 2 == 0, _quoted("data", data))
         .otherwise(_join('"data":', data))
     )
-    message = _join("{", operation, data_member, "}")
+    rows = _step(rows, {"message": _join("{", F.col("operation"), data_member, "}")})
+    message = F.col("message")
     value = (
         F.when(case == 0, F.substring(message, F.lit(1), F.length(message) - 1))
         .when(case == 7, _join(message, " and more"))
         .when(case == 12, _join("[", message, "]"))
         .otherwise(message)
     )
-    return orders.select(
+    return _step(rows.select("k", "case", "message"), {"value": value}).select(
         (k % PARTITIONS).cast("int").alias("partition_id"),
         k.alias("sequence_number"),
         k.alias("arrival"),
-        value.alias("value"),
+        "value",
     )
 
 
