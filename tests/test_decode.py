@@ -1,0 +1,200 @@
+"""One row per decoding rule, all decoded in one pass."""
+
+import json
+from datetime import date
+from decimal import Decimal
+
+import pytest
+from helpers import feed, message
+
+from sluice import schemas as S
+from sluice.operators import decode as X
+from sluice.sources.changes import drop_empty
+
+
+def live(source=None, event_row=None, **root):
+    source = {"tbl": "Orders", "pkkey": [{"value": "1"}], **(source or {})}
+    source = {k: v for k, v in source.items() if v is not ...}
+    data = {"eventsource": source, "eventrow": event_row or {"current": {"OrderID": 1}}}
+    return json.dumps({"operation": "INS", "data": data, **root})
+
+
+def cell(name, raw, key="1"):
+    """A message whose row has one member, given as raw JSON."""
+    return (
+        '{"operation":"INS","data":{"eventsource":{"tbl":"Orders","pkkey":[{"value":"%s"}]},'
+        '"eventrow":{"current":{"%s":%s}}}}' % (key, name, raw)
+    )
+
+
+ROW = {"OrderID": 1, "Product": "p"}
+# name: (message, expected columns of the typed event)
+CASES = {
+    "object in object": (message("INS", 1, ROW), {"Product": "p", "key": 1}),
+    "text in object": (message("INS", 1, ROW, row_text=True), {"Product": "p"}),
+    "object in text": (message("INS", 1, ROW, data_text=True), {"Product": "p"}),
+    "text in text": (message("INS", 1, ROW, data_text=True, row_text=True), {"Product": "p"}),
+    "operation null": (live(operation=None), {"operation": "?", "reject_reason": None}),
+    "operation missing": (live().replace('"operation": "INS", ', ""), {"operation": "?"}),
+    "operation number": (live(operation=5), {"reject_reason": "bad operation"}),
+    "table number": (live({"tbl": 5}), {"reject_reason": "bad table"}),
+    "key 0": (live({"pkkey": [{"value": "0"}]}, {"current": {"OrderID": 7}}), {"key": 7}),
+    "key abc": (live({"pkkey": [{"value": "abc"}]}, {"current": {"OrderID": "8"}}), {"key": 8}),
+    "key missing": (live({"pkkey": ...}, {"current": {"OrderID": 9}}), {"key": 9}),
+    "key array empty": (live({"pkkey": []}, {"current": {}}), {"key": 0}),
+    "key no array": (live({"pkkey": {"value": "3"}}, {"current": {"OrderID": 4}}), {"key": 4}),
+    "key value null": (live({"pkkey": [{"value": None}]}, {"current": {"OrderID": 4}}), {"key": 4}),
+    "key value number": (live({"pkkey": [{"value": 1}]}), {"reject_reason": "bad primary key"}),
+    "key element text": (live({"pkkey": ["1"]}), {"reject_reason": "bad primary key"}),
+    "key element null": (live({"pkkey": [None]}), {"reject_reason": "bad primary key"}),
+    "two key parts": (live({"pkkey": [{"value": "5"}, {"value": "6"}]}), {"key": 5}),
+    "key beyond int": (live({"pkkey": [{"value": "3000000000"}]}, {"current": {}}), {"key": 0}),
+    "row key unusable text": (live({"pkkey": []}, {"current": {"OrderID": "x"}}), {"key": 0, "reject_reason": None}),
+    "row key null": (live({"pkkey": []}, {"current": {"OrderID": None}}), {"key": 0, "reject_reason": None}),
+    "row key 1.5": (live({"pkkey": []}, {"current": {"OrderID": 1.5}}), {"reject_reason": "bad key column"}),
+    "row key true": (live({"pkkey": []}, {"current": {"OrderID": True}}), {"reject_reason": "bad key column"}),
+    "row key 1.5 unused": (live(None, {"current": {"OrderID": 1.5}}), {"key": 1, "reject_reason": None}),
+    "row array": (live(None, {"current": []}), {"reject_reason": "row image is no object"}),
+    "row text null": (live(None, {"current": "null"}), {"reject_reason": "row image is no object"}),
+    "row text broken": (live(None, {"current": "{"}), {"reject_reason": "bad row image"}),
+    "row text trailing": (live(None, {"current": '{"a":1} x'}), {"reject_reason": "bad row image"}),
+    "no image": (live(None, {"current": None}), {"key": 1, "Product": None, "reject_reason": None}),
+    "no eventrow": ('{"operation":"UPD","data":{"eventsource":{"tbl":"Orders"}}}', {"key": 0, "reject_reason": None}),
+    "lsn first place": (live({"transaction": {"committime": "c", "lsn": "b", "commitlsn": "a"}, "lsn": "e"}), {"commit_lsn": "a"}),
+    "lsn second": (live({"transaction": {"committime": "c", "lsn": "b", "commitlsn": ""}}), {"commit_lsn": "b"}),
+    "lsn third": (live({"transaction": {"committime": "c", "lsn": 5}}), {"commit_lsn": "c"}),
+    "lsn fourth": (live({"transaction": {}, "commitlsn": "d", "lsn": "e"}), {"commit_lsn": "d"}),
+    "lsn fifth": (live({"lsn": "e"}), {"commit_lsn": "e"}),
+    "lsn none": (live(), {"commit_lsn": "n/a"}),
+    "lsn long": (live({"lsn": "x" * 70}), {"commit_lsn": "x" * 64}),
+    "transaction null": (live({"transaction": None}), {"reject_reason": "bad transaction"}),
+    "eventsource null": ('{"data":{"eventsource":null}}', {"reject_reason": "bad eventsource"}),
+    "eventrow null": ('{"data":{"eventrow":null}}', {"reject_reason": "bad eventrow"}),
+    "eventrow number": ('{"data":{"eventrow":1}}', {"reject_reason": "bad eventrow"}),
+    "no data": ('{"operation":"INS"}', {"reject_reason": "no data"}),
+    "data null": ('{"data":null}', {"reject_reason": "bad data"}),
+    "data number": ('{"data":5}', {"reject_reason": "bad data"}),
+    "data text broken": ('{"data":"{"}', {"reject_reason": "bad data"}),
+    "data text array": ('{"data":"[]"}', {"reject_reason": "bad data"}),
+    "broken": ('{"data":', {"reject_reason": "bad message"}),
+    "empty": ("", {"reject_reason": "bad message"}),
+    "array": ("[1]", {"reject_reason": "bad message"}),
+    "trailing text": (live() + " x", {"reject_reason": "bad message"}),
+    "trailing bracket": (live() + "]", {"reject_reason": "bad message"}),
+    "two values": (live() + "," + live(), {"reject_reason": "bad message"}),
+    "surrounding space": (" " + live() + "\n", {"reject_reason": None, "key": 1}),
+    "last of two members": ('{"operation":"INS","operation":"DEL","data":{"eventsource":{"tbl":"Orders"}}}', {"operation": "DEL"}),
+    **{
+        f"int {raw}": (cell("Quantity", raw), {"Quantity": expected, "reject_reason": None})
+        for raw, expected in {
+            "2": 2, '"2"': 2, '" 2 "': 2, '"+2"': 2, "-2": -2, "2.0": None, '"2.0"': None, "true": None,
+            "3000000000": None, '"3000000000"': None, "2e0": None, "null": None, "[]": None, '""': None,
+        }.items()
+    },
+    **{
+        f"decimal {raw}": (
+            cell("Price", raw),
+            {"Price": None if expected is None else Decimal(expected), "reject_reason": None},
+        )
+        for raw, expected in {
+            "11.5": "11.50", '"11.50"': "11.50", '"1,000"': "1000.00", '"2e0"': None, '"x"': None,
+            "2e0": "2.00", "7": "7.00", '" 3 "': "3.00", '"5-"': "-5.00", '"-5"': "-5.00", '"+.5"': "0.50",
+            '"5."': "5.00", '"--5"': None, '"1 2"': None, '"1.2.3"': None, "123.455": "123.46",
+            "0.0049999999": "0.00", "true": None, "null": None, '""': None, "1e40": None,
+            "99999999999999999999999999999999": None,
+        }.items()
+    },
+    "decimal too wide": (cell("Price", "100000000"), {"reject_reason": "value does not fit the table"}),
+    "text too long": (cell("CustomerFirstName", '"' + "x" * 51 + '"'), {"reject_reason": "value does not fit the table"}),
+    "text at the limit": (cell("CustomerFirstName", '"' + "x" * 50 + '"'), {"reject_reason": None}),
+    **{
+        f"text {raw}": (cell("Company", raw), {"Company": expected})
+        for raw, expected in {'"a"': "a", '""': "", '"5"': "5", "5": None, "true": None, "null": None, "{}": None}.items()
+    },
+    **{
+        f"date {raw}": (cell("SalesDate", raw), {"SalesDate": expected})
+        for raw, expected in {
+            '"2026-04-20"': date(2026, 4, 20), '"2026-04-20T23:59:59"': date(2026, 4, 20),
+            '"2026-04-20 10:00:00.123"': date(2026, 4, 20), '" 2026-04-20 "': date(2026, 4, 20),
+            '"04/20/2026"': date(2026, 4, 20), '"20 Apr 2026"': date(2026, 4, 20),
+            '"2026-04-20T23:30:00-05:00"': date(2026, 4, 21), '"2026-04-20T23:30:00Z"': date(2026, 4, 20),
+            "5": None, '"2026-02-30"': None, '"today"': None, '"2026"': None, '"2026-04-20Tjunk"': None, "null": None,
+        }.items()
+    },
+}
+
+
+@pytest.fixture(scope="module")
+def decoded(spark):
+    messages = feed(spark, [(0, n, value) for n, (value, _) in enumerate(CASES.values())])
+    events = X.typed_events(X.decode_live(messages), [S.ORDERS])
+    found = {r["sequence_number"]: r.asDict(recursive=True) for r in events.collect()}
+    return {name: found.get(n) for n, name in enumerate(CASES)}
+
+
+@pytest.mark.parametrize("name", CASES)
+def test_rule(decoded, name):
+    event = decoded[name]
+    assert event is not None
+    flat = {**event, **(event["Orders"] or {})}
+    for column, expected in CASES[name][1].items():
+        assert flat[column] == expected, (column, flat)
+    if event["reject_reason"] is not None:
+        assert event["value"] == CASES[name][0]
+
+
+def test_other_tables_and_empty_bodies_leave_no_trace(spark):
+    messages = feed(spark, [
+        (0, 1, live({"tbl": "orders"})), (0, 2, live({"tbl": "OrderLines"})), (0, 3, live({"tbl": None})),
+        (0, 4, None), (0, 5, live()),
+    ])
+    events = X.typed_events(X.decode_live(drop_empty(messages)), [S.ORDERS])
+    assert [r["sequence_number"] for r in events.collect()] == [5]
+
+
+def test_order_lines_need_every_value(spark):
+    row = {"OrderLineID": 1, "OrderID": 1, "ProductID": 9, "Quantity": 2, "UnitPrice": "11.005", "LineTotal": 99}
+    cases = [row, {**row, "Quantity": None}, {k: v for k, v in row.items() if k != "OrderID"}]
+    values = [message("INS", 1, r, table="OrderLines") for r in cases] + [message("DEL", 1, table="OrderLines")]
+    messages = feed(spark, [(0, n, v) for n, v in enumerate(values)])
+    events = X.typed_events(X.decode_live(messages), [S.ORDER_LINES]).orderBy("arrival").collect()
+    misfit = "value does not fit the table"
+    assert [e["reject_reason"] for e in events] == [None, misfit, misfit, None]
+    assert events[0]["OrderLines"]["UnitPrice"] == Decimal("11.01")
+
+
+def test_documented_envelope(spark):
+    def doc(op, after=..., **data):
+        data = {"operation": op, "schema": "dbo", "table": "Orders", "primaryKey": {"OrderID": 123},
+                "before": {"Product": "a"}, "commitLsn": "00000023:000001a0:0001", "transactionId": "t", **data}
+        if after is not ...:
+            data["after"] = after
+        return json.dumps({"specversion": "1.0", "data": data})
+
+    values = [
+        doc("UPDATE", {"OrderID": 123, "Product": "b", "Price": 199.95}), doc("DELETE"), doc("INSERT"),
+        doc("MERGE"), doc("UPDATE", {}, primaryKey=None), doc("UPDATE", {}, table=None), "x", '{"data":1}',
+    ]
+    decoded = X.decode_documented(feed(spark, [(0, n, v) for n, v in enumerate(values)]))
+    header = decoded.orderBy("arrival").select("operation", "key_id", "commit_lsn", "reject_reason", "transaction_id")
+    found = [tuple(r) for r in header.collect()]
+    assert found[0] == ("UPD", 123, "00000023:000001a0:0001", None, "t")
+    assert found[1][:2] == ("DEL", 123) and found[1][3] is None
+    assert [r[3] for r in found[2:]] == ["no row image", None, "bad primary key", "bad table", "bad message", "bad data"]
+    assert found[3][0] == "MERGE"
+    typed = X.to_orders(decoded).orderBy("arrival").collect()
+    assert (typed[0]["OrderID"], typed[0]["Product"], typed[0]["Price"]) == (123, "b", Decimal("199.95"))
+
+
+def test_feed_view(spark):
+    names = {"CustomerFirstName": "Ann", "CustomerLastName": None}
+    values = [
+        live({"db": "d", "schema": "dbo", "tbl": "Anything"}, {"current": names}),
+        live({"pkkey": [{"value": "abc"}], "transaction": None}),
+        live({"db": 5}), live(None, {"current": {"CustomerFirstName": 5}}), live(None, {"current": []}), "x",
+    ]
+    view = X.feed_view(feed(spark, [(0, n, v) for n, v in enumerate(values)])).drop("received_at")
+    assert [tuple(r)[3:] for r in view.orderBy("arrival").collect()] == [
+        ("INS", "d", "dbo", "Anything", "dbo.Anything", "ID: 1", "Ann"),
+        ("INS", "", "", "Orders", ".Orders", "ID: abc", ""),
+    ]
