@@ -20,6 +20,12 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _spread(rows: DataFrame, table: DataFrame) -> DataFrame:
+    """Use all cores where the table is a handful of files; tables of many files do anyway."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if len(table.inputFiles()) < cores else rows
+
+
 def _changes(rows: DataFrame, key: str, base: int) -> DataFrame:
     """One row per derived change: all keys INS, every 3rd UPD, 7th DEL, 5th replayed INS."""
     k = F.col(key)
@@ -48,7 +54,7 @@ def _changes(rows: DataFrame, key: str, base: int) -> DataFrame:
 def order_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Changes of Orders, still as columns."""
     orders = read_table(spark, sf_dir, "orders")
-    changes = _changes(orders, "o_orderkey", 0)
+    changes = _changes(_spread(orders, orders), "o_orderkey", 0)
     return changes.select(
         (F.col("o_orderkey") % PARTITIONS).cast("int").alias("partition_id"),
         "sequence_number", "arrival", "operation", "k",
@@ -71,9 +77,9 @@ def order_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def line_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Changes of OrderLines, still as columns; their sequences lie above those of Orders."""
+    lineitem = read_table(spark, sf_dir, "lineitem")
     lines = (
-        read_table(spark, sf_dir, "lineitem")
-        .groupBy("l_orderkey", "l_linenumber")
+        lineitem.groupBy("l_orderkey", "l_linenumber")
         .agg(
             F.min("l_partkey").alias("product"),
             F.min("l_quantity").cast("int").alias("quantity"),
@@ -81,7 +87,7 @@ def line_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         .withColumn("line", F.col("l_orderkey") * 8 + F.col("l_linenumber"))
     )
-    changes = _changes(lines, "line", LINE_SEQUENCE)
+    changes = _changes(_spread(lines, lineitem), "line", LINE_SEQUENCE)
     return changes.select(
         (F.col("l_orderkey") % PARTITIONS).cast("int").alias("partition_id"),
         "sequence_number", "arrival", "operation", "k",
@@ -230,6 +236,7 @@ def irregular_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     can be written as CASE expressions.
     """
     orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    orders = _spread(orders, orders)
     k = F.col("o_orderkey")
     key = k.cast("string")
     case = k % 23

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from functools import partial
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -102,18 +104,29 @@ def _write_batch(
         if manifest["quarantine"]:
             rows = A.new_events(rows, state.quarantine(manifest))
             rejected = rows.count()
+    # The tables do not depend on each other: written side by side, a small batch takes as
+    # long as its slowest table.
+    writes = {}
     if rejected:
-        changed["quarantine"] = [*manifest["quarantine"], state.write(rows, "quarantine")]
+        writes["quarantine"] = lambda: [*manifest["quarantine"], state.write(rows, "quarantine")]
     if counts:
         ledger_rows = A.ledger_rows(applied).sortWithinPartitions(*S.EVENT_ID)
         offsets = A.upsert_offsets(state.offsets(manifest), applied).coalesce(1)
-        changed["ledger"] = [*manifest["ledger"], state.write(ledger_rows, "ledger")]
-        changed["offsets"] = [state.write(offsets, "offsets")]
-        changed["targets"] = dict(manifest["targets"])
-        for spec in state.specs:
-            if spec.name in counts:
-                net = net_changes(applied, spec)
-                changed["targets"][spec.name] = state.write_net_changes(net, spec, manifest)
+        writes["ledger"] = lambda: [*manifest["ledger"], state.write(ledger_rows, "ledger")]
+        writes["offsets"] = lambda: [state.write(offsets, "offsets")]
+    written_targets = [s for s in state.specs if s.name in counts]
+    for spec in written_targets:
+        net = net_changes(applied, spec)
+        writes[f"target {spec.name}"] = partial(state.write_net_changes, net, spec, manifest)
+    if writes:
+        with ThreadPoolExecutor(len(writes)) as pool:
+            running = {
+                name: pool.submit(inheritable_thread_target(state.spark)(write))
+                for name, write in writes.items()
+            }
+            done = {name: future.result() for name, future in running.items()}
+        targets = {s.name: done.pop(f"target {s.name}") for s in written_targets}
+        changed = {**changed, **done, "targets": {**manifest["targets"], **targets}}
     return changed, counts, rejected
 
 
