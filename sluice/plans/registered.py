@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from sluice import schemas as S
 from sluice.operators import apply as A, decode as X, views as V
 from sluice.plans.materialize import Outcome, apply_to, decode, materialize
-from sluice.session import new_folder, prepare
+from sluice.session import new_folder, prepare, staged
 from sluice.sources import changes as C, derived as D
 from sluice.streaming.consumer import BatchResult, Consumer, apply_batch, fan_out, start_consumer
 from sluice.streaming.state import State
@@ -38,6 +38,12 @@ def _events(spark: SparkSession, sf_dir: str, specs: Sequence[S.TableSpec] = (S.
     return decode(feed(spark, sf_dir), specs)
 
 
+def _staged_events(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """Decoded order events, or some of their columns, for plans that use them twice."""
+    events = X.accepted(_events(spark, sf_dir))
+    return staged(events.select(*columns) if columns else events, "events")
+
+
 def _irregular(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decode(D.irregular_feed(spark, sf_dir))
 
@@ -280,7 +286,8 @@ def a6_new_events(spark, sf_dir):
 
 def a7_classify(spark, sf_dir):
     ledger = _before(spark, sf_dir).ledger
-    return A.classify(_events(spark, sf_dir), ledger).select(*EVENT, "operation", "applied")
+    events = _staged_events(spark, sf_dir, *EVENT, "operation")
+    return A.classify(events, ledger)
 
 
 def a8_last_change_per_key(spark, sf_dir):
@@ -325,7 +332,7 @@ def a13_upsert_offsets(spark, sf_dir):
 
 def a14_apply_event_at_a_time(spark, sf_dir):
     """What each single-event transaction reports: applied or skipped."""
-    return A.classify(_events(spark, sf_dir)).select(*EVENT, "applied")
+    return A.classify(_staged_events(spark, sf_dir, *EVENT))
 
 
 def a15_apply_batch(spark, sf_dir):
@@ -356,7 +363,7 @@ def a17_apply_partitions(spark, sf_dir):
 
 
 def a18_assign_batches(spark, sf_dir):
-    return A.assign_batches(_events(spark, sf_dir).select(*EVENT), 100)
+    return A.assign_batches(_staged_events(spark, sf_dir, *EVENT), 100)
 
 
 def a19_replay(spark, sf_dir):
@@ -423,15 +430,15 @@ def v6_line_totals(spark, sf_dir):
 
 
 def v7_apply_counts(spark, sf_dir):
-    return V.apply_counts(A.classify(_events(spark, sf_dir)))
+    return V.apply_counts(A.classify(_staged_events(spark, sf_dir, *EVENT, "operation", "key", "commit_lsn")))
 
 
 def v8_recent_log(spark, sf_dir):
-    return V.recent_log(A.classify(_events(spark, sf_dir)), "key")
+    return V.recent_log(A.classify(_staged_events(spark, sf_dir, *EVENT, "operation", "key", "commit_lsn")), "key")
 
 
 def v9_partition_log(spark, sf_dir):
-    return V.partition_log(A.classify(_events(spark, sf_dir)))
+    return V.partition_log(A.classify(_staged_events(spark, sf_dir, *EVENT, "operation", "key", "commit_lsn")))
 
 
 def v9_loaded_partition_log(spark, sf_dir):
@@ -471,7 +478,7 @@ def v13_ledger_growth(spark, sf_dir):
 
 
 def v14_rounds(spark, sf_dir):
-    return A.rounds(_events(spark, sf_dir).select(*EVENT))
+    return A.rounds(_staged_events(spark, sf_dir, *EVENT))
 
 
 def v15_feed_count(spark, sf_dir):

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings decoding depends on: of two members with one name the last counts, and
 # days are cut in UTC.
@@ -39,3 +39,14 @@ def shared_folder(spark: SparkSession) -> str:
 def new_folder(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared folder; not created."""
     return f"{shared_folder(spark)}/sluice/{name}-{uuid.uuid4().hex}"
+
+
+def staged(df: DataFrame, name: str = "staged") -> DataFrame:
+    """Write a DataFrame to the shared folder and read it back.
+
+    For decoded events that a plan uses more than once: they are decoded a single time, and
+    a lost executor costs no second decoding.
+    """
+    path = new_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

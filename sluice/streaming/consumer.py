@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import partial
 
 from pyspark import StorageLevel, inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from sluice import schemas as S
@@ -30,28 +31,39 @@ class BatchResult:
     rejected: int
 
 
-def narrow_ledger(ledger: DataFrame, events: DataFrame) -> DataFrame:
-    """Ledger rows that can match the batch, as a predicate the file scan understands.
+def _summary(unique: DataFrame) -> list[Row]:
+    """Sequence range and count per broker partition and table (NULL for rejects).
 
-    Ledger files are sorted by (partition, sequence), so their statistics skip everything
-    outside the batch's ranges: an ordinary batch beyond the last one reads nothing, a full
-    replay reads all. The batch's ranges are one row per broker partition.
+    As many rows as broker partitions times subscribed tables.
     """
-    ranges = (
-        events.groupBy("partition_id")
-        .agg(F.min("sequence_number").alias("lo"), F.max("sequence_number").alias("hi"))
-        .limit(_RANGES + 1)
+    table = F.when(F.col("reject_reason").isNull(), F.col("table")).alias("t")
+    sequence = F.col("sequence_number")
+    return (
+        unique.groupBy("partition_id", table)
+        .agg(F.min(sequence).alias("lo"), F.max(sequence).alias("hi"), F.count(sequence).alias("n"))
         .collect()
     )
-    if not ranges:
-        return ledger.limit(0)
+
+
+def narrow_ledger(ledger: DataFrame, summary: Sequence[Row]) -> DataFrame:
+    """Ledger rows that can match a batch, as a predicate the file scan understands.
+
+    Ledger files are sorted by (partition, sequence), so their statistics skip everything
+    outside the batch's ranges: an ordinary batch beyond the last one reads nothing, a full
+    replay reads all.
+    """
+    ranges: dict[int, tuple[int, int]] = {}
+    for r in summary:
+        lo, hi = ranges.get(r["partition_id"], (r["lo"], r["hi"]))
+        ranges[r["partition_id"]] = (min(lo, r["lo"]), max(hi, r["hi"]))
     sequence = F.col("sequence_number")
     if len(ranges) > _RANGES:
-        whole = events.agg(F.min("sequence_number"), F.max("sequence_number")).first()
-        return ledger.filter(sequence.between(whole[0], whole[1]))
+        return ledger.filter(
+            sequence.between(min(lo for lo, _ in ranges.values()), max(hi for _, hi in ranges.values()))
+        )
     wanted = F.lit(False)
-    for r in ranges:
-        wanted = wanted | ((F.col("partition_id") == r["partition_id"]) & sequence.between(r["lo"], r["hi"]))
+    for partition, (lo, hi) in ranges.items():
+        wanted = wanted | ((F.col("partition_id") == partition) & sequence.between(lo, hi))
     return ledger.filter(wanted)
 
 
@@ -74,10 +86,12 @@ def apply_batch(
     unique = A.unique_events(events).persist(StorageLevel.MEMORY_AND_DISK)
     fresh = unique
     try:
-        if manifest["ledger"]:
-            known = narrow_ledger(state.ledger(manifest), unique)
+        summary = _summary(unique)
+        known = narrow_ledger(state.ledger(manifest), summary)
+        if not known.isEmpty():
             fresh = A.new_events(unique, known).persist(StorageLevel.MEMORY_AND_DISK)
-        changed, counts, rejected = _write_batch(state, manifest, fresh)
+            summary = _summary(fresh)
+        changed, counts, rejected = _write_batch(state, manifest, fresh, summary)
         if before_commit is not None:
             before_commit()
         if counts or rejected:
@@ -89,15 +103,14 @@ def apply_batch(
 
 
 def _write_batch(
-    state: State, manifest: dict, fresh: DataFrame
+    state: State, manifest: dict, fresh: DataFrame, summary: Sequence[Row]
 ) -> tuple[dict, dict[str, int], int]:
     """Write the folders of a batch; gives the manifest that would publish them."""
-    usable = F.col("reject_reason").isNull()
-    # One row per subscribed table, and one for rejects.
-    counted = fresh.groupBy(F.when(usable, F.col("table")).alias("t")).count().collect()
-    counts = {r["t"]: r["count"] for r in counted}
+    counts: Counter = Counter()
+    for r in summary:
+        counts[r["t"]] += r["n"]
     rejected = counts.pop(None, 0)
-    applied = fresh.filter(usable)
+    applied = fresh.filter(F.col("reject_reason").isNull())
     changed = dict(manifest)
     if rejected:
         rows = X.rejects(fresh).withColumn("rejected_at", F.current_timestamp())
@@ -127,7 +140,7 @@ def _write_batch(
             done = {name: future.result() for name, future in running.items()}
         targets = {s.name: done.pop(f"target {s.name}") for s in written_targets}
         changed = {**changed, **done, "targets": {**manifest["targets"], **targets}}
-    return changed, counts, rejected
+    return changed, dict(counts), rejected
 
 
 def apply_in_batches(state: State, batches: Sequence[DataFrame]) -> list[BatchResult]:
