@@ -133,10 +133,12 @@ def s6_fan_out(spark, sf_dir):
     ]
     for query in fan_out(spark, source, consumers, available_now=True):
         query.awaitTermination()
+    rows = F.count(F.lit(1))
     counts = [
-        c.state(spark).ledger().agg(F.count(F.lit(1)).alias("ledger_rows"))
-        .join(c.state(spark).target(S.ORDERS).agg(F.count(F.lit(1)).alias("target_rows")))
-        .select(F.lit(c.name).alias("consumer"), "ledger_rows", "target_rows")
+        c.state(spark).ledger().agg(rows.alias("ledger_rows")).select(
+            F.lit(c.name).alias("consumer"), "ledger_rows",
+            c.state(spark).target(S.ORDERS).agg(rows).scalar().alias("target_rows"),
+        )
         for c in consumers
     ]
     return counts[0].unionByName(counts[1])
