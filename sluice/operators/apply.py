@@ -39,12 +39,20 @@ def route(
     return routed
 
 
+# Config rows up to which routing broadcasts them.
+_ROUTES = 10_000
+
+
 def route_by_config(decoded: DataFrame, config: DataFrame) -> DataFrame:
     """Routing from a table (table_name, key_column, column_list) instead of code.
 
-    Gives each event's target, key and a map of the listed columns as JSON text. The config
-    has one row per target table; Spark broadcasts it if its size allows.
+    Gives each event's target, key and a map of the listed columns as text. The config has
+    one row per target table and is broadcast once counted: a join by table name would send
+    all events of a table to one task. Beyond the limit that join is left to Spark, which
+    splits skewed partitions.
     """
+    if config.limit(_ROUTES + 1).count() <= _ROUTES:
+        config = F.broadcast(config)
     row = F.col("row")
     columns = F.col("column_list")
     members = F.try_variant_get(row, "$", "map<string, variant>")

@@ -99,9 +99,22 @@ def start_at(messages: DataFrame, positions: Mapping[int, int]) -> DataFrame:
     return messages.filter(wanted)
 
 
+# Broker partitions up to which positions become a predicate.
+_POSITIONS = 1024
+
+
 def resume_after(messages: DataFrame, offsets: DataFrame) -> DataFrame:
-    """Only messages after each partition's stored offset; all where there is none."""
+    """Only messages after each partition's stored offset; all where there is none.
+
+    The offsets are one row per broker partition: a predicate that reaches the file scan,
+    or a join should there be very many.
+    """
     stored = offsets.select("partition_id", "last_sequence_number")
+    rows = stored.limit(_POSITIONS + 1).collect()
+    if len(rows) <= _POSITIONS:
+        return start_at(
+            messages, {r["partition_id"]: r["last_sequence_number"] + 1 for r in rows}
+        )
     last = F.col("last_sequence_number")
     return (
         messages.join(stored, "partition_id", "left")
