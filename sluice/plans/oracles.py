@@ -168,7 +168,7 @@ def oracle_sql() -> dict[str, str]:
             FROM reasons WHERE unreadable IS NOT NULL""",
         "d10_bad_key_rejects": f"""{WITH_SHAPES} SELECT partition_id, sequence_number, reject_reason
             FROM typed WHERE unreadable IS NULL AND reject_reason IS NOT NULL""",
-        "d11_feed_view": f"""{WITH_BOTH}, a AS ({both}) SELECT {EVENT}, operation, 'ContosoOrders' AS "database", 'dbo' AS "schema", tbl AS "table",
+        "d11_feed_view": f"""{WITH_BOTH}, a AS ({both}) SELECT {EVENT}, operation, 'Shop' AS "database", 'dbo' AS "schema", tbl AS "table",
             'dbo.' || tbl AS table_full_name, 'ID: ' || CAST(key AS VARCHAR) AS primary_key, '' AS customer_name FROM a""",
         # Apply
         "a1_only_table": f"{WITH_BOTH}, a AS ({both}) SELECT {EVENT}, key FROM a WHERE tbl = 'OrderLines'",

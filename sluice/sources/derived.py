@@ -107,7 +107,7 @@ def line_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def live_json(changes: DataFrame) -> Column:
     """Live envelope; even keys carry ``data`` and ``current`` as text, odd ones as objects."""
     source = F.struct(
-        F.lit("ContosoOrders").alias("db"),
+        F.lit("Shop").alias("db"),
         F.lit("dbo").alias("schema"),
         F.col("table").alias("tbl"),
         F.array(

@@ -10,7 +10,7 @@ def message(op, key, row=None, table="Orders", lsn=None, key_column=None, data_t
     current = json.dumps(row) if (row_text and row is not None) else row
     data = {
         "eventsource": {
-            "db": "ContosoOrders", "schema": "dbo", "tbl": table,
+            "db": "Shop", "schema": "dbo", "tbl": table,
             "pkkey": [{"columnname": key_column, "value": str(key)}],
             "transaction": {"committime": lsn} if lsn else {},
         },

@@ -125,13 +125,13 @@ def test_batches_of_five_and_a_crash(spark):
 
 
 def test_demo_script(spark):
-    first = dict(CustomerFirstName="Charlotte", CustomerLastName="Derksen", Company="Space Invaders",
+    first = dict(CustomerFirstName="Ann", CustomerLastName="Lee", Company="Acme",
                  SalesDate="2026-04-20", EstimatedShipDate="2026-07-04", ShippingID=1,
-                 ShippingLocation="Apeldoorn")
+                 ShippingLocation="Harbour")
     lines = [line("INS", 1, 1, 9, 2), line("UPD", 1, 1, 9, 3), line("DEL", 1)]
     stream = feed(spark, [
-        (0, 1, order("INS", 1, "Rockets", Quantity=1, Price=11.0, **first)),
-        (0, 2, order("UPD", 1, "Rockets", Quantity=2, Price=22.0, **first)),
+        (0, 1, order("INS", 1, "Kettle", Quantity=1, Price=11.0, **first)),
+        (0, 2, order("UPD", 1, "Kettle", Quantity=2, Price=22.0, **first)),
         (0, 3, order("INS", 2, "Widget", Quantity=1, Price=1.0)),
         (0, 4, order("DEL", 2)),
         *[(0, 5 + i, v) for i, v in enumerate(lines)],
@@ -142,7 +142,7 @@ def test_demo_script(spark):
         "OrderID", "Quantity", F.col("Price").cast("string"), F.col("SalesDate").cast("string"),
         F.col("EstimatedShipDate").cast("string"), "CustomerFirstName", "ShippingLocation",
     )
-    assert rows(found) == [(1, 2, "22.00", "2026-04-20", "2026-07-04", "Charlotte", "Apeldoorn")]
+    assert rows(found) == [(1, 2, "22.00", "2026-04-20", "2026-07-04", "Ann", "Harbour")]
     assert out.targets["OrderLines"].count() == 0
 
 
