@@ -132,9 +132,11 @@ def _write_batch(
         net = net_changes(applied, spec)
         writes[f"target {spec.name}"] = partial(state.write_net_changes, net, spec, manifest)
     if writes:
+        # Threads take over job group and tags; without pinned threads there is nothing to do.
+        inherit = inheritable_thread_target(state.spark)
         with ThreadPoolExecutor(len(writes)) as pool:
             running = {
-                name: pool.submit(inheritable_thread_target(state.spark)(write))
+                name: pool.submit(inherit(write) if callable(inherit) else write)
                 for name, write in writes.items()
             }
             done = {name: future.result() for name, future in running.items()}
