@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from sluice.llm import curriculum, exact_dedup, packing
-from sluice.llm.common import sha256_hex, table, whole_text
+from sluice.llm import curriculum, exact_dedup, language, packing, quality, toxicity
+from sluice.llm.common import fold, sha256_hex, table, whole_text
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,6 +18,28 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classes.select("doc.doc_id", "keep_id", "group_size", "kept", "doc.text_sha256")
 
 
+def _held_out(folds: int, held: int) -> Column:
+    return fold(F.col("doc_id"), folds) == held
+
+
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held = table(spark, sf_dir, "documents"), _held_out(3, 1)
+    model = quality.fit(docs, table(spark, sf_dir, "labels").filter(~held), "quality")
+    return _scored(quality.predict(docs, model), held)
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held = table(spark, sf_dir, "documents"), _held_out(5, 0)
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels").filter(~held), "toxic")
+    return _scored(toxicity.predict(docs, model), held)
+
+
+def _scored(scores: DataFrame, held: Column) -> DataFrame:
+    return scores.select("doc.doc_id", "score").select(
+        "doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(table(spark, sf_dir, "documents"), with_ids=False)
     return pieces.select(
@@ -35,6 +57,14 @@ def op7_curriculum(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held = table(spark, sf_dir, "documents"), _held_out(3, 1)
+    model = language.fit(docs.filter(~held))
+    return language.predict(docs, model).select(
+        "doc.doc_id", "lang_pred", "score", F.size("spans").alias("n_spans")
+    ).select("doc_id", held.alias("held_out"), "lang_pred", "score", "n_spans")
+
+
 ORACLE_SQL = {
     "op2_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
@@ -76,7 +106,7 @@ ORACLE_SQL = {
     """,
 }
 
-_QUERIES = [op2_exact_dedup, op6_packing, op7_curriculum]
+_QUERIES = [op2_exact_dedup, op3_quality, op5_toxicity, op6_packing, op7_curriculum, op10_language]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
