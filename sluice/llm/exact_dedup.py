@@ -7,8 +7,8 @@ digest is compared. The first digit is 64 bytes, each later one eight times as l
 share a prefix of n bytes take about log8(n / 64) rounds, and each byte is compared once.
 
 Hot groups: sizes come from an aggregate, combined on the map side, so a group of any size
-sends one row per task. Rows meet their group's size in a join of two shuffled tables, which
-adaptive execution splits where one group holds much of the rows.
+sends one row per task. Rows meet their group's size in a join of two shuffled tables at every
+size of the input, which adaptive execution splits where one group holds much of the rows.
 """
 
 from __future__ import annotations
@@ -54,7 +54,7 @@ def duplicate_classes(
         is_open = (F.col("n") > 1) & (F.length("digit") == width)
         open_groups = not sizes.filter(F.length("digit") == width).isEmpty()
         split = (
-            keyed.join(sizes, ["group", "digit"], "left")
+            keyed.join(sizes.hint("merge"), ["group", "digit"], "left")
             .withColumn("open", F.coalesce(is_open, F.lit(False)))
             .select(
                 "doc", "rank", "open", F.col("next").alias("group"),
