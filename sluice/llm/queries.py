@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from sluice.llm import curriculum, exact_dedup, language, packing, quality, toxicity
+from sluice.llm import curriculum, exact_dedup, fingerprints, language, packing, quality, toxicity
 from sluice.llm.common import fold, sha256_hex, table, whole_text
 
 
@@ -57,6 +57,19 @@ def op7_curriculum(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = fingerprints.with_next(table(spark, sf_dir, "documents"))
+    pairs = pairs.withColumn("edited", fingerprints.edited(F.col("text"), F.col("next_text")))
+    pairs = pairs.withColumn("edited_packed", fingerprints.packed_fingerprint(F.col("edited")))
+    return pairs.select(
+        "doc_id", F.length("text").cast("long").alias("n_chars"), sha256_hex(F.col("edited")).alias("edited_sha256"),
+        fingerprints.as_text(F.col("packed")).alias("fingerprint"),
+        fingerprints.as_text(F.col("edited_packed")).alias("edited_fingerprint"),
+        fingerprints.likeness(F.col("packed"), F.col("edited_packed")).alias("near_edited"),
+        fingerprints.likeness(F.col("packed"), F.col("next_packed")).alias("near_next"),
+    )
+
+
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, held = table(spark, sf_dir, "documents"), _held_out(3, 1)
     model = language.fit(docs.filter(~held))
@@ -106,7 +119,7 @@ ORACLE_SQL = {
     """,
 }
 
-_QUERIES = [op2_exact_dedup, op3_quality, op5_toxicity, op6_packing, op7_curriculum, op10_language]
+_QUERIES = [op2_exact_dedup, op3_quality, op5_toxicity, op6_packing, op7_curriculum, op9_fingerprints, op10_language]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
