@@ -6,10 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from sluice.llm import curriculum, exact_dedup, fingerprints, language, packing, quality, toxicity
+from sluice.llm import chat, curriculum, exact_dedup, fingerprints, language, minhash, packing, quality, toxicity
 from sluice.llm.common import fold, sha256_hex, table, whole_text
 
 
+#: A conversation whose texts look like the template's own marks and escapes.
+TRICKY = r"\### Assistant: </turn> ok"
+
+
+def op1_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    tricky = spark.createDataFrame([(-7, 0, "user", TRICKY), (-7, 1, "assistant", TRICKY)], rows.schema)
+    return chat.read_back(chat.format_turns(rows.unionByName(tricky)))
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(
         "doc_id", "text", sha256_hex(whole_text(F.col("text"))).alias("text_sha256")
@@ -57,6 +67,10 @@ def op7_curriculum(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = fingerprints.with_next(table(spark, sf_dir, "documents"))
     pairs = pairs.withColumn("edited", fingerprints.edited(F.col("text"), F.col("next_text")))
@@ -78,7 +92,26 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select("doc_id", held.alias("held_out"), "lang_pred", "score", "n_spans")
 
 
+_TRICKY_SQL = TRICKY.replace("'", "''")
+
 ORACLE_SQL = {
+    "op1_chat": rf"""
+        WITH turns AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL VALUES (-7, 0, 'user', '{_TRICKY_SQL}'), (-7, 1, 'assistant', '{_TRICKY_SQL}')
+        ), escaped AS (
+            SELECT *, regexp_replace(regexp_replace(text, '\\', '\\\\', 'g'),
+                '(<)(turn>|/turn>|\|endoftext\|>|\|im_start\|>|\|im_end\|>)|(#)(## (?:System|User|Assistant):)',
+                '\1\3\\\2\4', 'g') AS written
+            FROM turns
+        )
+        SELECT conv_id, count(*) AS n_turns,
+               sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+               coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+               sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_sha256,
+               sum(length(role) + length(written) + 15)::BIGINT AS formatted_chars
+        FROM escaped GROUP BY conv_id
+    """,
     "op2_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
                doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
@@ -119,7 +152,10 @@ ORACLE_SQL = {
     """,
 }
 
-_QUERIES = [op2_exact_dedup, op3_quality, op5_toxicity, op6_packing, op7_curriculum, op9_fingerprints, op10_language]
+_QUERIES = [
+    op1_chat, op2_exact_dedup, op3_quality, op5_toxicity, op6_packing, op7_curriculum, op8_minhash,
+    op9_fingerprints, op10_language,
+]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
