@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from sluice.llm import chat, curriculum, exact_dedup, fingerprints, language, minhash, packing, quality, toxicity
+from sluice.llm import chat, curriculum, exact_dedup, fingerprints, language, minhash, packing, pii, quality, toxicity
 from sluice.llm.common import fold, sha256_hex, table, whole_text
 
 
@@ -28,6 +28,25 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classes.select("doc.doc_id", "keep_id", "group_size", "kept", "doc.text_sha256")
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents"), pii.train())
+
+    def listed(spans: Column) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def rank(span: Column) -> Column:
+        return F.struct(span["start"], F.array_position(F.array(*map(F.lit, pii.KINDS)), span["kind"]), span["end"])
+
+    def by_place(a: Column, b: Column) -> Column:
+        return F.when(rank(a) < rank(b), -1).when(rank(a) > rank(b), 1).otherwise(0)
+
+    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in pii.KINDS]
+    return found.select(
+        "doc_id", *counts, sha256_hex(listed(F.col("base"))).alias("base_sha256"),
+        listed(F.array_sort(F.concat("base", "added"), by_place)).alias("spans"),
+    )
+
+
 def _held_out(folds: int, held: int) -> Column:
     return fold(F.col("doc_id"), folds) == held
 
@@ -153,7 +172,7 @@ ORACLE_SQL = {
 }
 
 _QUERIES = [
-    op1_chat, op2_exact_dedup, op3_quality, op5_toxicity, op6_packing, op7_curriculum, op8_minhash,
+    op1_chat, op2_exact_dedup, op3_quality, op4_pii, op5_toxicity, op6_packing, op7_curriculum, op8_minhash,
     op9_fingerprints, op10_language,
 ]
 
