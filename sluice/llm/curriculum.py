@@ -43,7 +43,7 @@ def due_time(spent: Column, knots: Sequence[float]) -> Column:
     for i, (a, b) in enumerate(zip(knots, knots[1:])):
         left = need - F.lit(sum(areas[:i]))
         root = F.sqrt(F.greatest(F.lit(a * a) + F.lit(2 * (b - a) / step) * left, F.lit(0.0)))
-        inside = F.lit(i * step) + 2 * left / (F.lit(a) + root)
+        inside = F.lit(i * step) + 2 * left / F.greatest(F.lit(a) + root, F.lit(1e-12))
         time = F.when(left >= 0, F.least(inside, F.lit((i + 1) * step))).otherwise(time)
     return time
 
@@ -125,7 +125,7 @@ def plan_mix(
     def repetition(k: int) -> Column:
         begin = F.col("start") + k * F.col("source_size")
         middle = (2 * begin + F.col("size")) / F.lit(2.0)
-        spent = middle / F.col("target")
+        spent = F.try_divide(middle, F.col("target"))
         due = F.lit(None).cast("double")
         for i, knots in enumerate(SCHEDULES):
             due = F.when(F.col("kind") == i, due_time(spent, knots)).otherwise(due)
@@ -133,7 +133,7 @@ def plan_mix(
 
     return placed.select(
         "doc", "size", "source_size", "target",
-        F.coalesce(F.col("start") / F.nullif(F.col("source_size"), F.lit(0)), F.lit(0.0)).alias("place"),
+        F.coalesce(F.try_divide(F.col("start"), F.col("source_size")), F.lit(0.0)).alias("place"),
         F.array_compact(F.array(*map(repetition, range(MOST_REPEATS)))).alias("due"),
     )
 

@@ -1,6 +1,6 @@
 """Personal data by fixed patterns and a linear-chain conditional random field.
 
-The patterns give the base spans. Around every digit and @ sign a stretch of text is cut into
+The patterns give the base spans. Around every digit, @ sign and bracketed at a stretch of text is cut into
 tokens, and a conditional random field over word shapes labels them; it finds what patterns miss,
 such as numbers grouped by dots or an address with [at]. It is trained here from a small labelled
 table. Its spans are added where they touch no base span; base spans always stay.
@@ -94,7 +94,7 @@ items 10, 20, 30, 40 and 50
 """.strip().split("\n")
 _MARKED = re.compile(r"\{(\w+):([^}]*)\}")
 _TOKEN = re.compile(r"[0-9]+|[^\W\d_]+|[^\w\s]|_")
-_TRIGGER = re.compile(r"[0-9@]")
+_TRIGGER = re.compile(r"[0-9@]|[\[(]at[\])]")
 #: Characters on either side of a trigger that the field sees.
 MARGIN = 24
 
@@ -344,7 +344,7 @@ def find(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trigger = np.zeros(256, bool)
-        trigger[48:58] = trigger[64] = True
+        trigger[48:58] = trigger[[64, 40, 91]] = True  # digits, @, ( and [
         for batch in N.slices(batches, 1):
             data, offsets = N.text_bytes(batch.column(1))
             sums = np.concatenate([[0], np.cumsum(trigger[data], dtype=np.int64)])

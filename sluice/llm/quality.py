@@ -160,8 +160,9 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str, id_col: str = "doc_i
     )
     share = min(1.0, FIT_ROWS / max(1, known.count()))
     rank = F.pmod(F.xxhash64("_id"), F.lit(1 << 30))
-    rows = docs.join(known, docs[id_col] == known["_id"]).select(
-        F.coalesce(F.col(text_col), F.lit("")).alias("text"), "_label", (rank < share * (1 << 30)).alias("fit"), rank.alias("rank")
+    texts = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    rows = texts.join(known, "_id").select(
+        "text", "_label", (rank < F.lit(share * (1 << 30))).alias("fit"), rank.alias("rank")
     )
     parts = Stage(docs.sparkSession, "quality").write(
         rows.mapInArrow(_collect, "feature long, label long, n long, rank long, features array<int>")
@@ -180,7 +181,7 @@ def _train(counts: np.ndarray, examples: pa.Table) -> Model:
     ratio = np.log(smooth[1] / smooth[0])
     order = np.argsort(examples.column(0).to_numpy(), kind="stable")
     label = examples.column(1).to_numpy()[order] == 1
-    lists = examples.column(2).combine_chunks()
+    lists = pa.concat_arrays(examples.column(2).chunks)
     at, values = lists.offsets.to_numpy(), lists.values.to_numpy()
     rows = []
     for i in order:

@@ -40,9 +40,11 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     def by_place(a: Column, b: Column) -> Column:
         return F.when(rank(a) < rank(b), -1).when(rank(a) > rank(b), 1).otherwise(0)
 
-    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in pii.KINDS]
+    def count(kind: str) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
     return found.select(
-        "doc_id", *counts, sha256_hex(listed(F.col("base"))).alias("base_sha256"),
+        "doc_id", *map(count, pii.KINDS), sha256_hex(listed(F.col("base"))).alias("base_sha256"),
         listed(F.array_sort(F.concat("base", "added"), by_place)).alias("spans"),
     )
 

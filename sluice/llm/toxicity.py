@@ -66,9 +66,9 @@ def _sparse(rows: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
 def train(positive: pa.ListArray, unlabelled: pa.ListArray, prior: float, buckets: int = BUCKETS) -> Model:
     """Proximal gradient steps with momentum on the non-negative risk with the logistic loss."""
     n_p, n_u = len(positive), len(unlabelled)
+    prior = min(max(prior, 1e-6), 1 - 1e-6)
     if not n_p or not n_u:  # nothing confirmed or nothing to compare with: the prior alone
-        p = min(max(prior, 1e-6), 1 - 1e-6)
-        return Model(np.zeros(buckets), float(np.log(p / (1 - p))))
+        return Model(np.zeros(buckets), float(np.log(prior / (1 - prior))))
     (row_p, f_p), (row_u, f_u) = _sparse(positive), _sparse(unlabelled)
     frequent = np.bincount(f_p, minlength=buckets) + np.bincount(f_u, minlength=buckets) >= LEAST_TEXTS
     place = np.cumsum(frequent) - 1
@@ -129,13 +129,14 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str, id_col: str = "doc_i
             lists = N.rows_of(*(x.astype(np.int32) for x in features(batch.column(0))), batch.num_rows)
             yield pa.RecordBatch.from_arrays([*batch.columns[1:3], lists], names=["positive", "unlabelled", "features"])
 
-    found = rows.mapInArrow(extract, "positive boolean, unlabelled boolean, features array<int>").toArrow().combine_chunks()
-    if not found.num_rows:
-        return Model(np.zeros(BUCKETS), 0.0)
-    lists = found.column("features").combine_chunks()
-    lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
-    return train(lists.filter(found.column("positive").combine_chunks()),
-                 lists.filter(found.column("unlabelled").combine_chunks()), toxic / max(1, n))
+    found = rows.mapInArrow(extract, "positive boolean, unlabelled boolean, features array<int>").toArrow()
+
+    def lists(flag: str) -> pa.ListArray:
+        return pa.concat_arrays([
+            chunk.column("features").filter(chunk.column(flag)) for chunk in found.to_batches()
+        ] or [pa.array([], pa.list_(pa.int32()))])
+
+    return train(lists("positive"), lists("unlabelled"), toxic / max(1, n))
 
 
 def predict(docs: DataFrame, model: Model, text_col: str = "text", carry: tuple[str | Column, ...] = ("doc_id",)) -> DataFrame:
