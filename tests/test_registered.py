@@ -5,12 +5,15 @@ import os
 import pytest
 from oracle_check import compare, connect, entry
 
+from sluice.plans import oracles, registered
+
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 needs_data = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(registered.queries()) == set(oracles.oracle_sql())
+    assert set(registered.queries()) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
 
 
 @needs_data
