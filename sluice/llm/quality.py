@@ -161,7 +161,7 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str, id_col: str = "doc_i
     share = min(1.0, FIT_ROWS / max(1, known.count()))
     rank = F.pmod(F.xxhash64("_id"), F.lit(1 << 30))
     texts = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    rows = texts.join(known, "_id").select(
+    rows = texts.join(known.hint("merge"), "_id").select(
         "text", "_label", (rank < F.lit(share * (1 << 30))).alias("fit"), rank.alias("rank")
     )
     parts = Stage(docs.sparkSession, "quality").write(
