@@ -118,7 +118,7 @@ def plan_mix(
         .drop("coarse_start", "fine_start")
     )
     inside = W.partitionBy(*leaf).orderBy("digest", "size").rowsBetween(W.unboundedPreceding, -1)
-    placed = rows.join(stage.write(starts), leaf).withColumn(
+    placed = rows.join(stage.write(starts).hint("merge"), leaf).withColumn(
         "start", F.col("start") + F.coalesce(F.sum("size").over(inside), F.lit(0))
     )
 
