@@ -65,11 +65,21 @@ def text(value: str) -> str:
     return f"IF({is_text(value)}, try_variant_get({value}, '$', 'string'), NULL)"
 
 
-def integer(value: str) -> str:
-    """A whole JSON number within 32 bits, or a string that reads as one."""
+def integer(value: str, kind: str = "int") -> str:
+    """A whole JSON number within 32 bits (64 as bigint), or a string that reads as one."""
     return (
         f"IF(schema_of_variant({value}) IN ('BIGINT', 'STRING'),"
-        f" try_cast(try_variant_get({value}, '$', 'string') AS INT), NULL)"
+        f" try_cast(try_variant_get({value}, '$', 'string') AS {kind}), NULL)"
+    )
+
+
+def json_kind(value: str) -> str:
+    """null (or missing), string, boolean, object, array or number."""
+    kind = f"schema_of_variant({value})"
+    return (
+        f"CASE WHEN {is_absent(value)} THEN 'null' WHEN {kind} = 'STRING' THEN 'string'"
+        f" WHEN {kind} = 'BOOLEAN' THEN 'boolean' WHEN {kind} LIKE 'OBJECT%' THEN 'object'"
+        f" WHEN {kind} LIKE 'ARRAY%' THEN 'array' ELSE 'number' END"
     )
 
 
@@ -107,18 +117,31 @@ def decimal_fits(wide: str, precision: int, scale: int) -> str:
 
 
 def day(raw: str) -> str:
-    """A date out of ISO date or date-time text, ``MM/dd/yyyy`` or ``d MMM yyyy``.
+    """A date out of ISO date or date-time text, or one of the common other forms.
 
+    Those are ``M/d/yyyy`` and ``yyyy/M/d``, ``d MMM yyyy`` and ``MMM d, yyyy`` with short or
+    full month names, each with or without a time of day, and the form of mail headers.
     Takes trimmed text. Date-times with a zone are read as their UTC day, whatever the
-    session's zone is.
+    session's zone is; mail headers are in GMT.
     """
     iso = r"^\d{4}-\d{1,2}-\d{1,2}[Tt ]"
+    time = r"( \d{1,2}:\d{2}(:\d{2})?( [AaPp][Mm])?)?$"
+    month, full = "[A-Za-z]{3}", "[A-Za-z]{3,9}"
+    forms = [
+        (r"\d{1,2}/\d{1,2}/\d{4}", "M/d/yyyy"), (r"\d{4}/\d{1,2}/\d{1,2}", "yyyy/M/d"),
+        (rf"\d{{1,2}} {month} \d{{4}}", "d MMM yyyy"), (rf"\d{{1,2}} {full} \d{{4}}", "d MMMM yyyy"),
+        (rf"{month} \d{{1,2}}, \d{{4}}", "MMM d, yyyy"), (rf"{full} \d{{1,2}}, \d{{4}}", "MMMM d, yyyy"),
+    ]
+    others = "".join(
+        rf" WHEN {raw} RLIKE r'^{shape}{time}' THEN try_to_date(regexp_extract({raw}, r'^{shape}', 0), '{form}')"
+        for shape, form in forms
+    )
+    mail = rf"^{month}, (\d{{1,2}} {month} \d{{4}}) \d{{2}}:\d{{2}}:\d{{2}} GMT$"
     return (
         rf"CASE WHEN {raw} RLIKE r'^\d{{4}}-\d{{1,2}}(-\d{{1,2}})?$' THEN try_cast({raw} AS DATE)"
         rf" WHEN {raw} RLIKE r'{iso}.*([Zz]|[+-]\d\d(:?\d\d)?)$'"
         rf" THEN CAST(to_utc_timestamp(try_cast({raw} AS TIMESTAMP), current_timezone()) AS DATE)"
         rf" WHEN {raw} RLIKE r'{iso}' THEN CAST(try_cast({raw} AS TIMESTAMP_NTZ) AS DATE)"
-        rf" WHEN {raw} RLIKE r'^\d{{1,2}}/\d{{1,2}}/\d{{4}}$' THEN try_to_date({raw}, 'M/d/yyyy')"
-        rf" WHEN {raw} RLIKE r'^\d{{1,2}} [A-Za-z]{{3}} \d{{4}}$' THEN try_to_date({raw}, 'd MMM yyyy')"
+        rf"{others} WHEN {raw} RLIKE r'{mail}' THEN try_to_date(regexp_extract({raw}, r'{mail}', 1), 'd MMM yyyy')"
         " END"
     )

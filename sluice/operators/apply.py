@@ -9,10 +9,12 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from sluice import schemas as S
+from sluice.operators import decode as X
 from sluice.operators.numbering import number_in_order
+from sluice.sources.changes import arrival_position
 
 
 # Filters and routing -----------------------------------------------------------------
@@ -39,36 +41,23 @@ def route(
     return routed
 
 
-# Config rows up to which routing broadcasts them.
-_ROUTES = 10_000
+def specs_from_config(config: DataFrame) -> list[S.TableSpec]:
+    """Target tables out of a config table: table_name, key_column, column_list.
 
+    A list entry is a column's name, read as text, or name and type: ``Quantity int``,
+    ``Price decimal(10,2)``, ``Note varchar(50)``, ``SalesDate date``. The config has one row per
+    target table; they become specs, so configured tables are typed, checked and merged like others.
+    """
+    rows = config.select("table_name", "key_column", "column_list").collect()
+    return [
+        S.TableSpec(r["table_name"], r["key_column"], tuple(map(S.parse_column, r["column_list"])))
+        for r in rows
+    ]
 
-def route_by_config(decoded: DataFrame, config: DataFrame) -> DataFrame:
-    """Routing from a table (table_name, key_column, column_list) instead of code.
 
-    Gives each event's target, key and a map of the listed columns as text. The config has
-    one row per target table and is broadcast once counted: a join by table name would send
-    all events of a table to one task. Beyond the limit that join is left to Spark, which
-    splits skewed partitions.
-    """
-    if config.limit(_ROUTES + 1).count() <= _ROUTES:
-        config = F.broadcast(config)
-    row = F.col("row")
-    columns = F.col("column_list")
-    members = F.try_variant_get(row, "$", "map<string, variant>")
-    listed = F.map_filter(members, lambda name, _: F.array_contains(columns, name))
-    from_row = F.element_at(members, F.col("key_column"))
-    key_text = F.try_variant_get(from_row, "$", "string")
-    return (
-        decoded.filter(F.col("reject_reason").isNull())
-        .join(config, F.col("table") == F.col("table_name"))
-        .select(
-            *S.EVENT_ID, "arrival", "operation", "commit_lsn",
-            F.col("table_name").alias("target"),
-            F.coalesce(F.col("key_id"), key_text.try_cast("int"), F.lit(0)).alias("key"),
-            F.transform_values(listed, lambda _, v: F.try_variant_get(v, "$", "string")).alias("cells"),
-        )
-    )
+def route_by_config(decoded: DataFrame, config: DataFrame) -> dict[str, DataFrame]:
+    """Typed, accepted events of each configured table, by its name."""
+    return {s.name: X.to_table(decoded, s) for s in specs_from_config(config)}
 
 
 # Deduplication -----------------------------------------------------------------------
@@ -161,7 +150,8 @@ def rows_from(net: DataFrame, spec: S.TableSpec) -> DataFrame:
 
 def ledger_rows(applied: DataFrame) -> DataFrame:
     return applied.select(
-        *S.EVENT_ID, "commit_lsn", F.current_timestamp().alias("processed_at")
+        *S.EVENT_ID, "commit_lsn", arrival_position(applied).alias("arrival"),
+        F.current_timestamp().alias("processed_at"),
     )
 
 
@@ -172,7 +162,8 @@ def append_ledger(ledger: DataFrame, applied: DataFrame) -> DataFrame:
 
 def last_applied(applied: DataFrame) -> DataFrame:
     """Per partition the event applied last *by arrival*, which may not be the highest."""
-    last = F.max_by(F.struct("sequence_number", "commit_lsn"), F.col("arrival"))
+    position = arrival_position(applied).alias("position")
+    last = F.max_by(F.struct("sequence_number", "commit_lsn", position), F.col("arrival"))
     return (
         applied.groupBy("partition_id")
         .agg(last.alias("_last"))
@@ -180,6 +171,7 @@ def last_applied(applied: DataFrame) -> DataFrame:
             "partition_id",
             F.col("_last.sequence_number").alias("last_sequence_number"),
             F.col("_last.commit_lsn").alias("last_commit_lsn"),
+            F.col("_last.position").alias("last_arrival"),
             F.current_timestamp().alias("updated_at"),
         )
     )
@@ -193,19 +185,17 @@ def upsert_offsets(offsets: DataFrame, applied: DataFrame) -> DataFrame:
 
 # Batches ------------------------------------------------------------------------------
 
-def assign_batches(events: DataFrame, n: int, position: str = "arrival") -> DataFrame:
-    """Number the batches of ``n`` events per partition, in order; the last may be smaller."""
+def assign_batches(events: DataFrame, n: int, position: str | None = None) -> DataFrame:
+    """Number the batches of ``n`` events per partition, in order; the last may be smaller.
+
+    ``position`` is a BIGINT that sorts like arrival. By default it is the arrival if that is a
+    number; the default arrival of a broker's rows keeps each partition's sequence order.
+    """
+    numeric = isinstance(events.schema["arrival"].dataType, T.LongType)
+    position = position or ("arrival" if numeric else "sequence_number")
     numbered = number_in_order(events, ["partition_id"], ["arrival"], position, "_event")
     return numbered.withColumn("batch", F.ceil(F.col("_event") / n).cast("long")).drop("_event")
 
 
-def rounds(
-    events: DataFrame, partitions: Sequence[int] = (0, 1, 2, 3), position: str = "arrival"
-) -> DataFrame:
-    """Tick in which each event is processed when every partition takes one per tick."""
-    served = events.filter(F.col("partition_id").isin(list(partitions)))
-    return number_in_order(served, ["partition_id"], ["arrival"], position, "tick")
-
-
 def union_all(frames: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames.values())

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, functions as F
 from sluice import schemas as S
 from sluice.functions import variant as V
 from sluice.functions.barrier import computed_once
+from sluice.session import require_settings
 
 # Members read from the live envelope and from the documented one (fixed values).
 _LIVE_DATA = (
@@ -120,13 +121,15 @@ def commit_lsn(places: Sequence[str]) -> str:
 def decode_live(df: DataFrame) -> DataFrame:
     """Decode live envelopes.
 
-    Adds operation, table, key_id (first key part, NULL if absent or 0), commit_lsn, row
-    (VARIANT), has_row and reject_reason to the message columns.
+    Adds operation, schema_name, table, key_id (first key part, NULL if absent or 0),
+    commit_lsn, row (VARIANT), has_row and reject_reason to the message columns.
     """
+    require_settings(df.sparkSession)
     return computed_once(_open_live(df), {
         "operation": f"coalesce({V.text('_env.operation')}, '{S.UNKNOWN_OPERATION}')",
+        "schema_name": f"coalesce({V.text('_data.eventsource.schema')}, '')",
         "table": f"coalesce({V.text('_data.eventsource.tbl')}, '')",
-        "key_id": f"nullif(try_cast({V.text('_key.value')} AS INT), 0)",
+        "key_id": f"nullif(try_cast({V.text('_key.value')} AS BIGINT), 0)",
         "commit_lsn": commit_lsn(_LSN_PLACES),
         "row": "row",
         "has_row": "has_row",
@@ -137,10 +140,11 @@ def decode_live(df: DataFrame) -> DataFrame:
 def decode_documented(df: DataFrame, key_columns: dict[str, str] | None = None) -> DataFrame:
     """Decode the other envelope (long operation names, primaryKey object, before / after).
 
-    Same output as :func:`decode_live`, plus ``schema_name``, ``before`` and ``transaction_id``.
+    Same output as :func:`decode_live`, plus ``before`` and ``transaction_id``.
     ``key_columns`` maps a table to the member of ``primaryKey`` holding its key. A delete
     needs no ``after`` image. All header members are required.
     """
+    require_settings(df.sparkSession)
     key_columns = key_columns or {s.name: s.key for s in (S.ORDERS, S.ORDER_LINES)}
     opened = computed_once(unwrap_json(df, _DOCUMENTED_DATA), {
         "_pk": V.fields("_data.primaryKey", list(key_columns.values())),
@@ -150,12 +154,12 @@ def decode_documented(df: DataFrame, key_columns: dict[str, str] | None = None)
     })
     codes = " ".join(f"WHEN '{long}' THEN '{short}'" for long, short in S.LONG_OPERATIONS.items())
     keys = " ".join(
-        f"WHEN '{table}' THEN {V.integer(f'_pk.`{column}`')}" for table, column in key_columns.items()
+        f"WHEN '{table}' THEN {V.integer(f'_pk.`{column}`', 'BIGINT')}" for table, column in key_columns.items()
     )
     no_after = V.is_absent("_data.after")
     return computed_once(opened, {
         "operation": f"CASE _op {codes} ELSE coalesce(_op, '{S.UNKNOWN_OPERATION}') END",
-        "schema_name": "_schema",
+        "schema_name": "coalesce(_schema, '')",
         "table": "coalesce(_table, '')",
         "key_id": f"nullif(CASE _table {keys} END, 0)",
         "commit_lsn": commit_lsn(["_data.commitLsn"]),
@@ -177,8 +181,8 @@ def decode_documented(df: DataFrame, key_columns: dict[str, str] | None = None)
 def _read(column: S.Column) -> str:
     """First step of typing a cell: all that looks at the JSON value."""
     cell = f"_cells.`{column.name}`"
-    if column.kind == "int":
-        return V.integer(cell)
+    if column.kind in ("int", "bigint"):
+        return V.integer(cell, column.kind)
     if column.kind == "decimal":
         return V.number_text(cell)
     return f"btrim({V.text(cell)})" if column.kind == "date" else V.text(cell)
@@ -198,8 +202,11 @@ def _value(column: S.Column) -> str:
 def _violation(column: S.Column) -> str:
     """The typed value does not go into the target column (or is NULL where required)."""
     rules = [] if column.nullable else [f"{_value(column)} IS NULL"]
-    if column.kind == "text":
-        rules.append(f"coalesce(length({_value(column)}) > {column.size}, false)")
+    if column.kind == "text" and column.size:
+        # Sizes count UTF-16 units; UTF-8 never has fewer bytes, so most values need no encoding.
+        value = _value(column)
+        units = f"octet_length(encode({value}, 'UTF-16BE')) > {2 * column.size}"
+        rules.append(f"coalesce(octet_length({value}) > {column.size} AND {units}, false)")
     elif column.kind == "decimal":
         rules.append(f"NOT {V.decimal_fits(_value(column), column.size, column.scale)}")
     return " OR ".join(rules) or "false"
@@ -218,7 +225,7 @@ def typed_rows(decoded: DataFrame, spec: S.TableSpec, into: str | None = None) -
     target, ``reject_reason`` says so; absent members become NULL, extra members are ignored.
     """
     kept = [c for c in decoded.columns if c not in ("key", "reject_reason")]
-    previous_key = "key" if "key" in decoded.columns else "CAST(NULL AS INT)"
+    previous_key = "key" if "key" in decoded.columns else "CAST(NULL AS BIGINT)"
     mine = f"(table = '{spec.name}')"
     df = computed_once(decoded, {
         "_cells": f"IF({mine}, {V.fields('row', [spec.key, *spec.column_names])}, NULL)",
@@ -227,10 +234,13 @@ def typed_rows(decoded: DataFrame, spec: S.TableSpec, into: str | None = None) -
 
     # The key: first key part of the envelope, else the row's key column, else 0.
     own_key = f"_cells.`{spec.key}`"
-    df = computed_once(df, {"_key_in_row": f"IF(key_id IS NULL, {V.integer(own_key)}, NULL)"})
-    bad_key = f"key_id IS NULL AND _key_in_row IS NULL AND {V.is_bad_text(own_key)}"
+    in_envelope = f"try_cast(key_id AS {spec.key_kind})"
     df = computed_once(df, {
-        "key": f"IF({mine}, coalesce(key_id, _key_in_row, 0), key)",
+        "_key_in_row": f"IF({in_envelope} IS NULL, {V.integer(own_key, spec.key_kind)}, NULL)"
+    })
+    bad_key = f"{in_envelope} IS NULL AND _key_in_row IS NULL AND {V.is_bad_text(own_key)}"
+    df = computed_once(df, {
+        "key": f"IF({mine}, CAST(coalesce({in_envelope}, _key_in_row, 0) AS BIGINT), key)",
         "reject_reason": f"""CASE WHEN reject_reason IS NOT NULL THEN reject_reason
             WHEN {mine} AND has_row AND _cells IS NULL THEN 'row image is no object'
             WHEN {mine} AND {bad_key} THEN 'bad key column' END""",
@@ -244,7 +254,7 @@ def typed_rows(decoded: DataFrame, spec: S.TableSpec, into: str | None = None) -
     if convert:
         df = computed_once(df, convert, [c for c in df.columns if c not in convert and c != "_cells"])
     changes_row = f"operation IN ('{S.INSERT}', '{S.UPDATE}')"
-    violation = " OR ".join(f"({_violation(c)})" for c in spec.columns)
+    violation = " OR ".join(f"({_violation(c)})" for c in spec.columns) or "false"
     image = ", ".join(
         f"try_cast({_value(c)} AS {c.data_type.simpleString()}) AS `{c.name}`" for c in spec.columns
     )
@@ -263,7 +273,7 @@ def to_table(decoded: DataFrame, spec: S.TableSpec) -> DataFrame:
         .filter(F.col("reject_reason").isNull())
         .select(
             *S.EVENT_ID, "arrival", "operation", "commit_lsn",
-            F.col("key").alias(spec.key), f"{spec.name}.*",
+            F.col("key").cast(spec.key_kind).alias(spec.key), f"{spec.name}.*",
         )
     )
 
@@ -281,18 +291,38 @@ def typed_events(decoded: DataFrame, specs: Sequence[S.TableSpec]) -> DataFrame:
 
     One nullable struct column per table holds that table's typed row, so events of all
     tables can share one pass of deduplication. Rejects keep their text in ``value`` and
-    are part of the result if they may belong to a subscribed table.
+    are part of the result unless they are known to belong to another table.
     """
     names = [s.name for s in specs]
-    df = decoded.filter(F.col("table").isin(names) | F.col("reject_reason").isNotNull())
+    unknown = F.col("reject_reason").isNotNull() & (F.col("table") == "")
+    df = decoded.filter(F.col("table").isin(names) | unknown)
     for spec in specs:
         df = typed_rows(df, spec)
     return df.selectExpr(
-        *S.EVENT_ID, "arrival", "operation", "table", "key", "commit_lsn", *names,
+        *S.EVENT_ID, "arrival", "operation", "schema_name", "table", "key", "commit_lsn", *names,
         "reject_reason", "IF(reject_reason IS NOT NULL, value, NULL) AS value",
     )
 
 
+def header_events(decoded: DataFrame, specs: Sequence[S.TableSpec]) -> DataFrame:
+    """Accepted events by their envelope and key alone, for views that need no cell.
+
+    Row images are not typed: an event whose cells do not fit its table is among them.
+    """
+    names = [s.name for s in specs]
+    events = decoded.filter(F.col("table").isin(names) & F.col("reject_reason").isNull())
+    keys = " ".join(
+        f"WHEN '{s.name}' THEN coalesce(try_cast(key_id AS {s.key_kind}), {V.integer(f'_cells.`{s.key}`', s.key_kind)}, 0)"
+        for s in specs
+    )
+    cells = V.fields("row", list(dict.fromkeys(s.key for s in specs)))
+    events = computed_once(events, {"_cells": f"IF(key_id IS NULL, {cells}, NULL)"})
+    return events.selectExpr(
+        *S.EVENT_ID, "arrival", "operation", "schema_name", "table",
+        f"CAST(CASE table {keys} END AS BIGINT) AS key", "commit_lsn",
+    )
+
+
 def accepted(events: DataFrame) -> DataFrame:
     return events.filter(F.col("reject_reason").isNull())
 

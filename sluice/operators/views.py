@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from sluice import schemas as S
+from sluice.functions import variant as R
 from sluice.functions.barrier import computed_once
 from sluice.operators import apply as A, decode as X
 
@@ -16,17 +17,20 @@ DUPLICATE, FROM_STATE = "DUP", "—"
 # State ---------------------------------------------------------------------------------
 
 def ledger_view(ledger: DataFrame) -> DataFrame:
-    """Ledger in processing order."""
-    return ledger.orderBy("processed_at", *S.EVENT_ID)
+    """Ledger in processing order: batch by batch, inside a batch as events arrived."""
+    return ledger.orderBy("processed_at", "arrival", *S.EVENT_ID)
 
 
 def latest_offset(offsets: DataFrame) -> DataFrame:
-    """The offset row updated last."""
-    return offsets.orderBy(F.col("updated_at").desc(), F.col("partition_id")).limit(1)
+    """The offset row updated last: of the latest batch, the one whose event arrived last."""
+    order = ["updated_at", "last_arrival", "partition_id"]
+    return offsets.orderBy(*[F.col(c).desc() for c in order]).limit(1)
 
 
 def offsets_by_partition(offsets: DataFrame) -> DataFrame:
-    return offsets.select("partition_id", "last_sequence_number", "last_commit_lsn", "updated_at")
+    return offsets.select(
+        "partition_id", "last_sequence_number", "last_commit_lsn", "last_arrival", "updated_at"
+    )
 
 
 def count_rows(target: DataFrame) -> DataFrame:
@@ -85,14 +89,22 @@ def apply_counts(classified: DataFrame) -> DataFrame:
     )
 
 
-def recent_log(classified: DataFrame, key: str, n: int = 200) -> DataFrame:
+def key_text(specs: Sequence[S.TableSpec], table: Column, key: Column) -> Column:
+    """``OrderID=7``, by the key column of the event's table."""
+    name = F.lit(None).cast("string")
+    for spec in specs:
+        name = F.when(table == spec.name, F.lit(spec.key)).otherwise(name)
+    return F.concat(name, F.lit("="), key)
+
+
+def recent_log(classified: DataFrame, specs: Sequence[S.TableSpec], n: int = 200) -> DataFrame:
     """The n events processed last, newest first, marked as applied or duplicate."""
+    newest = [F.col(c).desc() for c in ("arrival", "partition_id", "sequence_number")]
     return (
-        classified.orderBy(F.col("arrival").desc())
+        classified.orderBy(*newest)
         .limit(n)
         .select(
-            "arrival", "operation",
-            F.concat(F.lit("OrderID="), F.col(key)).alias("key_text"),
+            "arrival", "operation", key_text(specs, F.col("table"), F.col("key")).alias("key_text"),
             "sequence_number", "applied",
         )
     )
@@ -114,12 +126,17 @@ def loaded_partition_log(ledger: DataFrame) -> DataFrame:
     )
 
 
-def backlog(events: DataFrame, ledger: DataFrame, key: str) -> DataFrame:
-    """Per partition: events waiting, the next one, and how many more follow it."""
-    first = F.min_by(
-        F.struct("sequence_number", "operation", F.col(key).alias("key")), F.col("arrival")
-    )
-    waiting = A.new_events(A.dedup_in_batch(events), ledger)
+def backlog(events: DataFrame, ledger: DataFrame, specs: Sequence[S.TableSpec]) -> DataFrame:
+    """Per partition: usable events waiting, the next one, and how many more follow it.
+
+    With one table the next event is shown by its key, with several by its table.
+    """
+    if len(specs) == 1:
+        what = F.concat(F.lit(" "), key_text(specs, F.col("table"), F.col("key")))
+    else:
+        what = F.concat(F.lit(" on "), F.col("schema_name"), F.lit("."), F.col("table"))
+    first = F.min_by(F.struct("sequence_number", "operation", what.alias("what")), F.col("arrival"))
+    waiting = A.new_events(A.dedup_in_batch(X.accepted(events)), ledger)
     following = F.col("waiting") - 1
     return (
         waiting.groupBy("partition_id")
@@ -128,7 +145,7 @@ def backlog(events: DataFrame, ledger: DataFrame, key: str) -> DataFrame:
             "partition_id", "waiting",
             F.concat(
                 F.lit("seq "), F.col("next.sequence_number"), F.lit(" "),
-                F.col("next.operation"), F.lit(" OrderID="), F.col("next.key"),
+                F.col("next.operation"), F.col("next.what"),
             ).alias("next_event"),
             F.when(following > 0, F.concat(F.lit("+"), following, F.lit(" more")))
             .otherwise("")
@@ -145,15 +162,18 @@ def quarantine(events: DataFrame) -> DataFrame:
     return X.rejects(A.dedup_in_batch(rejected)).withColumn("rejected_at", F.current_timestamp())
 
 
-def latest_errors(errors: DataFrame, time: str, n: int = 10) -> DataFrame:
-    """The n newest rows of an error table."""
-    return errors.orderBy(F.col(time).desc()).limit(n)
+def latest_errors(errors: DataFrame, time: str, unique: Sequence[str], n: int = 10) -> DataFrame:
+    """The n newest rows of an error table; of equal times, those with the highest ``unique``."""
+    return errors.orderBy(*[F.col(c).desc() for c in (time, *unique)]).limit(n)
 
 
 # Skew and metrics ----------------------------------------------------------------------
 
 def key_skew(events: DataFrame, key: str) -> DataFrame:
-    """Keys, events, the hottest key's share, and keys seen in more than one partition."""
+    """Keys, events, the hottest key's share, and keys seen in more than one partition.
+
+    Takes accepted events: a reject has no key and would count as one.
+    """
     per_key = (
         events.groupBy(key, "partition_id")
         .agg(F.count(F.lit(1)).alias("n"))
@@ -248,15 +268,20 @@ def delete_where(target: DataFrame, condition: Column) -> DataFrame:
 
 
 def change_mask(decoded: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Names of the columns that differ between a change's before and after images."""
-    members = ", ".join(f"`{c}`: string" for c in columns)
+    """Names of the columns that differ between a change's before and after images.
+
+    Values are equal if they are of one JSON kind and have the same text; a missing member
+    equals null.
+    """
     images = computed_once(decoded.filter(F.col("reject_reason").isNull()), {
-        "_before": f"try_variant_get(before, '$', 'struct<{members}>')",
-        "_after": f"try_variant_get(row, '$', 'struct<{members}>')",
+        "_before": R.fields("before", columns), "_after": R.fields("row", columns),
     })
-    differs = [
-        F.when(~F.col(f"_before.{c}").eqNullSafe(F.col(f"_after.{c}")), F.lit(c)) for c in columns
-    ]
+
+    def cell(image: str, column: str) -> Column:
+        value = f"{image}.`{column}`"
+        return F.expr(f"struct({R.json_kind(value)} AS kind, try_variant_get({value}, '$', 'string') AS text)")
+
+    differs = [F.when(cell("_before", c) != cell("_after", c), F.lit(c)) for c in columns]
     return images.select(
         *S.EVENT_ID, "arrival", "operation", "key_id",
         F.array_compact(F.array(*differs)).alias("changed"),

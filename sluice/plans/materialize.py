@@ -36,7 +36,7 @@ def table_events(events: DataFrame, spec: S.TableSpec) -> DataFrame:
     """Events of one table with its columns laid flat."""
     return A.only_table(events, spec.name).select(
         *S.EVENT_ID, "arrival", "operation", "commit_lsn",
-        F.col("key").alias(spec.key), f"{spec.name}.*",
+        F.col("key").cast(spec.key_kind).alias(spec.key), f"{spec.name}.*",
     )
 
 

@@ -5,15 +5,17 @@ None of these decode anything: they state what the derived feeds must come to.
 
 from __future__ import annotations
 
-from sluice.sources.derived import LINE_SEQUENCE, REPLAY_ARRIVAL
+from sluice.sources.derived import LATE, REPLAYED
 
 
-def _event_columns(key: str, base: int) -> str:
+def _event_columns(key: str, table: int, partition: str) -> str:
+    sequence = f"(({key} * 3 + CASE WHEN k = 3 THEN 0 ELSE k END) * 2 + {table})"
     return f"""
-    {base} + {key} * 3 + CASE WHEN k = 3 THEN 0 ELSE k END AS sequence_number,
-    CASE WHEN k = 3 THEN {REPLAY_ARRIVAL + base} + {key} ELSE {base} + {key} * 3 + k END AS arrival,
+    CAST(({partition} + CASE WHEN k = 1 AND {key} % 33 = 0 THEN 1 ELSE 0 END) % 4 AS INTEGER) AS partition_id,
+    {sequence} AS sequence_number,
+    {sequence} + CASE WHEN k = 3 THEN {REPLAYED} WHEN k = 1 AND {key} % 33 = 0 THEN {LATE} ELSE 0 END AS arrival,
     CASE k WHEN 1 THEN 'UPD' WHEN 2 THEN 'DEL' ELSE 'INS' END AS operation,
-    'L' || CAST({base} + {key} * 3 + CASE WHEN k = 3 THEN 0 ELSE k END AS VARCHAR) AS commit_lsn"""
+    'L' || CAST({sequence} AS VARCHAR) AS commit_lsn"""
 
 
 def _ks(key: str) -> str:
@@ -24,29 +26,30 @@ def _ks(key: str) -> str:
 
 # Order changes as rows: ev (all deliveries) and firsts (without replays).
 ORDERS_CTE = f"""ok AS (SELECT *, {_ks('o_orderkey')} FROM orders),
-ev AS (SELECT CAST(o_orderkey % 4 AS INTEGER) AS partition_id, {_event_columns('o_orderkey', 0)},
-    k, CAST(o_orderkey AS INTEGER) AS key,
-    CAST(NULL AS VARCHAR) AS CustomerFirstName, CAST(NULL AS VARCHAR) AS CustomerLastName,
+ev AS (SELECT {_event_columns('o_orderkey', 0, 'o_orderkey')},
+    k, o_orderkey AS key,
+    CASE WHEN k <> 2 AND o_orderkey % 4 <> 0 THEN 'First ' || o_orderkey END AS CustomerFirstName,
+    CASE WHEN k <> 2 THEN 'Last ' || o_orderkey END AS CustomerLastName,
     CASE WHEN k <> 2 THEN o_orderstatus END AS Company,
     CASE WHEN k <> 2 THEN CAST(o_orderdate AS DATE) END AS SalesDate,
     CASE WHEN k <> 2 THEN CAST(o_orderdate AS DATE) + 75 END AS EstimatedShipDate,
     CASE WHEN k <> 2 THEN CAST(o_custkey AS INTEGER) END AS ShippingID,
     CAST(NULL AS VARCHAR) AS ShippingLocation,
-    CASE WHEN k <> 2 THEN o_orderpriority END AS Product,
+    CASE WHEN k <> 2 AND o_orderkey % 9 <> 0 THEN o_orderpriority END AS Product,
     CAST(CASE k WHEN 2 THEN NULL WHEN 1 THEN 2 ELSE 1 END AS INTEGER) AS Quantity,
     CASE WHEN k <> 2 THEN CAST(o_totalprice AS DECIMAL(10,2)) END AS Price
   FROM ok),
 firsts AS (SELECT * FROM ev WHERE k <> 3)"""
 
 LINES_CTE = f"""lines AS (SELECT l_orderkey, l_orderkey * 8 + l_linenumber AS line, min(l_partkey) AS product,
-    CAST(min(l_quantity) AS INTEGER) AS quantity, CAST(min(l_extendedprice) AS DECIMAL(18,2)) AS price
+    CAST(sum(l_quantity) AS BIGINT) AS quantity, CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS price
   FROM lineitem GROUP BY l_orderkey, l_linenumber),
 lk AS (SELECT *, {_ks('line')} FROM lines),
-lev AS (SELECT CAST(l_orderkey % 4 AS INTEGER) AS partition_id, {_event_columns('line', LINE_SEQUENCE)},
-    k, CAST(line AS INTEGER) AS key,
-    CASE WHEN k <> 2 THEN CAST(l_orderkey AS INTEGER) END AS OrderID,
-    CASE WHEN k <> 2 THEN CAST(product AS INTEGER) END AS ProductID,
-    CASE WHEN k <> 2 THEN CAST(quantity + CASE WHEN k = 1 THEN 1 ELSE 0 END AS INTEGER) END AS Quantity,
+lev AS (SELECT {_event_columns('line', 1, 'l_orderkey')},
+    k, line AS key,
+    CASE WHEN k <> 2 THEN l_orderkey END AS OrderID,
+    CASE WHEN k <> 2 THEN product END AS ProductID,
+    CASE WHEN k <> 2 THEN quantity + CASE WHEN k = 1 THEN 1 ELSE 0 END END AS Quantity,
     CASE WHEN k <> 2 THEN price END AS UnitPrice
   FROM lk),
 lfirsts AS (SELECT * FROM lev WHERE k <> 3)"""
@@ -60,25 +63,29 @@ ORDER_COLUMNS = (
 LINE_COLUMNS = "OrderID, ProductID, Quantity, UnitPrice"
 EVENT = "partition_id, sequence_number, arrival"
 
-# The middle of the Orders feed: everything below is "before", replays are "after".
-MIDDLE = "(SELECT max(o_orderkey) // 2 * 3 FROM orders)"
+# Keys whose row is there in the end: not deleted, or updated after the deletion.
+REMAINS = "({0} % 7 <> 0 OR {0} % 33 = 0)"
 
+# The middle of the Orders feed: everything below is "before", late events and replays are "after".
+MIDDLE = "(SELECT max(o_orderkey) // 2 * 6 FROM orders)"
 
-def target(condition: str = "TRUE", having: str = "o_orderkey % 7 <> 0") -> str:
+
+def target(condition: str = "TRUE") -> str:
     """Final Orders rows in closed form."""
-    return f"""SELECT CAST(o_orderkey AS INTEGER) AS OrderID, CAST(NULL AS VARCHAR) AS CustomerFirstName,
-    CAST(NULL AS VARCHAR) AS CustomerLastName, o_orderstatus AS Company, CAST(o_orderdate AS DATE) AS SalesDate,
+    return f"""SELECT o_orderkey AS OrderID,
+    CASE WHEN o_orderkey % 4 <> 0 THEN 'First ' || o_orderkey END AS CustomerFirstName,
+    'Last ' || o_orderkey AS CustomerLastName, o_orderstatus AS Company, CAST(o_orderdate AS DATE) AS SalesDate,
     CAST(o_orderdate AS DATE) + 75 AS EstimatedShipDate, CAST(o_custkey AS INTEGER) AS ShippingID,
-    CAST(NULL AS VARCHAR) AS ShippingLocation, o_orderpriority AS Product,
+    CAST(NULL AS VARCHAR) AS ShippingLocation,
+    CASE WHEN o_orderkey % 9 <> 0 THEN o_orderpriority END AS Product,
     CAST(CASE WHEN o_orderkey % 3 = 0 THEN 2 ELSE 1 END AS INTEGER) AS Quantity,
     CAST(o_totalprice AS DECIMAL(10,2)) AS Price
-  FROM orders WHERE {having} AND {condition}"""
+  FROM orders WHERE {REMAINS.format('o_orderkey')} AND {condition}"""
 
 
-LINES_TARGET = f"""SELECT CAST(line AS INTEGER) AS OrderLineID, CAST(l_orderkey AS INTEGER) AS OrderID,
-    CAST(product AS INTEGER) AS ProductID,
-    CAST(quantity + CASE WHEN line % 3 = 0 THEN 1 ELSE 0 END AS INTEGER) AS Quantity, price AS UnitPrice
-  FROM lines WHERE line % 7 <> 0"""
+LINES_TARGET = f"""SELECT line AS OrderLineID, l_orderkey AS OrderID, product AS ProductID,
+    quantity + CASE WHEN line % 3 = 0 THEN 1 ELSE 0 END AS Quantity, price AS UnitPrice
+  FROM lines WHERE {REMAINS.format('line')}"""
 
 # Irregular messages: what the key's remainders come to.
 _SHAPES = """shapes AS (SELECT o_orderkey AS key, o_orderkey % 23 AS c, o_orderkey % 17 = 16 AS other_table,
@@ -99,7 +106,8 @@ reasons AS (SELECT *, CASE
 typed AS (SELECT *, coalesce(unreadable, CASE WHEN other_table THEN NULL
     WHEN c = 13 THEN 'row image is no object' WHEN c = 14 THEN 'bad key column' END) AS reject_reason
   FROM reasons),
-good AS (SELECT *, CAST(coalesce(envelope_key, row_key, 0) AS INTEGER) AS OrderID
+mine AS (SELECT * FROM typed WHERE reject_reason IS NULL OR NOT (other_table AND c IN (3, 4, 6, 9, 10))),
+good AS (SELECT *, coalesce(envelope_key, row_key, 0) AS OrderID
   FROM typed WHERE reject_reason IS NULL AND NOT other_table)"""
 WITH_SHAPES = f"WITH {_SHAPES} "
 
@@ -109,8 +117,8 @@ def oracle_sql() -> dict[str, str]:
     key_text = "'OrderID=' || CAST(key AS VARCHAR)"
     ledger_before = f"(SELECT partition_id, sequence_number FROM firsts WHERE {half})"
     unseen = f"(partition_id, sequence_number) NOT IN {ledger_before}"
-    offsets = """SELECT partition_id, max(sequence_number) AS last_sequence_number,
-        'L' || CAST(max(sequence_number) AS VARCHAR) AS last_commit_lsn FROM {} GROUP BY partition_id"""
+    offsets = """SELECT partition_id, arg_max(sequence_number, arrival) AS last_sequence_number,
+        arg_max(commit_lsn, arrival) AS last_commit_lsn, max(arrival) AS last_arrival FROM {} GROUP BY partition_id"""
     both = """SELECT partition_id, sequence_number, arrival, operation, commit_lsn, 'Orders' AS tbl, key, k FROM ev
         UNION ALL SELECT partition_id, sequence_number, arrival, operation, commit_lsn, 'OrderLines', key, k FROM lev"""
     money = "CAST(CAST({} AS DECIMAL(38,2)) AS VARCHAR)"
@@ -139,17 +147,17 @@ def oracle_sql() -> dict[str, str]:
         "s8_reset_state": target(),
         "s9_commit_state": f"""{WITH_BOTH}, a AS ({both}) SELECT 'ledger' AS part, count(*) AS n FROM a WHERE k <> 3
             UNION ALL SELECT 'offsets', count(DISTINCT partition_id) FROM a
-            UNION ALL SELECT 'Orders', (SELECT count(*) FROM orders WHERE o_orderkey % 7 <> 0)
-            UNION ALL SELECT 'OrderLines', (SELECT count(*) FROM lines WHERE line % 7 <> 0)""",
+            UNION ALL SELECT 'Orders', (SELECT count(*) FROM orders WHERE {REMAINS.format('o_orderkey')})
+            UNION ALL SELECT 'OrderLines', (SELECT count(*) FROM lines WHERE {REMAINS.format('line')})""",
         "s10_assign_partition": """SELECT count(*) AS keys, count(*) AS key_partition_pairs, TRUE AS in_range
             FROM (SELECT DISTINCT o_custkey FROM orders)""",
         "s11_select_published_columns": """SELECT o_orderkey AS key, CAST(json_object('o_orderkey', o_orderkey,
             'o_orderstatus', o_orderstatus, 'o_orderpriority', o_orderpriority) AS VARCHAR) AS value FROM orders""",
         # Decode
-        "d1_decode_live": f"""{WITH_BOTH}, a AS ({both}) SELECT {EVENT}, operation, tbl AS "table", nullif(key, 0) AS key_id, commit_lsn,
+        "d1_decode_live": f"""{WITH_BOTH}, a AS ({both}) SELECT {EVENT}, operation, 'dbo' AS schema_name, tbl AS "table", nullif(key, 0) AS key_id, commit_lsn,
             operation <> 'DEL' AS has_row, CAST(NULL AS VARCHAR) AS reject_reason FROM a""",
         "d1_decode_irregular": f"""{WITH_SHAPES} SELECT {EVENT}, operation, CASE WHEN other_table THEN 'orders' ELSE 'Orders' END AS "table",
-            CAST(envelope_key AS INTEGER) AS key_id, commit_lsn FROM typed WHERE unreadable IS NULL""",
+            envelope_key AS key_id, commit_lsn FROM typed WHERE unreadable IS NULL""",
         "d2_unwrap_json": f"{WITH_ORDERS} SELECT {EVENT}, key, Product, Company FROM ev",
         "d3_row_image": f"{WITH_ORDERS} SELECT {EVENT}, operation <> 'DEL' AS has_row, operation <> 'DEL' AS has_image FROM ev",
         "d4_primary_key": f"{WITH_SHAPES} SELECT {EVENT}, OrderID FROM good",
@@ -167,51 +175,55 @@ def oracle_sql() -> dict[str, str]:
         "d9_rejects": f"""{WITH_SHAPES} SELECT partition_id, sequence_number, unreadable AS reject_reason
             FROM reasons WHERE unreadable IS NOT NULL""",
         "d10_bad_key_rejects": f"""{WITH_SHAPES} SELECT partition_id, sequence_number, reject_reason
-            FROM typed WHERE unreadable IS NULL AND reject_reason IS NOT NULL""",
+            FROM mine WHERE unreadable IS NULL AND reject_reason IS NOT NULL""",
         "d11_feed_view": f"""{WITH_BOTH}, a AS ({both}) SELECT {EVENT}, operation, 'Shop' AS "database", 'dbo' AS "schema", tbl AS "table",
-            'dbo.' || tbl AS table_full_name, 'ID: ' || CAST(key AS VARCHAR) AS primary_key, '' AS customer_name FROM a""",
+            'dbo.' || tbl AS table_full_name, 'ID: ' || CAST(key AS VARCHAR) AS primary_key,
+            CASE WHEN tbl = 'Orders' AND operation <> 'DEL' THEN CASE WHEN key % 4 <> 0 THEN 'First ' || key || ' ' ELSE '' END || 'Last ' || key
+              ELSE '' END AS customer_name FROM a""",
         # Apply
         "a1_only_table": f"{WITH_BOTH}, a AS ({both}) SELECT {EVENT}, key FROM a WHERE tbl = 'OrderLines'",
         "a2_subscribe": f'{WITH_BOTH}, a AS ({both}) SELECT {EVENT}, tbl AS "table", key FROM a',
         "a3_route": f"{WITH_BOTH}, a AS ({both}) SELECT tbl AS target, {EVENT}, key FROM a",
+        "a3_route_by_schema": f"{WITH_ORDERS} SELECT 'Orders' AS target, 'dbo' AS schema_name, {EVENT}, key FROM ev",
         "a4_route_by_config": f"""{WITH_BOTH} SELECT 'Orders' AS target, {EVENT}, key, CASE WHEN operation <> 'DEL' THEN Product END AS first_cell FROM ev
             UNION ALL SELECT 'OrderLines', {EVENT}, key, CAST(ProductID AS VARCHAR) FROM lev""",
         "a5_dedup_in_batch": f"{WITH_ORDERS} SELECT {EVENT}, operation FROM firsts",
         "a6_new_events": f"{WITH_ORDERS} SELECT {EVENT}, operation FROM ev WHERE {unseen}",
         "a7_classify": f"{WITH_ORDERS} SELECT {EVENT}, operation, k <> 3 AND NOT {half} AS applied FROM ev",
         "a8_last_change_per_key": f"""{WITH_ORDERS} SELECT key AS OrderID, arg_max(operation, arrival) AS operation,
-            max(sequence_number) AS sequence_number FROM firsts GROUP BY key""",
+            arg_max(sequence_number, arrival) AS sequence_number FROM firsts GROUP BY key""",
         "a9_merge_orders": target(),
         "a10_merge_order_lines": f"WITH {LINES_CTE} {LINES_TARGET}",
         "a11_unknown_operation": f"""{WITH_ORDERS}, o AS (SELECT *, key % 13 = 0 AS odd FROM firsts)
             SELECT 'ledger rows' AS what, count(*) AS n FROM o
             UNION ALL SELECT 'target rows', count(*) FROM (SELECT key FROM o WHERE NOT odd GROUP BY key HAVING arg_max(operation, arrival) <> 'DEL')""",
-        "a12_append_ledger": f"{WITH_ORDERS} SELECT partition_id, sequence_number, commit_lsn FROM firsts",
+        "a12_append_ledger": f"{WITH_ORDERS} SELECT {EVENT}, commit_lsn FROM firsts",
         "a13_upsert_offsets": f"{WITH_ORDERS} {offsets.format('firsts')}",
-        "a14_apply_event_at_a_time": f"""{WITH_ORDERS} SELECT {EVENT}, k <> 3 AS applied FROM ev""",
         "a15_apply_batch": target(),
-        "a16_apply_multi_table": f"""{WITH_BOTH}, a AS ({both}) {offsets.format('(SELECT * FROM a WHERE k <> 3)')}""",
+        "a16_apply_multi_table": f"""{WITH_BOTH}, a AS ({both}) {offsets.format("(SELECT * FROM a WHERE k <> 3 AND tbl = 'OrderLines')")}""",
         "a16_multi_table_lines": f"WITH {LINES_CTE} {LINES_TARGET}",
-        "a17_apply_partitions": f"""{WITH_ORDERS} SELECT partition_id, count(*) AS applied, max(sequence_number) AS last_sequence_number
+        "a17_apply_partitions": f"""{WITH_ORDERS} SELECT partition_id, count(*) AS applied, arg_max(sequence_number, arrival) AS last_sequence_number
             FROM firsts GROUP BY partition_id""",
         "a18_assign_batches": f"""{WITH_ORDERS} SELECT {EVENT}, CAST(ceil(row_number() OVER (PARTITION BY partition_id ORDER BY arrival) / 100.0) AS BIGINT) AS batch FROM ev""",
+        "a18_assign_broker_batches": """SELECT CAST(event_id % 4 AS INTEGER) AS partition_id, event_id AS sequence_number,
+            CAST(ceil(row_number() OVER (PARTITION BY event_id % 4 ORDER BY event_id) / 100.0) AS BIGINT) AS batch FROM events""",
         "a19_replay": target(),
         "a20_abort_batch": f"""{WITH_ORDERS}, b AS (SELECT * FROM firsts WHERE {half}),
             net AS (SELECT key, arg_max(operation, arrival) AS op, arg_max(Quantity, arrival) AS Quantity FROM b GROUP BY key)
             SELECT key AS OrderID, Quantity FROM net WHERE op <> 'DEL'""",
         "a21_materialize": target(),
         # Views
-        "v1_ledger_view": f"{WITH_ORDERS} SELECT partition_id, sequence_number, commit_lsn FROM firsts",
-        "v2_latest_offset": f"""{WITH_ORDERS} SELECT partition_id, sequence_number AS last_sequence_number, commit_lsn AS last_commit_lsn
-            FROM firsts ORDER BY arrival DESC LIMIT 1""",
+        "v1_ledger_view": f"{WITH_ORDERS} SELECT {EVENT}, commit_lsn FROM firsts",
+        "v2_latest_offset": f"""{WITH_ORDERS} SELECT partition_id, sequence_number AS last_sequence_number, commit_lsn AS last_commit_lsn,
+            arrival AS last_arrival FROM firsts ORDER BY arrival DESC LIMIT 1""",
         "v3_offsets_by_partition": f"{WITH_ORDERS} {offsets.format('firsts')}",
-        "v4_count_rows": 'SELECT count(*) AS "rows" FROM orders WHERE o_orderkey % 7 <> 0',
-        "v5_top_orders": f"""WITH t AS ({target()}) SELECT OrderID, 'OrderID=' || CAST(OrderID AS VARCHAR) || ' · ' || Product || ' · Qty '
+        "v4_count_rows": f"""SELECT count(*) AS "rows" FROM orders WHERE {REMAINS.format('o_orderkey')}""",
+        "v5_top_orders": f"""WITH t AS ({target()}) SELECT OrderID, 'OrderID=' || CAST(OrderID AS VARCHAR) || ' · ' || coalesce(Product, '?') || ' · Qty '
             || CAST(Quantity AS VARCHAR) || ' · ' || {money.format('Price')} AS line FROM t ORDER BY OrderID DESC LIMIT 50""",
         "v6_top_order_lines": f"""WITH {LINES_CTE}, t AS ({LINES_TARGET}) SELECT OrderLineID, 'OrderLineID=' || CAST(OrderLineID AS VARCHAR) || ' · OrderID='
             || CAST(OrderID AS VARCHAR) || ' · ProductID=' || CAST(ProductID AS VARCHAR) || ' · ' || CAST(Quantity AS VARCHAR) || ' × '
             || {money.format('UnitPrice')} || ' = ' || {money.format('Quantity * UnitPrice')} AS line FROM t ORDER BY OrderLineID DESC LIMIT 50""",
-        "v6_line_totals": f"WITH {LINES_CTE}, t AS ({LINES_TARGET}) SELECT OrderLineID, CAST(Quantity * UnitPrice AS DECIMAL(29,2)) AS LineTotal FROM t",
+        "v6_line_totals": f"WITH {LINES_CTE}, t AS ({LINES_TARGET}) SELECT OrderLineID, CAST(Quantity * UnitPrice AS DECIMAL(38,2)) AS LineTotal FROM t",
         "v7_apply_counts": f"""{WITH_ORDERS}, l AS (SELECT * FROM firsts ORDER BY arrival DESC LIMIT 1)
             SELECT (SELECT count(*) FROM firsts) AS applied, (SELECT count(*) FROM ev WHERE k = 3) AS duplicates,
               sequence_number AS last_sequence_number, commit_lsn AS last_commit_lsn FROM l""",
@@ -219,14 +231,23 @@ def oracle_sql() -> dict[str, str]:
         "v9_partition_log": f"{WITH_ORDERS} SELECT partition_id, arrival, sequence_number, CASE WHEN k = 3 THEN 'DUP' ELSE operation END AS op, commit_lsn FROM ev",
         "v9_loaded_partition_log": f"{WITH_ORDERS} SELECT partition_id, sequence_number, '—' AS op, commit_lsn FROM firsts",
         "v10_backlog": f"""{WITH_ORDERS}, w AS (SELECT * FROM firsts WHERE NOT {half})
-            SELECT partition_id, count(*) AS waiting, 'seq ' || CAST(min(sequence_number) AS VARCHAR) || ' ' || arg_min(operation, arrival)
+            SELECT partition_id, count(*) AS waiting, 'seq ' || CAST(arg_min(sequence_number, arrival) AS VARCHAR) || ' ' || arg_min(operation, arrival)
               || ' OrderID=' || CAST(arg_min(key, arrival) AS VARCHAR) AS next_event,
               CASE WHEN count(*) > 1 THEN '+' || CAST(count(*) - 1 AS VARCHAR) || ' more' ELSE '' END AS more
             FROM w GROUP BY partition_id""",
-        "v11_quarantine": f"{WITH_SHAPES} SELECT partition_id, sequence_number, reject_reason FROM typed WHERE reject_reason IS NOT NULL",
-        "v12_key_skew": f"""{WITH_ORDERS}, g AS (SELECT key, count(*) AS n FROM ev GROUP BY key)
+        "v10_backlog_irregular": f"""{WITH_SHAPES}, w AS (SELECT * FROM good WHERE sequence_number % 2 <> 0)
+            SELECT partition_id, count(*) AS waiting, 'seq ' || min(sequence_number) || ' ' || arg_min(operation, sequence_number)
+              || ' on .Orders' AS next_event,
+              CASE WHEN count(*) > 1 THEN '+' || (count(*) - 1) || ' more' ELSE '' END AS more
+            FROM w GROUP BY partition_id""",
+        "v11_quarantine": f"{WITH_SHAPES} SELECT partition_id, sequence_number, reject_reason FROM mine WHERE reject_reason IS NOT NULL",
+        "v12_key_skew": f"""{WITH_ORDERS}, g AS (SELECT key, count(*) AS n, count(DISTINCT partition_id) AS p FROM ev GROUP BY key)
+            SELECT count(*) AS keys, CAST(sum(n) AS BIGINT) AS events, max(n) AS hottest_key_events,
+              CAST(max(n) AS DOUBLE) / sum(n) AS hottest_key_share, count(*) FILTER (WHERE p > 1) AS keys_in_many_partitions,
+              count(*) FILTER (WHERE key = 0) AS absent_keys FROM g""",
+        "v12_key_skew_irregular": f"""{WITH_SHAPES}, g AS (SELECT OrderID AS key, count(*) AS n, count(DISTINCT partition_id) AS p FROM good GROUP BY OrderID)
             SELECT count(*) AS keys, CAST(sum(n) AS BIGINT) AS events, max(n) AS hottest_key_events,
-              CAST(max(n) AS DOUBLE) / sum(n) AS hottest_key_share, CAST(0 AS BIGINT) AS keys_in_many_partitions,
+              CAST(max(n) AS DOUBLE) / sum(n) AS hottest_key_share, count(*) FILTER (WHERE p > 1) AS keys_in_many_partitions,
               count(*) FILTER (WHERE key = 0) AS absent_keys FROM g""",
         "v12_events_per_user": "SELECT user_id, count(*) AS events FROM events GROUP BY user_id",
         "v12_partition_skew": f"""{WITH_ORDERS} SELECT partition_id, count(*) AS events,
@@ -237,20 +258,18 @@ def oracle_sql() -> dict[str, str]:
             count(*) - count(DISTINCT sequence_number) AS repeats FROM ev GROUP BY partition_id""",
         "v13_ledger_growth": f"""{WITH_ORDERS} SELECT partition_id, count(*) AS ledger_rows, min(sequence_number) AS first_sequence,
             max(sequence_number) AS last_sequence FROM firsts GROUP BY partition_id""",
-        "v14_rounds": f"""{WITH_ORDERS} SELECT {EVENT}, row_number() OVER (PARTITION BY partition_id ORDER BY arrival) AS tick
-            FROM ev WHERE partition_id IN (0, 1, 2, 3)""",
         "v15_feed_count": f"{WITH_BOTH}, a AS ({both}) SELECT count(*) AS events FROM a",
         "v15_feed_newest_first": f"{WITH_ORDERS} SELECT {EVENT}, operation, 'ID: ' || CAST(key AS VARCHAR) AS primary_key FROM ev",
-        "v16_latest_errors": """SELECT event_id, event_type, "value", ts FROM events WHERE event_type = 'error' ORDER BY ts DESC LIMIT 10""",
-        "v16_latest_quarantine": f"""{WITH_SHAPES} SELECT partition_id, sequence_number, reject_reason FROM typed
+        "v16_latest_errors": """SELECT event_id, event_type, "value", ts FROM events WHERE event_type = 'error' ORDER BY ts DESC, event_id DESC LIMIT 10""",
+        "v16_latest_quarantine": f"""{WITH_SHAPES} SELECT partition_id, sequence_number, reject_reason FROM mine
             WHERE reject_reason IS NOT NULL ORDER BY sequence_number DESC LIMIT 10""",
         "v17_ship_date": "SELECT o_orderkey, CAST(o_orderdate AS DATE) + 75 AS ship_date FROM orders",
-        "v18_next_key": "SELECT CAST(coalesce(max(o_orderkey), 0) + 1 AS INTEGER) AS next_key FROM orders WHERE o_orderkey % 7 <> 0",
+        "v18_next_key": f"SELECT coalesce(max(o_orderkey), 0) + 1 AS next_key FROM orders WHERE {REMAINS.format('o_orderkey')}",
         "v19_update_latest": f"""WITH t AS ({target()}) SELECT OrderID, CAST(CASE WHEN OrderID = (SELECT max(OrderID) FROM t) THEN 7 ELSE Quantity END AS INTEGER) AS Quantity,
             CAST(CASE WHEN OrderID = (SELECT max(OrderID) FROM t) THEN 22.00 ELSE Price END AS DECIMAL(10,2)) AS Price FROM t""",
         "v19_delete_where": target("o_orderstatus <> 'F'"),
         "v20_change_mask": f"""{WITH_ORDERS} SELECT {EVENT}, operation,
-            CASE operation WHEN 'INS' THEN 'Company,SalesDate,Product,Quantity,Price' WHEN 'UPD' THEN 'Quantity'
+            CASE WHEN operation = 'UPD' THEN 'Quantity' WHEN key % 9 = 0 THEN 'Company,SalesDate,Quantity,Price'
               ELSE 'Company,SalesDate,Product,Quantity,Price' END AS changed FROM ev""",
     }
     return sql

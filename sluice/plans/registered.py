@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import replace
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sluice import schemas as S
 from sluice.operators import apply as A, decode as X, views as V
@@ -14,65 +15,67 @@ from sluice.sources import changes as C, derived as D
 from sluice.streaming.consumer import BatchResult, Consumer, apply_batch, fan_out, start_consumer
 from sluice.streaming.state import State
 
-BOTH = (S.ORDERS, S.ORDER_LINES)
+ORDERS, ORDER_LINES = D.ORDERS, D.ORDER_LINES
+BOTH = (ORDERS, ORDER_LINES)
 EVENT = [*S.EVENT_ID, "arrival"]
 MASKED = ["Company", "SalesDate", "Product", "Quantity", "Price"]
 
 
 # Pieces ----------------------------------------------------------------------------------
 
-def _middle(spark: SparkSession, sf_dir: str) -> Column:
-    """Arrival that cuts the Orders feed in two."""
-    last = D.read_table(spark, sf_dir, "orders").agg(F.max("o_orderkey").alias("k"))
-    return last.select((F.floor(F.col("k") / 2) * 3).alias("middle")).scalar()
-
-
 def _before(spark: SparkSession, sf_dir: str) -> Outcome:
     """What applying the first half of the Orders feed leaves behind."""
-    feed = D.orders_feed(spark, sf_dir)
-    return materialize(feed.filter(F.col("arrival") < _middle(spark, sf_dir)))
+    return materialize(D.orders_feed(spark, sf_dir).filter(D.first_half(spark, sf_dir)), [ORDERS])
+
 
+def _feed(spark: SparkSession, sf_dir: str, specs: Sequence[S.TableSpec]) -> DataFrame:
+    return (D.two_table_feed if len(specs) > 1 else D.orders_feed)(spark, sf_dir)
 
-def _events(spark: SparkSession, sf_dir: str, specs: Sequence[S.TableSpec] = (S.ORDERS,)) -> DataFrame:
-    feed = D.two_table_feed if len(specs) > 1 else D.orders_feed
-    return decode(feed(spark, sf_dir), specs)
 
+def _events(spark: SparkSession, sf_dir: str, specs: Sequence[S.TableSpec] = (ORDERS,)) -> DataFrame:
+    return decode(_feed(spark, sf_dir, specs), specs)
 
-def _staged_events(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
-    """Decoded order events, or some of their columns, for plans that use them twice."""
-    events = X.accepted(_events(spark, sf_dir))
-    return staged(events.select(*columns) if columns else events, "events")
+
+def _headers(spark: SparkSession, sf_dir: str, specs: Sequence[S.TableSpec] = (ORDERS,)) -> DataFrame:
+    """Events without their cells."""
+    return X.header_events(X.decode_live(_feed(spark, sf_dir, specs)), specs)
+
+
+def _staged_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For plans that use the events twice: they are decoded once."""
+    return staged(_headers(spark, sf_dir), "events")
 
 
 def _irregular(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decode(D.irregular_feed(spark, sf_dir))
+    return decode(D.irregular_feed(spark, sf_dir), [ORDERS])
+
+
+def _all_applied(spark: SparkSession, sf_dir: str) -> Outcome:
+    return materialize(D.orders_feed(spark, sf_dir), [ORDERS])
 
 
 def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return materialize(D.orders_feed(spark, sf_dir)).targets["Orders"]
+    return _all_applied(spark, sf_dir).targets["Orders"]
 
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return materialize(D.lines_feed(spark, sf_dir), [S.ORDER_LINES]).targets["OrderLines"]
+    return materialize(D.lines_feed(spark, sf_dir), [ORDER_LINES]).targets["OrderLines"]
 
 
-def _state(spark: SparkSession, specs: Sequence[S.TableSpec] = (S.ORDERS,)) -> State:
+def _state(spark: SparkSession, specs: Sequence[S.TableSpec] = (ORDERS,)) -> State:
     return State(spark, new_folder(spark, "state"), specs)
 
 
-def _waves(spark: SparkSession, sf_dir: str, feed: DataFrame) -> list[DataFrame]:
-    """The feed in arrival order, cut into a first half, the rest, line changes and replays."""
-    arrival, middle = F.col("arrival"), _middle(spark, sf_dir)
-    return [
-        feed.filter(arrival < middle),
-        feed.filter((arrival >= middle) & (arrival < D.LINE_SEQUENCE)),
-        feed.filter((arrival >= D.LINE_SEQUENCE) & (arrival < D.REPLAY_ARRIVAL)),
-        feed.filter(arrival >= D.REPLAY_ARRIVAL),
-    ]
+def _committed(spark: SparkSession, sf_dir: str) -> State:
+    """State after two committed batches of the Orders feed and a replay of both."""
+    state = _state(spark)
+    for wave in D.waves(spark, sf_dir):
+        apply_batch(state, wave)
+    return state
 
 
 def _stream(
-    spark: SparkSession, waves: Sequence[DataFrame], specs: Sequence[S.TableSpec] = (S.ORDERS,)
+    spark: SparkSession, waves: Sequence[DataFrame], specs: Sequence[S.TableSpec] = (ORDERS,)
 ) -> tuple[State, C.Source, list[int]]:
     """Publish waves of messages as files and consume each as it appears.
 
@@ -105,8 +108,7 @@ def s1_broker_arrival(spark, sf_dir):
 
 
 def s2_resume(spark, sf_dir):
-    first, rest, _, replays = _waves(spark, sf_dir, D.orders_feed(spark, sf_dir))
-    _, _, applied = _stream(spark, [first, rest, replays])
+    _, _, applied = _stream(spark, D.waves(spark, sf_dir))
     return spark.createDataFrame(list(enumerate(applied, 1)), "run int, applied bigint")
 
 
@@ -128,7 +130,7 @@ def s6_fan_out(spark, sf_dir):
     D.orders_feed(spark, sf_dir).write.parquet(source.path)
     late = {p: 600 for p in range(D.PARTITIONS)}
     consumers = [
-        Consumer(name, new_folder(spark, "state"), new_folder(spark, "checkpoint"), positions=start)
+        Consumer(name, new_folder(spark, "state"), new_folder(spark, "checkpoint"), (ORDERS,), positions=start)
         for name, start in (("A", {}), ("B", late))
     ]
     for query in fan_out(spark, source, consumers, available_now=True):
@@ -137,7 +139,7 @@ def s6_fan_out(spark, sf_dir):
     counts = [
         c.state(spark).ledger().agg(rows.alias("ledger_rows")).select(
             F.lit(c.name).alias("consumer"), "ledger_rows",
-            c.state(spark).target(S.ORDERS).agg(rows).scalar().alias("target_rows"),
+            c.state(spark).target(ORDERS).agg(rows).scalar().alias("target_rows"),
         )
         for c in consumers
     ]
@@ -156,7 +158,7 @@ def s8_reset_state(spark, sf_dir):
     apply_batch(state, D.orders_feed(spark, sf_dir))
     state.reset()
     apply_batch(state, D.orders_feed(spark, sf_dir))
-    return state.target(S.ORDERS)
+    return state.target(ORDERS)
 
 
 def s9_commit_state(spark, sf_dir):
@@ -210,7 +212,7 @@ def d3_row_image(spark, sf_dir):
 
 
 def d4_primary_key(spark, sf_dir):
-    return X.to_orders(X.decode_live(D.irregular_feed(spark, sf_dir))).select(*EVENT, "OrderID")
+    return X.to_table(X.decode_live(D.irregular_feed(spark, sf_dir)), ORDERS).select(*EVENT, "OrderID")
 
 
 def d5_commit_lsn(spark, sf_dir):
@@ -218,21 +220,21 @@ def d5_commit_lsn(spark, sf_dir):
 
 
 def d6_to_orders(spark, sf_dir):
-    return X.to_orders(X.decode_live(D.orders_feed(spark, sf_dir)))
+    return X.to_table(X.decode_live(D.orders_feed(spark, sf_dir)), ORDERS)
 
 
 def d6_irregular_values(spark, sf_dir):
-    return X.to_orders(X.decode_live(D.irregular_feed(spark, sf_dir))).select(
+    return X.to_table(X.decode_live(D.irregular_feed(spark, sf_dir)), ORDERS).select(
         *EVENT, "OrderID", "Company", "SalesDate", "EstimatedShipDate", "Quantity", "Price"
     )
 
 
 def d7_to_order_lines(spark, sf_dir):
-    return X.to_order_lines(X.decode_live(D.lines_feed(spark, sf_dir)))
+    return X.to_table(X.decode_live(D.lines_feed(spark, sf_dir)), ORDER_LINES)
 
 
 def d8_decode_documented(spark, sf_dir):
-    return X.to_orders(X.decode_documented(D.documented_feed(spark, sf_dir)))
+    return X.to_table(X.decode_documented(D.documented_feed(spark, sf_dir)), ORDERS)
 
 
 def d9_rejects(spark, sf_dir):
@@ -252,11 +254,11 @@ def d11_feed_view(spark, sf_dir):
 # Apply -----------------------------------------------------------------------------------
 
 def a1_only_table(spark, sf_dir):
-    return A.only_table(_events(spark, sf_dir, BOTH), "OrderLines").select(*EVENT, "key")
+    return A.only_table(_headers(spark, sf_dir, BOTH), "OrderLines").select(*EVENT, "key")
 
 
 def a2_subscribe(spark, sf_dir):
-    events = _events(spark, sf_dir, BOTH)
+    events = _headers(spark, sf_dir, BOTH)
     return A.subscribe(events, ["Orders", "OrderLines"]).select(*EVENT, "table", "key")
 
 
@@ -267,14 +269,28 @@ def a3_route(spark, sf_dir):
     })
 
 
+def a3_route_by_schema(spark, sf_dir):
+    elsewhere = replace(ORDER_LINES, schema_name="archive")
+    routed = A.route(_headers(spark, sf_dir, BOTH), [ORDERS, elsewhere], by_schema=True)
+    return A.union_all({
+        name: df.select(F.lit(name).alias("target"), "schema_name", *EVENT, "key") for name, df in routed.items()
+    })
+
+
 def a4_route_by_config(spark, sf_dir):
     config = spark.createDataFrame(
-        [("Orders", "OrderID", ["Product", "Quantity"]), ("OrderLines", "OrderLineID", ["ProductID", "Quantity"])],
+        [("Orders", "OrderID", ["Product varchar(100)", "Quantity int"]), ("OrderLines", "OrderLineID", ["ProductID bigint"])],
         "table_name string, key_column string, column_list array<string>",
     )
     routed = A.route_by_config(X.decode_live(D.two_table_feed(spark, sf_dir)), config)
-    first = F.coalesce(F.try_element_at("cells", F.lit("Product")), F.try_element_at("cells", F.lit("ProductID")))
-    return routed.select("target", *EVENT, "key", first.alias("first_cell"))
+    first = {"Orders": ("OrderID", "Product"), "OrderLines": ("OrderLineID", "ProductID")}
+    return A.union_all({
+        name: df.select(
+            F.lit(name).alias("target"), *EVENT, F.col(first[name][0]).cast("long").alias("key"),
+            F.col(first[name][1]).cast("string").alias("first_cell"),
+        )
+        for name, df in routed.items()
+    })
 
 
 def a5_dedup_in_batch(spark, sf_dir):
@@ -283,25 +299,25 @@ def a5_dedup_in_batch(spark, sf_dir):
 
 def a6_new_events(spark, sf_dir):
     ledger = _before(spark, sf_dir).ledger
-    return A.new_events(_events(spark, sf_dir), ledger).select(*EVENT, "operation")
+    return A.new_events(X.accepted(_events(spark, sf_dir)), ledger).select(*EVENT, "operation")
 
 
 def a7_classify(spark, sf_dir):
     ledger = _before(spark, sf_dir).ledger
-    events = _staged_events(spark, sf_dir, *EVENT, "operation")
+    events = _staged_headers(spark, sf_dir).select(*EVENT, "operation")
     return A.classify(events, ledger)
 
 
 def a8_last_change_per_key(spark, sf_dir):
-    events = A.dedup_in_batch(X.to_orders(X.decode_live(D.orders_feed(spark, sf_dir))))
+    events = A.dedup_in_batch(X.to_table(X.decode_live(D.orders_feed(spark, sf_dir)), ORDERS))
     return A.last_change_per_key(events, "OrderID").select("OrderID", "operation", "sequence_number")
 
 
 def _second_half(spark, sf_dir):
     first = _before(spark, sf_dir)
     feed = D.orders_feed(spark, sf_dir)
-    rest = feed.filter(F.col("arrival") >= _middle(spark, sf_dir))
-    return apply_to(rest, first.ledger, first.offsets, first.targets)
+    rest = feed.filter(~D.first_half(spark, sf_dir))
+    return apply_to(rest, first.ledger, first.offsets, first.targets, [ORDERS])
 
 
 def a9_merge_orders(spark, sf_dir):
@@ -309,15 +325,14 @@ def a9_merge_orders(spark, sf_dir):
 
 
 def a10_merge_order_lines(spark, sf_dir):
-    feed, specs = D.lines_feed(spark, sf_dir), [S.ORDER_LINES]
-    middle = _middle(spark, sf_dir) * 4 + D.LINE_SEQUENCE
-    first = materialize(feed.filter(F.col("arrival") < middle), specs)
-    rest = feed.filter(F.col("arrival") >= middle)
-    return apply_to(rest, first.ledger, first.offsets, first.targets, specs).targets["OrderLines"]
+    feed, specs = D.lines_feed(spark, sf_dir), [ORDER_LINES]
+    half = D.first_half(spark, sf_dir, per_key=8)
+    first = materialize(feed.filter(half), specs)
+    return apply_to(feed.filter(~half), first.ledger, first.offsets, first.targets, specs).targets["OrderLines"]
 
 
 def a11_unknown_operation(spark, sf_dir):
-    out = materialize(D.feed_with_unknown_operations(spark, sf_dir))
+    out = materialize(D.feed_with_unknown_operations(spark, sf_dir), [ORDERS])
     return A.union_all({
         name: V.count_rows(df).select(F.lit(name).alias("what"), F.col("rows").alias("n"))
         for name, df in (("ledger rows", out.ledger), ("target rows", out.targets["Orders"]))
@@ -332,27 +347,21 @@ def a13_upsert_offsets(spark, sf_dir):
     return _second_half(spark, sf_dir).offsets.drop("updated_at")
 
 
-def a14_apply_event_at_a_time(spark, sf_dir):
-    """What each single-event transaction reports: applied or skipped."""
-    return A.classify(_staged_events(spark, sf_dir, *EVENT))
-
-
 def a15_apply_batch(spark, sf_dir):
-    first, rest, _, replays = _waves(spark, sf_dir, D.orders_feed(spark, sf_dir))
-    state, _, _ = _stream(spark, [first, rest, replays])
-    return state.target(S.ORDERS)
+    state, _, _ = _stream(spark, D.waves(spark, sf_dir))
+    return state.target(ORDERS)
 
 
 def a16_apply_multi_table(spark, sf_dir):
-    state, _, _ = _stream(spark, _waves(spark, sf_dir, D.two_table_feed(spark, sf_dir)), BOTH)
+    state, _, _ = _stream(spark, D.waves(spark, sf_dir, lines=True), BOTH)
     return state.offsets().drop("updated_at")
 
 
 def a16_multi_table_lines(spark, sf_dir):
     state = _state(spark, BOTH)
-    for wave in _waves(spark, sf_dir, D.two_table_feed(spark, sf_dir)):
+    for wave in D.waves(spark, sf_dir, lines=True):
         apply_batch(state, wave)
-    return state.target(S.ORDER_LINES)
+    return state.target(ORDER_LINES)
 
 
 def a17_apply_partitions(spark, sf_dir):
@@ -365,19 +374,24 @@ def a17_apply_partitions(spark, sf_dir):
 
 
 def a18_assign_batches(spark, sf_dir):
-    return A.assign_batches(_staged_events(spark, sf_dir, *EVENT), 100)
+    return A.assign_batches(_staged_headers(spark, sf_dir).select(*EVENT), 100)
+
+
+def a18_assign_broker_batches(spark, sf_dir):
+    rows = C.with_arrival(C.message_columns(D.broker_rows(spark, sf_dir)))
+    return A.assign_batches(rows.select(*EVENT), 100).select(*S.EVENT_ID, "batch")
 
 
 def a19_replay(spark, sf_dir):
     state, source, _ = _stream(spark, [D.orders_feed(spark, sf_dir)])
-    again = Consumer("again", state.path, new_folder(spark, "checkpoint"))
+    again = Consumer("again", state.path, new_folder(spark, "checkpoint"), (ORDERS,))
     start_consumer(spark, source, again, available_now=True).awaitTermination()
-    return state.target(S.ORDERS)
+    return state.target(ORDERS)
 
 
 def a20_abort_batch(spark, sf_dir):
     state = _state(spark)
-    first, rest, _, _ = _waves(spark, sf_dir, D.orders_feed(spark, sf_dir))
+    first, rest, _ = D.waves(spark, sf_dir)
     apply_batch(state, first)
 
     def crash() -> None:
@@ -387,7 +401,7 @@ def a20_abort_batch(spark, sf_dir):
         apply_batch(state, rest, before_commit=crash)
     except InterruptedError:
         pass
-    return state.target(S.ORDERS).select("OrderID", "Quantity")
+    return state.target(ORDERS).select("OrderID", "Quantity")
 
 
 def a21_materialize(spark, sf_dir):
@@ -396,19 +410,12 @@ def a21_materialize(spark, sf_dir):
 
 # Views -----------------------------------------------------------------------------------
 
-def _all_applied(spark, sf_dir):
-    return materialize(D.orders_feed(spark, sf_dir))
-
-
 def v1_ledger_view(spark, sf_dir):
-    return V.ledger_view(_all_applied(spark, sf_dir).ledger).drop("processed_at")
+    return V.ledger_view(_committed(spark, sf_dir).ledger()).drop("processed_at")
 
 
 def v2_latest_offset(spark, sf_dir):
-    last = A.last_applied(_all_applied(spark, sf_dir).applied)
-    # Wall-clock times of one run are equal; sequences of this feed grow with arrival.
-    timed = last.withColumn("updated_at", F.timestamp_seconds("last_sequence_number"))
-    return V.latest_offset(timed).drop("updated_at")
+    return V.latest_offset(_committed(spark, sf_dir).offsets()).drop("updated_at")
 
 
 def v3_offsets_by_partition(spark, sf_dir):
@@ -432,15 +439,15 @@ def v6_line_totals(spark, sf_dir):
 
 
 def v7_apply_counts(spark, sf_dir):
-    return V.apply_counts(A.classify(_staged_events(spark, sf_dir, *EVENT, "operation", "key", "commit_lsn")))
+    return V.apply_counts(A.classify(_staged_headers(spark, sf_dir)))
 
 
 def v8_recent_log(spark, sf_dir):
-    return V.recent_log(A.classify(_staged_events(spark, sf_dir, *EVENT, "operation", "key", "commit_lsn")), "key")
+    return V.recent_log(A.classify(_staged_headers(spark, sf_dir)), BOTH)
 
 
 def v9_partition_log(spark, sf_dir):
-    return V.partition_log(A.classify(_staged_events(spark, sf_dir, *EVENT, "operation", "key", "commit_lsn")))
+    return V.partition_log(A.classify(_staged_headers(spark, sf_dir)))
 
 
 def v9_loaded_partition_log(spark, sf_dir):
@@ -448,7 +455,13 @@ def v9_loaded_partition_log(spark, sf_dir):
 
 
 def v10_backlog(spark, sf_dir):
-    return V.backlog(_events(spark, sf_dir), _before(spark, sf_dir).ledger, "key")
+    return V.backlog(_headers(spark, sf_dir).withColumn("reject_reason", F.lit(None)), _before(spark, sf_dir).ledger, [ORDERS])
+
+
+def v10_backlog_irregular(spark, sf_dir):
+    first = decode(D.irregular_feed(spark, sf_dir).filter("sequence_number % 2 = 0"), [ORDERS])
+    applied = A.dedup_in_batch(X.accepted(first))
+    return V.backlog(_irregular(spark, sf_dir), A.ledger_rows(applied), BOTH)
 
 
 def v11_quarantine(spark, sf_dir):
@@ -456,7 +469,11 @@ def v11_quarantine(spark, sf_dir):
 
 
 def v12_key_skew(spark, sf_dir):
-    return V.key_skew(_events(spark, sf_dir), "key")
+    return V.key_skew(_headers(spark, sf_dir), "key")
+
+
+def v12_key_skew_irregular(spark, sf_dir):
+    return V.key_skew(X.accepted(_irregular(spark, sf_dir)), "key")
 
 
 def v12_events_per_user(spark, sf_dir):
@@ -464,7 +481,7 @@ def v12_events_per_user(spark, sf_dir):
 
 
 def v12_partition_skew(spark, sf_dir):
-    return V.partition_skew(_events(spark, sf_dir))
+    return V.partition_skew(_headers(spark, sf_dir))
 
 
 def v13_events_per_second(spark, sf_dir):
@@ -479,10 +496,6 @@ def v13_ledger_growth(spark, sf_dir):
     return V.ledger_growth(_all_applied(spark, sf_dir).ledger)
 
 
-def v14_rounds(spark, sf_dir):
-    return A.rounds(_staged_events(spark, sf_dir, *EVENT))
-
-
 def v15_feed_count(spark, sf_dir):
     return V.feed_count(X.feed_view(D.two_table_feed(spark, sf_dir)))
 
@@ -494,12 +507,12 @@ def v15_feed_newest_first(spark, sf_dir):
 
 def v16_latest_errors(spark, sf_dir):
     errors = D.read_table(spark, sf_dir, "events").filter("event_type = 'error'")
-    return V.latest_errors(errors, "ts").select("event_id", "event_type", "value", "ts")
+    return V.latest_errors(errors, "ts", ["event_id"]).select("event_id", "event_type", "value", "ts")
 
 
 def v16_latest_quarantine(spark, sf_dir):
     letters = V.quarantine(_irregular(spark, sf_dir))
-    return V.latest_errors(letters, "sequence_number").drop("value", "rejected_at")
+    return V.latest_errors(letters, "sequence_number", ["partition_id"]).drop("value", "rejected_at")
 
 
 def v17_ship_date(spark, sf_dir):
@@ -535,15 +548,15 @@ QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
     d1_decode_live, d1_decode_irregular, d2_unwrap_json, d3_row_image, d4_primary_key,
     d5_commit_lsn, d6_to_orders, d6_irregular_values, d7_to_order_lines, d8_decode_documented,
     d9_rejects, d10_bad_key_rejects, d11_feed_view,
-    a1_only_table, a2_subscribe, a3_route, a4_route_by_config, a5_dedup_in_batch, a6_new_events,
+    a1_only_table, a2_subscribe, a3_route, a3_route_by_schema, a4_route_by_config, a5_dedup_in_batch, a6_new_events,
     a7_classify, a8_last_change_per_key, a9_merge_orders, a10_merge_order_lines,
-    a11_unknown_operation, a12_append_ledger, a13_upsert_offsets, a14_apply_event_at_a_time,
+    a11_unknown_operation, a12_append_ledger, a13_upsert_offsets,
     a15_apply_batch, a16_apply_multi_table, a16_multi_table_lines, a17_apply_partitions,
-    a18_assign_batches, a19_replay, a20_abort_batch, a21_materialize,
+    a18_assign_batches, a18_assign_broker_batches, a19_replay, a20_abort_batch, a21_materialize,
     v1_ledger_view, v2_latest_offset, v3_offsets_by_partition, v4_count_rows, v5_top_orders,
     v6_top_order_lines, v6_line_totals, v7_apply_counts, v8_recent_log, v9_partition_log,
-    v9_loaded_partition_log, v10_backlog, v11_quarantine, v12_key_skew, v12_events_per_user,
-    v12_partition_skew, v13_events_per_second, v13_replay_counts, v13_ledger_growth, v14_rounds,
+    v9_loaded_partition_log, v10_backlog, v10_backlog_irregular, v11_quarantine, v12_key_skew, v12_key_skew_irregular, v12_events_per_user,
+    v12_partition_skew, v13_events_per_second, v13_replay_counts, v13_ledger_growth,
     v15_feed_count, v15_feed_newest_first, v16_latest_errors, v16_latest_quarantine,
     v17_ship_date, v18_next_key, v19_update_latest, v19_delete_where, v20_change_mask,
 ]

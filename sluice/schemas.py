@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 @dataclass(frozen=True)
 class Column:
-    """One typed column of a target: ``kind`` is text, int, decimal or date."""
+    """One typed column of a target: ``kind`` is text, int, bigint, decimal or date."""
 
     name: str
     kind: str
@@ -26,6 +26,8 @@ class Column:
     def data_type(self) -> T.DataType:
         if self.kind == "int":
             return T.IntegerType()
+        if self.kind == "bigint":
+            return T.LongType()
         if self.kind == "date":
             return T.DateType()
         if self.kind == "decimal":
@@ -33,14 +35,28 @@ class Column:
         return T.StringType()
 
 
+def parse_column(text: str) -> Column:
+    """``name`` (text of any length) or ``name type``, as a configuration writes it."""
+    name, _, declared = text.strip().partition(" ")
+    kind, _, sizes = declared.strip().lower().rstrip(")").partition("(")
+    numbers = [int(n) for n in sizes.split(",") if n.strip()]
+    kind = {"": "text", "varchar": "text", "nvarchar": "text", "string": "text", "integer": "int"}.get(kind.strip(), kind.strip())
+    if kind not in ("text", "int", "bigint", "decimal", "date"):
+        raise ValueError(f"unknown column type in {text!r}")
+    if kind == "decimal" and not numbers:
+        numbers = [18, 2]
+    return Column(name, kind, *numbers[:2])
+
+
 @dataclass(frozen=True)
 class TableSpec:
-    """A target table: its name on the feed, integer key column and other columns."""
+    """A target table: its name on the feed, key column (int or bigint) and other columns."""
 
     name: str
     key: str
     columns: tuple[Column, ...] = field(default=())
     schema_name: str = "dbo"
+    key_kind: str = "int"
 
     @property
     def column_names(self) -> list[str]:
@@ -48,7 +64,7 @@ class TableSpec:
 
     @property
     def schema(self) -> T.StructType:
-        fields = [T.StructField(self.key, T.IntegerType())]
+        fields = [T.StructField(self.key, Column(self.key, self.key_kind).data_type)]
         fields += [T.StructField(c.name, c.data_type) for c in self.columns]
         return T.StructType(fields)
 
@@ -96,12 +112,14 @@ LEDGER_SCHEMA = T.StructType([
     T.StructField("partition_id", T.IntegerType()),
     T.StructField("sequence_number", T.LongType()),
     T.StructField("commit_lsn", T.StringType()),
+    T.StructField("arrival", T.LongType()),
     T.StructField("processed_at", T.TimestampType()),
 ])
 OFFSETS_SCHEMA = T.StructType([
     T.StructField("partition_id", T.IntegerType()),
     T.StructField("last_sequence_number", T.LongType()),
     T.StructField("last_commit_lsn", T.StringType()),
+    T.StructField("last_arrival", T.LongType()),
     T.StructField("updated_at", T.TimestampType()),
 ])
 QUARANTINE_SCHEMA = T.StructType([

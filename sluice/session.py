@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -21,15 +22,22 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def require_settings(spark: SparkSession) -> None:
+    """Fail where decoding would give other results than with :func:`prepare`."""
+    for name, value in SETTINGS.items():
+        if spark.conf.get(name, None) != value:
+            raise ValueError(f"{name} must be {value}: call prepare(spark) first")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all nodes can reach, as the cluster names it in ``spark.checkpoint.dir``.
 
-    Only a local session without the setting gets a temporary folder of its own.
+    Only a session that runs in this one process gets a folder of its own if it is unset.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all nodes")
     folder = tempfile.mkdtemp(prefix="sluice-")
     spark.conf.set("spark.checkpoint.dir", folder)

@@ -6,13 +6,17 @@ import json
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.types import StructType
 
 from sluice import schemas as S
 from sluice.operators.numbering import running_max
 
 
+# Default bounds of a micro-batch.
+BATCH_BOUND = {"maxOffsetsPerTrigger": 1_000_000, "maxFilesPerTrigger": 1_000}
+
+
 @dataclass(frozen=True)
 class Source:
     """Where messages come from: a broker topic or files of message rows.
@@ -20,12 +24,15 @@ class Source:
     ``format`` is ``kafka`` (needs Spark's Kafka connector on the classpath; ``options``
     carry servers, topic and security) or a file format such as parquet or json with
     ``path``. ``schema`` is the file schema; files may also have a broker's column names.
+    ``append_time`` says that the broker sets a message's time when it appends it, so times never
+    go back inside a partition and the arrival order needs no shuffle.
     """
 
     format: str = "parquet"
     path: str | None = None
     options: Mapping[str, str] = field(default_factory=dict)
     schema: StructType = field(default_factory=lambda: S.MESSAGE_SCHEMA)
+    append_time: bool = False
 
 
 def starting_offsets(topic: str, positions: Mapping[int, int], partitions: int) -> str:
@@ -34,6 +41,18 @@ def starting_offsets(topic: str, positions: Mapping[int, int], partitions: int)
     return json.dumps({topic: {str(p): positions.get(p, earliest) for p in range(partitions)}})
 
 
+def start_option(source: Source, positions: Mapping[int, int]) -> str:
+    """Where a new reader of the source begins: at its positions if the broker can seek there.
+
+    That needs one topic and, as option ``partitions``, its number of partitions; else the source
+    is read from the beginning and :func:`start_at` skips what lies before the positions.
+    """
+    topic, partitions = source.options.get("subscribe"), source.options.get("partitions")
+    if source.format != "kafka" or not positions or not topic or "," in topic or not partitions:
+        return "earliest"
+    return starting_offsets(topic, positions, int(partitions))
+
+
 def read_changes(
     spark: SparkSession,
     source: Source,
@@ -47,7 +66,12 @@ def read_changes(
     come from the source's own options (``maxOffsetsPerTrigger``, ``maxFilesPerTrigger``).
     """
     reader = (spark.readStream if stream else spark.read).format(source.format)
-    reader = reader.options(**dict(source.options))
+    options = dict(source.options)
+    options.pop("partitions", None)
+    if stream:  # a first batch is not the whole log
+        bound = "maxOffsetsPerTrigger" if source.format == "kafka" else "maxFilesPerTrigger"
+        options.setdefault(bound, str(BATCH_BOUND[bound]))
+    reader = reader.options(**options)
     if source.format == "kafka":
         return message_columns(reader.option("startingOffsets", start).load())
     return message_columns(reader.schema(source.schema).load(source.path))
@@ -65,6 +89,17 @@ def message_columns(df: DataFrame) -> DataFrame:
     )
 
 
+def arrival_position(df: DataFrame) -> Column:
+    """Arrival as one BIGINT, to be stored: the number itself, or the microsecond of its time.
+
+    Default arrivals of one microsecond are in order of partition and sequence.
+    """
+    kind = df.schema["arrival"].dataType
+    if isinstance(kind, T.StructType):
+        return F.unix_micros("arrival.t")
+    return F.unix_micros("arrival") if isinstance(kind, T.TimestampType) else F.col("arrival").cast("long")
+
+
 def with_arrival(df: DataFrame, monotone: bool = False) -> DataFrame:
     """Add the default arrival order of a broker's messages, unless they carry their own.
 
@@ -99,22 +134,13 @@ def start_at(messages: DataFrame, positions: Mapping[int, int]) -> DataFrame:
     return messages.filter(wanted)
 
 
-# Broker partitions up to which positions become a predicate.
-_POSITIONS = 1024
-
-
 def resume_after(messages: DataFrame, offsets: DataFrame) -> DataFrame:
     """Only messages after each partition's stored offset; all where there is none.
 
-    The offsets are one row per broker partition: a predicate that reaches the file scan,
-    or a join should there be very many.
+    The offsets have one row per broker partition, and a NULL stored sequence keeps all of its
+    partition. How the small side reaches the messages is Spark's choice by its size.
     """
     stored = offsets.select("partition_id", "last_sequence_number")
-    rows = stored.limit(_POSITIONS + 1).collect()
-    if len(rows) <= _POSITIONS:
-        return start_at(
-            messages, {r["partition_id"]: r["last_sequence_number"] + 1 for r in rows}
-        )
     last = F.col("last_sequence_number")
     return (
         messages.join(stored, "partition_id", "left")

@@ -7,28 +7,38 @@ delivers, so the result of applying them can be stated in plain SQL over the tab
 
 from __future__ import annotations
 
+from dataclasses import replace
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from sluice import schemas as S
+
 PARTITIONS = 4
-REPLAY_ARRIVAL = 1_000_000_000_000
-LINE_SEQUENCE = 100_000_000_000
+# Bits of an arrival, above any sequence number: events delivered late, and replays after those.
+LATE, REPLAYED = 1 << 61, 1 << 62
 # k -> operation of the derived changes; k = 3 repeats the k = 0 message.
 OPERATIONS = {0: "INS", 1: "UPD", 2: "DEL"}
 
+# The derived keys outgrow 32 bits where the tables are large.
+ORDERS = replace(S.ORDERS, key_kind="bigint")
+ORDER_LINES = replace(
+    S.ORDER_LINES, key_kind="bigint",
+    columns=tuple(replace(c, kind="bigint") if c.kind == "int" else c for c in S.ORDER_LINES.columns),
+)
+
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _spread(rows: DataFrame, table: DataFrame) -> DataFrame:
-    """Use all cores where the table is a handful of files; tables of many files do anyway."""
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(cores) if len(table.inputFiles()) < cores else rows
+def _changes(rows: DataFrame, key: str, table: int, partition: Column) -> DataFrame:
+    """One row per derived change: all keys INS, every 3rd UPD, 7th DEL, 5th replayed INS.
 
-
-def _changes(rows: DataFrame, key: str, base: int) -> DataFrame:
-    """One row per derived change: all keys INS, every 3rd UPD, 7th DEL, 5th replayed INS."""
-    k = F.col(key)
+    Sequences of the tables interleave. The update of each 33rd key comes through the next
+    partition and arrives after everything else but replays, so arrival contradicts sequence.
+    """
+    k, late = F.col(key), (F.col("k") == 1) & (F.col(key) % 33 == 0)
     happens = F.array_compact(
         F.array(
             F.lit(0),
@@ -37,38 +47,37 @@ def _changes(rows: DataFrame, key: str, base: int) -> DataFrame:
             F.when(k % 5 == 0, F.lit(3)),
         )
     )
-    sequence = F.lit(base) + k * 3 + F.when(F.col("k") == 3, 0).otherwise(F.col("k"))
+    sequence = (k * 3 + F.when(F.col("k") == 3, 0).otherwise(F.col("k"))) * 2 + table
+    arrival = F.when(F.col("k") == 3, F.lit(REPLAYED)).when(late, F.lit(LATE)).otherwise(F.lit(0))
     return (
         rows.withColumn("k", F.explode(happens))
         .withColumn("sequence_number", sequence.cast("long"))
-        .withColumn(
-            "arrival",
-            F.when(F.col("k") == 3, F.lit(REPLAY_ARRIVAL + base) + k)
-            .otherwise(F.col("sequence_number"))
-            .cast("long"),
-        )
+        .withColumn("arrival", F.col("sequence_number") + arrival)
         .withColumn("operation", F.when(F.col("k") == 1, "UPD").when(F.col("k") == 2, "DEL").otherwise("INS"))
+        .withColumn("partition_id", ((partition + late.cast("int")) % PARTITIONS).cast("int"))
     )
 
 
 def order_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Changes of Orders, still as columns."""
     orders = read_table(spark, sf_dir, "orders")
-    changes = _changes(_spread(orders, orders), "o_orderkey", 0)
+    changes = _changes(orders, "o_orderkey", 0, F.col("o_orderkey"))
+    text = F.col("o_orderkey").cast("string")
     return changes.select(
-        (F.col("o_orderkey") % PARTITIONS).cast("int").alias("partition_id"),
+        "partition_id",
         "sequence_number", "arrival", "operation", "k",
         F.lit("Orders").alias("table"),
         F.lit("OrderID").alias("key_column"),
-        F.col("o_orderkey").cast("int").alias("key"),
+        F.col("o_orderkey").alias("key"),
         F.struct(
-            F.col("o_orderkey").cast("int").alias("OrderID"),
-            F.lit(None).cast("string").alias("CustomerFirstName"),
+            F.col("o_orderkey").alias("OrderID"),
+            F.when(F.col("o_orderkey") % 4 != 0, F.concat(F.lit("First "), text)).alias("CustomerFirstName"),
+            F.concat(F.lit("Last "), text).alias("CustomerLastName"),
             F.col("o_orderstatus").alias("Company"),
             F.date_format("o_orderdate", "yyyy-MM-dd").alias("SalesDate"),
             F.date_format(F.date_add("o_orderdate", 75), "yyyy-MM-dd").alias("EstimatedShipDate"),
             F.col("o_custkey").alias("ShippingID"),
-            F.col("o_orderpriority").alias("Product"),
+            F.when(F.col("o_orderkey") % 9 != 0, F.col("o_orderpriority")).alias("Product"),
             F.when(F.col("k") == 1, 2).otherwise(1).alias("Quantity"),
             F.col("o_totalprice").cast("decimal(10,2)").alias("Price"),
         ).alias("row"),
@@ -76,27 +85,27 @@ def order_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def line_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Changes of OrderLines, still as columns; their sequences lie above those of Orders."""
+    """Changes of OrderLines, still as columns; rows of one line number add up to a line."""
     lineitem = read_table(spark, sf_dir, "lineitem")
     lines = (
         lineitem.groupBy("l_orderkey", "l_linenumber")
         .agg(
             F.min("l_partkey").alias("product"),
-            F.min("l_quantity").cast("int").alias("quantity"),
-            F.min("l_extendedprice").cast("decimal(18,2)").alias("price"),
+            F.sum("l_quantity").cast("long").alias("quantity"),
+            F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).cast("decimal(18,2)").alias("price"),
         )
-        .withColumn("line", F.col("l_orderkey") * 8 + F.col("l_linenumber"))
+        .withColumn("line", F.col("l_orderkey").cast("long") * 8 + F.col("l_linenumber"))
     )
-    changes = _changes(_spread(lines, lineitem), "line", LINE_SEQUENCE)
+    changes = _changes(lines, "line", 1, F.col("l_orderkey"))
     return changes.select(
-        (F.col("l_orderkey") % PARTITIONS).cast("int").alias("partition_id"),
+        "partition_id",
         "sequence_number", "arrival", "operation", "k",
         F.lit("OrderLines").alias("table"),
         F.lit("OrderLineID").alias("key_column"),
-        F.col("line").cast("int").alias("key"),
+        F.col("line").alias("key"),
         F.struct(
-            F.col("line").cast("int").alias("OrderLineID"),
-            F.col("l_orderkey").cast("int").alias("OrderID"),
+            F.col("line").alias("OrderLineID"),
+            F.col("l_orderkey").alias("OrderID"),
             F.col("product").alias("ProductID"),
             (F.col("quantity") + F.when(F.col("k") == 1, 1).otherwise(0)).alias("Quantity"),
             F.col("price").alias("UnitPrice"),
@@ -154,6 +163,29 @@ def _messages(changes: DataFrame, value: Column) -> DataFrame:
     return changes.select("partition_id", "sequence_number", "arrival", value.alias("value"))
 
 
+def waves(spark: SparkSession, sf_dir: str, lines: bool = False) -> list[DataFrame]:
+    """The feed cut into batches: the first half of the Orders events by key, the others, line
+    changes if asked for, and all replays."""
+    orders = order_changes(spark, sf_dir)
+    parts, first = [orders], first_half(spark, sf_dir)
+    if lines:
+        parts.append(line_changes(spark, sf_dir))
+    replays = [_messages(p, live_json(p)).filter(is_replay()) for p in parts]
+    events = [_messages(p, live_json(p)).filter(~is_replay()) for p in parts]
+    return [events[0].filter(first), events[0].filter(~first), *events[1:], reduce(DataFrame.unionByName, replays)]
+
+
+def is_replay() -> Column:
+    return F.col("arrival") >= REPLAYED
+
+
+def first_half(spark: SparkSession, sf_dir: str, per_key: int = 1) -> Column:
+    """Condition for events that arrive before the feed's middle (keys ``per_key`` times as dense)."""
+    last = read_table(spark, sf_dir, "orders").agg(F.max("o_orderkey").alias("k"))
+    middle = last.select((F.floor(F.col("k") / 2) * 6 * per_key).alias("middle")).scalar()
+    return F.col("arrival") < middle
+
+
 def orders_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     changes = order_changes(spark, sf_dir)
     return _messages(changes, live_json(changes))
@@ -236,7 +268,6 @@ def irregular_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     can be written as CASE expressions.
     """
     orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
-    orders = _spread(orders, orders)
     k = F.col("o_orderkey")
     key = k.cast("string")
     case = k % 23

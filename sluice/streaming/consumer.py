@@ -15,12 +15,8 @@ from pyspark.sql.streaming import StreamingQuery
 from sluice import schemas as S
 from sluice.operators import apply as A, decode as X
 from sluice.plans.materialize import decode, net_changes
-from sluice.sources.changes import Source, read_changes, start_at, with_arrival
-from sluice.streaming.state import State
-
-# Beyond this many broker partitions the ledger is narrowed by one range over all of them.
-_RANGES = 256
-
+from sluice.sources.changes import Source, read_changes, start_at, start_option, with_arrival
+from sluice.streaming.state import Ranges, State, may_hold
 
 @dataclass(frozen=True)
 class BatchResult:
@@ -45,26 +41,18 @@ def _summary(unique: DataFrame) -> list[Row]:
     )
 
 
-def narrow_ledger(ledger: DataFrame, summary: Sequence[Row]) -> DataFrame:
-    """Ledger rows that can match a batch, as a predicate the file scan understands.
-
-    Ledger files are sorted by (partition, sequence), so their statistics skip everything
-    outside the batch's ranges: an ordinary batch beyond the last one reads nothing, a full
-    replay reads all.
-    """
-    ranges: dict[int, tuple[int, int]] = {}
+def _ranges(summary: Sequence[Row]) -> dict[int, tuple[int, int]]:
+    out: dict[int, tuple[int, int]] = {}
     for r in summary:
-        lo, hi = ranges.get(r["partition_id"], (r["lo"], r["hi"]))
-        ranges[r["partition_id"]] = (min(lo, r["lo"]), max(hi, r["hi"]))
-    sequence = F.col("sequence_number")
-    if len(ranges) > _RANGES:
-        return ledger.filter(
-            sequence.between(min(lo for lo, _ in ranges.values()), max(hi for _, hi in ranges.values()))
-        )
-    wanted = F.lit(False)
-    for partition, (lo, hi) in ranges.items():
-        wanted = wanted | ((F.col("partition_id") == partition) & sequence.between(lo, hi))
-    return ledger.filter(wanted)
+        lo, hi = out.get(r["partition_id"], (r["lo"], r["hi"]))
+        out[r["partition_id"]] = (min(lo, r["lo"]), max(hi, r["hi"]))
+    return out
+
+
+def narrow_ledger(ledger: DataFrame, ranges: Ranges) -> DataFrame:
+    """Ledger rows within the batch's lowest and highest sequence, for the file statistics."""
+    lowest, highest = min(lo for lo, _ in ranges.values()), max(hi for _, hi in ranges.values())
+    return ledger.filter(F.col("sequence_number").between(lowest, highest))
 
 
 def apply_batch(
@@ -72,25 +60,33 @@ def apply_batch(
     messages: DataFrame,
     decoder: Callable[[DataFrame], DataFrame] = X.decode_live,
     before_commit: Callable[[], None] | None = None,
+    append_time: bool = False,
 ) -> BatchResult:
     """Apply one batch and commit targets, ledger, offsets and quarantine together.
 
     A failure before the commit leaves the state as it was (``before_commit`` is called last
     before it). A repeated batch finds its events in the ledger and changes nothing.
     """
-    specs = state.specs
+    return apply_events(state, decode(with_arrival(messages, append_time), state.specs, decoder), before_commit)
+
+
+def apply_events(
+    state: State, events: DataFrame, before_commit: Callable[[], None] | None = None
+) -> BatchResult:
+    """:func:`apply_batch` for events that are decoded already."""
     manifest = state.manifest()
-    events = decode(with_arrival(messages), specs, decoder)
     # The batch is used for the counts and for every table written, so it is kept; a lost
     # executor's part is computed again from the source.
-    unique = A.unique_events(events).persist(StorageLevel.MEMORY_AND_DISK)
-    fresh = unique
+    kept = fresh = A.unique_events(events).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        summary = _summary(unique)
-        known = narrow_ledger(state.ledger(manifest), summary)
-        if not known.isEmpty():
-            fresh = A.new_events(unique, known).persist(StorageLevel.MEMORY_AND_DISK)
+        summary = _summary(fresh)
+        ranges = _ranges(summary)
+        if may_hold(manifest["ledger"], ranges):
+            known = narrow_ledger(state.ledger(manifest, ranges), ranges)
+            fresh = A.new_events(kept, known).persist(StorageLevel.MEMORY_AND_DISK)
             summary = _summary(fresh)
+            kept.unpersist()
+            kept = fresh
         changed, counts, rejected = _write_batch(state, manifest, fresh, summary)
         if before_commit is not None:
             before_commit()
@@ -98,8 +94,7 @@ def apply_batch(
             changed = state.publish(changed)
         return BatchResult(changed["version"], counts, rejected)
     finally:
-        fresh.unpersist()
-        unique.unpersist()
+        kept.unpersist()
 
 
 def _write_batch(
@@ -110,22 +105,24 @@ def _write_batch(
     for r in summary:
         counts[r["t"]] += r["n"]
     rejected = counts.pop(None, 0)
+    accepted = _ranges([r for r in summary if r["t"] is not None])
+    broken = _ranges([r for r in summary if r["t"] is None])
     applied = fresh.filter(F.col("reject_reason").isNull())
     changed = dict(manifest)
     if rejected:
         rows = X.rejects(fresh).withColumn("rejected_at", F.current_timestamp())
-        if manifest["quarantine"]:
-            rows = A.new_events(rows, state.quarantine(manifest))
+        if may_hold(manifest["quarantine"], broken):
+            rows = A.new_events(rows, state.quarantine(manifest, broken))
             rejected = rows.count()
     # The tables do not depend on each other: written side by side, a small batch takes as
     # long as its slowest table.
     writes = {}
     if rejected:
-        writes["quarantine"] = lambda: [*manifest["quarantine"], state.write(rows, "quarantine")]
+        writes["quarantine"] = lambda: [*manifest["quarantine"], state.write(rows, "quarantine", broken)]
     if counts:
         ledger_rows = A.ledger_rows(applied).sortWithinPartitions(*S.EVENT_ID)
         offsets = A.upsert_offsets(state.offsets(manifest), applied).coalesce(1)
-        writes["ledger"] = lambda: [*manifest["ledger"], state.write(ledger_rows, "ledger")]
+        writes["ledger"] = lambda: [*manifest["ledger"], state.write(ledger_rows, "ledger", accepted)]
         writes["offsets"] = lambda: [state.write(offsets, "offsets")]
     written_targets = [s for s in state.specs if s.name in counts]
     for spec in written_targets:
@@ -176,24 +173,34 @@ def start_consumer(
     consumer: Consumer,
     available_now: bool = False,
     on_batch: Callable[[BatchResult], None] | None = None,
+    maintain_every: int = 16,
 ) -> StreamingQuery:
-    """Start applying a source to a consumer's state.
+    """Start applying a source to a consumer's state; every so many batches its state is tidied up.
 
     A new checkpoint reads everything again (the ledger sorts out what is known), a kept one
     resumes. The ledger, not a watermark, removes duplicates: an event of any age is applied
     if it was not before.
     """
     state = consumer.state(spark)
+    messages = read_changes(spark, source, stream=True, start=start_option(source, consumer.positions))
+    messages = start_at(messages, consumer.positions)
+    # Where arrival needs no look at other rows, events are decoded on the stream, planned once.
+    on_stream = "arrival" in messages.columns or source.append_time
+    if on_stream:
+        messages = decode(with_arrival(messages, source.append_time), consumer.specs, consumer.decoder)
+    count = 0
 
     def apply(batch: DataFrame, _: int) -> None:
-        result = apply_batch(state, start_at(batch, consumer.positions), consumer.decoder)
-        state.maintain()
+        nonlocal count
+        result = apply_events(state, batch) if on_stream else apply_batch(state, batch, consumer.decoder)
+        count += 1
+        if count % maintain_every == 0:
+            state.maintain()
         if on_batch is not None:
             on_batch(result)
 
     writer = (
-        read_changes(spark, source, stream=True)
-        .writeStream.queryName(consumer.name)
+        messages.writeStream.queryName(consumer.name)
         .option("checkpointLocation", consumer.checkpoint)
         .foreachBatch(apply)
     )
@@ -210,13 +217,14 @@ def fan_out(
 
 
 def batch_metrics(query: StreamingQuery) -> list[dict]:
-    """Per micro-batch: rows read, rows per second and commit latency, from Spark's progress."""
+    """Per micro-batch: rows read, rows per second, commit latency and time per step, from Spark's progress."""
     return [
         {
             "batch": p["batchId"],
             "rows": p["numInputRows"],
             "rows_per_second": p["processedRowsPerSecond"],
             "commit_ms": p["durationMs"].get("addBatch"),
+            "step_ms": dict(p["durationMs"]),
         }
         for p in query.recentProgress
     ]

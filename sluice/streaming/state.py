@@ -11,9 +11,15 @@ single rename is the commit.
     <path>/target/<T>/<id>/    base rows, or the net changes of one batch
     <path>/_versions/<n>.json  the folders of version n
 
+A version also says which sequences each ledger and quarantine folder holds per broker
+partition, so a batch opens those folders only that can know its events.
+
 Targets are merged on read: a batch adds its net changes (work grows with the batch, not
 with the target), readers lay them over the base, and when the changes have grown to a
-share of the base they are merged into a new one.
+share of the base they are merged into a new one. The base is bucketed by key, so neither a
+reader nor a merge ever shuffles it; only the changes move.
+
+Old versions and the folders that only they name are removed after a while.
 
 Limits: one writer per path, and a file system with atomic rename (HDFS or a local disk; on
 an object store use a table format with MERGE instead).
@@ -22,8 +28,9 @@ an object store use a table format with MERGE instead).
 from __future__ import annotations
 
 import json
+import time
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
@@ -31,10 +38,51 @@ from pyspark.sql.types import BooleanType, LongType, StructType
 
 from sluice import schemas as S
 from sluice.operators import apply as A
+from sluice.session import require_settings
+
+# Lowest and highest sequence, by broker partition.
+Ranges = Mapping[int, tuple[int, int]]
 
 _EMPTY = {"version": 0, "ledger": [], "quarantine": [], "offsets": [], "targets": {}}
 
 
+def may_hold(folders: Sequence[dict], ranges: Ranges | None) -> list[dict]:
+    """Folders that can hold an event of the ranges, by what is noted of them; no job."""
+    if ranges is None:
+        return list(folders)
+
+    def meets(folder: dict) -> bool:
+        held = folder.get("ranges")
+        if held is None:
+            return True
+        return any(
+            str(p) in held and held[str(p)][0] <= hi and lo <= held[str(p)][1] for p, (lo, hi) in ranges.items()
+        )
+
+    return [f for f in folders if meets(f)]
+
+
+def joined_ranges(folders: Sequence[dict]) -> Ranges | None:
+    """What several folders hold together; unknown if it is unknown of one."""
+    out: dict[int, tuple[int, int]] = {}
+    for folder in folders:
+        if "ranges" not in folder:
+            return None
+        for p, (lo, hi) in folder["ranges"].items():
+            known = out.get(int(p), (lo, hi))
+            out[int(p)] = (min(known[0], lo), max(known[1], hi))
+    return out
+
+
+def _table_name(folder: dict) -> str:
+    return f"sluice_{folder['path'].rsplit('/', 1)[-1]}"
+
+
+def _folders(manifest: dict) -> list[dict]:
+    targets = [f for t in manifest["targets"].values() for f in (*t["base"], *t["changes"])]
+    return [*manifest["ledger"], *manifest["quarantine"], *manifest["offsets"], *targets]
+
+
 class _Files:
     """The few file operations needed, through Hadoop so that any shared folder works."""
 
@@ -50,6 +98,16 @@ class _Files:
             return []
         return [s.getPath().getName() for s in self._fs.listStatus(where)]
 
+    def folders(self, folder: str) -> list[tuple[str, int]]:
+        """Names and times of change, in milliseconds."""
+        where = self._path(folder)
+        if not self._fs.exists(where):
+            return []
+        return [(s.getPath().getName(), s.getModificationTime()) for s in self._fs.listStatus(where)]
+
+    def delete(self, path: str) -> None:
+        self._fs.delete(self._path(path), True)
+
     def size(self, folder: str) -> int:
         return self._fs.getContentSummary(self._path(folder)).getLength()
 
@@ -82,9 +140,15 @@ class State:
     # Fold folders below this size together once there are this many.
     fold_count: int = 64
     fold_size: int = 1 << 30
+    # Buckets of a new base: choose so that one bucket suits one task.
+    buckets: int = 16
+    # Versions kept, and seconds that folders no version names are kept for readers and writers.
+    keep_versions: int = 50
+    keep_seconds: int = 6 * 3600
     _files: _Files = field(init=False, repr=False)
 
     def __post_init__(self) -> None:
+        require_settings(self.spark)
         self._files = _Files(self.spark, self.path)
 
     # Versions
@@ -121,14 +185,33 @@ class State:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(*paths)
 
-    def ledger(self, manifest: dict | None = None) -> DataFrame:
-        return self._read(S.LEDGER_SCHEMA, (manifest or self.manifest())["ledger"])
+    def ledger(self, manifest: dict | None = None, ranges: Ranges | None = None) -> DataFrame:
+        """The ledger, or only its folders that can hold events of the given ranges."""
+        return self._read(S.LEDGER_SCHEMA, may_hold((manifest or self.manifest())["ledger"], ranges))
 
     def offsets(self, manifest: dict | None = None) -> DataFrame:
         return self._read(S.OFFSETS_SCHEMA, (manifest or self.manifest())["offsets"])
 
-    def quarantine(self, manifest: dict | None = None) -> DataFrame:
-        return self._read(S.QUARANTINE_SCHEMA, (manifest or self.manifest())["quarantine"])
+    def quarantine(self, manifest: dict | None = None, ranges: Ranges | None = None) -> DataFrame:
+        return self._read(S.QUARANTINE_SCHEMA, may_hold((manifest or self.manifest())["quarantine"], ranges))
+
+    def _base(self, spec: S.TableSpec, folders: Sequence[dict]) -> DataFrame:
+        """A target's base as a bucketed table.
+
+        Only tables of the session's catalog know their buckets, so the folder is made known
+        there under a name of its own; its files stay where they are.
+        """
+        if not folders:
+            return self.spark.createDataFrame([], spec.schema)
+        [folder] = folders
+        name = _table_name(folder)
+        if not self.spark.catalog.tableExists(name):
+            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spec.schema)
+            self.spark.sql(
+                f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet"
+                f" CLUSTERED BY (`{spec.key}`) INTO {folder['buckets']} BUCKETS LOCATION '{self.path}/{folder['path']}'"
+            )
+        return self.spark.table(name)
 
     def _changes_schema(self, spec: S.TableSpec) -> StructType:
         return spec.schema.add("deleted", BooleanType()).add("changed_in", LongType())
@@ -147,11 +230,11 @@ class State:
     def target(self, spec: S.TableSpec, manifest: dict | None = None) -> DataFrame:
         """Current rows of a target: its base with the unmerged changes laid over.
 
-        The base is not shuffled as long as the changes are small enough for Spark to
-        broadcast them (by their file size), and is joined by key beyond that.
+        The base is never shuffled: small changes are broadcast (Spark's choice, by their file
+        size), larger ones are dealt out to the base's buckets.
         """
         manifest = manifest or self.manifest()
-        base = self._read(spec.schema, manifest["targets"].get(spec.name, {}).get("base", []))
+        base = self._base(spec, manifest["targets"].get(spec.name, {}).get("base", []))
         changes = self._changes(spec, manifest)
         if changes is None:
             return base
@@ -164,18 +247,33 @@ class State:
 
     # Writing
 
-    def write(self, df: DataFrame, folder: str) -> dict:
-        """Write a folder that counts only once a published manifest names it."""
+    def write(self, df: DataFrame, folder: str, ranges: Ranges | None = None) -> dict:
+        """Write a folder that counts only once a published manifest names it.
+
+        ``ranges`` tells which sequences it holds, by broker partition.
+        """
         path = f"{folder}/{uuid.uuid4().hex}"
         df.write.parquet(f"{self.path}/{path}")
-        return {"path": path, "size": self._files.size(f"{self.path}/{path}")}
+        held = {} if ranges is None else {"ranges": {str(p): list(r) for p, r in ranges.items()}}
+        return {"path": path, "size": self._files.size(f"{self.path}/{path}"), **held}
+
+    def _write_base(self, rows: DataFrame, spec: S.TableSpec, buckets: int) -> dict:
+        """Write rows bucketed by key; rows that come bucketed already are not shuffled."""
+        folder = {"path": f"target/{spec.name}/{uuid.uuid4().hex}", "buckets": buckets}
+        name = _table_name(folder)
+        (
+            rows.select(spec.key, *spec.column_names)
+            .write.bucketBy(buckets, spec.key).format("parquet")
+            .option("path", f"{self.path}/{folder['path']}").saveAsTable(name)
+        )
+        return {**folder, "size": self._files.size(f"{self.path}/{folder['path']}")}
 
     def write_net_changes(self, net: DataFrame, spec: S.TableSpec, manifest: dict) -> dict:
         """Write a batch's net changes; gives the target's new manifest entry."""
         known = manifest["targets"].get(spec.name, {"base": [], "changes": []})
         if not known["base"] and not known["changes"]:
-            base = self.write(A.rows_from(net, spec), f"target/{spec.name}")
-            return {"base": [base], "changes": []}
+            rows = A.rows_from(net, spec).repartition(self.buckets, spec.key)
+            return {"base": [self._write_base(rows, spec, self.buckets)], "changes": []}
         changes = net.select(
             spec.key, *spec.column_names,
             (F.col("operation") == S.DELETE).alias("deleted"),
@@ -194,17 +292,46 @@ class State:
                 continue
             changed = sum(f["size"] for f in known["changes"])
             if changed > self.merge_share * sum(f["size"] for f in known["base"]):
-                base = self.write(self.target(spec, manifest), f"target/{spec.name}")
-                manifest["targets"][spec.name] = {"base": [base], "changes": []}
+                manifest["targets"][spec.name] = {"base": [self._merged(spec, manifest)], "changes": []}
             elif len(known["changes"]) > self.fold_count:
                 folded = self.write(self._changes(spec, manifest), f"target/{spec.name}")
                 manifest["targets"][spec.name]["changes"] = [folded]
         for name, schema in (("ledger", S.LEDGER_SCHEMA), ("quarantine", S.QUARANTINE_SCHEMA)):
             small = [f for f in manifest[name] if f["size"] < self.fold_size]
             if len(small) > self.fold_count:
-                rows = self._read(schema, small).sortWithinPartitions(*S.EVENT_ID)
-                folded = self.write(rows, name)
+                # By range, so that file statistics skip what lies before a batch's sequences.
+                rows = self._read(schema, small).repartitionByRange(*S.EVENT_ID).sortWithinPartitions(*S.EVENT_ID)
+                folded = self.write(rows, name, joined_ranges(small))
                 kept = [f for f in manifest[name] if f not in small]
                 manifest[name] = [*kept, folded]
         if json.dumps(manifest) != before:
-            self.publish(manifest)
+            manifest = self.publish(manifest)
+        self._expire(manifest["version"])
+
+    def _merged(self, spec: S.TableSpec, manifest: dict) -> dict:
+        """A new base with all changes: one bucketed join, in which only the changes move."""
+        [base] = manifest["targets"][spec.name]["base"]
+        changes = self._changes(spec, manifest).repartition(base["buckets"], spec.key)
+        net = changes.withColumn("operation", F.when(F.col("deleted"), S.DELETE).otherwise(S.UPDATE))
+        merged = A.merge_changes(self._base(spec, [base]), net.hint("merge"), spec)
+        return self._write_base(merged, spec, base["buckets"])
+
+    def _expire(self, newest: int) -> None:
+        """Remove old versions, and folders that no kept version names and no writer may still fill."""
+        versions = sorted(
+            int(n.removesuffix(".json")) for n, _ in self._files.folders(f"{self.path}/_versions") if n.endswith(".json")
+        )
+        old = [v for v in versions if v <= newest - self.keep_versions]
+        if not old:
+            return
+        named = {f["path"] for v in versions if v not in old for f in _folders(self.manifest(v))}
+        limit = time.time() * 1000 - self.keep_seconds * 1000
+        parts = ["ledger", "quarantine", "offsets", *[f"target/{s.name}" for s in self.specs]]
+        for part in parts:
+            for name, changed in self._files.folders(f"{self.path}/{part}"):
+                path = f"{part}/{name}"
+                if path not in named and changed < limit:
+                    self.spark.sql(f"DROP TABLE IF EXISTS {_table_name({'path': path})}")
+                    self._files.delete(f"{self.path}/{path}")
+        for v in old:
+            self._files.delete(f"{self.path}/_versions/{v}.json")

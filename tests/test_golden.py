@@ -40,7 +40,7 @@ def test_duplicate_replay(spark):
     assert rows(out.ledger, "partition_id", "sequence_number", "commit_lsn") == [
         (0, 100, "LSN_500"), (0, 101, "LSN_501"),
     ]
-    assert rows(out.offsets.drop("updated_at")) == [(0, 101, "LSN_501")]
+    assert rows(out.offsets.drop("updated_at", "last_arrival")) == [(0, 101, "LSN_501")]
     assert rows(out.targets["Orders"], "OrderID", "Product") == [(1, "Shipped")]
     flags = A.classify(decode(messages)).orderBy("arrival").select("applied").collect()
     assert [r[0] for r in flags] == [True, True, False]
@@ -57,7 +57,7 @@ def test_two_consumers(spark):
     for first in (100, 102):
         out = materialize(start_at(stream, {0: first}))
         assert rows(out.ledger, "sequence_number") == [(n,) for n in range(first, 105)]
-        assert rows(out.offsets.drop("updated_at")) == [(0, 104, "LSN_504")]
+        assert rows(out.offsets.drop("updated_at", "last_arrival")) == [(0, 104, "LSN_504")]
         assert rows(out.targets["Orders"], "OrderID") == [(2,)]
 
 
@@ -68,10 +68,10 @@ def test_four_partitions(spark):
     ])
     out = materialize(stream)
     assert out.ledger.count() == 12
-    assert rows(out.offsets.drop("updated_at")) == [(p, 102, f"LSN_{p}_102") for p in range(4)]
+    assert rows(out.offsets.drop("updated_at", "last_arrival")) == [(p, 102, f"LSN_{p}_102") for p in range(4)]
     assert out.targets["Orders"].count() == 0
-    ticks = A.rounds(decode(stream)).groupBy("tick").count()
-    assert rows(ticks) == [(1, 4), (2, 4), (3, 4)]
+    turns = A.assign_batches(decode(stream), 1).groupBy("batch").count()
+    assert rows(turns) == [(1, 4), (2, 4), (3, 4)]
 
 
 def test_two_tables_share_one_ledger(spark):
@@ -88,7 +88,7 @@ def test_two_tables_share_one_ledger(spark):
     assert rows(state.target(S.ORDERS), "OrderID", "Product") == [(1, "Shipped")]
     assert rows(state.target(S.ORDER_LINES), "OrderLineID", "ProductID") == [(2, 4)]
     assert state.ledger().count() == 5
-    assert rows(state.offsets().drop("updated_at")) == [(0, 204, "LSN_704")]
+    assert rows(state.offsets().drop("updated_at", "last_arrival")) == [(0, 204, "LSN_704")]
 
 
 def batching_messages():
@@ -179,8 +179,11 @@ def test_event_at_a_time_equals_one_batch(spark):
     apply_in_batches(one_by_one, [feed(spark, [m]) for m in messages])
     apply_batch(at_once, feed(spark, messages))
     for table in ("ledger", "offsets"):
-        left = rows(getattr(one_by_one, table)().drop("processed_at", "updated_at"))
-        assert left == rows(getattr(at_once, table)().drop("processed_at", "updated_at"))
+        left, right = (
+            rows(getattr(s, table)().drop("processed_at", "updated_at", "arrival", "last_arrival"))
+            for s in (one_by_one, at_once)
+        )
+        assert left == right
     assert rows(one_by_one.target(S.ORDERS)) == rows(at_once.target(S.ORDERS))
 
 
@@ -249,7 +252,7 @@ def test_views(spark):
     events = decode(stream)
     classified = A.classify(events)
     assert rows(views.apply_counts(classified)) == [(3, 1, 7, "LSN_9")]
-    log = views.recent_log(classified, "key", 3).collect()
+    log = views.recent_log(classified, [S.ORDERS], 3).collect()
     assert [(r["sequence_number"], r["applied"], r["key_text"]) for r in log] == [
         (7, True, "OrderID=4"), (101, False, "OrderID=1"), (101, True, "OrderID=1"),
     ]
@@ -257,7 +260,7 @@ def test_views(spark):
         (0, 100, "INS"), (0, 101, "DUP"), (0, 101, "UPD"), (1, 7, "INS"),
     ]
     ledger = materialize(feed(spark, DUPLICATE_REPLAY[:1])).ledger
-    assert rows(views.backlog(events, ledger, "key")) == [
+    assert rows(views.backlog(events, ledger, [S.ORDERS])) == [
         (0, 1, "seq 101 UPD OrderID=1", ""), (1, 1, "seq 7 INS OrderID=4", ""),
     ]
     orders = materialize(stream).targets["Orders"]
