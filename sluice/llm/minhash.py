@@ -8,8 +8,9 @@ text is done as soon as all places are filled with ranks of earlier rounds.
 36 bands of five places make a pair at similarity 0.75 share a bucket in 99.994 % of cases. A bucket does not
 give all its pairs: its first node, the pivot, is compared with the others on full sets. Nodes
 that then are in different components are compared further, a few pivots of each bucket a round,
-until every bucket holds one component or has no untested pair across components. So no link
-between nodes of a bucket is lost, and a large group of copies costs one comparison per member.
+until every bucket holds one component or has no untested pair across components; nodes that
+have too few shingles outside their component to be linked are left out of that. So no link
+between nodes of a bucket is lost, and a large group of copies costs about one comparison per member.
 
 Signatures, buckets, pairs and components stay in tables; nothing of them reaches the driver.
 """
@@ -243,8 +244,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = components.of(nodes.select(*same_set, "node", F.col("least.doc_id").alias("least")), "node", "root")
     classes = stage.write(classes.select(*same_set, "root", "least"))
     least = classes.groupBy("root").agg(F.min("least").alias("component_id"))
-    classes = stage.write(classes.join(least, "root").select(*same_set, "component_id"))
-    grouped = full.drop("bands").join(classes, same_set).select("doc_id", "n", "component_id")
+    classes = stage.write(classes.join(least.hint("merge"), "root").select(*same_set, "component_id"))
+    grouped = full.drop("bands").join(classes.hint("merge"), same_set).select("doc_id", "n", "component_id")
     alone = signed.filter("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id"))
     return grouped.unionByName(alone).select(
         "doc_id", F.col("n").alias("n_shingles"), "component_id",
@@ -259,7 +260,7 @@ def _link(stage: Stage, source: DataFrame, nodes: DataFrame, components: Compone
         entries.groupBy("key").agg(F.min("node").alias("pivot"), F.count("*").alias("size")).filter("size > 1")
     )
     buckets = stage.write(entries.join(shared.hint("merge"), "key").select("key", "node", "pivot"))
-    wanted = buckets.select("node").distinct().join(nodes.select("node", "d1", "d2", "least.doc_id"), "node")
+    wanted = buckets.select("node").distinct().join(nodes.select("node", "d1", "d2", "least.doc_id").hint("merge"), "node")
     texts = stage.write(
         source.join(wanted.hint("merge"), source["doc_id"].eqNullSafe(wanted["doc_id"])).select("node", "d1", "d2", "text")
         .mapInArrow(_of_node, "node long, text string").dropDuplicates(["node"])
@@ -269,30 +270,72 @@ def _link(stage: Stage, source: DataFrame, nodes: DataFrame, components: Compone
     )
     tested = pairs
     open_entries = buckets.filter("node != pivot").select("key", "node")
+    sizes = nodes.select("node", "n")
     while True:
         components.add(stage.write(_verified(pairs, texts)))
-        rooted = stage.write(components.of(open_entries, "node", "root"))
-        unresolved = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-        unresolved = unresolved.filter("low != high").select("key")
-        open_entries = stage.write(rooted.join(unresolved.hint("merge"), "key"))
+        open_entries = _unresolved(stage, components.of(open_entries, "node", "root"))
         if open_entries.isEmpty():
             return
+        open_entries = _linkable(stage, open_entries, sizes, texts)
+        open_entries = _unresolved(stage, open_entries)
         # One pivot of each component first: a straggler is compared with all others at once.
         turn = F.row_number().over(W.partitionBy("key", "root").orderBy("node"))
         place = F.row_number().over(W.partitionBy("key").orderBy("turn", "root"))
         pivots = stage.write(
             open_entries.withColumn("turn", turn).filter(F.col("turn") <= PIVOTS)
             .withColumn("place", place).filter(F.col("place") <= PIVOTS)
-            .select("key", F.col("node").alias("pivot"), F.col("root").alias("pivot_root"))
+            .select("key", *[F.col(c).alias(f"pivot_{c}") for c in ("node", "root", "n", "shared")])
         )
-        across = open_entries.join(pivots.hint("merge"), "key").filter("root != pivot_root")
-        pairs = across.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
+        enough = 175 * F.least("shared", "pivot_shared") >= 75 * (F.col("n") + F.col("pivot_n"))
+        across = open_entries.join(
+            pivots.hint("merge"),
+            (open_entries["key"] == pivots["key"]) & (F.col("root") != F.col("pivot_root")) & enough,
+        )
+        pairs = across.select(F.least("node", "pivot_node").alias("a"), F.greatest("node", "pivot_node").alias("b")).distinct()
         pairs = stage.write(pairs.join(tested.hint("merge"), ["a", "b"], "left_anti"))
         tested = tested.unionByName(pairs)
-        gone = pivots.select("key", F.col("pivot").alias("node"))
+        gone = pivots.select("key", F.col("pivot_node").alias("node"))
         open_entries = open_entries.join(gone.hint("merge"), ["key", "node"], "left_anti").select("key", "node")
 
 
+def _unresolved(stage: Stage, rooted: DataFrame) -> DataFrame:
+    """Entries of buckets that hold more than one component."""
+    rooted = stage.write(rooted)
+    mixed = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+    return stage.write(rooted.join(mixed.filter("low != high").select("key").hint("merge"), "key"))
+
+
+def _linkable(stage: Stage, entries: DataFrame, sizes: DataFrame, texts: DataFrame) -> DataFrame:
+    """Entries that can still be linked across components, with n and ``shared``.
+
+    A shingle that occurs in one component only takes no part in a link to another one. Two sets
+    of n and m shingles are linked if they have 75 / 175 of n + m in common, so a node with fewer
+    other shingles than that, given the smallest set of its bucket, is done without comparing it.
+    This tells the members of a large group that differ too much, exactly and in linear work.
+    """
+    nodes = stage.write(entries.select("node", "root").distinct())
+    found = nodes.join(texts.hint("merge"), "node").select("node", "root", "text")
+    found = stage.write(found.mapInArrow(_exploded, "node long, root long, shingle long"))
+    private = found.groupBy("shingle").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low = high")
+    private = stage.write(private.select("shingle"))
+    alone = found.join(private.hint("merge"), "shingle", "left_semi").groupBy("node").agg(F.count("*").alias("alone"))
+    facts = nodes.select("node").join(sizes.hint("merge"), "node").join(stage.write(alone).hint("merge"), "node", "left")
+    facts = stage.write(facts.select("node", "n", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("shared")))
+    known = stage.write(entries.join(facts.hint("merge"), "node").select("key", "node", "root", "n", "shared"))
+    smallest = known.groupBy("key").agg(F.min("n").alias("least_n"))
+    able = 175 * F.col("shared") >= 75 * (F.col("n") + F.col("least_n"))
+    return known.join(smallest.hint("merge"), "key").filter(able).drop("least_n")
+
+
+def _exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in N.slices(batches, 2, 1 << 19):
+        text, h = distinct_sets(*shingles(batch.column(2)))
+        at = pa.array(text)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0).take(at), batch.column(1).take(at), pa.array(h.view(np.int64))], names=["node", "root", "shingle"]
+        )
+
+
 def _of_node(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts whose set is the node's: an id may be repeated with another text."""
     for batch in N.slices(batches, 3, 1 << 19):
