@@ -9,12 +9,13 @@ from pyspark.sql import DataFrame, functions as F
 
 from sluice import schemas as S
 from sluice.operators import apply as A, decode as X
+from sluice.session import staged
 from sluice.sources.changes import drop_empty
 
 
 @dataclass(frozen=True)
 class Outcome:
-    """Result tables of applying a feed, all lazy."""
+    """Result tables of applying a feed, all lazy; each reads the feed again unless it was kept."""
 
     applied: DataFrame
     rejects: DataFrame
@@ -22,6 +23,9 @@ class Outcome:
     offsets: DataFrame
     targets: dict[str, DataFrame]
 
+    def tables(self) -> list[DataFrame]:
+        return [self.rejects, self.ledger, self.offsets, *self.targets.values()]
+
 
 def decode(
     messages: DataFrame,
@@ -48,14 +52,21 @@ def materialize(
     messages: DataFrame,
     specs: Sequence[S.TableSpec] = (S.ORDERS,),
     decoder: Callable[[DataFrame], DataFrame] = X.decode_live,
+    keep: bool = False,
 ) -> Outcome:
     """Apply a whole feed to empty targets.
 
     Two shuffles per target: by event for the deduplication, by key for the net change. One
-    ledger and one offset table serve all targets.
+    ledger and one offset table serve all targets. With ``keep`` the decoded, deduplicated events
+    are written to the shared folder first, for when more than one result is read: the feed is
+    then read and decoded a single time. The first usable copy of an event counts.
     """
     events = decode(messages, specs, decoder)
-    applied = A.dedup_in_batch(X.accepted(events))
+    if keep:
+        events = staged(A.unique_events(events), "applied")
+        applied = X.accepted(events)
+    else:
+        applied = A.dedup_in_batch(X.accepted(events))
     return Outcome(
         applied=applied,
         rejects=X.rejects(events),
