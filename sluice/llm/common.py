@@ -39,9 +39,11 @@ class Stage:
         self.spark, self.name = spark, name
         self._paths: dict[int, str] = {}
 
-    def write(self, df: DataFrame) -> DataFrame:
+    def write(self, df: DataFrame, narrow: bool = False) -> DataFrame:
+        """``narrow``: rows of a few numbers; two files per core are enough for them."""
         path = new_folder(self.spark, self.name)
-        df.write.parquet(path)
+        written = df.coalesce(2 * self.spark.sparkContext.defaultParallelism) if narrow else df
+        written.write.parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         self._paths[id(out)] = path
         return out

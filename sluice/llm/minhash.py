@@ -32,7 +32,9 @@ PLACES = BANDS * ROWS
 #: Link two sets if 100 * |intersection| >= PERCENT * |union|.
 PERCENT = 75
 #: Pivots of a bucket in each later round.
-PIVOTS = 16
+PIVOTS = 64
+#: Longs of a set's bitmap, in which each shingle flips one bit.
+BITMAP = 16
 #: Rounds before permutations are kept in full.
 _TRACED = 6
 
@@ -128,11 +130,16 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(N.mix(h * np.uint64(2) + np.uint64(salt)))])
             edge = np.concatenate([[0], np.cumsum(n)])
             digests.append(pa.array((sums[edge[1:]] - sums[edge[:-1]]).view(np.int64)))
+        bits = np.bincount(text * (64 * BITMAP) + (h >> np.uint64(54)).astype(np.int64), minlength=rows * 64 * BITMAP) & 1
+        bitmaps = np.packbits(bits.astype(np.uint8)).view(np.int64)
+        bitmap_offsets = pa.array(np.arange(rows + 1, dtype=np.int32) * BITMAP)
         keys = band_keys(signatures(text, h, rows))
         offsets = pa.array(np.concatenate([[0], np.cumsum(np.where(n > 0, BANDS, 0))]).astype(np.int32))
         bands = pa.ListArray.from_arrays(offsets, pa.array(keys[n > 0].ravel()))
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(n.astype(np.int64)), *digests, bands], names=["doc_id", "n", "d1", "d2", "bands"]
+            [batch.column(0), pa.array(n.astype(np.int64)), *digests, bands,
+             pa.ListArray.from_arrays(bitmap_offsets, pa.array(bitmaps))],
+            names=["doc_id", "n", "d1", "d2", "bands", "bits"],
         )
 
 
@@ -202,15 +209,15 @@ class Components:
             for column in ("a", "b"):
                 edges = self.of(edges, column, column + "_root")
             edges = edges.filter("a_root != b_root").select(F.col("a_root").alias("a"), F.col("b_root").alias("b"))
-            edges = write(edges.mapInArrow(_forest, "a long, b long").distinct())
+            edges = write(edges.mapInArrow(_forest, "a long, b long").distinct(), narrow=True)
             if edges.isEmpty():
                 return
-            parents = write(edges.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("root")))
+            parents = write(edges.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("root")), narrow=True)
             while True:
                 above = parents.select(F.col("node").alias("root"), F.col("root").alias("up"))
                 jumped = write(parents.join(above, "root", "left").select(
                     "node", F.coalesce("up", "root").alias("root"), F.col("up").isNotNull().alias("moved")
-                ))
+                ), narrow=True)
                 parents = jumped.select("node", "root")
                 if jumped.filter("moved").isEmpty():
                     break
@@ -219,7 +226,7 @@ class Components:
             else:
                 older = self.roots.join(parents.select(F.col("node").alias("root"), F.col("root").alias("up")), "root", "left")
                 older = older.select("node", F.coalesce("up", "root").alias("root"))
-                self.roots = write(older.unionByName(parents.join(self.roots, "node", "left_anti")))
+                self.roots = write(older.unionByName(parents.join(self.roots, "node", "left_anti")), narrow=True)
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -232,11 +239,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     stage = Stage(docs.sparkSession, "minhash")
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), whole_text(F.col(text_col)).alias("text"))
-    signed = stage.write(source.mapInArrow(_sign, "doc_id long, n long, d1 long, d2 long, bands array<long>"))
+    signed = stage.write(source.mapInArrow(_sign, "doc_id long, n long, d1 long, d2 long, bands array<long>, bits array<long>"))
     full = signed.filter("n > 0")
     same_set = ["d1", "d2", "n"]
     nodes = stage.write(
-        full.groupBy(*same_set).agg(F.min(F.struct("doc_id", "bands")).alias("least"))
+        full.groupBy(*same_set).agg(F.min(F.struct("doc_id", "bands", "bits")).alias("least"))
         .select("*", F.monotonically_increasing_id().alias("node"))
     )
     components = Components(stage)
@@ -245,7 +252,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = stage.write(classes.select(*same_set, "root", "least"))
     least = classes.groupBy("root").agg(F.min("least").alias("component_id"))
     classes = stage.write(classes.join(least.hint("merge"), "root").select(*same_set, "component_id"))
-    grouped = full.drop("bands").join(classes.hint("merge"), same_set).select("doc_id", "n", "component_id")
+    grouped = full.drop("bands", "bits").join(classes.hint("merge"), same_set).select("doc_id", "n", "component_id")
     alone = signed.filter("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id"))
     return grouped.unionByName(alone).select(
         "doc_id", F.col("n").alias("n_shingles"), "component_id",
@@ -270,7 +277,7 @@ def _link(stage: Stage, source: DataFrame, nodes: DataFrame, components: Compone
     )
     tested = pairs
     open_entries = buckets.filter("node != pivot").select("key", "node")
-    sizes = nodes.select("node", "n")
+    sizes = nodes.select("node", "n", "least.bits")
     while True:
         components.add(stage.write(_verified(pairs, texts)))
         open_entries = _unresolved(stage, components.of(open_entries, "node", "root"))
@@ -284,44 +291,51 @@ def _link(stage: Stage, source: DataFrame, nodes: DataFrame, components: Compone
         pivots = stage.write(
             open_entries.withColumn("turn", turn).filter(F.col("turn") <= PIVOTS)
             .withColumn("place", place).filter(F.col("place") <= PIVOTS)
-            .select("key", *[F.col(c).alias(f"pivot_{c}") for c in ("node", "root", "n", "shared")])
+            .select("key", *[F.col(c).alias(f"pivot_{c}") for c in ("node", "root", "n", "shared", "bits")])
         )
-        enough = 175 * F.least("shared", "pivot_shared") >= 75 * (F.col("n") + F.col("pivot_n"))
+        total = F.col("n") + F.col("pivot_n")
+        # Shingles of one set alone flip the bits that differ, so there are as many at least.
+        enough = (175 * F.least("shared", "pivot_shared") >= 75 * total) & (7 * _differing("bits", "pivot_bits") <= total)
         across = open_entries.join(
             pivots.hint("merge"),
             (open_entries["key"] == pivots["key"]) & (F.col("root") != F.col("pivot_root")) & enough,
         )
         pairs = across.select(F.least("node", "pivot_node").alias("a"), F.greatest("node", "pivot_node").alias("b")).distinct()
-        pairs = stage.write(pairs.join(tested.hint("merge"), ["a", "b"], "left_anti"))
+        pairs = stage.write(pairs.join(tested.hint("merge"), ["a", "b"], "left_anti"), narrow=True)
         tested = tested.unionByName(pairs)
         gone = pivots.select("key", F.col("pivot_node").alias("node"))
         open_entries = open_entries.join(gone.hint("merge"), ["key", "node"], "left_anti").select("key", "node")
 
 
+def _differing(a: str, b: str) -> Column:
+    bits = F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    return F.aggregate(bits, F.lit(0), lambda acc, n: acc + n)
+
+
 def _unresolved(stage: Stage, rooted: DataFrame) -> DataFrame:
     """Entries of buckets that hold more than one component."""
-    rooted = stage.write(rooted)
+    rooted = stage.write(rooted, narrow=True)
     mixed = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-    return stage.write(rooted.join(mixed.filter("low != high").select("key").hint("merge"), "key"))
+    return stage.write(rooted.join(mixed.filter("low != high").select("key").hint("merge"), "key"), narrow=True)
 
 
 def _linkable(stage: Stage, entries: DataFrame, sizes: DataFrame, texts: DataFrame) -> DataFrame:
-    """Entries that can still be linked across components, with n and ``shared``.
+    """Entries that can still be linked across components, with n, bits and ``shared``.
 
     A shingle that occurs in one component only takes no part in a link to another one. Two sets
     of n and m shingles are linked if they have 75 / 175 of n + m in common, so a node with fewer
     other shingles than that, given the smallest set of its bucket, is done without comparing it.
     This tells the members of a large group that differ too much, exactly and in linear work.
     """
-    nodes = stage.write(entries.select("node", "root").distinct())
+    nodes = stage.write(entries.select("node", "root").distinct(), narrow=True)
     found = nodes.join(texts.hint("merge"), "node").select("node", "root", "text")
     found = stage.write(found.mapInArrow(_exploded, "node long, root long, shingle long"))
     private = found.groupBy("shingle").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low = high")
-    private = stage.write(private.select("shingle"))
+    private = stage.write(private.select("shingle"), narrow=True)
     alone = found.join(private.hint("merge"), "shingle", "left_semi").groupBy("node").agg(F.count("*").alias("alone"))
-    facts = nodes.select("node").join(sizes.hint("merge"), "node").join(stage.write(alone).hint("merge"), "node", "left")
-    facts = stage.write(facts.select("node", "n", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("shared")))
-    known = stage.write(entries.join(facts.hint("merge"), "node").select("key", "node", "root", "n", "shared"))
+    facts = nodes.select("node").join(sizes.hint("merge"), "node").join(alone.hint("merge"), "node", "left")
+    facts = facts.select("node", "n", "bits", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("shared"))
+    known = stage.write(entries.join(facts.hint("merge"), "node").select("key", "node", "root", "n", "shared", "bits"))
     smallest = known.groupBy("key").agg(F.min("n").alias("least_n"))
     able = 175 * F.col("shared") >= 75 * (F.col("n") + F.col("least_n"))
     return known.join(smallest.hint("merge"), "key").filter(able).drop("least_n")

@@ -93,6 +93,24 @@ def test_near_group_without_central_text(spark):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in found.collect()} == R.near_components(rows)
 
 
+def test_near_group_of_many_degrees(spark):
+    """One large group whose members lie at any distance from the base; some edits occur twice."""
+    rnd, rows = random.Random(11), []
+    base = [f"b{i}" for i in range(100)]
+    for n in range(160):
+        w = list(base)
+        for _ in range(rnd.randint(0, 14)):
+            w[rnd.randrange(len(w))] = f"e{rnd.randint(0, 60)}"
+        rows.append(" ".join(w))
+        if n % 10 == 0:
+            rows.append(" ".join(w[:-1]))
+    rows = list(enumerate(rows))
+    expected = R.near_components(rows)
+    found = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found.collect()} == expected
+    assert 20 < len({c for _, c in expected.values()}) < 160
+
+
 def test_near_awkward(docs, nothing):
     found = {(r.doc_id, r.n_shingles, r.component_id, r.kept) for r in minhash.near_duplicates(docs).collect()}
     expected = R.near_components([(r[0], r[1]) for r in R.awkward_rows() if r[0] is not None])
