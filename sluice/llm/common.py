@@ -32,12 +32,12 @@ class Stage:
     """Tables written to the shared folder and read back.
 
     They cut lineage: a lost executor re-reads files instead of recomputing what came before.
-    ``drop`` removes one that nothing reads any more; the last ones stay for the lazy result.
+    ``clear`` removes those that nothing reads any more; the last ones stay for the lazy result.
     """
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.name = spark, name
-        self._paths: dict[int, str] = {}
+        self._tables: list[tuple[DataFrame, str]] = []
 
     def write(self, df: DataFrame, narrow: bool = False) -> DataFrame:
         """``narrow``: rows of a few numbers; two files per core are enough for them."""
@@ -45,9 +45,14 @@ class Stage:
         written = df.coalesce(2 * self.spark.sparkContext.defaultParallelism) if narrow else df
         written.write.parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
-        self._paths[id(out)] = path
+        self._tables.append((out, path))
         return out
 
-    def drop(self, df: DataFrame) -> None:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self._paths.pop(id(df)))
-        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+    def clear(self, *keep: DataFrame) -> None:
+        """Remove all tables but those to keep."""
+        kept = [(df, path) for df, path in self._tables if any(df is k for k in keep)]
+        for df, path in self._tables:
+            if not any(df is k for k in keep):
+                folder = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+                folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
+        self._tables = kept

@@ -42,7 +42,7 @@ def duplicate_classes(
         F.lit(0).cast("long").alias("group"),
         text.alias("rest"),
     )
-    finished, width = [], FIRST_DIGIT
+    parts, width = [], FIRST_DIGIT
     while True:
         keyed = rows.withColumn("digit", F.substring("rest", 1, width))
         sizes = stage.write(
@@ -64,13 +64,13 @@ def duplicate_classes(
             )
         )
         split = stage.write(split)
-        finished.append(split.filter("NOT open"))
+        parts.append(split)
+        stage.clear(*parts)
         if not open_groups:
             break
-        stage.drop(sizes)
         rows = split.filter("open").select("doc", "rank", "group", "rest")
         width *= GROWTH
-    return reduce(DataFrame.unionAll, finished).select(
+    return reduce(DataFrame.unionAll, [p.filter("NOT open") for p in parts]).select(
         "doc",
         F.col("keep.id").alias("keep_id"),
         F.col("n").alias("group_size"),

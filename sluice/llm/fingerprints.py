@@ -157,10 +157,12 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     first_block = F.lit(firsts.agg(F.min("block")).first()[0])
     order = _following(firsts).select(F.col("block").alias("at"), F.coalesce("next_block", first_block).alias("block"))
     border = order.join(firsts.hint("merge"), "block").select(F.col("at").alias("block"), "first_text", "first_packed")
+    border = stage.write(border)
+    stage.clear(border)
     near = W.partitionBy("block").orderBy("key", "text")
     return (
         rows.withColumn("packed", packed_fingerprint(F.col("text")))
-        .join(stage.write(border).hint("merge"), "block")
+        .join(border.hint("merge"), "block")
         .withColumn("next", F.lead(F.struct("text", "packed")).over(near))
         .select(
             "doc_id", "text", "packed",

@@ -252,6 +252,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = stage.write(classes.select(*same_set, "root", "least"))
     least = classes.groupBy("root").agg(F.min("least").alias("component_id"))
     classes = stage.write(classes.join(least.hint("merge"), "root").select(*same_set, "component_id"))
+    stage.clear(signed, classes)
     grouped = full.drop("bands", "bits").join(classes.hint("merge"), same_set).select("doc_id", "n", "component_id")
     alone = signed.filter("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id"))
     return grouped.unionByName(alone).select(

@@ -164,11 +164,13 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str, id_col: str = "doc_i
     rows = texts.join(known.hint("merge"), "_id").select(
         "text", "_label", (rank < F.lit(share * (1 << 30))).alias("fit"), rank.alias("rank")
     )
-    parts = Stage(docs.sparkSession, "quality").write(
+    stage = Stage(docs.sparkSession, "quality")
+    parts = stage.write(
         rows.mapInArrow(_collect, "feature long, label long, n long, rank long, features array<int>")
     )
     sums = parts.filter("feature IS NOT NULL").groupBy("feature", "label").agg(F.sum("n").alias("n")).toArrow()
     examples = parts.filter("feature IS NULL").select("rank", "label", "features").toArrow()
+    stage.clear()
     counts = np.zeros((2, BUCKETS + 1))
     counts[sums.column(1).to_numpy(), sums.column(0).to_numpy()] = sums.column(2).to_numpy()
     return _train(counts, examples)
