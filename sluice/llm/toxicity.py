@@ -15,7 +15,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F
 
 from sluice.llm import words as N
 
@@ -142,15 +142,15 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str, id_col: str = "doc_i
 def predict(docs: DataFrame, model: Model, text_col: str = "text", carry: tuple[str | Column, ...] = ("doc_id",)) -> DataFrame:
     """doc (struct of ``carry``) and score, 0 to 1, of every text; null counts as empty.
 
-    A text without words gets the score of the bias alone. Equal texts get equal scores.
+    A text without words gets the score of the bias alone. Equal texts get equal scores. Only
+    texts go to Python; carried columns stay where they are.
     """
-    source = docs.select(F.struct(*carry).alias("doc"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in N.slices(batches, 1):
-            text, feature = features(batch.column(1))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(model.score(text, feature, batch.num_rows))], names=["doc", "score"]
-            )
-
-    return source.mapInArrow(score, T.StructType([source.schema["doc"], T.StructField("score", T.DoubleType())]))
+    def score(texts: pa.Array) -> pa.Array:
+        batch = pa.RecordBatch.from_arrays([texts], names=["text"])
+        parts = [
+            model.score(*features(part.column(0)), part.num_rows) for part in N.slices([batch], 0)
+        ]
+        return pa.array(np.concatenate(parts) if parts else np.zeros(0))
+
+    scored = F.arrow_udf(score, "double")
+    return docs.select(F.struct(*carry).alias("doc"), scored(F.coalesce(F.col(text_col), F.lit(""))).alias("score"))
