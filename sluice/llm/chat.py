@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from sluice.llm.tokens import encoder
+from sluice.llm.tokens import encode, encoder
 
 #: Ids above the vocabulary and how they are written out.
 BEGIN, SEPARATOR, END = 50_257, 50_258, 50_259
@@ -49,7 +49,6 @@ def unescape(text: str) -> str:
 
 
 def _encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    encode = encoder().encode_ordinary
     marks = [np.array([mark], np.int32) for mark in (BEGIN, SEPARATOR, END)]
     for whole in batches:
         for first in range(0, whole.num_rows, _BATCH):

@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from sluice.llm.tokens import encoder
+from sluice.llm.tokens import encode
 
 LONGEST = 2048
 END = 1
@@ -36,7 +36,6 @@ def piece_lengths(n: int, longest: int = LONGEST) -> list[int]:
 
 
 def _cut(texts: pa.Array, end: int, longest: int, with_ids: bool) -> Iterator[tuple]:
-    encode = encoder().encode_ordinary
     for at, text in enumerate(texts):
         ids = np.array([*encode(text.as_py() or ""), end], dtype="<u4")
         start = 0

@@ -240,6 +240,24 @@ def test_tokens_equal_the_tokenizer_file():
     assert [tokens.encoder().encode_ordinary(t) for t in texts] == expected
 
 
+@pytest.mark.parametrize("blank", [" ", "\n"])
+def test_long_blanks(spark, blank):
+    """Longer than the pattern of the fast encoder can follow."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["word" + blank * n + "x" for n in (2_000_000, tokens.LONGEST_BLANK, tokens.LONGEST_BLANK + 1)] + ["short"]
+    expected = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [tokens.encode(t) for t in texts] == expected
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    pieces = packing.pack(rows, with_ids=False).groupBy("doc.doc_id").agg(F.sum("length").alias("n"), F.max("doc_tokens"))
+    assert {tuple(r) for r in pieces.collect()} == {(i, len(e) + 1, len(e) + 1) for i, e in enumerate(expected)}
+    turns = chat.format_turns(rows.selectExpr("doc_id AS conv_id", "0 AS turn", "'assistant' AS role", "text"))
+    read = {r.conv_id: r.loss_sha256 for r in chat.read_back(turns).collect()}
+    assert read == {i: hashlib.sha256(t.encode()).hexdigest() for i, t in enumerate(texts)}
+
+
 def test_piece_lengths():
     for n in [*range(1, 5000), 123_457]:
         lengths = packing.piece_lengths(n)
