@@ -6,6 +6,10 @@ finished when it holds one row or when its texts have ended, so equal bytes alon
 digest is compared. The first digit is 64 bytes, each later one eight times as long: texts that
 share a prefix of n bytes take about log8(n / 64) rounds, and each byte is compared once.
 
+The first round reads the documents in two jobs, which may number the rows differently where the
+scan is split anew. All groups of several rows therefore go on to the second round, ended texts
+too: it and later ones read the numbers the first one wrote, and choose the kept row by those.
+
 Hot groups: sizes come from an aggregate, combined on the map side, so a group of any size
 sends one row per task. Rows meet their group's size in a join of two shuffled tables at every
 size of the input, which adaptive execution splits where one group holds much of the rows.
@@ -51,8 +55,9 @@ def duplicate_classes(
             .filter("n > 1")
             .withColumn("next", F.monotonically_increasing_id())
         )
-        is_open = (F.col("n") > 1) & (F.length("digit") == width)
-        open_groups = not sizes.filter(F.length("digit") == width).isEmpty()
+        going_on = F.length("digit") == width if parts else F.lit(True)
+        is_open = (F.col("n") > 1) & going_on
+        open_groups = not sizes.filter(going_on).isEmpty()
         split = (
             keyed.join(sizes.hint("merge"), ["group", "digit"], "left")
             .withColumn("open", F.coalesce(is_open, F.lit(False)))

@@ -62,6 +62,34 @@ def test_exact_long_common_prefixes(spark):
     }
 
 
+def test_exact_when_the_scan_is_split_anew(spark, tmp_path, monkeypatch):
+    """Each job reads the files in other partitions, as when an executor is lost between them."""
+    rows = [(i, ["same", "", None, "t" * 64, f"own {i}"][i % 5]) for i in range(80)] + [(7, "twice"), (7, "twice")]
+    for k in range(8):
+        spark.createDataFrame(rows[k::8], "doc_id long, text string").coalesce(1).write.mode("append").parquet(str(tmp_path / "docs"))
+    write, splits = exact_dedup.Stage.write, [1, 64, 1, 64, 1, 64, 1, 64]
+
+    def write_split_anew(self, df, narrow=False):
+        spark.conf.set("spark.sql.files.minPartitionNum", splits.pop())
+        return write(self, df, narrow)
+
+    monkeypatch.setattr(exact_dedup.Stage, "write", write_split_anew)
+    spark.conf.set("spark.sql.files.openCostInBytes", 1)
+    try:
+        found = exact_dedup.duplicate_classes(spark.read.schema("doc_id long, text string").parquet(str(tmp_path / "docs"))).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.minPartitionNum")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    ids = {}
+    for i, t in rows:
+        ids.setdefault(t or "", []).append(i)
+    assert sorted((r.doc.doc_id, r.keep_id, r.group_size) for r in found) == sorted(
+        (i, max(ids[t or ""]), len(ids[t or ""])) for i, t in rows
+    )
+    kept = [(r.doc.doc_id, r.doc.text or "") for r in found if r.kept]
+    assert sorted(kept) == sorted((max(v), t) for t, v in ids.items())
+
+
 # near dedup
 
 def copies(seed):
