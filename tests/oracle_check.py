@@ -12,7 +12,7 @@ import duckdb
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 import __spark_entry__ as entry  # noqa: E402
 
-TABLES = ["orders", "lineitem", "events", "documents", "conversations"]
+TABLES = ["orders", "lineitem", "events", "documents", "conversations", "benchmark"]
 
 
 def connect(sf_dir):
