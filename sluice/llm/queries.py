@@ -6,8 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from sluice.llm import chat, curriculum, exact_dedup, fingerprints, language, minhash, packing, pii, quality, toxicity
+from sluice.llm import (
+    chat, curriculum, exact_dedup, fingerprints, language, minhash, packing, pii, quality, search, tokenfile, toxicity,
+    whitening,
+)
 from sluice.llm.common import fold, sha256_hex, table, whole_text
+from sluice.session import new_folder
 
 
 #: A conversation whose texts look like the template's own marks and escapes.
@@ -113,7 +117,27 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select("doc_id", held.alias("held_out"), "lang_pred", "score", "n_spans")
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    whitened = whitening.whiten(table(spark, sf_dir, "embeddings"), carry=("vec_id",))
+    return whitened.select("doc.vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error")
+
+
+def op12_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = search.rank_documents(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), carry=("item_id",)
+    )
+    return found.select("item.item_id", "rank", "doc.doc_id", "score")
+
+
+def op13_tokenfile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_folder(spark, "ids")
+    tokenfile.write_files(table(spark, sf_dir, "documents"), folder)
+    return tokenfile.read_files(spark, folder)
+
+
 _TRICKY_SQL = TRICKY.replace("'", "''")
+_TERM_SQL = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+_LOWER_SQL = "translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 ORACLE_SQL = {
     "op1_chat": rf"""
@@ -171,11 +195,31 @@ ORACLE_SQL = {
                         + (2 * (start + 2 * source_size) + size <= 2 * target)::BIGINT))::BIGINT AS taken
         FROM placed
     """,
+    "op12_search": rf"""
+        WITH words AS (
+            SELECT doc_id, unnest(regexp_extract_all({_LOWER_SQL.format('text')}, '{_TERM_SQL}')) AS term FROM documents
+        ), counts AS (
+            SELECT doc_id, term, count(*) AS tf, sum(count(*)) OVER (PARTITION BY doc_id)::BIGINT AS n
+            FROM words GROUP BY doc_id, term
+        ), collection AS (
+            SELECT count(DISTINCT doc_id) AS documents, sum(tf)::BIGINT AS words FROM counts
+        ), weights AS (
+            SELECT term, floor(1000 * ln((2 * documents + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+            FROM counts, collection GROUP BY term, documents
+        ), wanted AS (
+            SELECT DISTINCT item_id, unnest(regexp_extract_all({_LOWER_SQL.format('text')}, '{_TERM_SQL}')) AS term FROM benchmark
+        ), scores AS (
+            SELECT item_id, doc_id, sum(w * (1000000000 * tf // (1000 * tf + 20 * (50 + 50 * n * documents // words))))::BIGINT AS score
+            FROM wanted JOIN counts USING (term) JOIN weights USING (term), collection GROUP BY item_id, doc_id
+        )
+        SELECT item_id, row_number() OVER best AS rank, doc_id, score FROM scores WHERE score > 0
+        WINDOW best AS (PARTITION BY item_id ORDER BY score DESC, doc_id) QUALIFY rank <= 50
+    """,
 }
 
 _QUERIES = [
     op1_chat, op2_exact_dedup, op3_quality, op4_pii, op5_toxicity, op6_packing, op7_curriculum, op8_minhash,
-    op9_fingerprints, op10_language,
+    op9_fingerprints, op10_language, op11_whitening, op12_search, op13_tokenfile,
 ]
 
 
