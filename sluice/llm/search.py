@@ -39,6 +39,8 @@ LENGTH_SHARE, SATURATION = 50, 20
 QUERY_BYTES = 16 << 20
 #: Postings of a block of documents, which one task holds at a time.
 BLOCK_POSTINGS = 1 << 21
+#: Words of the documents that one task searches, in one or more blocks.
+TASK_WORDS = 1 << 22
 #: Positions of each list that are read at once, first; doubled as long as that does not suffice.
 FIRST_READ = 32
 #: An item's candidates are cut to the best in so many parts before one task sees them all.
@@ -272,7 +274,9 @@ def _search_block(docs: DataFrame, items: DataFrame, queries: Queries, id_col: s
     out = T.StructType([
         T.StructField("number", T.IntegerType()), items.schema["item"], source.schema["doc"], T.StructField("score", T.LongType()),
     ])
-    found = stage.write(counted.mapInArrow(search, out).withColumn("part", F.spark_partition_id() % MERGE_PARTS))
+    # Counts are far smaller than texts, so files would put too many documents into one task.
+    dealt = counted.repartition(-(-collection.words // TASK_WORDS))
+    found = stage.write(dealt.mapInArrow(search, out).withColumn("part", F.spark_partition_id() % MERGE_PARTS))
     stage.clear(found)
     return _top(_top(found, ["number", "part"], id_col, k).drop("part"), ["number"], id_col, k)
 
