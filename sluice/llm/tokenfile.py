@@ -20,11 +20,13 @@ behind is never read. A file's place in the whole is the sum of the ids of the f
 
 from __future__ import annotations
 
+import itertools
 import os
+import re
 import struct
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -46,10 +48,13 @@ PERCENTILE = 90
 FILE_IDS = 1 << 24
 #: Blocks written or read at once.
 GROUP = 256
+#: Words whose ids a Python worker keeps, and the longest of them in bytes.
+KEPT_WORDS, KEPT_BYTES = 1 << 18, 256
 
 MAGIC = b"PFR1"
 _HEAD = np.dtype([("count", "<u2"), ("width", "u1"), ("", "u1"), ("exceptions", "<u2"), ("", "<u2"), ("minimum", "<u4")])
 _TAIL = struct.Struct("<QQQQI4s")
+_BLANK = re.compile(rb"\s")
 _MANIFEST = "partition int, file int, name string, documents long, ids long, bytes long"
 
 
@@ -68,6 +73,52 @@ def encoder(path: str | None = None, marks_are_text: bool = True):
     return tokenizer
 
 
+class Encoder:
+    """Ids of texts, word by word.
+
+    The vocabulary's tokenizer drops white space and never joins what stands on its two sides: it composes
+    and lowers characters one by one, and its pattern looks no further than a run of one kind. So the ids of
+    a text are those of its words, parted at ASCII white space, and a word that was met before needs no second
+    encoding.
+    """
+
+    def __init__(self, path: str | None = None, marks_are_text: bool = True):
+        self.tokenizer = encoder(path, marks_are_text)
+        self.known: dict[bytes, tuple[int, ...]] = {}
+
+    def __call__(self, texts: Iterable[str]) -> Iterator[np.ndarray]:
+        """One array per text; a long text goes through in pieces."""
+        pieces = [list(_pieces(t.encode())) for t in texts]
+        found = self._encode(itertools.chain.from_iterable(pieces))
+        for own in pieces:
+            yield np.concatenate(list(itertools.islice(found, len(own))))
+
+    def _encode(self, pieces: Iterable[bytes]) -> Iterator[np.ndarray]:
+        for some in itertools.batched(pieces, 64):
+            words = [p.split() for p in some]
+            new = set(itertools.chain.from_iterable(words)).difference(self.known)
+            if len(self.known) + len(new) > KEPT_WORDS:
+                self.known.clear()
+                new = set(itertools.chain.from_iterable(words))
+            new = list(new)
+            encoded = self.tokenizer.encode_batch([w.decode() for w in new], add_special_tokens=False)
+            self.known.update((w, tuple(e.ids)) for w, e in zip(new, encoded))
+            for own in words:
+                yield np.fromiter(itertools.chain.from_iterable(map(self.known.__getitem__, own)), np.uint32)
+            for word in new:
+                if len(word) > KEPT_BYTES:
+                    del self.known[word]
+
+
+def _pieces(text: bytes, size: int = 1 << 20) -> Iterator[bytes]:
+    """The text cut at white space about every ``size`` bytes."""
+    at = 0
+    while (blank := _BLANK.search(text, at + size)) and len(text) > at + size:
+        yield text[at:blank.start()]
+        at = blank.start()
+    yield text[at:]
+
+
 # Blocks --------------------------------------------------------------------------------------
 
 def _bits(values: np.ndarray) -> np.ndarray:
@@ -238,7 +289,7 @@ def write_files(
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, path = _open(folder)
         system.create_dir(path, recursive=True)
-        tokenizer = encoder(vocabulary, marks_are_text)
+        encode = Encoder(vocabulary, marks_are_text)
         partition, done = TaskContext.get().partitionId(), []
         writer, name = None, ""
 
@@ -247,12 +298,11 @@ def write_files(
             done.append((partition, len(done), name, len(writer.sizes), writer.ids, size))
 
         for batch in N.slices(batches, 1):
-            encoded = tokenizer.encode_batch(batch.column(1).to_pylist(), add_special_tokens=False)
-            for doc_id, found in zip(batch.column(0).to_pylist(), encoded):
+            for doc_id, found in zip(batch.column(0).to_pylist(), encode(batch.column(1).to_pylist())):
                 if writer is None:
                     name = f"ids-{partition:06d}-{len(done):04d}-{uuid.uuid4().hex}.pfr"
                     writer = Writer(system.open_output_stream(f"{path}/{name}"))
-                writer.add(doc_id, np.array([*found.ids, end], np.uint32))
+                writer.add(doc_id, np.append(found, np.uint32(end)))
                 if writer.ids >= file_ids:
                     close()
                     writer = None

@@ -208,6 +208,34 @@ def test_terms_that_share_a_hash(monkeypatch):
 
 # token files
 
+PIECES = [" ", "\t", "\n", "\x0b", "\x0c", "\r", "\x1c", "\x85", "\u00a0", "\u2003", "\u3000", "\u0301", "\u0327", "e", "A", "'s", "'", "Σ", "ς", "İ", "ß", "1", "²", "한", "ᄒ", "ᅡ", "\u200d", "🙂", "-", "<|endoftext|>", "\u0340", "Å"]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(max_size=20) | st.lists(st.sampled_from(PIECES), max_size=12).map("".join), max_size=4), st.booleans())
+def test_words_encode_as_whole_texts(texts, as_text):
+    texts = [t.encode("utf-8", "ignore").decode() for t in texts]
+    whole = tokenfile.encoder(marks_are_text=as_text)
+    for _ in range(2):
+        found = [ids.tolist() for ids in tokenfile.Encoder(marks_are_text=as_text)([*texts, *texts])]
+        assert found == 2 * [whole.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+@pytest.mark.parametrize("text", ["", "ab  cd\nef " * 9, "x" * 50, " " * 50, "a b" + "c" * 40 + " d"])
+def test_long_texts_are_cut_at_blanks(text):
+    for size in (1, 5, 1000):
+        pieces = list(tokenfile._pieces(text.encode(), size))
+        assert b"".join(pieces).decode() == text and [w for p in pieces for w in p.split()] == text.encode().split()
+
+
+def test_kept_words_are_bounded(monkeypatch):
+    monkeypatch.setattr(tokenfile, "KEPT_WORDS", 3)
+    encode = tokenfile.Encoder()
+    for texts in (["a b"], ["c d a"], ["a b c d e f", "f e"], ["w" * 300]):
+        assert [i.tolist() for i in encode(texts)] == [tokenfile.encoder().encode(t, add_special_tokens=False).ids for t in texts]
+    assert set(encode.known) <= set(b"abcdef".split()) | {bytes([c]) for c in b"abcdef"}
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.lists(st.integers(0, 2 ** 32 - 1) | st.integers(100, 300), min_size=7, max_size=7), min_size=1, max_size=5), st.integers(1, 100))
 def test_blocks_round_trip(rows, percentile):
