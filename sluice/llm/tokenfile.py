@@ -26,6 +26,7 @@ import re
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
@@ -49,12 +50,14 @@ FILE_IDS = 1 << 24
 #: Blocks written or read at once.
 GROUP = 256
 #: Words whose ids a Python worker keeps, and the longest of them in bytes.
-KEPT_WORDS, KEPT_BYTES = 1 << 18, 256
+KEPT_WORDS, KEPT_BYTES = 1 << 20, 64
 
 MAGIC = b"PFR1"
 _HEAD = np.dtype([("count", "<u2"), ("width", "u1"), ("", "u1"), ("exceptions", "<u2"), ("", "<u2"), ("minimum", "<u4")])
 _TAIL = struct.Struct("<QQQQI4s")
 _BLANK = re.compile(rb"\s")
+# Digits, and letters that stay one letter in lower case.
+_PLAIN = re.compile(r"[0-9A-Za-zß-öø-įı-ſ]")
 _MANIFEST = "partition int, file int, name string, documents long, ids long, bytes long"
 
 
@@ -79,35 +82,48 @@ class Encoder:
     The vocabulary's tokenizer drops white space and never joins what stands on its two sides: it composes
     and lowers characters one by one, and its pattern looks no further than a run of one kind. So the ids of
     a text are those of its words, parted at ASCII white space, and a word that was met before needs no second
-    encoding.
+    encoding. For the same reasons marks that end a word after a plain letter or digit are encoded apart, and
+    words of ASCII alone in lower case.
     """
 
     def __init__(self, path: str | None = None, marks_are_text: bool = True):
         self.tokenizer = encoder(path, marks_are_text)
-        self.known: dict[bytes, tuple[int, ...]] = {}
+        self.known: dict[bytes, bytes] = {}
 
     def __call__(self, texts: Iterable[str]) -> Iterator[np.ndarray]:
         """One array per text; a long text goes through in pieces."""
         pieces = [list(_pieces(t.encode())) for t in texts]
         found = self._encode(itertools.chain.from_iterable(pieces))
         for own in pieces:
-            yield np.concatenate(list(itertools.islice(found, len(own))))
+            yield np.frombuffer(b"".join(itertools.islice(found, len(own))), "<u4")
 
-    def _encode(self, pieces: Iterable[bytes]) -> Iterator[np.ndarray]:
+    def _encode(self, pieces: Iterable[bytes]) -> Iterator[bytes]:
         for some in itertools.batched(pieces, 64):
             words = [p.split() for p in some]
-            new = set(itertools.chain.from_iterable(words)).difference(self.known)
+            new = set(itertools.filterfalse(self.known.__contains__, itertools.chain.from_iterable(words)))
             if len(self.known) + len(new) > KEPT_WORDS:
                 self.known.clear()
                 new = set(itertools.chain.from_iterable(words))
-            new = list(new)
-            encoded = self.tokenizer.encode_batch([w.decode() for w in new], add_special_tokens=False)
-            self.known.update((w, tuple(e.ids)) for w, e in zip(new, encoded))
-            for own in words:
-                yield np.fromiter(itertools.chain.from_iterable(map(self.known.__getitem__, own)), np.uint32)
-            for word in new:
-                if len(word) > KEPT_BYTES:
-                    del self.known[word]
+            long = self._learn(new)
+            found = [b"".join(map(self.known.__getitem__, own)) for own in words]
+            for word in long:
+                del self.known[word]
+            yield from found
+
+    def _learn(self, new: Iterable[bytes]) -> list[bytes]:
+        """Add the ids of words; gives those too long to be kept."""
+        parts = {}
+        for word in new:
+            core = word.rstrip(b".,;:!?")
+            if core and core != word and _PLAIN.fullmatch(core[-2:].decode(errors="ignore")[-1:]):
+                parts[word] = core.lower() if core.isascii() else core, word[len(core):]
+            else:
+                parts[word] = word.lower() if word.isascii() else word, b""
+        missing = {p for pair in parts.values() for p in pair}.difference(self.known)
+        encoded = self.tokenizer.encode_batch([p.decode() for p in missing], add_special_tokens=False)
+        self.known.update((p, array("I", e.ids).tobytes()) for p, e in zip(missing, encoded))
+        self.known.update((word, self.known[core] + self.known[marks]) for word, (core, marks) in parts.items())
+        return [word for word in missing.union(parts) if len(word) > KEPT_BYTES]
 
 
 def _pieces(text: bytes, size: int = 1 << 20) -> Iterator[bytes]:
