@@ -56,8 +56,9 @@ MAGIC = b"PFR1"
 _HEAD = np.dtype([("count", "<u2"), ("width", "u1"), ("", "u1"), ("exceptions", "<u2"), ("", "<u2"), ("minimum", "<u4")])
 _TAIL = struct.Struct("<QQQQI4s")
 _BLANK = re.compile(rb"\s")
-# Digits, and letters that stay one letter in lower case.
-_PLAIN = re.compile(r"[0-9A-Za-zß-öø-įı-ſ]")
+_PLAIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
+# Marks that may follow a word; those of reserved strings are not among them.
+_MARKS = b"!\"#$%&'()*+,-./:;=?@[\\]^_`{}~"
 _MANIFEST = "partition int, file int, name string, documents long, ids long, bytes long"
 
 
@@ -82,13 +83,16 @@ class Encoder:
     The vocabulary's tokenizer drops white space and never joins what stands on its two sides: it composes
     and lowers characters one by one, and its pattern looks no further than a run of one kind. So the ids of
     a text are those of its words, parted at ASCII white space, and a word that was met before needs no second
-    encoding. For the same reasons marks that end a word after a plain letter or digit are encoded apart, and
-    words of ASCII alone in lower case.
+    encoding. For the same reasons plain words, of Latin letters alone, are encoded in lower case, apart from
+    the marks that follow them, and many at a time: the last piece of each says that a word ends there.
     """
 
     def __init__(self, path: str | None = None, marks_are_text: bool = True):
         self.tokenizer = encoder(path, marks_are_text)
         self.known: dict[bytes, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends_word[[i for piece, i in vocabulary.items() if piece.endswith("</w>")]] = True
 
     def __call__(self, texts: Iterable[str]) -> Iterator[np.ndarray]:
         """One array per text; a long text goes through in pieces."""
@@ -112,19 +116,39 @@ class Encoder:
 
     def _learn(self, new: Iterable[bytes]) -> list[bytes]:
         """Add the ids of words; gives those too long to be kept."""
-        parts = {}
+        parts, plain = {}, set()
         for word in new:
-            core = word.rstrip(b".,;:!?")
-            if core and core != word and _PLAIN.fullmatch(core[-2:].decode(errors="ignore")[-1:]):
-                parts[word] = core.lower() if core.isascii() else core, word[len(core):]
+            core = word.rstrip(_MARKS)
+            text = core.decode()
+            if _PLAIN.fullmatch(text):
+                lower = text.lower().encode()
+                plain.add(lower)
+                parts[word] = lower, word[len(core):]
             else:
-                parts[word] = word.lower() if word.isascii() else word, b""
+                parts[word] = word, b""
         missing = {p for pair in parts.values() for p in pair}.difference(self.known)
-        encoded = self.tokenizer.encode_batch([p.decode() for p in missing], add_special_tokens=False)
-        self.known.update((p, array("I", e.ids).tobytes()) for p, e in zip(missing, encoded))
+        other = list(missing.difference(plain))
+        for some in itertools.batched(missing.intersection(plain), 1 << 10):
+            ids = np.array(self._ids([b" ".join(some)])[0], "<u4")
+            ends = np.flatnonzero(self.ends_word[ids]) + 1
+            data, cuts = ids.tobytes(), [0, *(4 * ends).tolist()]
+            if len(ends) == len(some):
+                self.known.update((w, data[a:b]) for w, a, b in zip(some, cuts, cuts[1:]))
+            else:
+                other.extend(some)
+        self.known.update((w, array("I", ids).tobytes()) for w, ids in zip(other, self._ids(other)))
         self.known.update((word, self.known[core] + self.known[marks]) for word, (core, marks) in parts.items())
         return [word for word in missing.union(parts) if len(word) > KEPT_BYTES]
 
+    def _ids(self, words: list[bytes]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch([w.decode() for w in words], add_special_tokens=False)]
+
+
+@lru_cache(maxsize=2)
+def kept_encoder(path: str | None, marks_are_text: bool) -> Encoder:
+    """One per Python worker, so that later tasks find the words of earlier ones."""
+    return Encoder(path, marks_are_text)
+
 
 def _pieces(text: bytes, size: int = 1 << 20) -> Iterator[bytes]:
     """The text cut at white space about every ``size`` bytes."""
@@ -305,7 +329,7 @@ def write_files(
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, path = _open(folder)
         system.create_dir(path, recursive=True)
-        encode = Encoder(vocabulary, marks_are_text)
+        encode = kept_encoder(vocabulary, marks_are_text)
         partition, done = TaskContext.get().partitionId(), []
         writer, name = None, ""
 

@@ -208,7 +208,7 @@ def test_terms_that_share_a_hash(monkeypatch):
 
 # token files
 
-PIECES = [" ", "\t", "\n", "\x0b", "\x0c", "\r", "\x1c", "\x85", "\u00a0", "\u2003", "\u3000", "\u0301", "\u0327", "e", "A", "'s", "'", "Σ", "ς", "İ", "ß", "1", "²", "한", "ᄒ", "ᅡ", "\u200d", "🙂", "-", "<|endoftext|>", "\u0340", "Å", "W", "\u030a", ".", "?!", "é", "ſ", "ŉ", "İ."]
+PIECES = [" ", "\t", "\n", "\x0b", "\x0c", "\r", "\x1c", "\x85", "\u00a0", "\u2003", "\u3000", "\u0301", "\u0327", "e", "A", "'s", "'", "Σ", "ς", "İ", "ß", "1", "²", "한", "ᄒ", "ᅡ", "\u200d", "🙂", "-", "<|endoftext|>", "\u0340", "Å", "W", "\u030a", ".", "?!", "é", "ſ", "ŉ", "İ.", "Stäver", "ÀÉ.", "x's.", "'.", "a_b", "|>", "ÿ", "Ÿ"]
 
 
 @settings(max_examples=300, deadline=None)
