@@ -21,6 +21,7 @@ behind is never read. A file's place in the whole is the sum of the ids of the f
 from __future__ import annotations
 
 import itertools
+import operator
 import os
 import re
 import struct
@@ -94,9 +95,9 @@ class Encoder:
         self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends_word[[i for piece, i in vocabulary.items() if piece.endswith("</w>")]] = True
 
-    def __call__(self, texts: Iterable[str]) -> Iterator[np.ndarray]:
-        """One array per text; a long text goes through in pieces."""
-        pieces = [list(_pieces(t.encode())) for t in texts]
+    def __call__(self, texts: Iterable[bytes]) -> Iterator[np.ndarray]:
+        """One array per UTF-8 text; a long text goes through in pieces."""
+        pieces = [list(_pieces(t)) for t in texts]
         found = self._encode(itertools.chain.from_iterable(pieces))
         for own in pieces:
             yield np.frombuffer(b"".join(itertools.islice(found, len(own))), "<u4")
@@ -104,15 +105,15 @@ class Encoder:
     def _encode(self, pieces: Iterable[bytes]) -> Iterator[bytes]:
         for some in itertools.batched(pieces, 64):
             words = [p.split() for p in some]
-            new = set(itertools.filterfalse(self.known.__contains__, itertools.chain.from_iterable(words)))
-            if len(self.known) + len(new) > KEPT_WORDS:
+            if len(self.known) > KEPT_WORDS:
                 self.known.clear()
-                new = set(itertools.chain.from_iterable(words))
-            long = self._learn(new)
-            found = [b"".join(map(self.known.__getitem__, own)) for own in words]
+            found = [list(map(self.known.get, own)) for own in words]
+            absent = map(operator.is_, itertools.chain.from_iterable(found), itertools.repeat(None))
+            long = self._learn(set(itertools.compress(itertools.chain.from_iterable(words), absent)))
+            out = [b"".join(map(self.known.__getitem__, w) if None in f else f) for w, f in zip(words, found)]
             for word in long:
                 del self.known[word]
-            yield from found
+            yield from out
 
     def _learn(self, new: Iterable[bytes]) -> list[bytes]:
         """Add the ids of words; gives those too long to be kept."""
@@ -304,6 +305,11 @@ class Reader:
             yield self.read(first, min(GROUP * BLOCK, self.ids - first))
 
 
+def _utf8(column: pa.Array) -> list[bytes]:
+    data, offsets = N.text_bytes(column)
+    return [data[a:b].tobytes() for a, b in itertools.pairwise(offsets.tolist())]
+
+
 def _open(folder: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(folder)
 
@@ -338,7 +344,7 @@ def write_files(
             done.append((partition, len(done), name, len(writer.sizes), writer.ids, size))
 
         for batch in N.slices(batches, 1):
-            for doc_id, found in zip(batch.column(0).to_pylist(), encode(batch.column(1).to_pylist())):
+            for doc_id, found in zip(batch.column(0).to_pylist(), encode(_utf8(batch.column(1)))):
                 if writer is None:
                     name = f"ids-{partition:06d}-{len(done):04d}-{uuid.uuid4().hex}.pfr"
                     writer = Writer(system.open_output_stream(f"{path}/{name}"))
