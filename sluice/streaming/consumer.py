@@ -4,19 +4,18 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Callable, Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
-from functools import partial
+from functools import reduce
 
-from pyspark import StorageLevel, inheritable_thread_target
-from pyspark.sql import DataFrame, Row, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from sluice import schemas as S
 from sluice.operators import apply as A, decode as X
-from sluice.plans.materialize import decode, net_changes
+from sluice.plans.materialize import decode
 from sluice.sources.changes import Source, read_changes, start_at, start_option, with_arrival
-from sluice.streaming.state import Ranges, State, may_hold
+from sluice.streaming.state import Ranges, State, known_runs, may_hold
+
 
 @dataclass(frozen=True)
 class BatchResult:
@@ -27,26 +26,11 @@ class BatchResult:
     rejected: int
 
 
-def _summary(unique: DataFrame) -> list[Row]:
-    """Sequence range and count per broker partition and table (NULL for rejects).
-
-    As many rows as broker partitions times subscribed tables.
-    """
-    table = F.when(F.col("reject_reason").isNull(), F.col("table")).alias("t")
+def message_ranges(messages: DataFrame) -> dict[int, tuple[int, int]]:
+    """Lowest and highest sequence per broker partition; reads those two columns only."""
     sequence = F.col("sequence_number")
-    return (
-        unique.groupBy("partition_id", table)
-        .agg(F.min(sequence).alias("lo"), F.max(sequence).alias("hi"), F.count(sequence).alias("n"))
-        .collect()
-    )
-
-
-def _ranges(summary: Sequence[Row]) -> dict[int, tuple[int, int]]:
-    out: dict[int, tuple[int, int]] = {}
-    for r in summary:
-        lo, hi = out.get(r["partition_id"], (r["lo"], r["hi"]))
-        out[r["partition_id"]] = (min(lo, r["lo"]), max(hi, r["hi"]))
-    return out
+    rows = messages.groupBy("partition_id").agg(F.min(sequence).alias("lo"), F.max(sequence).alias("hi")).collect()
+    return {r["partition_id"]: (r["lo"], r["hi"]) for r in rows}
 
 
 def narrow_ledger(ledger: DataFrame, ranges: Ranges) -> DataFrame:
@@ -55,91 +39,122 @@ def narrow_ledger(ledger: DataFrame, ranges: Ranges) -> DataFrame:
     return ledger.filter(F.col("sequence_number").between(lowest, highest))
 
 
+def unseen(state: State, manifest: dict, messages: DataFrame, ranges: Ranges) -> DataFrame:
+    """Messages whose event is not in the ledger, by runs that are known whole and by rows for the rest."""
+    runs, folders = known_runs(manifest["ledger"], ranges)
+    if runs:
+        inside = [(F.col("partition_id") == p) & F.col("sequence_number").between(lo, hi) for p, lo, hi in runs]
+        messages = messages.filter(~reduce(Column.__or__, inside))
+    if folders:
+        messages = A.new_events(messages, narrow_ledger(state.ledger_in(folders), ranges))
+    return messages
+
+
 def apply_batch(
     state: State,
     messages: DataFrame,
     decoder: Callable[[DataFrame], DataFrame] = X.decode_live,
     before_commit: Callable[[], None] | None = None,
     append_time: bool = False,
+    read_once: bool = False,
 ) -> BatchResult:
     """Apply one batch and commit targets, ledger, offsets and quarantine together.
 
     A failure before the commit leaves the state as it was (``before_commit`` is called last
     before it). A repeated batch finds its events in the ledger and changes nothing.
+
+    Messages that can be read again are looked up in the ledger first, by two columns, so that known ones
+    are never decoded. With ``read_once`` they are decoded and written first; what the notes of
+    the state do not clear is then written a second time without the known events.
     """
-    return apply_events(state, decode(with_arrival(messages, append_time), state.specs, decoder), before_commit)
+    manifest = state.manifest()
+    arrived, ranges = with_arrival(messages, append_time), None
+    known = manifest["ledger"] or manifest["quarantine"]
+    if known and not read_once:
+        ranges = message_ranges(messages)
+        arrived = unseen(state, manifest, arrived, ranges)
+    events = A.unique_events(decode(arrived, state.specs, decoder))
+    if ranges:
+        events = not_quarantined(state, manifest, events, ranges)
+    folder, written = state.write_events(events, manifest)
+    summary = _summary(written)
+    if known and read_once:
+        ranges = {p: (lo, hi) for p, (lo, hi, _) in _ranges(summary).items()}
+        if may_hold(manifest["ledger"], ranges) or may_hold(manifest["quarantine"], ranges):
+            first, fresh = folder, unseen(state, manifest, written, ranges)
+            folder, written = state.write_events(not_quarantined(state, manifest, fresh, ranges), manifest)
+            summary = _summary(written)
+            state.discard(first)
+    changed, counts, rejected = _with_events(manifest, folder, summary, state.specs)
+    if before_commit is not None:
+        before_commit()
+    if counts or rejected:
+        changed = state.publish(changed)
+    return BatchResult(changed["version"], counts, rejected)
+
+
+def not_quarantined(state: State, manifest: dict, events: DataFrame, ranges: Ranges) -> DataFrame:
+    """Without rejects that are in the quarantine already; both sides are clustered by event."""
+    if not may_hold(manifest["quarantine"], ranges):
+        return events
+    known = state.quarantine(manifest, ranges).select(*S.EVENT_ID, F.lit(True).alias("_known")).distinct()
+    return events.join(known, S.EVENT_ID, "left").filter("reject_reason IS NULL OR _known IS NULL").drop("_known")
+
+
+def _summary(written: DataFrame) -> list[Row]:
+    """Per broker partition and table (NULL for rejects): sequence range, rows, and the last event by arrival.
 
+    As many rows as broker partitions times subscribed tables.
+    """
+    table = F.when(F.col("reject_reason").isNull(), F.col("table")).alias("t")
+    sequence = F.col("sequence_number")
+    place = F.struct("arrival", "sequence_number", "commit_lsn", F.unix_micros("processed_at").alias("at"))
+    return (
+        written.groupBy("partition_id", table)
+        .agg(F.min(sequence).alias("lo"), F.max(sequence).alias("hi"), F.count(sequence).alias("n"), F.max(place).alias("last"))
+        .collect()
+    )
 
-def apply_events(
-    state: State, events: DataFrame, before_commit: Callable[[], None] | None = None
-) -> BatchResult:
-    """:func:`apply_batch` for events that are decoded already."""
-    manifest = state.manifest()
-    # The batch is used for the counts and for every table written, so it is kept; a lost
-    # executor's part is computed again from the source.
-    kept = fresh = A.unique_events(events).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        summary = _summary(fresh)
-        ranges = _ranges(summary)
-        if may_hold(manifest["ledger"], ranges):
-            known = narrow_ledger(state.ledger(manifest, ranges), ranges)
-            fresh = A.new_events(kept, known).persist(StorageLevel.MEMORY_AND_DISK)
-            summary = _summary(fresh)
-            kept.unpersist()
-            kept = fresh
-        changed, counts, rejected = _write_batch(state, manifest, fresh, summary)
-        if before_commit is not None:
-            before_commit()
-        if counts or rejected:
-            changed = state.publish(changed)
-        return BatchResult(changed["version"], counts, rejected)
-    finally:
-        kept.unpersist()
-
-
-def _write_batch(
-    state: State, manifest: dict, fresh: DataFrame, summary: Sequence[Row]
+
+def _ranges(summary: Sequence[Row]) -> dict[int, tuple[int, int, int]]:
+    """Lowest and highest sequence, and rows, per broker partition."""
+    out: dict[int, tuple[int, int, int]] = {}
+    for r in summary:
+        lo, hi, n = out.get(r["partition_id"], (r["lo"], r["hi"], 0))
+        out[r["partition_id"]] = (min(lo, r["lo"]), max(hi, r["hi"]), n + r["n"])
+    return out
+
+
+def _with_events(
+    manifest: dict, folder: dict, summary: Sequence[Row], specs: Sequence[S.TableSpec]
 ) -> tuple[dict, dict[str, int], int]:
-    """Write the folders of a batch; gives the manifest that would publish them."""
+    """The manifest with one more folder of events; applied events per table, and rejects."""
     counts: Counter = Counter()
+    last: dict[str, Row] = {}
     for r in summary:
         counts[r["t"]] += r["n"]
-    rejected = counts.pop(None, 0)
-    accepted = _ranges([r for r in summary if r["t"] is not None])
-    broken = _ranges([r for r in summary if r["t"] is None])
-    applied = fresh.filter(F.col("reject_reason").isNull())
+        p = str(r["partition_id"])
+        if r["t"] is not None and (p not in last or r["last"] > last[p]):
+            last[p] = r["last"]
+    rows, rejected = sum(counts.values()), counts.pop(None, 0)
+    folder = {**folder, "share": {t: n / rows for t, n in counts.items()}}
     changed = dict(manifest)
+
+    def noted(part: Sequence[Row]) -> dict:
+        return {**folder, "ranges": {str(p): list(r) for p, r in _ranges(part).items()}}
+
     if rejected:
-        rows = X.rejects(fresh).withColumn("rejected_at", F.current_timestamp())
-        if may_hold(manifest["quarantine"], broken):
-            rows = A.new_events(rows, state.quarantine(manifest, broken))
-            rejected = rows.count()
-    # The tables do not depend on each other: written side by side, a small batch takes as
-    # long as its slowest table.
-    writes = {}
-    if rejected:
-        writes["quarantine"] = lambda: [*manifest["quarantine"], state.write(rows, "quarantine", broken)]
+        changed["quarantine"] = [*manifest["quarantine"], noted([r for r in summary if r["t"] is None])]
     if counts:
-        ledger_rows = A.ledger_rows(applied).sortWithinPartitions(*S.EVENT_ID)
-        offsets = A.upsert_offsets(state.offsets(manifest), applied).coalesce(1)
-        writes["ledger"] = lambda: [*manifest["ledger"], state.write(ledger_rows, "ledger", accepted)]
-        writes["offsets"] = lambda: [state.write(offsets, "offsets")]
-    written_targets = [s for s in state.specs if s.name in counts]
-    for spec in written_targets:
-        net = net_changes(applied, spec)
-        writes[f"target {spec.name}"] = partial(state.write_net_changes, net, spec, manifest)
-    if writes:
-        # Threads take over job group and tags; without pinned threads there is nothing to do.
-        inherit = inheritable_thread_target(state.spark)
-        with ThreadPoolExecutor(len(writes)) as pool:
-            running = {
-                name: pool.submit(inherit(write) if callable(inherit) else write)
-                for name, write in writes.items()
-            }
-            done = {name: future.result() for name, future in running.items()}
-        targets = {s.name: done.pop(f"target {s.name}") for s in written_targets}
-        changed = {**changed, **done, "targets": {**manifest["targets"], **targets}}
-    return changed, dict(counts), rejected
+        changed["ledger"] = [*manifest["ledger"], noted([r for r in summary if r["t"] is not None])]
+        moved = {p: [r["sequence_number"], r["commit_lsn"], r["arrival"], r["at"]] for p, r in last.items()}
+        changed["offsets"] = manifest["offsets"] | moved
+    targets = dict(manifest["targets"])
+    for spec in specs:
+        if spec.name in counts:
+            known = targets.get(spec.name, {"base": [], "changes": []})
+            targets[spec.name] = {**known, "changes": [*known["changes"], folder]}
+    return {**changed, "targets": targets}, dict(counts), rejected
 
 
 def apply_in_batches(state: State, batches: Sequence[DataFrame]) -> list[BatchResult]:
@@ -184,15 +199,11 @@ def start_consumer(
     state = consumer.state(spark)
     messages = read_changes(spark, source, stream=True, start=start_option(source, consumer.positions))
     messages = start_at(messages, consumer.positions)
-    # Where arrival needs no look at other rows, events are decoded on the stream, planned once.
-    on_stream = "arrival" in messages.columns or source.append_time
-    if on_stream:
-        messages = decode(with_arrival(messages, source.append_time), consumer.specs, consumer.decoder)
     count = 0
 
     def apply(batch: DataFrame, _: int) -> None:
         nonlocal count
-        result = apply_events(state, batch) if on_stream else apply_batch(state, batch, consumer.decoder)
+        result = apply_batch(state, batch, consumer.decoder, append_time=source.append_time, read_once=True)
         count += 1
         if count % maintain_every == 0:
             state.maintain()

@@ -1,25 +1,32 @@
 """State of a consumer: targets, ledger, offsets and quarantine, committed together.
 
 Parquet has neither ``MERGE`` nor a transaction over several tables, so a batch writes its
-files into new folders and then publishes one small version file naming every folder that
+files into a new folder and then publishes one small version file naming every folder that
 counts. Readers follow the newest version file; folders no version names are ignored. That
 single rename is the commit.
 
-    <path>/ledger/<id>/        one folder per batch, folded together now and then
+    <path>/events/<id>/        the decoded events of one batch, each once
+    <path>/ledger/<id>/        ledger rows of many batches, folded together now and then
     <path>/quarantine/<id>/    likewise
-    <path>/offsets/<id>/       whole table, one row per broker partition
-    <path>/target/<T>/<id>/    base rows, or the net changes of one batch
-    <path>/_versions/<n>.json  the folders of version n
+    <path>/target/<T>/<id>/    base rows in buckets of keys, or folded changes
+    <path>/_versions/<n>.json  the folders of version n, and one offset per broker partition
+
+A batch is written once, by one job: the folder of its events is at the same time its ledger rows,
+its rejects and the changes of every target; each reader opens only the columns it needs. A
+second job over a few columns of what was written gives counts, ranges and offsets. Both grow
+with the batch, never with the targets.
 
 A version also says which sequences each ledger and quarantine folder holds per broker
-partition, so a batch opens those folders only that can know its events.
+partition, so a batch opens those folders only that can know its events. Where a folder holds a
+run without gaps, the range itself is the answer and nothing is opened.
 
-Targets are merged on read: a batch adds its net changes (work grows with the batch, not
-with the target), readers lay them over the base, and when the changes have grown to a
-share of the base they are merged into a new one. The base is bucketed by key, so neither a
-reader nor a merge ever shuffles it; only the changes move.
+Targets are merged on read: readers lay the newest change per key over the base. When the
+changes have grown to a share of the base they are merged into it. The base is bucketed by key, so
+neither a reader nor a merge ever shuffles it; only the changes move. A merge rewrites the files of
+the buckets that changed; when buckets outgrow ``bucket_bytes``, a merge rewrites them all into
+twice as many (keys are unique, so buckets grow alike), each bucket in place, without a shuffle.
 
-Old versions and the folders that only they name are removed after a while.
+Old versions and the folders and files that only they name are removed after a while.
 
 Limits: one writer per path, and a file system with atomic rename (HDFS or a local disk; on
 an object store use a table format with MERGE instead).
@@ -28,59 +35,87 @@ an object store use a table format with MERGE instead).
 from __future__ import annotations
 
 import json
+import re
 import time
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
-from pyspark.sql.types import BooleanType, LongType, StructType
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from sluice import schemas as S
 from sluice.operators import apply as A
 from sluice.session import require_settings
+from sluice.sources.changes import arrival_position
 
 # Lowest and highest sequence, by broker partition.
 Ranges = Mapping[int, tuple[int, int]]
 
-_EMPTY = {"version": 0, "ledger": [], "quarantine": [], "offsets": [], "targets": {}}
+_EMPTY = {"version": 0, "ledger": [], "quarantine": [], "offsets": {}, "targets": {}}
+# Runs of known sequences a batch is compared with one by one; with more, folders are opened.
+MOST_RUNS = 100
+
+
+def _meets(folder: dict, ranges: Ranges) -> list[int] | None:
+    """Broker partitions whose noted range meets the batch's; None if nothing is noted."""
+    held = folder.get("ranges")
+    if held is None:
+        return None
+    return [p for p, (lo, hi) in ranges.items() if str(p) in held and held[str(p)][0] <= hi and lo <= held[str(p)][1]]
 
 
 def may_hold(folders: Sequence[dict], ranges: Ranges | None) -> list[dict]:
     """Folders that can hold an event of the ranges, by what is noted of them; no job."""
     if ranges is None:
         return list(folders)
-
-    def meets(folder: dict) -> bool:
-        held = folder.get("ranges")
-        if held is None:
-            return True
-        return any(
-            str(p) in held and held[str(p)][0] <= hi and lo <= held[str(p)][1] for p, (lo, hi) in ranges.items()
-        )
-
-    return [f for f in folders if meets(f)]
+    return [f for f in folders if (met := _meets(f, ranges)) is None or met]
 
 
-def joined_ranges(folders: Sequence[dict]) -> Ranges | None:
-    """What several folders hold together; unknown if it is unknown of one."""
-    out: dict[int, tuple[int, int]] = {}
+def known_runs(folders: Sequence[dict], ranges: Ranges) -> tuple[list[tuple[int, int, int]], list[dict]]:
+    """What the notes alone say of a batch: runs (partition, first, last) that are known without a gap,
+    and the folders that must be opened for the rest."""
+    runs, rest = set(), []
+    for folder in folders:
+        met = _meets(folder, ranges)
+        dense = [p for p in met or [] if len(folder["ranges"][str(p)]) > 2 and _is_run(folder["ranges"][str(p)])]
+        runs.update((p, *folder["ranges"][str(p)][:2]) for p in dense)
+        if met is None or len(dense) < len(met):
+            rest.append(folder)
+    joined: list[tuple[int, int, int]] = []
+    for p, first, last in sorted(runs):
+        if joined and joined[-1][0] == p and first <= joined[-1][2] + 1:
+            joined[-1] = (p, joined[-1][1], max(last, joined[-1][2]))
+        else:
+            joined.append((p, first, last))
+    return (joined, rest) if len(joined) <= MOST_RUNS else ([], may_hold(folders, ranges))
+
+
+def _is_run(held: Sequence[int]) -> bool:
+    first, last, rows = held
+    return rows == last - first + 1
+
+
+def joined_ranges(folders: Sequence[dict]) -> Mapping[int, tuple[int, ...]] | None:
+    """What several folders hold together: lowest, highest, rows; unknown if it is unknown of one."""
+    out: dict[int, tuple[int, ...]] = {}
     for folder in folders:
         if "ranges" not in folder:
             return None
-        for p, (lo, hi) in folder["ranges"].items():
-            known = out.get(int(p), (lo, hi))
-            out[int(p)] = (min(known[0], lo), max(known[1], hi))
+        for p, (lo, hi, *rows) in folder["ranges"].items():
+            known = out.get(int(p), (lo, hi, 0))
+            out[int(p)] = (min(known[0], lo), max(known[1], hi), *[known[2] + n for n in rows if len(known) > 2])
     return out
 
 
-def _table_name(folder: dict) -> str:
-    return f"sluice_{folder['path'].rsplit('/', 1)[-1]}"
-
-
 def _folders(manifest: dict) -> list[dict]:
     targets = [f for t in manifest["targets"].values() for f in (*t["base"], *t["changes"])]
-    return [*manifest["ledger"], *manifest["quarantine"], *manifest["offsets"], *targets]
+    return [*manifest["ledger"], *manifest["quarantine"], *targets]
+
+
+def bucket_of(file: str) -> int:
+    """The bucket a file belongs to, as Spark writes it into the name."""
+    return int(re.search(r"_(\d+)(?:\.c\d+)?\.", file).group(1))
 
 
 class _Files:
@@ -108,8 +143,10 @@ class _Files:
     def delete(self, path: str) -> None:
         self._fs.delete(self._path(path), True)
 
-    def size(self, folder: str) -> int:
-        return self._fs.getContentSummary(self._path(folder)).getLength()
+    def sizes(self, folder: str) -> dict[str, int]:
+        """Data files and their bytes."""
+        found = ((s.getPath().getName(), s.getLen()) for s in self._fs.listStatus(self._path(folder)))
+        return {name: size for name, size in found if not name.startswith(("_", "."))}
 
     def read(self, path: str) -> str:
         stream = self._fs.open(self._path(path))
@@ -135,13 +172,14 @@ class State:
     spark: SparkSession
     path: str
     specs: Sequence[S.TableSpec] = (S.ORDERS,)
-    # Merge changes into the base once they reach this share of it.
+    # Merge changes into the base once they reach this share of it (the first ones, of a bucket).
     merge_share: float = 0.5
     # Fold folders below this size together once there are this many.
     fold_count: int = 64
     fold_size: int = 1 << 30
-    # Buckets of a new base: choose so that one bucket suits one task.
+    # Buckets of a base at least; they double while one of them would hold more than ``bucket_bytes``.
     buckets: int = 16
+    bucket_bytes: int = 256 << 20
     # Versions kept, and seconds that folders no version names are kept for readers and writers.
     keep_versions: int = 50
     keep_seconds: int = 6 * 3600
@@ -179,53 +217,76 @@ class State:
 
     # Reading
 
-    def _read(self, schema: StructType, folders: Sequence[dict]) -> DataFrame:
+    def _read(self, schema: T.StructType, folders: Sequence[dict]) -> DataFrame:
         paths = [f"{self.path}/{f['path']}" for f in folders]
         if not paths:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(*paths)
 
+    def ledger_in(self, folders: Sequence[dict]) -> DataFrame:
+        """Ledger rows of some folders."""
+        rows = self._read(T.StructType([*S.LEDGER_SCHEMA, S.QUARANTINE_SCHEMA["reject_reason"]]), folders)
+        return rows.filter(F.col("reject_reason").isNull()).drop("reject_reason")
+
     def ledger(self, manifest: dict | None = None, ranges: Ranges | None = None) -> DataFrame:
         """The ledger, or only its folders that can hold events of the given ranges."""
-        return self._read(S.LEDGER_SCHEMA, may_hold((manifest or self.manifest())["ledger"], ranges))
+        return self.ledger_in(may_hold((manifest or self.manifest())["ledger"], ranges))
 
     def offsets(self, manifest: dict | None = None) -> DataFrame:
-        return self._read(S.OFFSETS_SCHEMA, (manifest or self.manifest())["offsets"])
+        rows = [(int(p), *offset) for p, offset in (manifest or self.manifest())["offsets"].items()]
+        schema = T.StructType([*S.OFFSETS_SCHEMA.fields[:-1], T.StructField("updated_at", T.LongType())])
+        updated = F.timestamp_micros("updated_at")
+        return self.spark.createDataFrame(rows, schema).withColumn("updated_at", updated)
 
     def quarantine(self, manifest: dict | None = None, ranges: Ranges | None = None) -> DataFrame:
-        return self._read(S.QUARANTINE_SCHEMA, may_hold((manifest or self.manifest())["quarantine"], ranges))
+        folders = may_hold((manifest or self.manifest())["quarantine"], ranges)
+        return self._read(S.QUARANTINE_SCHEMA, folders).filter(F.col("reject_reason").isNotNull())
 
-    def _base(self, spec: S.TableSpec, folders: Sequence[dict]) -> DataFrame:
-        """A target's base as a bucketed table.
+    @contextmanager
+    def _table(self, spec: S.TableSpec, base: dict) -> Iterator[str]:
+        """A base as a bucketed table of the session's catalog, under a name used once.
 
-        Only tables of the session's catalog know their buckets, so the folder is made known
-        there under a name of its own; its files stay where they are.
+        Only tables of the catalog know their buckets. A DataFrame made of the table keeps what it
+        learned, so the name is taken back at once; the files stay where they are.
         """
-        if not folders:
-            return self.spark.createDataFrame([], spec.schema)
-        [folder] = folders
-        name = _table_name(folder)
-        if not self.spark.catalog.tableExists(name):
-            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spec.schema)
-            self.spark.sql(
-                f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet"
-                f" CLUSTERED BY (`{spec.key}`) INTO {folder['buckets']} BUCKETS LOCATION '{self.path}/{folder['path']}'"
-            )
-        return self.spark.table(name)
-
-    def _changes_schema(self, spec: S.TableSpec) -> StructType:
-        return spec.schema.add("deleted", BooleanType()).add("changed_in", LongType())
-
-    def _changes(self, spec: S.TableSpec, manifest: dict) -> DataFrame | None:
-        """Newest unmerged change per key, or None if there are no unmerged changes."""
-        folders = manifest["targets"].get(spec.name, {}).get("changes", [])
-        if not folders:
-            return None
-        changes = self._read(self._changes_schema(spec), folders)
-        if len(folders) == 1:
-            return changes
-        newest = Window.partitionBy(spec.key).orderBy(F.col("changed_in").desc())
-        return changes.withColumn("_n", F.row_number().over(newest)).filter("_n = 1").drop("_n")
+        name = f"sluice_{uuid.uuid4().hex}"
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spec.schema)
+        self.spark.sql(
+            f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY (`{spec.key}`)"
+            f" INTO {base['buckets']} BUCKETS LOCATION '{self.path}/{base['path']}'"
+        )
+        try:
+            yield name
+        finally:
+            self.spark.sql(f"DROP TABLE {name}")
+
+    def _base(self, spec: S.TableSpec, base: dict, only: Sequence[str] | None = None) -> DataFrame:
+        """A target's base, or some of its files. Files are chosen while the folder is listed."""
+        with self._table(spec, base) as name:
+            rows = self.spark.table(name)
+            if only is not None or base.get("replaced"):
+                rows = rows.filter(F.col("_metadata.file_name").isin(list(base["files"] if only is None else only)))
+            return rows.select(spec.key, *spec.column_names)
+
+    def _changes_schema(self, spec: S.TableSpec) -> T.StructType:
+        row = T.StructType([T.StructField(c.name, c.data_type) for c in spec.columns])
+        return T.StructType([
+            *S.LEDGER_SCHEMA.fields[:2], S.LEDGER_SCHEMA["arrival"], T.StructField("operation", T.StringType()),
+            T.StructField("table", T.StringType()), T.StructField("key", T.LongType()), T.StructField(spec.name, row),
+            S.QUARANTINE_SCHEMA["reject_reason"], T.StructField("changed_in", T.LongType()),
+        ])
+
+    def _newest(self, spec: S.TableSpec, folders: Sequence[dict]) -> DataFrame:
+        """The newest change per key: of the latest batch, the one that arrived last."""
+        mine = A.only_table(self._read(self._changes_schema(spec), folders), spec.name).filter(F.col("reject_reason").isNull())
+        order = [F.col(c).desc() for c in ("changed_in", "arrival", *S.EVENT_ID)]
+        newest = Window.partitionBy("key").orderBy(*order)
+        return A.changes_rows(mine).withColumn("_n", F.row_number().over(newest)).filter("_n = 1").drop("_n")
+
+    def _net(self, spec: S.TableSpec, folders: Sequence[dict]) -> DataFrame:
+        return self._newest(spec, folders).select(
+            F.col("key").cast(spec.key_kind).alias(spec.key), f"{spec.name}.*", "operation"
+        )
 
     def target(self, spec: S.TableSpec, manifest: dict | None = None) -> DataFrame:
         """Current rows of a target: its base with the unmerged changes laid over.
@@ -233,54 +294,49 @@ class State:
         The base is never shuffled: small changes are broadcast (Spark's choice, by their file
         size), larger ones are dealt out to the base's buckets.
         """
-        manifest = manifest or self.manifest()
-        base = self._base(spec, manifest["targets"].get(spec.name, {}).get("base", []))
-        changes = self._changes(spec, manifest)
-        if changes is None:
-            return base
-        net = changes.withColumn(
-            "operation", F.when(F.col("deleted"), S.DELETE).otherwise(S.UPDATE)
-        )
-        if not manifest["targets"][spec.name].get("base"):
-            return A.rows_from(net, spec)
-        return A.merge_changes(base, net, spec)
+        known = (manifest or self.manifest())["targets"].get(spec.name, {"base": [], "changes": []})
+        if not known["base"]:
+            return A.rows_from(self._net(spec, known["changes"]), spec)
+        [base] = known["base"]
+        if not known["changes"]:
+            return self._base(spec, base)
+        net = self._net(spec, known["changes"]).repartition(base["buckets"], spec.key)
+        return A.merge_changes(self._base(spec, base), net, spec)
 
     # Writing
 
-    def write(self, df: DataFrame, folder: str, ranges: Ranges | None = None) -> dict:
-        """Write a folder that counts only once a published manifest names it.
-
-        ``ranges`` tells which sequences it holds, by broker partition.
-        """
+    def write(self, df: DataFrame, folder: str) -> dict:
+        """Write a folder that counts only once a published manifest names it."""
         path = f"{folder}/{uuid.uuid4().hex}"
         df.write.parquet(f"{self.path}/{path}")
-        held = {} if ranges is None else {"ranges": {str(p): list(r) for p, r in ranges.items()}}
-        return {"path": path, "size": self._files.size(f"{self.path}/{path}"), **held}
+        return {"path": path, "size": sum(self._files.sizes(f"{self.path}/{path}").values())}
+
+    def write_events(self, events: DataFrame, manifest: dict) -> tuple[dict, DataFrame]:
+        """Write a batch's events, each once; gives the folder and its rows."""
+        now, rejected = F.current_timestamp(), F.col("reject_reason").isNotNull()
+        rows = events.select(
+            *S.EVENT_ID, arrival_position(events).alias("arrival"), "operation", "table", "key", "commit_lsn",
+            *[s.name for s in self.specs], "reject_reason", "value", now.alias("processed_at"),
+            F.when(rejected, now).alias("rejected_at"), F.lit(manifest["version"] + 1).cast("long").alias("changed_in"),
+        )
+        folder = self.write(rows, "events")
+        return folder, self.spark.read.schema(rows.schema).parquet(f"{self.path}/{folder['path']}")
+
+    def discard(self, folder: dict) -> None:
+        """Remove a folder that was never published."""
+        self._files.delete(f"{self.path}/{folder['path']}")
 
     def _write_base(self, rows: DataFrame, spec: S.TableSpec, buckets: int) -> dict:
         """Write rows bucketed by key; rows that come bucketed already are not shuffled."""
-        folder = {"path": f"target/{spec.name}/{uuid.uuid4().hex}", "buckets": buckets}
-        name = _table_name(folder)
+        path, name = f"target/{spec.name}/{uuid.uuid4().hex}", f"sluice_{uuid.uuid4().hex}"
         (
             rows.select(spec.key, *spec.column_names)
             .write.bucketBy(buckets, spec.key).format("parquet")
-            .option("path", f"{self.path}/{folder['path']}").saveAsTable(name)
-        )
-        return {**folder, "size": self._files.size(f"{self.path}/{folder['path']}")}
-
-    def write_net_changes(self, net: DataFrame, spec: S.TableSpec, manifest: dict) -> dict:
-        """Write a batch's net changes; gives the target's new manifest entry."""
-        known = manifest["targets"].get(spec.name, {"base": [], "changes": []})
-        if not known["base"] and not known["changes"]:
-            rows = A.rows_from(net, spec).repartition(self.buckets, spec.key)
-            return {"base": [self._write_base(rows, spec, self.buckets)], "changes": []}
-        changes = net.select(
-            spec.key, *spec.column_names,
-            (F.col("operation") == S.DELETE).alias("deleted"),
-            F.lit(manifest["version"] + 1).cast("long").alias("changed_in"),
+            .option("path", f"{self.path}/{path}").saveAsTable(name)
         )
-        added = self.write(changes, f"target/{spec.name}")
-        return {"base": known["base"], "changes": [*known["changes"], added]}
+        self.spark.sql(f"DROP TABLE {name}")
+        files = self._files.sizes(f"{self.path}/{path}")
+        return {"path": path, "buckets": buckets, "files": files, "size": sum(files.values())}
 
     def maintain(self) -> None:
         """Merge and fold what has grown too fragmented; changes no visible row."""
@@ -290,48 +346,76 @@ class State:
             known = manifest["targets"].get(spec.name)
             if not known or not known["changes"]:
                 continue
-            changed = sum(f["size"] for f in known["changes"])
-            if changed > self.merge_share * sum(f["size"] for f in known["base"]):
-                manifest["targets"][spec.name] = {"base": [self._merged(spec, manifest)], "changes": []}
+            changed = sum(f["size"] * f.get("share", {}).get(spec.name, 1) for f in known["changes"])
+            if changed > self.merge_share * (sum(f["size"] for f in known["base"]) or self.bucket_bytes):
+                manifest["targets"][spec.name] = {"base": [self._merged(spec, known, changed)], "changes": []}
             elif len(known["changes"]) > self.fold_count:
-                folded = self.write(self._changes(spec, manifest), f"target/{spec.name}")
-                manifest["targets"][spec.name]["changes"] = [folded]
-        for name, schema in (("ledger", S.LEDGER_SCHEMA), ("quarantine", S.QUARANTINE_SCHEMA)):
-            small = [f for f in manifest[name] if f["size"] < self.fold_size]
+                folded = self.write(self._newest(spec, known["changes"]), f"target/{spec.name}")
+                manifest["targets"][spec.name] = {**known, "changes": [folded]}
+        for name, read in (("ledger", self.ledger_in), ("quarantine", lambda folders: self.quarantine({"quarantine": folders}))):
+            # Folders of events shrink to what is needed of them, whatever their size.
+            small = [f for f in manifest[name] if f["size"] < self.fold_size or f["path"].startswith("events/")]
             if len(small) > self.fold_count:
                 # By range, so that file statistics skip what lies before a batch's sequences.
-                rows = self._read(schema, small).repartitionByRange(*S.EVENT_ID).sortWithinPartitions(*S.EVENT_ID)
-                folded = self.write(rows, name, joined_ranges(small))
-                kept = [f for f in manifest[name] if f not in small]
-                manifest[name] = [*kept, folded]
+                rows = read(small).repartitionByRange(*S.EVENT_ID).sortWithinPartitions(*S.EVENT_ID)
+                folded, held = self.write(rows, name), joined_ranges(small)
+                folded |= {} if held is None else {"ranges": {str(p): list(r) for p, r in held.items()}}
+                manifest[name] = [*[f for f in manifest[name] if f not in small], folded]
         if json.dumps(manifest) != before:
             manifest = self.publish(manifest)
         self._expire(manifest["version"])
 
-    def _merged(self, spec: S.TableSpec, manifest: dict) -> dict:
-        """A new base with all changes: one bucketed join, in which only the changes move."""
-        [base] = manifest["targets"][spec.name]["base"]
-        changes = self._changes(spec, manifest).repartition(base["buckets"], spec.key)
-        net = changes.withColumn("operation", F.when(F.col("deleted"), S.DELETE).otherwise(S.UPDATE))
-        merged = A.merge_changes(self._base(spec, [base]), net.hint("merge"), spec)
-        return self._write_base(merged, spec, base["buckets"])
+    def _merged(self, spec: S.TableSpec, known: dict, changed: float) -> dict:
+        """The base with all changes; only the changes move, and only buckets they touch are rewritten."""
+        size = changed + sum(f["size"] for f in known["base"])
+        buckets = known["base"][0]["buckets"] if known["base"] else self.buckets
+        while size > buckets * self.bucket_bytes:
+            buckets *= 2
+        net = self._net(spec, known["changes"])
+        if not known["base"]:
+            return self._write_base(A.rows_from(net, spec).repartition(buckets, spec.key), spec, buckets)
+        [base] = known["base"]
+        dealt = net.repartition(base["buckets"], spec.key).hint("merge")
+        if buckets == base["buckets"]:
+            bucket = F.pmod(F.hash(spec.key), F.lit(buckets)).alias("bucket")
+            touched = {r["bucket"] for r in net.select(bucket).distinct().collect()}  # as many as buckets, at most
+            if 2 * len(touched) <= buckets:
+                return self._rewritten(spec, base, dealt, touched)
+        return self._write_base(A.merge_changes(self._base(spec, base), dealt, spec), spec, buckets)
+
+    def _rewritten(self, spec: S.TableSpec, base: dict, net: DataFrame, touched: set[int]) -> dict:
+        """The base with the files of some buckets replaced by new ones in the same folder."""
+        folder = f"{self.path}/{base['path']}"
+        old = [f for f in base["files"] if bucket_of(f) in touched]
+        there = self._files.sizes(folder)
+        rows = A.merge_changes(self._base(spec, base, old), net, spec)
+        with self._table(spec, base) as name:
+            rows.select(*spec.schema.names).write.insertInto(name)
+        new = {f: n for f, n in self._files.sizes(folder).items() if f not in there}
+        files = {f: n for f, n in base["files"].items() if f not in old} | new
+        return {**base, "files": files, "size": sum(files.values()), "replaced": True}
 
     def _expire(self, newest: int) -> None:
-        """Remove old versions, and folders that no kept version names and no writer may still fill."""
+        """Remove old versions, and folders and files that no kept version names and no writer may still fill."""
         versions = sorted(
             int(n.removesuffix(".json")) for n, _ in self._files.folders(f"{self.path}/_versions") if n.endswith(".json")
         )
         old = [v for v in versions if v <= newest - self.keep_versions]
         if not old:
             return
-        named = {f["path"] for v in versions if v not in old for f in _folders(self.manifest(v))}
+        kept = [f for v in versions if v not in old for f in _folders(self.manifest(v))]
+        named: dict[str, set[str]] = {}
+        for folder in kept:
+            named.setdefault(folder["path"], set()).update(folder.get("files", ()))
         limit = time.time() * 1000 - self.keep_seconds * 1000
-        parts = ["ledger", "quarantine", "offsets", *[f"target/{s.name}" for s in self.specs]]
-        for part in parts:
+        for part in ["events", "ledger", "quarantine", *[f"target/{s.name}" for s in self.specs]]:
             for name, changed in self._files.folders(f"{self.path}/{part}"):
                 path = f"{part}/{name}"
                 if path not in named and changed < limit:
-                    self.spark.sql(f"DROP TABLE IF EXISTS {_table_name({'path': path})}")
                     self._files.delete(f"{self.path}/{path}")
+                elif named.get(path):
+                    for file, written in self._files.folders(f"{self.path}/{path}"):
+                        if file not in named[path] and not file.startswith(("_", ".")) and written < limit:
+                            self._files.delete(f"{self.path}/{path}/{file}")
         for v in old:
             self._files.delete(f"{self.path}/_versions/{v}.json")
