@@ -5,7 +5,7 @@ None of these decode anything: they state what the derived feeds must come to.
 
 from __future__ import annotations
 
-from sluice.sources.derived import LATE, REPLAYED
+from sluice.sources.derived import FURTHER_BITS, LATE, REPLAYED
 
 
 def _event_columns(key: str, table: int, partition: str) -> str:
@@ -41,17 +41,24 @@ ev AS (SELECT {_event_columns('o_orderkey', 0, 'o_orderkey')},
   FROM ok),
 firsts AS (SELECT * FROM ev WHERE k <> 3)"""
 
-LINES_CTE = f"""lines AS (SELECT l_orderkey, l_orderkey * 8 + l_linenumber AS line, min(l_partkey) AS product,
-    CAST(sum(l_quantity) AS BIGINT) AS quantity, CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS price
-  FROM lineitem GROUP BY l_orderkey, l_linenumber),
-lk AS (SELECT *, {_ks('line')} FROM lines),
+LINES_CTE = f"""lines AS (SELECT l_orderkey, l_orderkey * 8 + l_linenumber AS line, l_partkey AS product,
+    CAST(l_quantity AS BIGINT) AS quantity, CAST(l_extendedprice AS DECIMAL(18,2)) AS price,
+    row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+      ORDER BY l_partkey, CAST(l_quantity AS BIGINT), CAST(l_extendedprice AS DECIMAL(18,2))) - 1 AS further
+  FROM lineitem),
+lk AS (SELECT *, {_ks('line')} FROM lines WHERE further = 0),
+further_lev AS (SELECT CAST(l_orderkey % 4 AS INTEGER) AS partition_id, further * {1 << FURTHER_BITS} + line * 6 + 1 AS sequence_number,
+    4 AS k, line AS key, l_orderkey AS OrderID, product AS ProductID, quantity AS Quantity, price AS UnitPrice
+  FROM lines WHERE further > 0),
 lev AS (SELECT {_event_columns('line', 1, 'l_orderkey')},
     k, line AS key,
     CASE WHEN k <> 2 THEN l_orderkey END AS OrderID,
     CASE WHEN k <> 2 THEN product END AS ProductID,
     CASE WHEN k <> 2 THEN quantity + CASE WHEN k = 1 THEN 1 ELSE 0 END END AS Quantity,
     CASE WHEN k <> 2 THEN price END AS UnitPrice
-  FROM lk),
+  FROM lk
+  UNION ALL SELECT partition_id, sequence_number, sequence_number, 'UPD', 'L' || CAST(sequence_number AS VARCHAR),
+    k, key, OrderID, ProductID, Quantity, UnitPrice FROM further_lev),
 lfirsts AS (SELECT * FROM lev WHERE k <> 3)"""
 
 WITH_ORDERS = f"WITH {ORDERS_CTE} "
@@ -83,9 +90,11 @@ def target(condition: str = "TRUE") -> str:
   FROM orders WHERE {REMAINS.format('o_orderkey')} AND {condition}"""
 
 
+# A line's last state counts, but the late update of each 33rd one brings back its first.
 LINES_TARGET = f"""SELECT line AS OrderLineID, l_orderkey AS OrderID, product AS ProductID,
-    quantity + CASE WHEN line % 3 = 0 THEN 1 ELSE 0 END AS Quantity, price AS UnitPrice
-  FROM lines WHERE {REMAINS.format('line')}"""
+    quantity + CASE WHEN further = 0 AND line % 3 = 0 THEN 1 ELSE 0 END AS Quantity, price AS UnitPrice
+  FROM lines WHERE further > 0 OR {REMAINS.format('line')}
+  QUALIFY row_number() OVER (PARTITION BY line ORDER BY CASE WHEN line % 33 = 0 THEN -further ELSE further END DESC) = 1"""
 
 # Irregular messages: what the key's remainders come to.
 _SHAPES = """shapes AS (SELECT o_orderkey AS key, o_orderkey % 23 AS c, o_orderkey % 17 = 16 AS other_table,
@@ -148,7 +157,7 @@ def oracle_sql() -> dict[str, str]:
         "s9_commit_state": f"""{WITH_BOTH}, a AS ({both}) SELECT 'ledger' AS part, count(*) AS n FROM a WHERE k <> 3
             UNION ALL SELECT 'offsets', count(DISTINCT partition_id) FROM a
             UNION ALL SELECT 'Orders', (SELECT count(*) FROM orders WHERE {REMAINS.format('o_orderkey')})
-            UNION ALL SELECT 'OrderLines', (SELECT count(*) FROM lines WHERE {REMAINS.format('line')})""",
+            UNION ALL SELECT 'OrderLines', (SELECT count(*) FROM ({LINES_TARGET}))""",
         "s10_assign_partition": """SELECT count(*) AS keys, count(*) AS key_partition_pairs, TRUE AS in_range
             FROM (SELECT DISTINCT o_custkey FROM orders)""",
         "s11_select_published_columns": """SELECT o_orderkey AS key, CAST(json_object('o_orderkey', o_orderkey,

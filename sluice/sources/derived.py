@@ -10,15 +10,15 @@ from __future__ import annotations
 from dataclasses import replace
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from sluice import schemas as S
 
 PARTITIONS = 4
 # Bits of an arrival, above any sequence number: events delivered late, and replays after those.
 LATE, REPLAYED = 1 << 61, 1 << 62
-# k -> operation of the derived changes; k = 3 repeats the k = 0 message.
-OPERATIONS = {0: "INS", 1: "UPD", 2: "DEL"}
+# Further rows of one key are updates; each has the sequences above so many bits to itself.
+FURTHER_BITS = 44
 
 # The derived keys outgrow 32 bits where the tables are large.
 ORDERS = replace(S.ORDERS, key_kind="bigint")
@@ -37,8 +37,9 @@ def _changes(rows: DataFrame, key: str, table: int, partition: Column) -> DataFr
 
     Sequences of the tables interleave. The update of each 33rd key comes through the next
     partition and arrives after everything else but replays, so arrival contradicts sequence.
+    ``further`` numbers the rows of one key: those after the first are an update each (k = 4).
     """
-    k, late = F.col(key), (F.col("k") == 1) & (F.col(key) % 33 == 0)
+    k, late, further = F.col(key), (F.col("k") == 1) & (F.col(key) % 33 == 0), F.col("further")
     happens = F.array_compact(
         F.array(
             F.lit(0),
@@ -47,20 +48,21 @@ def _changes(rows: DataFrame, key: str, table: int, partition: Column) -> DataFr
             F.when(k % 5 == 0, F.lit(3)),
         )
     )
-    sequence = (k * 3 + F.when(F.col("k") == 3, 0).otherwise(F.col("k"))) * 2 + table
+    place = F.when(F.col("k").isin(1, 2), F.col("k")).otherwise(0)
+    sequence = (k * 3 + place) * 2 + table + F.shiftleft(further.cast("long"), FURTHER_BITS)
     arrival = F.when(F.col("k") == 3, F.lit(REPLAYED)).when(late, F.lit(LATE)).otherwise(F.lit(0))
     return (
-        rows.withColumn("k", F.explode(happens))
+        rows.withColumn("k", F.explode(F.when(further > 0, F.array(F.lit(4))).otherwise(happens)))
         .withColumn("sequence_number", sequence.cast("long"))
         .withColumn("arrival", F.col("sequence_number") + arrival)
-        .withColumn("operation", F.when(F.col("k") == 1, "UPD").when(F.col("k") == 2, "DEL").otherwise("INS"))
+        .withColumn("operation", F.when(F.col("k").isin(1, 4), "UPD").when(F.col("k") == 2, "DEL").otherwise("INS"))
         .withColumn("partition_id", ((partition + late.cast("int")) % PARTITIONS).cast("int"))
     )
 
 
 def order_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Changes of Orders, still as columns."""
-    orders = read_table(spark, sf_dir, "orders")
+    orders = read_table(spark, sf_dir, "orders").withColumn("further", F.lit(0))
     changes = _changes(orders, "o_orderkey", 0, F.col("o_orderkey"))
     text = F.col("o_orderkey").cast("string")
     return changes.select(
@@ -85,16 +87,17 @@ def order_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def line_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Changes of OrderLines, still as columns; rows of one line number add up to a line."""
-    lineitem = read_table(spark, sf_dir, "lineitem")
-    lines = (
-        lineitem.groupBy("l_orderkey", "l_linenumber")
-        .agg(
-            F.min("l_partkey").alias("product"),
-            F.sum("l_quantity").cast("long").alias("quantity"),
-            F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).cast("decimal(18,2)").alias("price"),
-        )
-        .withColumn("line", F.col("l_orderkey").cast("long") * 8 + F.col("l_linenumber"))
+    """Changes of OrderLines, still as columns: one at least for every row of ``lineitem``.
+
+    Rows of one line number are that line's states one after the other, in order of their cells.
+    """
+    lineitem = read_table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.col("l_partkey").alias("product"), F.col("l_quantity").cast("long").alias("quantity"),
+        F.col("l_extendedprice").cast("decimal(18,2)").alias("price"),
+    )
+    states = Window.partitionBy("l_orderkey", "l_linenumber").orderBy("product", "quantity", "price")
+    lines = lineitem.withColumn("further", F.row_number().over(states) - 1).withColumn(
+        "line", F.col("l_orderkey").cast("long") * 8 + F.col("l_linenumber")
     )
     changes = _changes(lines, "line", 1, F.col("l_orderkey"))
     return changes.select(
