@@ -119,12 +119,41 @@ def likeness(a: Column, b: Column) -> Column:
     return F.greatest(F.lit(0.0), (1 - differing / F.lit(float(BINS)) - F.lit(chance)) / F.lit(1 - chance))
 
 
-def _block_width(docs: DataFrame, key: Column) -> int:
-    """Ids in a block, so that blocks hold some 256 rows where ids are densest."""
-    shares = F.array(*[F.lit(i / _QUANTILES) for i in range(_QUANTILES + 1)])
-    rows, points = docs.agg(F.count("*"), F.percentile_approx(key, shares, 10_000)).first()
-    steps = [b - a for a, b in zip(points or [], (points or [])[1:]) if b > a]
-    return max(1, _BLOCK_ROWS * _QUANTILES * min(steps, default=1) // max(1, rows))
+def _block(rows: DataFrame, key: Column) -> Column:
+    """The block of neighbouring ids a row is in: blocks rise with the id and hold some 128 to 256 rows.
+
+    Quantiles of the ids cut the table into intervals of about as many rows, and each interval is cut
+    into equal widths, powers of two. However ids are spread, there are not many more blocks than
+    one in 128 rows, and none has more rows than an interval. Null ids come before all others.
+    """
+    shares = F.array(*[F.lit(i / _QUANTILES) for i in range(1, _QUANTILES)])
+    n, first, last, inner = rows.agg(
+        F.count("*"), F.min(key), F.max(key), F.percentile_approx(key, shares, 10_000)
+    ).first()
+    if first is None:
+        return F.lit(-1).cast("long")
+    bounds = sorted({first, *(inner or [])})
+    wanted = -(-n // (_BLOCK_ROWS * len(bounds)))
+    spans = [b - a for a, b in zip(bounds, [*bounds[1:], last + 1])]
+    bits = [max((span // wanted).bit_length() - 1, 0) if span > wanted else 0 for span in spans]
+    rule = F.array(*[
+        F.struct(F.lit(b).cast("long").alias("from"), F.lit(k).alias("bits"), F.lit(b >> k).cast("long").alias("zero"))
+        for b, k in zip(bounds, bits)
+    ])
+    def further(place: Column, step: Column) -> Column:
+        probe = place + step
+        return F.when((probe < len(bounds)) & (F.get(rule, probe)["from"] <= key), probe).otherwise(place)
+
+    # The last interval that begins at or below the key, found by halving.
+    steps = [1 << i for i in range((len(bounds) - 1).bit_length())]
+    place = F.aggregate(F.array(*map(F.lit, reversed(steps))).cast("array<int>"), F.lit(0), further)
+    return F.when(key.isNull(), F.lit(-1).cast("long")).otherwise(_let(
+        F.struct(place.alias("place"), key.alias("key")),
+        lambda x: _let(
+            F.get(rule, x["place"]),
+            lambda r: F.shiftleft(x["place"].cast("long"), 40) + F.call_function("shiftright", x["key"], r["bits"]) - r["zero"],
+        ),
+    ))
 
 
 def _following(blocks: DataFrame) -> DataFrame:
@@ -147,9 +176,8 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     """
     stage = Stage(docs.sparkSession, "neighbours")
     rows = docs.select(F.col(id_col).alias("doc_id"), whole_text(F.col(text_col)).alias("text"))
-    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**62)))
-    width = _block_width(rows, F.col("doc_id").cast("long"))
-    rows = rows.withColumn("key", key).withColumn("block", F.floor(F.col("key") / width))
+    rows = rows.withColumn("key", F.col("doc_id").cast("long"))
+    rows = rows.withColumn("block", _block(rows, F.col("key")))
     firsts = stage.write(
         rows.groupBy("block").agg(F.min_by("text", F.struct("key", "text")).alias("first_text"))
         .withColumn("first_packed", packed_fingerprint(F.col("first_text")))
