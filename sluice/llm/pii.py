@@ -278,7 +278,7 @@ def viterbi(emit: np.ndarray, first: np.ndarray, n: np.ndarray, change: np.ndarr
 
 
 def _stretches(text: str) -> Iterator[tuple[int, int]]:
-    """Parts of a text around its triggers, on word boundaries; near ones run together."""
+    """Parts of a text that hold its triggers; near ones run together."""
     start = end = -1
     for m in _TRIGGER.finditer(text):
         if start >= 0 and m.start() - end <= 2 * MARGIN:
@@ -316,6 +316,17 @@ def added_spans(texts: list[str], model: Model) -> list[list[tuple[int, int, int
     return found
 
 
+def _apart(spans: list[tuple[int, int, int]], others: list[tuple[int, int, int]]) -> Iterator[tuple[int, int, int]]:
+    """Spans that share no character with any of the others; both in order of start, one pass."""
+    at, reached = 0, 0
+    for start, kind, end in spans:
+        while at < len(others) and others[at][0] <= start:
+            reached = max(reached, others[at][2])
+            at += 1
+        if reached <= start and (at == len(others) or others[at][0] >= end):
+            yield start, kind, end
+
+
 def _plausible(text: str, kind: int, start: int, end: int) -> bool:
     """A span of the field must hold what its kind cannot do without."""
     part = text[start:end]
@@ -354,10 +365,7 @@ def find(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
             added: list[list] = [[] for _ in range(batch.num_rows)]
             for i, text, more in zip(some.tolist(), texts, added_spans(texts, model)):
                 own = base_spans(text)
-                free = [
-                    (a, k, b) for a, k, b in sorted(more)
-                    if not any(a < end and start < b for start, _, end in own) and _plausible(text, k, a, b)
-                ]
+                free = [(a, k, b) for a, k, b in _apart(sorted(more), own) if _plausible(text, k, a, b)]
                 base[i], added[i] = (
                     [{"kind": KINDS[k], "start": a, "end": b} for a, k, b in x] for x in (own, free)
                 )
