@@ -22,6 +22,8 @@ from sluice.llm import words as N
 BUCKETS = 1 << 16
 #: Log-likelihood that a change of language must gain.
 SWITCH = 12.0
+#: Words of a long text that are labelled one after the other; its pieces go side by side.
+PIECE = 1024
 #: A script is a candidate's if this share of the language's letters is written in it.
 SCRIPT_SHARE = 0.001
 UNKNOWN = "und"
@@ -118,9 +120,53 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Mode
     return Model(languages, np.log(grams / grams.sum(0)).astype(np.float32), share >= SCRIPT_SHARE)
 
 
-def _viterbi(scores: np.ndarray, first: np.ndarray, n: np.ndarray) -> np.ndarray:
+def _viterbi(scores: np.ndarray, first: np.ndarray, n: np.ndarray, piece: int = PIECE) -> np.ndarray:
     """Best language of each word; text i has the words from ``first[i]``, ``n[i]`` of them.
 
+    Texts longer than ``piece`` words are cut into pieces of so many, after it is known in which
+    language the best path enters and leaves each piece; then all pieces and texts are labelled together.
+    """
+    long = n > piece
+    if not long.any():
+        return _paths(scores, first, n)
+    parts = [(first[~long], n[~long], np.full((~long).sum(), -1), np.full((~long).sum(), -1))]
+    parts += [_pieces(scores, int(a), int(size), piece) for a, size in zip(first[long], n[long])]
+    return _paths(scores, *map(np.concatenate, zip(*parts)))
+
+
+def _pieces(scores: np.ndarray, first: int, n: int, piece: int) -> tuple[np.ndarray, ...]:
+    """First words and sizes of a text's pieces, the language before each (-1: none) and at its end.
+
+    The best score from every language before a piece to every one at its end is found for all
+    pieces at once, word by word; along the text only these small tables are put together.
+    """
+    starts = np.arange(first, first + n, piece)
+    sizes = np.minimum(piece, first + n - starts)
+    languages = scores.shape[1]
+    table = np.where(np.eye(languages, dtype=bool), 0.0, -float(SWITCH)) + scores[starts][:, None, :].astype(np.float64)
+    for t in range(1, piece):
+        k = len(starts) - (sizes[-1] <= t)  # only the last piece may be shorter
+        now = table[:k]
+        table[:k] = np.maximum(now, now.max(2, keepdims=True) - SWITCH) + scores[starts[:k] + t][:, None, :]
+    state = table[0].max(0)  # before the first word no language is better than another
+    came = np.zeros((len(starts), languages), np.int64)
+    for c in range(1, len(starts)):
+        reach = state[:, None] + table[c]
+        came[c] = reach.argmax(0)
+        state = reach.max(0)
+        state = state - state.max()
+    ends = np.empty(len(starts), np.int64)
+    ends[-1] = state.argmax()
+    for c in range(len(starts) - 1, 0, -1):
+        ends[c - 1] = came[c, ends[c]]
+    return starts, sizes, np.append(-1, ends[:-1]), ends
+
+
+def _paths(
+    scores: np.ndarray, first: np.ndarray, n: np.ndarray, before: np.ndarray | None = None, after: np.ndarray | None = None
+) -> np.ndarray:
+    """Best language of each word, with that before the first and that of the last word given where not -1.
+
     All texts advance together, one word a step, the longest first so that those still running
     are a prefix.
     """
@@ -130,6 +176,9 @@ def _viterbi(scores: np.ndarray, first: np.ndarray, n: np.ndarray) -> np.ndarray
     best_before = np.zeros(len(scores), np.int16)
     stays = np.zeros(scores.shape, bool)
     state = np.zeros((len(n), scores.shape[1]), np.float32)
+    if before is not None:
+        given = before[order]
+        state[(given >= 0)[:, None] & (np.arange(scores.shape[1]) != given[:, None])] = -SWITCH
     for t, k in enumerate(running):
         at, now = first[:k] + t, state[:k]
         if t:
@@ -142,6 +191,8 @@ def _viterbi(scores: np.ndarray, first: np.ndarray, n: np.ndarray) -> np.ndarray
         state[:k] = now + scores[at]
     label = np.zeros(len(scores), np.int16)
     now = state.argmax(1).astype(np.int16)
+    if after is not None:
+        now = np.where(after[order] >= 0, after[order], now).astype(np.int16)
     for t in range(len(running) - 1, -1, -1):
         at = first[:running[t]] + t
         label[at] = now[:len(at)]

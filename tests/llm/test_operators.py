@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 
 import numpy as np
 import pyarrow as pa
@@ -549,3 +550,72 @@ def test_word_hashes_follow_words():
     [again] = N.slices([pa.RecordBatch.from_arrays([column], ["t"])], 0)
     assert again.num_rows == 4
     assert [b.num_rows for b in N.slices([pa.RecordBatch.from_arrays([column], ["t"])], 0, 5)] == [2, 1, 1]
+
+
+# awkward sizes: ids far apart, long texts, few labels
+
+@pytest.mark.parametrize("name, ids", [
+    ("both ends", [-2**63, -2**63 + 1, -2**62, -5, 0, 5, 2**62, 2**63 - 1, None]),
+    ("a dense cluster", [*range(10**15, 10**15 + 700), *(k * 10**16 + 3 for k in range(-300, 300))]),
+    ("one id", [7] * 5), ("one row", [-9]), ("null", [None, None]),
+])
+def test_following_documents_of_any_ids(spark, monkeypatch, name, ids):
+    monkeypatch.setattr(fingerprints, "_BLOCK_ROWS", 16)
+    monkeypatch.setattr(fingerprints, "_QUANTILES", 8)
+    rows = [(i, f"text {n:04d}") for n, i in enumerate(ids)]
+    random.Random(1).shuffle(rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = {r.text: r.next_text for r in fingerprints.with_next(docs).collect()}
+    order = [t for _, t in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))]
+    assert found == dict(zip(order, order[1:] + order[:1]))
+    blocks = docs.select(fingerprints._block(docs.withColumn("key", F.col("doc_id")), F.col("doc_id")).alias("b")).groupBy("b").count().collect()
+    assert len(blocks) <= len(rows) / 8 + 2 * 8 + 2
+
+
+def test_pii_spans_apart():
+    rnd = random.Random(8)
+    for _ in range(300):
+        others = sorted((a, 0, a + rnd.randint(1, 9)) for a in rnd.choices(range(60), k=rnd.randint(0, 8)))
+        spans = sorted((a, 1, a + rnd.randint(1, 6)) for a in rnd.choices(range(60), k=8))
+        assert list(pii._apart(spans, others)) == [
+            (a, k, b) for a, k, b in spans if not any(a < end and start < b for start, _, end in others)
+        ]
+
+
+def test_pii_of_a_long_contact_list(spark):
+    line = "reach (212) 555-0187 or 10 . 20 . 30 . 40, +1 212 555 0199 and a.b@example.org\n"
+    text = line * (5_000_000 // len(line))
+    docs = spark.createDataFrame([(1, text), (2, line)], "doc_id long, text string")
+    start = time.perf_counter()
+    found = {r.doc_id: r for r in pii.find(docs, pii.train()).collect()}
+    assert time.perf_counter() - start < 240
+    assert len(found[1].base) == len(text) // len(line) * len(found[2].base)
+
+
+def test_language_of_long_texts_by_pieces():
+    rnd = np.random.default_rng(9)
+    n = np.array([40, 3, 0, 17, 16, 33, 1])
+    scores = rnd.normal(scale=9, size=(n.sum(), 3)).astype(np.float32)
+    first = np.cumsum(n) - n
+
+    def worth(path, own):
+        return sum(float(own[i, s]) for i, s in enumerate(path)) - language.SWITCH * sum(a != b for a, b in zip(path, path[1:]))
+
+    whole = language._viterbi(scores, first, n)
+    for piece in (1, 2, 5, 16):
+        label = language._viterbi(scores, first, n, piece)
+        for a, size in zip(first, n):
+            own = scores[a:a + size]
+            assert worth(label[a:a + size], own) == pytest.approx(worth(whole[a:a + size], own), abs=1e-3)
+
+
+def test_language_of_one_very_long_text(spark):
+    rnd = random.Random(2)
+    rows = [(i, prose(rnd, lang, 60), lang) for i, lang in enumerate(["en", "de", "fr"] * 40)]
+    model = language.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    parts = [(lang, prose(rnd, lang, 4000)) for lang in ["en", "de", "fr"] * 30]
+    text = " ".join(t for _, t in parts)
+    start = time.perf_counter()
+    [found] = language.predict(spark.createDataFrame([(1, text)], "doc_id long, text string"), model).collect()
+    assert time.perf_counter() - start < 2 * len(text) / 1e6 + 20
+    assert [s.lang for s in found.spans if s.words > 1000] == [lang for lang, _ in parts]
