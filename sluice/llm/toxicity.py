@@ -4,7 +4,8 @@ Positives are texts confirmed as toxic; all other texts count as unlabelled, wha
 them. With the class prior p, the risk of a scorer is p * R(positives as toxic) plus the risk of
 taking unlabelled texts for clean, less p * R(positives as clean); that difference cannot be below
 zero for a true scorer, so where it becomes negative the step goes the other way, which keeps a
-flexible model from explaining the positives away. The scorer is linear over indicators of hashed
+flexible model from explaining the positives away. A prior above the true one keeps turning the steps until
+nothing scores as toxic any more; such a prior is lowered. The scorer is linear over indicators of hashed
 words and of their first four and five bytes.
 """
 
@@ -24,6 +25,11 @@ BUCKETS = 1 << 18
 POSITIVES, UNLABELLED = 3000, 9000
 #: A feature must occur in so many of the fitted texts.
 LEAST_TEXTS = 4
+#: Estimating the prior: confirmed texts at most and at least, folds, and the prior its scorers are trained with.
+PRIOR_POSITIVES, LEAST_ROWS, FOLDS, FIRST_PRIOR = 800, 5, 5, 0.1
+FEW = 30
+#: Share of its confirmed texts that a fitted model must score as toxic.
+RECOGNISED = 0.5
 STEPS = 300
 RATE = 0.5
 MOMENTUM = 0.9
@@ -100,43 +106,90 @@ def train(positive: pa.ListArray, unlabelled: pa.ListArray, prior: float, bucket
     return Model(weight, float(w[-1]))
 
 
-def fit(docs: DataFrame, labels: DataFrame, label_col: str, id_col: str = "doc_id", text_col: str = "text") -> Model:
-    """Learn from ``labels``: rows with label 1 are confirmed, all labelled rows make the unlabelled
-    sample, read without their label. The prior is the share of label 1 among all labelled rows.
+def _share_above(scores: np.ndarray, at: np.ndarray) -> np.ndarray:
+    return 1 - np.searchsorted(np.sort(scores), at, "left") / len(scores)
 
-    Both samples are of bounded size and chosen by a hash of the id. Their ids, the driver's to
-    broadcast, are some 12,000 numbers; the texts' features go to the driver.
+
+def estimate_prior(
+    positive: pa.ListArray, unlabelled: pa.ListArray, folds: tuple[np.ndarray, np.ndarray], buckets: int = BUCKETS
+) -> float:
+    """The share of toxic texts among unlabelled ones.
+
+    If it is p, at least p times the share of positives lies above any score; so the share of
+    unlabelled texts above it, divided by that of the positives, is never below p, and comes near it where
+    hardly a clean text scores as high. Each fold is scored by a model of the other ones, and a text that is
+    in both samples must be in one fold, or it would be known to the model; the prior is the least quotient over all scores, with half a standard error on top, as it is a least one. Up to
+    ``PRIOR_POSITIVES`` and three times as many unlabelled texts take part, the first ones of samples in random order.
     """
-    known = labels.filter(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).select(
-        F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("_label")
-    )
-    n, toxic = known.agg(F.count("*"), F.coalesce(F.sum("_label"), F.lit(0))).first()
+    positive, unlabelled = positive[:PRIOR_POSITIVES], unlabelled[:3 * PRIOR_POSITIVES]
+    if min(len(positive), len(unlabelled)) < LEAST_ROWS:
+        return len(positive) / max(1, len(positive) + len(unlabelled))
+    p, u = np.empty(len(positive)), np.empty(len(unlabelled))
+    for fold in range(FOLDS):
+        parts = []
+        for x, in_fold in zip((positive, unlabelled), folds):
+            mine = in_fold[:len(x)] % FOLDS == fold
+            parts.append((x.take(pa.array(np.flatnonzero(~mine))), x.take(pa.array(np.flatnonzero(mine))), mine))
+        (own_p, other_p, at_p), (own_u, other_u, at_u) = parts
+        model = train(own_p, own_u, FIRST_PRIOR, buckets)
+        p[at_p], u[at_u] = model.score(*_sparse(other_p), len(other_p)), model.score(*_sparse(other_u), len(other_u))
+    at = np.quantile(p, np.arange(0.02, 0.8, 0.02))  # below, a few odd positives would decide; above, too few
+    above = _share_above(u, at)
+    error = np.sqrt(np.maximum(above * (1 - above), 1 / len(u)) / len(u))
+    return float(min(((above + error / 2) / np.maximum(_share_above(p, at), 1e-9)).min(), 1.0))
+
+
+def fit(
+    docs: DataFrame, labels: DataFrame, label_col: str, id_col: str = "doc_id", text_col: str = "text",
+    prior: float | None = None,
+) -> Model:
+    """Learn from ``labels``: documents with label 1 are confirmed; the unlabelled sample is drawn from all
+    documents. Without a ``prior``, the share of toxic ones is estimated from scores; with fewer than ``FEW``
+    confirmed documents that is too rough, and their share among labelled rows counts if some have label 0.
+
+    Both samples are of bounded size and chosen by a hash, of the id for confirmed documents, of id and
+    text for unlabelled ones; rows equal in both count once, so one that is repeated without end takes
+    one place. The ids of the confirmed sample, some ``POSITIVES``, are the driver's to broadcast; the
+    samples' features go to the driver. Without a confirmed document everything scores as clean.
+    """
+    marks = labels.filter((F.col(label_col) == 1) & F.col(id_col).isNotNull()).select(F.col(id_col).alias("_id")).distinct()
     scale = 1 << 30
 
-    def sample(seed: int, most: int, of: int) -> Column:
+    def sample(most: int, of: int, *by: Column | str) -> Column:
         share = min(1.0, most / max(1, of))
-        return F.pmod(F.xxhash64(F.lit(seed), "_id"), F.lit(scale)) < F.lit(share * scale)
+        return F.pmod(F.xxhash64(*by), F.lit(scale)) < F.lit(share * scale)
 
-    chosen = known.select(
-        "_id", ((F.col("_label") == 1) & sample(1, POSITIVES, toxic)).alias("positive"),
-        sample(2, UNLABELLED, n).alias("unlabelled"),
-    ).filter("positive OR unlabelled")
+    chosen = marks.filter(sample(POSITIVES, marks.count(), F.lit(1), "_id")).withColumn("positive", F.lit(True))
     rows = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    rows = rows.join(F.broadcast(chosen), "_id").select("text", "positive", "unlabelled", "_id")
+    rows = rows.withColumn("unlabelled", sample(UNLABELLED, rows.count(), F.lit(2), "_id", "text"))
+    rows = rows.join(F.broadcast(chosen), "_id", "left").filter("positive OR unlabelled")
+    rows = rows.withColumn("rank", F.xxhash64(F.lit(3), "_id", "text")).dropDuplicates(["rank"])
+    rows = rows.select("text", F.coalesce("positive", F.lit(False)).alias("positive"), "unlabelled", "rank")
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in N.slices(batches, 0):
             lists = N.rows_of(*(x.astype(np.int32) for x in features(batch.column(0))), batch.num_rows)
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:3], lists], names=["positive", "unlabelled", "features"])
-
-    found = rows.mapInArrow(extract, "positive boolean, unlabelled boolean, features array<int>").toArrow()
-
-    def lists(flag: str) -> pa.ListArray:
-        return pa.concat_arrays([
-            chunk.column("features").filter(chunk.column(flag)) for chunk in found.to_batches()
-        ] or [pa.array([], pa.list_(pa.int32()))])
-
-    return train(lists("positive"), lists("unlabelled"), toxic / max(1, n))
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], lists], names=["positive", "unlabelled", "rank", "features"])
+
+    schema = "positive boolean, unlabelled boolean, rank long, features array<int>"
+    found = rows.mapInArrow(extract, schema).toArrow().sort_by("rank")
+
+    def sampled(flag: str) -> tuple[pa.ListArray, np.ndarray]:
+        rows = found.filter(found.column(flag)).combine_chunks()
+        lists = rows.column("features").combine_chunks() if len(rows) else pa.array([], pa.list_(pa.int32()))
+        return lists, rows.column("rank").to_numpy().astype(np.uint64)
+
+    (positive, fold_p), (unlabelled, fold_u) = sampled("positive"), sampled("unlabelled")
+    if prior is None and len(positive) < FEW:
+        clean, toxic = labels.filter(F.col(id_col).isNotNull()).agg(F.count_if(F.col(label_col) == 0), F.count_if(F.col(label_col) == 1)).first()
+        prior = toxic / (clean + toxic) if clean else None
+    if prior is None:
+        prior = estimate_prior(positive, unlabelled, (fold_p, fold_u))
+    while True:
+        model = train(positive, unlabelled, prior)
+        if not len(positive) or prior < 1e-3 or (model.score(*_sparse(positive), len(positive)) >= 0.5).mean() >= RECOGNISED:
+            return model
+        prior *= 0.8
 
 
 def predict(docs: DataFrame, model: Model, text_col: str = "text", carry: tuple[str | Column, ...] = ("doc_id",)) -> DataFrame:

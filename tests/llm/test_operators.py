@@ -1,6 +1,7 @@
 """The operators on awkward rows and against brute force."""
 
 import hashlib
+import math
 import random
 import time
 
@@ -619,3 +620,74 @@ def test_language_of_one_very_long_text(spark):
     [found] = language.predict(spark.createDataFrame([(1, text)], "doc_id long, text string"), model).collect()
     assert time.perf_counter() - start < 2 * len(text) / 1e6 + 20
     assert [s.lang for s in found.spans if s.words > 1000] == [lang for lang, _ in parts]
+
+
+def test_toxicity_with_confirmed_texts_alone(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "FEW", 50)  # as with many confirmed texts, other labels are not read
+    texts, marks = labelled(spark, ["scum", "vermin", "wretch"])
+    both = toxicity.fit(texts, marks, "toxic")
+    alone = toxicity.fit(texts, marks.filter("toxic = 1"), "toxic")
+    assert np.array_equal(both.weight, alone.weight) and both.bias == alone.bias
+    truth = {r.doc_id: r.toxic for r in marks.collect()}
+    found = {r.doc.doc_id: r.score >= 0.5 for r in toxicity.predict(texts, alone).collect()}
+    assert sum(found[i] == bool(t) for i, t in truth.items()) >= 0.97 * len(truth)
+
+
+def test_toxicity_samples_stay_bounded(spark, monkeypatch):
+    """One document and one label repeated without end take one place in a sample."""
+    seen = []
+    monkeypatch.setattr(toxicity, "train", lambda p, u, prior, *a: (seen.append((len(p), len(u))), toxicity.Model(np.zeros(toxicity.BUCKETS), 1.0))[1])
+    texts = [(i, f"text {i}") for i in range(60)] + [(7, "text 7")] * 5000
+    marks = [(i, 1) for i in range(0, 60, 2)] + [(7, 1)] * 5000
+    toxicity.fit(spark.createDataFrame(texts, "doc_id long, text string"), spark.createDataFrame(marks, "doc_id long, toxic int"), "toxic", prior=0.1)
+    assert seen == [(31, 60)]
+
+
+def sparse_lists(rows):
+    return pa.array(rows, pa.list_(pa.int32()))
+
+
+def test_non_negative_risk_equals_plain_loop(monkeypatch):
+    monkeypatch.setattr(toxicity, "LEAST_TEXTS", 1)
+    monkeypatch.setattr(toxicity, "STEPS", 40)
+    rnd = random.Random(3)
+    positive = [sorted(rnd.sample(range(6), 3)) for _ in range(7)]
+    unlabelled = [sorted(rnd.sample(range(2, 9), 3)) for _ in range(15)]
+    for prior in (0.1, 0.6):  # the second one makes the difference negative on the way
+        model = toxicity.train(sparse_lists(positive), sparse_lists(unlabelled), prior, 9)
+        w, pace = [0.0] * 9 + [math.log(prior / (1 - prior))], [0.0] * 10
+
+        def slopes(rows, slope):
+            out = [0.0] * 10
+            for row in rows:
+                z = sum(w[f] for f in row) + w[9]
+                for f in [*row, 9]:
+                    out[f] += slope(1 / (1 + math.exp(-z))) / len(rows)
+            return out
+
+        for _ in range(40):
+            def loss(rows):
+                return sum(math.log1p(math.exp(sum(w[f] for f in row) + w[9])) for row in rows) / len(rows)
+
+            rest = loss(unlabelled) - prior * loss(positive)
+            clean = [u - prior * p for u, p in zip(slopes(unlabelled, lambda s: s), slopes(positive, lambda s: s))]
+            toxic = [prior * x for x in slopes(positive, lambda s: s - 1)]
+            step = [t + c for t, c in zip(toxic, clean)] if rest >= 0 else [-c for c in clean]
+            pace = [toxicity.MOMENTUM * a + b for a, b in zip(pace, step)]
+            for f in range(10):
+                w[f] -= toxicity.RATE * pace[f] * (1 if f < 9 else 0.3)
+            shrink = toxicity.RATE / (1 - toxicity.MOMENTUM) * toxicity.SPARSITY
+            w[:9] = [math.copysign(max(abs(x) - shrink, 0), x) for x in w[:9]]
+        assert model.weight == pytest.approx(w[:9], abs=1e-9) and model.bias == pytest.approx(w[9], abs=1e-9)
+
+
+@pytest.mark.parametrize("share", [0.05, 0.3])
+def test_prior_is_estimated_from_scores(share):
+    rnd = random.Random(5)
+
+    def text(toxic):
+        return sorted({rnd.randrange(40) for _ in range(12)} | ({40 + rnd.randrange(4) for _ in range(2)} if toxic else set()))
+
+    positive = sparse_lists([text(True) for _ in range(300)])
+    unlabelled = sparse_lists([text(rnd.random() < share) for _ in range(900)])
+    assert abs(toxicity.estimate_prior(positive, unlabelled, (np.arange(300), np.arange(900)), 64) - share) < 0.04
