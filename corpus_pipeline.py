@@ -50,10 +50,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written and read again as the next one's input."""
-    docs = table(spark, sf_dir, "documents")
-    for i, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if i < len(STAGES) - 1:
-            docs = Stage(spark, name).write(docs)
-    return docs
+    """All stages over ``documents``, each written and read again as the next one's input.
+
+    A stage's input is removed once its output is written; the last one's stays for the lazy result.
+    """
+    docs, written = table(spark, sf_dir, "documents"), Stage(spark, "pipeline")
+    for _, stage in STAGES[:-1]:
+        docs = written.write(stage(spark, docs, sf_dir))
+        written.clear(docs)
+    return STAGES[-1][1](spark, docs, sf_dir)
