@@ -22,7 +22,7 @@ from sluice.llm import words as N
 BUCKETS = 1 << 16
 #: Log-likelihood that a change of language must gain.
 SWITCH = 12.0
-#: Words of a long text that are labelled one after the other; its pieces go side by side.
+#: Words of a text that are labelled one after the other; pieces of longer ones go side by side.
 PIECE = 1024
 #: A script is a candidate's if this share of the language's letters is written in it.
 SCRIPT_SHARE = 0.001
@@ -129,37 +129,47 @@ def _viterbi(scores: np.ndarray, first: np.ndarray, n: np.ndarray, piece: int =
     long = n > piece
     if not long.any():
         return _paths(scores, first, n)
-    parts = [(first[~long], n[~long], np.full((~long).sum(), -1), np.full((~long).sum(), -1))]
-    parts += [_pieces(scores, int(a), int(size), piece) for a, size in zip(first[long], n[long])]
-    return _paths(scores, *map(np.concatenate, zip(*parts)))
+    none = np.full((~long).sum(), -1)
+    parts = zip((first[~long], n[~long], none, none), _pieces(scores, first[long], n[long], piece))
+    return _paths(scores, *map(np.concatenate, parts))
 
 
-def _pieces(scores: np.ndarray, first: int, n: int, piece: int) -> tuple[np.ndarray, ...]:
-    """First words and sizes of a text's pieces, the language before each (-1: none) and at its end.
+def _pieces(scores: np.ndarray, first: np.ndarray, n: np.ndarray, piece: int) -> tuple[np.ndarray, ...]:
+    """First words and sizes of all texts' pieces, the language before each (-1: none) and at its end.
 
     The best score from every language before a piece to every one at its end is found for all
-    pieces at once, word by word; along the text only these small tables are put together.
+    pieces at once, word by word; along a text only these small tables are put together.
     """
-    starts = np.arange(first, first + n, piece)
-    sizes = np.minimum(piece, first + n - starts)
+    count = -(-n // piece)
+    head = np.cumsum(count) - count  # each text's first piece
+    place = np.arange(count.sum()) - np.repeat(head, count)
+    starts = np.repeat(first, count) + place * piece
+    sizes = np.minimum(np.repeat(n, count) - place * piece, piece)
+    order = np.argsort(-sizes, kind="stable")
+    begin, running = starts[order], np.searchsorted(-sizes[order], -np.arange(piece), "left")
     languages = scores.shape[1]
-    table = np.where(np.eye(languages, dtype=bool), 0.0, -float(SWITCH)) + scores[starts][:, None, :].astype(np.float64)
+    table = np.where(np.eye(languages, dtype=bool), 0.0, -float(SWITCH)) + scores[begin][:, None, :].astype(np.float64)
     for t in range(1, piece):
-        k = len(starts) - (sizes[-1] <= t)  # only the last piece may be shorter
+        k = running[t]
         now = table[:k]
-        table[:k] = np.maximum(now, now.max(2, keepdims=True) - SWITCH) + scores[starts[:k] + t][:, None, :]
-    state = table[0].max(0)  # before the first word no language is better than another
-    came = np.zeros((len(starts), languages), np.int64)
-    for c in range(1, len(starts)):
-        reach = state[:, None] + table[c]
-        came[c] = reach.argmax(0)
-        state = reach.max(0)
-        state = state - state.max()
+        table[:k] = np.maximum(now, now.max(2, keepdims=True) - SWITCH) + scores[begin[:k] + t][:, None, :]
+    table[order] = table.copy()
     ends = np.empty(len(starts), np.int64)
-    ends[-1] = state.argmax()
-    for c in range(len(starts) - 1, 0, -1):
-        ends[c - 1] = came[c, ends[c]]
-    return starts, sizes, np.append(-1, ends[:-1]), ends
+    for text in range(len(n)):
+        a, b = head[text], head[text] + count[text]
+        state = table[a].max(0)  # before the first word no language is better than another
+        came = np.zeros((b - a, languages), np.int64)
+        for c in range(a + 1, b):
+            reach = state[:, None] + table[c]
+            came[c - a] = reach.argmax(0)
+            state = reach.max(0)
+            state = state - state.max()
+        ends[b - 1] = state.argmax()
+        for c in range(b - 1, a, -1):
+            ends[c - 1] = came[c - a, ends[c]]
+    before = np.append(-1, ends[:-1])
+    before[head] = -1
+    return starts, sizes, before, ends
 
 
 def _paths(
