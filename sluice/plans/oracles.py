@@ -152,6 +152,11 @@ def oracle_sql() -> dict[str, str]:
             SELECT l.consumer, ledger_rows, target_rows FROM
               (SELECT consumer, count(*) AS ledger_rows FROM c GROUP BY consumer) l JOIN
               (SELECT consumer, count(*) AS target_rows FROM n WHERE op <> 'DEL' GROUP BY consumer) t USING (consumer)""",
+        "s6_one_decode": f"""{WITH_BOTH}, b AS (SELECT * FROM firsts WHERE sequence_number >= 600),
+            net AS (SELECT key, arg_max(operation, arrival) AS op, arg_max(Quantity, arrival) AS q FROM b GROUP BY key)
+            SELECT 'A' AS consumer, 'Orders' AS target, OrderID AS key, CAST(Quantity AS BIGINT) AS Quantity FROM ({target()})
+            UNION ALL SELECT 'A', 'OrderLines', OrderLineID, Quantity FROM ({LINES_TARGET})
+            UNION ALL SELECT 'B', 'Orders', key, q FROM net WHERE op <> 'DEL'""",
         "s7_load_state": f"{WITH_ORDERS} SELECT partition_id, sequence_number, commit_lsn FROM firsts",
         "s8_reset_state": target(),
         "s9_commit_state": f"""{WITH_BOTH}, a AS ({both}) SELECT 'ledger' AS part, count(*) AS n FROM a WHERE k <> 3
@@ -259,10 +264,22 @@ def oracle_sql() -> dict[str, str]:
               CAST(max(n) AS DOUBLE) / sum(n) AS hottest_key_share, count(*) FILTER (WHERE p > 1) AS keys_in_many_partitions,
               count(*) FILTER (WHERE key = 0) AS absent_keys FROM g""",
         "v12_events_per_user": "SELECT user_id, count(*) AS events FROM events GROUP BY user_id",
+        # Summaries of three parts, each less its 101st count, added up, less the 101st sum.
+        "v12_frequent_users": """WITH c AS (SELECT event_id % 3 AS part, user_id, count(*) AS n FROM events GROUP BY ALL),
+            r AS (SELECT *, row_number() OVER (PARTITION BY part ORDER BY n DESC) AS place FROM c),
+            k AS (SELECT part, coalesce(max(n) FILTER (WHERE place = 101), 0) AS cut FROM r GROUP BY part),
+            m AS (SELECT user_id, sum(n - cut) AS n FROM c JOIN k USING (part) WHERE n > cut GROUP BY user_id),
+            last AS (SELECT coalesce((SELECT n FROM m ORDER BY n DESC LIMIT 1 OFFSET 100), 0) AS cut)
+            SELECT user_id, CAST(n - cut AS BIGINT) AS at_least, CAST(n + (SELECT sum(cut) FROM k) AS BIGINT) AS at_most
+            FROM m, last WHERE n > cut""",
+        "v12_frequent_keys": f"""{WITH_BOTH}, a AS ({both})
+            SELECT tbl AS "table", key, count(*) AS at_least, count(*) AS at_most FROM a WHERE k <> 3 GROUP BY ALL""",
         "v12_partition_skew": f"""{WITH_ORDERS} SELECT partition_id, count(*) AS events,
             CAST(count(*) AS DOUBLE) / sum(count(*)) OVER () AS share FROM ev GROUP BY partition_id""",
         "v13_events_per_second": """SELECT CAST(event_id % 4 AS INTEGER) AS partition_id, date_trunc('second',
             CASE WHEN event_id % 10 = 0 THEN ts - INTERVAL 1 HOUR ELSE ts END) AS "second", count(*) AS events FROM events GROUP BY ALL""",
+        "v13_stream_rates": """SELECT CAST(event_id % 4 AS INTEGER) AS partition_id, date_trunc('second',
+            CASE WHEN event_id % 10 = 0 THEN ts - INTERVAL 1 HOUR ELSE ts END) AS "second", count(*) AS events FROM events GROUP BY ALL""",
         "v13_replay_counts": f"""{WITH_ORDERS} SELECT partition_id, count(*) AS delivered, count(DISTINCT sequence_number) AS distinct_events,
             count(*) - count(DISTINCT sequence_number) AS repeats FROM ev GROUP BY partition_id""",
         "v13_ledger_growth": f"""{WITH_ORDERS} SELECT partition_id, count(*) AS ledger_rows, min(sequence_number) AS first_sequence,

@@ -8,11 +8,12 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sluice import schemas as S
-from sluice.operators import apply as A, decode as X, views as V
+from sluice.operators import apply as A, decode as X, frequent as K, views as V
 from sluice.plans.materialize import Outcome, apply_to, decode, materialize
 from sluice.session import new_folder, prepare, staged
 from sluice.sources import changes as C, derived as D
-from sluice.streaming.consumer import BatchResult, Consumer, apply_batch, fan_out, start_consumer
+from sluice.streaming.consumer import BatchResult, Consumer, apply_batch, fan_out, start_consumer, start_together
+from sluice.streaming.rates import start_rates, stream_rates
 from sluice.streaming.state import State
 
 ORDERS, ORDER_LINES = D.ORDERS, D.ORDER_LINES
@@ -146,6 +147,24 @@ def s6_fan_out(spark, sf_dir):
     return counts[0].unionByName(counts[1])
 
 
+def s6_one_decode(spark, sf_dir):
+    """Each consumer's rows: one takes both tables, one Orders from sequence 600 on."""
+    source = C.Source("parquet", new_folder(spark, "feed"))
+    D.two_table_feed(spark, sf_dir).write.parquet(source.path)
+    late = {p: 600 for p in range(D.PARTITIONS)}
+    consumers = [
+        Consumer("A", new_folder(spark, "state"), "", BOTH),
+        Consumer("B", new_folder(spark, "state"), "", (ORDERS,), positions=late),
+    ]
+    start_together(spark, source, consumers, new_folder(spark, "checkpoint"), available_now=True).awaitTermination()
+    rows = [
+        c.state(spark).target(s).select(F.lit(c.name).alias("consumer"), F.lit(s.name).alias("target"),
+                                        F.col(s.key).alias("key"), "Quantity")
+        for c in consumers for s in c.specs
+    ]
+    return A.union_all(dict(enumerate(rows)))
+
+
 def s7_load_state(spark, sf_dir):
     state = _state(spark)
     apply_batch(state, D.orders_feed(spark, sf_dir))
@@ -480,6 +499,23 @@ def v12_events_per_user(spark, sf_dir):
     return V.events_per_key(D.read_table(spark, sf_dir, "events"), "user_id")
 
 
+def v12_frequent_users(spark, sf_dir):
+    """The 100 hottest users by summaries of three parts of the events, merged."""
+    events, keys = D.read_table(spark, sf_dir, "events"), ["user_id"]
+    parts = [K.key_summary(events.filter(F.pmod("event_id", F.lit(3)) == p), keys, 100) for p in range(3)]
+    return K.frequent_keys(K.merged_summaries(parts, keys, 100), keys)
+
+
+def v12_frequent_keys(spark, sf_dir):
+    """The hottest keys of a committed history, most of whose events were folded."""
+    state = _state(spark, BOTH)
+    state.fold_count, state.hot_keys = 1, 1_000_000
+    for wave in D.waves(spark, sf_dir, lines=True):
+        apply_batch(state, wave)
+        state.maintain()
+    return state.frequent_keys()
+
+
 def v12_partition_skew(spark, sf_dir):
     return V.partition_skew(_headers(spark, sf_dir))
 
@@ -488,6 +524,17 @@ def v13_events_per_second(spark, sf_dir):
     return V.events_per_second(C.message_columns(D.broker_rows(spark, sf_dir)), "broker_time")
 
 
+def v13_stream_rates(spark, sf_dir):
+    """The same on a stream that is stopped half-way and goes on from its checkpoint."""
+    rows = D.broker_rows(spark, sf_dir).drop("key")
+    source = C.Source("parquet", new_folder(spark, "feed"), schema=rows.schema)
+    path, checkpoint = new_folder(spark, "rates"), new_folder(spark, "checkpoint")
+    for part in range(2):
+        rows.filter(F.shiftright("offset", 3) % 2 == part).write.mode("append").parquet(source.path)
+        start_rates(spark, source, path, checkpoint, available_now=True).awaitTermination()
+    return stream_rates(spark, path)
+
+
 def v13_replay_counts(spark, sf_dir):
     return V.replay_counts(D.orders_feed(spark, sf_dir))
 
@@ -543,7 +590,7 @@ def v20_change_mask(spark, sf_dir):
 
 QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
     s1_read_changes, s1_broker_arrival, s2_resume, s3_start_at, s4_resume_after, s5_drop_empty,
-    s6_fan_out, s7_load_state, s8_reset_state, s9_commit_state, s10_assign_partition,
+    s6_fan_out, s6_one_decode, s7_load_state, s8_reset_state, s9_commit_state, s10_assign_partition,
     s11_select_published_columns,
     d1_decode_live, d1_decode_irregular, d2_unwrap_json, d3_row_image, d4_primary_key,
     d5_commit_lsn, d6_to_orders, d6_irregular_values, d7_to_order_lines, d8_decode_documented,
@@ -556,7 +603,7 @@ QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
     v1_ledger_view, v2_latest_offset, v3_offsets_by_partition, v4_count_rows, v5_top_orders,
     v6_top_order_lines, v6_line_totals, v7_apply_counts, v8_recent_log, v9_partition_log,
     v9_loaded_partition_log, v10_backlog, v10_backlog_irregular, v11_quarantine, v12_key_skew, v12_key_skew_irregular, v12_events_per_user,
-    v12_partition_skew, v13_events_per_second, v13_replay_counts, v13_ledger_growth,
+    v12_frequent_users, v12_frequent_keys, v12_partition_skew, v13_events_per_second, v13_stream_rates, v13_replay_counts, v13_ledger_growth,
     v15_feed_count, v15_feed_newest_first, v16_latest_errors, v16_latest_quarantine,
     v17_ship_date, v18_next_key, v19_update_latest, v19_delete_where, v20_change_mask,
 ]

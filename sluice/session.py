@@ -49,6 +49,12 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/sluice/{name}-{uuid.uuid4().hex}"
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder that :func:`new_folder` named and nothing reads any more."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def staged(df: DataFrame, name: str = "staged") -> DataFrame:
     """Write a DataFrame to the shared folder and read it back.
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections import Counter
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
@@ -9,10 +10,12 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.listener import StreamingQueryProgress
 
 from sluice import schemas as S
 from sluice.operators import apply as A, decode as X
 from sluice.plans.materialize import decode
+from sluice.session import new_folder, remove_folder
 from sluice.sources.changes import Source, read_changes, start_at, start_option, with_arrival
 from sluice.streaming.state import Ranges, State, known_runs, may_hold
 
@@ -85,6 +88,27 @@ def apply_batch(
             folder, written = state.write_events(not_quarantined(state, manifest, fresh, ranges), manifest)
             summary = _summary(written)
             state.discard(first)
+    return _commit(state, manifest, folder, summary, before_commit)
+
+
+def apply_decoded(state: State, events: DataFrame) -> BatchResult:
+    """:func:`apply_batch` for events that were decoded and written before, maybe for more tables than the state's."""
+    manifest, ranges = state.manifest(), None
+    unknown = F.col("reject_reason").isNotNull() & (F.col("table") == "")
+    events = events.filter(F.col("table").isin([s.name for s in state.specs]) | unknown)
+    if manifest["ledger"] or manifest["quarantine"]:
+        ranges = message_ranges(events)
+        events = unseen(state, manifest, events, ranges)
+    events = A.unique_events(events)
+    if ranges:
+        events = not_quarantined(state, manifest, events, ranges)
+    folder, written = state.write_events(events, manifest)
+    return _commit(state, manifest, folder, _summary(written))
+
+
+def _commit(
+    state: State, manifest: dict, folder: dict, summary: Sequence[Row], before_commit: Callable[[], None] | None = None
+) -> BatchResult:
     changed, counts, rejected = _with_events(manifest, folder, summary, state.specs)
     if before_commit is not None:
         before_commit()
@@ -227,6 +251,74 @@ def fan_out(
     return [start_consumer(spark, source, c, available_now) for c in consumers]
 
 
+def start_together(
+    spark: SparkSession,
+    source: Source,
+    consumers: Sequence[Consumer],
+    checkpoint: str,
+    available_now: bool = False,
+    on_batch: Callable[[str, BatchResult], None] | None = None,
+    maintain_every: int = 16,
+) -> StreamingQuery:
+    """Start several consumers as one query that reads and decodes each message once for all.
+
+    A batch is decoded for the tables of all consumers and written once; then each consumer takes its tables from
+    its own start on, looks them up in its own ledger and commits its own state. Their results are those of
+    :func:`fan_out`, but they share one checkpoint and stop together: if one fails, the batch is
+    repeated for all, and the ledgers of those that had committed sort it out. A consumer that is added
+    to a kept checkpoint sees only what follows; let it catch up by :func:`start_consumer` first.
+    """
+    if len({c.decoder for c in consumers}) != 1:
+        raise ValueError("consumers of one decoding need the same decoder")
+    specs: dict[str, S.TableSpec] = {}
+    for spec in (s for c in consumers for s in c.specs):
+        if specs.setdefault(spec.name, spec) != spec:
+            raise ValueError(f"consumers of one decoding need the same columns of {spec.name}")
+    common = set.intersection(*(set(c.positions) for c in consumers))
+    start = {p: min(c.positions[p] for c in consumers) for p in common}
+    messages = read_changes(spark, source, stream=True, start=start_option(source, start))
+    states = {c.name: c.state(spark) for c in consumers}
+    count = 0
+
+    def apply(batch: DataFrame, _: int) -> None:
+        nonlocal count
+        arrived = with_arrival(batch, source.append_time)
+        folder = new_folder(spark, "decoded")
+        events = decode(arrived, list(specs.values()), consumers[0].decoder)
+        events.write.parquet(folder)
+        written = spark.read.schema(events.schema).parquet(folder)
+        count += 1
+        for consumer in consumers:
+            result = apply_decoded(states[consumer.name], start_at(written, consumer.positions))
+            if count % maintain_every == 0:
+                states[consumer.name].maintain()
+            if on_batch is not None:
+                on_batch(consumer.name, result)
+        remove_folder(spark, folder)
+
+    writer = start_at(messages, start).writeStream.option("checkpointLocation", checkpoint).foreachBatch(apply)
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    return writer.start()
+
+
+def waiting(progress: StreamingQueryProgress) -> dict[tuple[str, int], int] | None:
+    """Messages a broker holds that a query has not read yet, per topic and partition.
+
+    By the offsets of a query's ``lastProgress``, without reading a message; a partition that has not been
+    read at all counts from offset 0. None if a source does not report its latest offset (files do not).
+    """
+    left: dict[tuple[str, int], int] = {}
+    for source in json.loads(progress.json)["sources"]:
+        latest, end = source["latestOffset"], source["endOffset"] or {}
+        if not isinstance(latest, dict) or not all(isinstance(p, dict) for p in latest.values()):
+            return None
+        for topic, partitions in latest.items():
+            for partition, offset in partitions.items():
+                left[topic, int(partition)] = max(offset - end.get(topic, {}).get(partition, 0), 0)
+    return left
+
+
 def batch_metrics(query: StreamingQuery) -> list[dict]:
     """Per micro-batch: rows read, rows per second, commit latency and time per step, from Spark's progress."""
     return [

@@ -8,6 +8,7 @@ single rename is the commit.
     <path>/events/<id>/        the decoded events of one batch, each once
     <path>/ledger/<id>/        ledger rows of many batches, folded together now and then
     <path>/quarantine/<id>/    likewise
+    <path>/frequent/<id>/      a summary of the hottest keys of folded events
     <path>/target/<T>/<id>/    base rows in buckets of keys, or folded changes
     <path>/_versions/<n>.json  the folders of version n, and one offset per broker partition
 
@@ -45,7 +46,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from sluice import schemas as S
-from sluice.operators import apply as A
+from sluice.operators import apply as A, frequent as K
 from sluice.session import require_settings
 from sluice.sources.changes import arrival_position
 
@@ -110,7 +111,12 @@ def joined_ranges(folders: Sequence[dict]) -> Mapping[int, tuple[int, ...]] | No
 
 def _folders(manifest: dict) -> list[dict]:
     targets = [f for t in manifest["targets"].values() for f in (*t["base"], *t["changes"])]
-    return [*manifest["ledger"], *manifest["quarantine"], *targets]
+    return [*manifest["ledger"], *manifest["quarantine"], *manifest.get("frequent", []), *targets]
+
+
+def _keys_known(manifest: dict) -> bool:
+    """Whether a summary of keys covers all folded events."""
+    return "frequent" in manifest or all(f["path"].startswith("events/") for f in manifest["ledger"])
 
 
 def bucket_of(file: str) -> int:
@@ -177,6 +183,8 @@ class State:
     # Fold folders below this size together once there are this many.
     fold_count: int = 64
     fold_size: int = 1 << 30
+    # Keys a summary of the hottest ones lists.
+    hot_keys: int = K.CAPACITY
     # Buckets of a base at least; they double while one of them would hold more than ``bucket_bytes``.
     buckets: int = 16
     bucket_bytes: int = 256 << 20
@@ -303,6 +311,30 @@ class State:
         net = self._net(spec, known["changes"]).repartition(base["buckets"], spec.key)
         return A.merge_changes(self._base(spec, base), net, spec)
 
+    def frequent_keys(self, manifest: dict | None = None) -> DataFrame:
+        """The hottest keys of all applied events, each with the least and the most events it can have.
+
+        From the summary kept of folded events, and from the events that are not folded yet.
+        """
+        manifest = manifest or self.manifest()
+        if not _keys_known(manifest):
+            raise ValueError("events were folded before a summary of their keys was kept")
+        return K.frequent_keys(self._key_summary(manifest, manifest["ledger"]), ["table", "key"])
+
+    def _key_summary(self, manifest: dict, folders: Sequence[dict]) -> DataFrame:
+        """The stored summary and that of the event folders among some, merged."""
+        keys, events = ["table", "key"], [f for f in folders if f["path"].startswith("events/")]
+        stored = manifest.get("frequent", [])
+        by_key = T.StructType([
+            T.StructField("table", T.StringType()), T.StructField("key", T.LongType()), S.QUARANTINE_SCHEMA["reject_reason"],
+        ])
+        applied = self._read(by_key, events).filter(F.col("reject_reason").isNull())
+        fresh = K.key_summary(applied, keys, self.hot_keys)
+        if not stored:
+            return fresh
+        kept = self._read(fresh.schema, stored)
+        return K.merged_summaries([kept, fresh], keys, self.hot_keys)
+
     # Writing
 
     def write(self, df: DataFrame, folder: str) -> dict:
@@ -356,6 +388,8 @@ class State:
             # Folders of events shrink to what is needed of them, whatever their size.
             small = [f for f in manifest[name] if f["size"] < self.fold_size or f["path"].startswith("events/")]
             if len(small) > self.fold_count:
+                if name == "ledger" and _keys_known(manifest):
+                    manifest["frequent"] = [self.write(self._key_summary(manifest, small), "frequent")]
                 # By range, so that file statistics skip what lies before a batch's sequences.
                 rows = read(small).repartitionByRange(*S.EVENT_ID).sortWithinPartitions(*S.EVENT_ID)
                 folded, held = self.write(rows, name), joined_ranges(small)
@@ -408,7 +442,7 @@ class State:
         for folder in kept:
             named.setdefault(folder["path"], set()).update(folder.get("files", ()))
         limit = time.time() * 1000 - self.keep_seconds * 1000
-        for part in ["events", "ledger", "quarantine", *[f"target/{s.name}" for s in self.specs]]:
+        for part in ["events", "ledger", "quarantine", "frequent", *[f"target/{s.name}" for s in self.specs]]:
             for name, changed in self._files.folders(f"{self.path}/{part}"):
                 path = f"{part}/{name}"
                 if path not in named and changed < limit:
