@@ -21,7 +21,6 @@ behind is never read. A file's place in the whole is the sum of the ids of the f
 from __future__ import annotations
 
 import itertools
-import operator
 import os
 import re
 import struct
@@ -78,71 +77,54 @@ def encoder(path: str | None = None, marks_are_text: bool = True):
     return tokenizer
 
 
+class _Words(dict):
+    """Ids of words, as little-endian bytes; a word that is not there is encoded when it is asked for."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.model = tokenizer, tokenizer.model
+
+    def __missing__(self, word: bytes) -> bytes:
+        core = word.rstrip(_MARKS)
+        if core.isalpha() or _PLAIN.fullmatch(core.decode()):
+            lower = core.decode().lower().encode()
+            if lower != word:
+                found = self[lower] + (self[word[len(core):]] if len(core) < len(word) else b"")
+            elif core.isalpha() and len(word) <= KEPT_BYTES:  # lower ASCII letters: one piece, and nothing to normalise
+                found = array("I", [token.id for token in self.model.tokenize(word.decode())]).tobytes()
+            else:
+                found = self._encoded(word)
+        else:
+            found = self._encoded(word)
+        if len(word) <= KEPT_BYTES:
+            self[word] = found
+        return found
+
+    def _encoded(self, word: bytes) -> bytes:
+        return array("I", self.tokenizer.encode(word.decode(), add_special_tokens=False).ids).tobytes()
+
+
 class Encoder:
     """Ids of texts, word by word.
 
     The vocabulary's tokenizer drops white space and never joins what stands on its two sides: it composes
     and lowers characters one by one, and its pattern looks no further than a run of one kind. So the ids of
     a text are those of its words, parted at ASCII white space, and a word that was met before needs no second
-    encoding. For the same reasons plain words, of Latin letters alone, are encoded in lower case, apart from
-    the marks that follow them, and many at a time: the last piece of each says that a word ends there.
+    encoding. For the same reasons plain words, of Latin letters alone, are encoded in lower case and apart from
+    the marks that follow them; of ASCII letters, by the vocabulary's merges alone.
     """
 
     def __init__(self, path: str | None = None, marks_are_text: bool = True):
-        self.tokenizer = encoder(path, marks_are_text)
-        self.known: dict[bytes, bytes] = {}
-        vocabulary = self.tokenizer.get_vocab()
-        self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
-        self.ends_word[[i for piece, i in vocabulary.items() if piece.endswith("</w>")]] = True
+        self.known = _Words(encoder(path, marks_are_text))
 
     def __call__(self, texts: Iterable[bytes]) -> Iterator[np.ndarray]:
         """One array per UTF-8 text; a long text goes through in pieces."""
-        pieces = [list(_pieces(t)) for t in texts]
-        found = self._encode(itertools.chain.from_iterable(pieces))
-        for own in pieces:
-            yield np.frombuffer(b"".join(itertools.islice(found, len(own))), "<u4")
-
-    def _encode(self, pieces: Iterable[bytes]) -> Iterator[bytes]:
-        for some in itertools.batched(pieces, 64):
-            words = [p.split() for p in some]
-            if len(self.known) > KEPT_WORDS:
-                self.known.clear()
-            found = [list(map(self.known.get, own)) for own in words]
-            absent = map(operator.is_, itertools.chain.from_iterable(found), itertools.repeat(None))
-            long = self._learn(set(itertools.compress(itertools.chain.from_iterable(words), absent)))
-            out = [b"".join(map(self.known.__getitem__, w) if None in f else f) for w, f in zip(words, found)]
-            for word in long:
-                del self.known[word]
-            yield from out
-
-    def _learn(self, new: Iterable[bytes]) -> list[bytes]:
-        """Add the ids of words; gives those too long to be kept."""
-        parts, plain = {}, set()
-        for word in new:
-            core = word.rstrip(_MARKS)
-            text = core.decode()
-            if _PLAIN.fullmatch(text):
-                lower = text.lower().encode()
-                plain.add(lower)
-                parts[word] = lower, word[len(core):]
-            else:
-                parts[word] = word, b""
-        missing = {p for pair in parts.values() for p in pair}.difference(self.known)
-        other = list(missing.difference(plain))
-        for some in itertools.batched(missing.intersection(plain), 1 << 10):
-            ids = np.array(self._ids([b" ".join(some)])[0], "<u4")
-            ends = np.flatnonzero(self.ends_word[ids]) + 1
-            data, cuts = ids.tobytes(), [0, *(4 * ends).tolist()]
-            if len(ends) == len(some):
-                self.known.update((w, data[a:b]) for w, a, b in zip(some, cuts, cuts[1:]))
-            else:
-                other.extend(some)
-        self.known.update((w, array("I", ids).tobytes()) for w, ids in zip(other, self._ids(other)))
-        self.known.update((word, self.known[core] + self.known[marks]) for word, (core, marks) in parts.items())
-        return [word for word in missing.union(parts) if len(word) > KEPT_BYTES]
+        for text in texts:
+            yield np.frombuffer(b"".join(map(self._encode, _pieces(text))), "<u4")
 
-    def _ids(self, words: list[bytes]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch([w.decode() for w in words], add_special_tokens=False)]
+    def _encode(self, piece: bytes) -> bytes:
+        if len(self.known) > KEPT_WORDS:
+            self.known.clear()
+        return b"".join(map(self.known.__getitem__, piece.split()))
 
 
 @lru_cache(maxsize=2)
