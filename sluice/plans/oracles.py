@@ -242,6 +242,8 @@ def oracle_sql() -> dict[str, str]:
             SELECT (SELECT count(*) FROM firsts) AS applied, (SELECT count(*) FROM ev WHERE k = 3) AS duplicates,
               sequence_number AS last_sequence_number, commit_lsn AS last_commit_lsn FROM l""",
         "v8_recent_log": f"{WITH_ORDERS} SELECT arrival, operation, {key_text} AS key_text, sequence_number, k <> 3 AS applied FROM ev ORDER BY arrival DESC LIMIT 200",
+        "v8_recent_applied": f"""{WITH_ORDERS} SELECT arrival, partition_id, sequence_number, operation AS op, {key_text} AS key_text, commit_lsn
+            FROM firsts ORDER BY arrival DESC LIMIT 200""",
         "v9_partition_log": f"{WITH_ORDERS} SELECT partition_id, arrival, sequence_number, CASE WHEN k = 3 THEN 'DUP' ELSE operation END AS op, commit_lsn FROM ev",
         "v9_loaded_partition_log": f"{WITH_ORDERS} SELECT partition_id, sequence_number, '—' AS op, commit_lsn FROM firsts",
         "v10_backlog": f"""{WITH_ORDERS}, w AS (SELECT * FROM firsts WHERE NOT {half})
@@ -298,4 +300,4 @@ def oracle_sql() -> dict[str, str]:
             CASE WHEN operation = 'UPD' THEN 'Quantity' WHEN key % 9 = 0 THEN 'Company,SalesDate,Quantity,Price'
               ELSE 'Company,SalesDate,Product,Quantity,Price' END AS changed FROM ev""",
     }
-    return sql
+    return sql | {"v5_top_committed_orders": sql["v5_top_orders"], "v6_top_committed_lines": sql["v6_top_order_lines"]}

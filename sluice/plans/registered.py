@@ -15,6 +15,7 @@ from sluice.sources import changes as C, derived as D
 from sluice.streaming.consumer import BatchResult, Consumer, apply_batch, fan_out, start_consumer, start_together
 from sluice.streaming.rates import start_rates, stream_rates
 from sluice.streaming.state import State
+from sluice.streaming.top import recent_events, top_rows
 
 ORDERS, ORDER_LINES = D.ORDERS, D.ORDER_LINES
 BOTH = (ORDERS, ORDER_LINES)
@@ -75,6 +76,19 @@ def _committed(spark: SparkSession, sf_dir: str) -> State:
     return state
 
 
+def _merged_then_changed(spark: SparkSession, sf_dir: str, specs: Sequence[S.TableSpec], lines: bool = False) -> State:
+    """State whose base holds the feed's first half; the rest and the replays are unmerged changes."""
+    state = State(spark, new_folder(spark, "state"), specs, merge_share=0.0)
+    first, *others = D.waves(spark, sf_dir, lines)
+    if lines:
+        first, others = first.unionByName(others[1]), [others[0], *others[2:]]
+    apply_batch(state, first)
+    state.maintain()
+    for wave in others:
+        apply_batch(state, wave)
+    return state
+
+
 def _stream(
     spark: SparkSession, waves: Sequence[DataFrame], specs: Sequence[S.TableSpec] = (ORDERS,)
 ) -> tuple[State, C.Source, list[int]]:
@@ -453,6 +467,15 @@ def v6_top_order_lines(spark, sf_dir):
     return V.top_order_lines(_lines(spark, sf_dir))
 
 
+def v5_top_committed_orders(spark, sf_dir):
+    """Out of a committed state: only files that can hold one of the highest keys are opened."""
+    return V.top_orders(top_rows(_merged_then_changed(spark, sf_dir, [ORDERS]), ORDERS, 50))
+
+
+def v6_top_committed_lines(spark, sf_dir):
+    return V.top_order_lines(top_rows(_merged_then_changed(spark, sf_dir, BOTH, lines=True), ORDER_LINES, 50))
+
+
 def v6_line_totals(spark, sf_dir):
     return V.with_line_total(_lines(spark, sf_dir)).select("OrderLineID", "LineTotal")
 
@@ -465,6 +488,11 @@ def v8_recent_log(spark, sf_dir):
     return V.recent_log(A.classify(_staged_headers(spark, sf_dir)), BOTH)
 
 
+def v8_recent_applied(spark, sf_dir):
+    """Out of a committed state: only folders that can hold one of the last events are opened."""
+    return recent_events(_committed(spark, sf_dir), 200)
+
+
 def v9_partition_log(spark, sf_dir):
     return V.partition_log(A.classify(_staged_headers(spark, sf_dir)))
 
@@ -600,8 +628,8 @@ QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
     a11_unknown_operation, a12_append_ledger, a13_upsert_offsets,
     a15_apply_batch, a16_apply_multi_table, a16_multi_table_lines, a17_apply_partitions,
     a18_assign_batches, a18_assign_broker_batches, a19_replay, a20_abort_batch, a21_materialize,
-    v1_ledger_view, v2_latest_offset, v3_offsets_by_partition, v4_count_rows, v5_top_orders,
-    v6_top_order_lines, v6_line_totals, v7_apply_counts, v8_recent_log, v9_partition_log,
+    v1_ledger_view, v2_latest_offset, v3_offsets_by_partition, v4_count_rows, v5_top_orders, v5_top_committed_orders,
+    v6_top_order_lines, v6_top_committed_lines, v6_line_totals, v7_apply_counts, v8_recent_log, v8_recent_applied, v9_partition_log,
     v9_loaded_partition_log, v10_backlog, v10_backlog_irregular, v11_quarantine, v12_key_skew, v12_key_skew_irregular, v12_events_per_user,
     v12_frequent_users, v12_frequent_keys, v12_partition_skew, v13_events_per_second, v13_stream_rates, v13_replay_counts, v13_ledger_growth,
     v15_feed_count, v15_feed_newest_first, v16_latest_errors, v16_latest_quarantine,

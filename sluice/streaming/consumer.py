@@ -126,7 +126,7 @@ def not_quarantined(state: State, manifest: dict, events: DataFrame, ranges: Ran
 
 
 def _summary(written: DataFrame) -> list[Row]:
-    """Per broker partition and table (NULL for rejects): sequence range, rows, and the last event by arrival.
+    """Per broker partition and table (NULL for rejects): sequence range, rows, first arrival, and the last event by arrival.
 
     As many rows as broker partitions times subscribed tables.
     """
@@ -135,7 +135,10 @@ def _summary(written: DataFrame) -> list[Row]:
     place = F.struct("arrival", "sequence_number", "commit_lsn", F.unix_micros("processed_at").alias("at"))
     return (
         written.groupBy("partition_id", table)
-        .agg(F.min(sequence).alias("lo"), F.max(sequence).alias("hi"), F.count(sequence).alias("n"), F.max(place).alias("last"))
+        .agg(
+            F.min(sequence).alias("lo"), F.max(sequence).alias("hi"), F.count(sequence).alias("n"),
+            F.min("arrival").alias("first"), F.max(place).alias("last"),
+        )
         .collect()
     )
 
@@ -165,7 +168,8 @@ def _with_events(
     changed = dict(manifest)
 
     def noted(part: Sequence[Row]) -> dict:
-        return {**folder, "ranges": {str(p): list(r) for p, r in _ranges(part).items()}}
+        arrivals = [min(r["first"] for r in part), max(r["last"]["arrival"] for r in part)]
+        return {**folder, "ranges": {str(p): list(r) for p, r in _ranges(part).items()}, "arrivals": arrivals}
 
     if rejected:
         changed["quarantine"] = [*manifest["quarantine"], noted([r for r in summary if r["t"] is None])]

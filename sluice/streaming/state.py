@@ -26,6 +26,7 @@ changes have grown to a share of the base they are merged into it. The base is b
 neither a reader nor a merge ever shuffles it; only the changes move. A merge rewrites the files of
 the buckets that changed; when buckets outgrow ``bucket_bytes``, a merge rewrites them all into
 twice as many (keys are unique, so buckets grow alike), each bucket in place, without a shuffle.
+A version notes the highest key of every base file, so rows from a key on are read from few files.
 
 Old versions and the folders and files that only they name are removed after a while.
 
@@ -119,6 +120,13 @@ def _keys_known(manifest: dict) -> bool:
     return "frequent" in manifest or all(f["path"].startswith("events/") for f in manifest["ledger"])
 
 
+def files_from(base: dict, at_least: int | None) -> list[str] | None:
+    """Base files that can hold keys from ``at_least`` on; None for all, also if no highest keys are noted."""
+    if at_least is None or "highest" not in base:
+        return None
+    return [f for f in base["files"] if base["highest"].get(f, at_least) >= at_least]
+
+
 def bucket_of(file: str) -> int:
     """The bucket a file belongs to, as Spark writes it into the name."""
     return int(re.search(r"_(\d+)(?:\.c\d+)?\.", file).group(1))
@@ -233,7 +241,12 @@ class State:
 
     def ledger_in(self, folders: Sequence[dict]) -> DataFrame:
         """Ledger rows of some folders."""
-        rows = self._read(T.StructType([*S.LEDGER_SCHEMA, S.QUARANTINE_SCHEMA["reject_reason"]]), folders)
+        return self.applied_in(folders).select(*S.LEDGER_SCHEMA.names)
+
+    def applied_in(self, folders: Sequence[dict]) -> DataFrame:
+        """Ledger rows of some folders with operation, table and key, which are NULL for folded ones."""
+        more = [T.StructField("operation", T.StringType()), T.StructField("table", T.StringType()), T.StructField("key", T.LongType())]
+        rows = self._read(T.StructType([*S.LEDGER_SCHEMA, *more, S.QUARANTINE_SCHEMA["reject_reason"]]), folders)
         return rows.filter(F.col("reject_reason").isNull()).drop("reject_reason")
 
     def ledger(self, manifest: dict | None = None, ranges: Ranges | None = None) -> DataFrame:
@@ -261,7 +274,7 @@ class State:
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spec.schema)
         self.spark.sql(
             f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY (`{spec.key}`)"
-            f" INTO {base['buckets']} BUCKETS LOCATION '{self.path}/{base['path']}'"
+            f" SORTED BY (`{spec.key}`) INTO {base['buckets']} BUCKETS LOCATION '{self.path}/{base['path']}'"
         )
         try:
             yield name
@@ -296,20 +309,29 @@ class State:
             F.col("key").cast(spec.key_kind).alias(spec.key), f"{spec.name}.*", "operation"
         )
 
-    def target(self, spec: S.TableSpec, manifest: dict | None = None) -> DataFrame:
+    def target(self, spec: S.TableSpec, manifest: dict | None = None, at_least: int | None = None) -> DataFrame:
         """Current rows of a target: its base with the unmerged changes laid over.
 
         The base is never shuffled: small changes are broadcast (Spark's choice, by their file
-        size), larger ones are dealt out to the base's buckets.
+        size), larger ones are dealt out to the base's buckets. ``at_least`` gives the rows from a key
+        on; base files whose noted highest key lies below it are not opened.
         """
         known = (manifest or self.manifest())["targets"].get(spec.name, {"base": [], "changes": []})
+        wanted = F.lit(True) if at_least is None else F.col(spec.key) >= at_least
+        net = self._net(spec, known["changes"]).filter(wanted)
         if not known["base"]:
-            return A.rows_from(self._net(spec, known["changes"]), spec)
+            return A.rows_from(net, spec)
         [base] = known["base"]
+        rows = self._base(spec, base, files_from(base, at_least)).filter(wanted)
         if not known["changes"]:
-            return self._base(spec, base)
-        net = self._net(spec, known["changes"]).repartition(base["buckets"], spec.key)
-        return A.merge_changes(self._base(spec, base), net, spec)
+            return rows
+        return A.merge_changes(rows, net.repartition(base["buckets"], spec.key), spec)
+
+    def deleted(self, spec: S.TableSpec, manifest: dict, at_least: int) -> int:
+        """Keys from ``at_least`` on that the unmerged changes delete, whether or not the base holds them."""
+        changes = manifest["targets"][spec.name]["changes"]
+        net = self._net(spec, changes).filter((F.col(spec.key) >= at_least) & (F.col("operation") == S.DELETE))
+        return net.count() if changes else 0
 
     def frequent_keys(self, manifest: dict | None = None) -> DataFrame:
         """The hottest keys of all applied events, each with the least and the most events it can have.
@@ -363,12 +385,20 @@ class State:
         path, name = f"target/{spec.name}/{uuid.uuid4().hex}", f"sluice_{uuid.uuid4().hex}"
         (
             rows.select(spec.key, *spec.column_names)
-            .write.bucketBy(buckets, spec.key).format("parquet")
+            .write.bucketBy(buckets, spec.key).sortBy(spec.key).format("parquet")
             .option("path", f"{self.path}/{path}").saveAsTable(name)
         )
         self.spark.sql(f"DROP TABLE {name}")
         files = self._files.sizes(f"{self.path}/{path}")
-        return {"path": path, "buckets": buckets, "files": files, "size": sum(files.values())}
+        highest = self._highest(spec, path)
+        return {"path": path, "buckets": buckets, "files": files, "highest": highest, "size": sum(files.values())}
+
+    def _highest(self, spec: S.TableSpec, path: str, only: Sequence[str] | None = None) -> dict[str, int]:
+        """The highest key per file of a base folder, or of some of its files; reads that column only."""
+        rows, file = self.spark.read.schema(spec.schema).parquet(f"{self.path}/{path}"), F.col("_metadata.file_name")
+        if only is not None:
+            rows = rows.filter(file.isin(list(only)))
+        return {r["file"]: r["key"] for r in rows.groupBy(file.alias("file")).agg(F.max(spec.key).alias("key")).collect()}
 
     def maintain(self) -> None:
         """Merge and fold what has grown too fragmented; changes no visible row."""
@@ -394,6 +424,8 @@ class State:
                 rows = read(small).repartitionByRange(*S.EVENT_ID).sortWithinPartitions(*S.EVENT_ID)
                 folded, held = self.write(rows, name), joined_ranges(small)
                 folded |= {} if held is None else {"ranges": {str(p): list(r) for p, r in held.items()}}
+                if all("arrivals" in f for f in small):
+                    folded["arrivals"] = [min(f["arrivals"][0] for f in small), max(f["arrivals"][1] for f in small)]
                 manifest[name] = [*[f for f in manifest[name] if f not in small], folded]
         if json.dumps(manifest) != before:
             manifest = self.publish(manifest)
@@ -427,7 +459,11 @@ class State:
             rows.select(*spec.schema.names).write.insertInto(name)
         new = {f: n for f, n in self._files.sizes(folder).items() if f not in there}
         files = {f: n for f, n in base["files"].items() if f not in old} | new
-        return {**base, "files": files, "size": sum(files.values()), "replaced": True}
+        changed = {**base, "files": files, "size": sum(files.values()), "replaced": True}
+        if "highest" in base:
+            highest = base["highest"] | (self._highest(spec, base["path"], list(new)) if new else {})
+            changed["highest"] = {f: k for f, k in highest.items() if f in files}
+        return changed
 
     def _expire(self, newest: int) -> None:
         """Remove old versions, and folders and files that no kept version names and no writer may still fill."""
