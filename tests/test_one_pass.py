@@ -6,6 +6,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from sluice.functions import variant as V
 from sluice.operators import apply as A, decode as X
 from sluice.plans import registered as R
 from sluice.sources import changes as C, derived as D
@@ -76,3 +77,19 @@ def test_configured_tables_are_decoded_in_one_pass(spark, tables):
 ])
 def test_a_query_reads_its_decoded_events_back(spark, tables, name):
     assert "_orderkey" not in plan(R.queries()[name](spark, tables))
+
+
+def test_text_is_read_without_spelling_out_a_schema(spark):
+    kinds = ['"a"', '"\\u00e9 5"', '""', "5", "2.0", "2e0", "true", "null", '{"a":"b"}', '["a"]', "12345678901234567890"]
+    rows = spark.createDataFrame([(k,) for k in kinds], "json string").selectExpr("json", "parse_json(json) AS v")
+    read = rows.selectExpr("json", f"{V.text('v')} AS t", f"{V.is_bad_text('v')} AS bad", f"{V.is_bad_text('v', V.text('v'))} AS bad2")
+    found = {r["json"]: r["t"] for r in read.collect()}
+    assert found == {k: json.loads(k) if k.startswith('"') else None for k in kinds}
+    assert all(r["bad"] == r["bad2"] for r in read.collect())
+    assert "schema_of_variant" not in V.text("v")
+
+
+def test_targets_read_no_lsn(spark, tables):
+    assert "n/a" in plan(R.materialize(D.lines_feed(spark, tables), R.BOTH[1:]).ledger)
+    for name in ("v6_top_order_lines", "v6_line_totals", "a21_materialize"):
+        assert "n/a" not in plan(R.queries()[name](spark, tables))
