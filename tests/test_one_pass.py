@@ -93,3 +93,15 @@ def test_targets_read_no_lsn(spark, tables):
     assert "n/a" in plan(R.materialize(D.lines_feed(spark, tables), R.BOTH[1:]).ledger)
     for name in ("v6_top_order_lines", "v6_line_totals", "a21_materialize"):
         assert "n/a" not in plan(R.queries()[name](spark, tables))
+
+
+def test_a_wave_that_is_read_twice_is_written_first(spark, tables, monkeypatch):
+    plans, apply_batch = [], R.apply_batch
+
+    def noted(state, messages):
+        plans.append(plan(messages))
+        return apply_batch(state, messages)
+
+    monkeypatch.setattr(R, "apply_batch", noted)
+    R.queries()["v2_latest_offset"](spark, tables)
+    assert ["structstojson" in p for p in plans] == [True, False, False]
