@@ -51,6 +51,8 @@ FILE_IDS = 1 << 24
 GROUP = 256
 #: Words whose ids a Python worker keeps, and the longest of them in bytes.
 KEPT_WORDS, KEPT_BYTES = 1 << 20, 64
+#: Bytes of text encoded at once.
+PIECE = 1 << 22
 
 MAGIC = b"PFR1"
 _HEAD = np.dtype([("count", "<u2"), ("width", "u1"), ("", "u1"), ("exceptions", "<u2"), ("", "<u2"), ("minimum", "<u4")])
@@ -78,29 +80,56 @@ def encoder(path: str | None = None, marks_are_text: bool = True):
 
 
 class _Words(dict):
-    """Ids of words, as little-endian bytes; a word that is not there is encoded when it is asked for."""
+    """Ids of words, as little-endian bytes; a word that is not there is encoded when it is asked for.
+
+    Half of those that may be kept are new; when there are more, they become the old half. So words that
+    come again and again stay, and are not encoded anew whenever a long tail of rare ones has filled the table.
+    """
 
     def __init__(self, tokenizer):
-        self.tokenizer, self.model = tokenizer, tokenizer.model
+        from tokenizers import pre_tokenizers
+
+        self.tokenizer, self.model, self.old = tokenizer, tokenizer.model, {}
+        # letters beyond ASCII as the vocabulary spells them, byte by byte
+        spell = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        self.spelt = {code: "".join(piece for piece, _ in spell(chr(code))) for code in range(0xC0, 0x100)}
 
     def __missing__(self, word: bytes) -> bytes:
-        core = word.rstrip(_MARKS)
-        if core.isalpha() or _PLAIN.fullmatch(core.decode()):
-            lower = core.decode().lower().encode()
-            if lower != word:
-                found = self[lower] + (self[word[len(core):]] if len(core) < len(word) else b"")
-            elif core.isalpha() and len(word) <= KEPT_BYTES:  # lower ASCII letters: one piece, and nothing to normalise
-                found = array("I", [token.id for token in self.model.tokenize(word.decode())]).tobytes()
-            else:
-                found = self._encoded(word)
-        else:
-            found = self._encoded(word)
+        found = self.old.get(word)
+        if found is None:
+            found = self._found(word)
         if len(word) <= KEPT_BYTES:
             self[word] = found
         return found
 
-    def _encoded(self, word: bytes) -> bytes:
-        return array("I", self.tokenizer.encode(word.decode(), add_special_tokens=False).ids).tobytes()
+    def age(self) -> None:
+        if len(self) > KEPT_WORDS // 2:
+            self.old = self.copy()
+            self.clear()
+
+    def _found(self, word: bytes) -> bytes:
+        if word.isalpha() and word.islower():  # ASCII alone
+            return self._merged(word.decode())
+        core = word.rstrip(_MARKS)
+        if core.isalpha():
+            lower = core.lower()
+        elif _PLAIN.fullmatch(text := core.decode()):
+            lower = text.lower().encode()
+            if lower == word:
+                return self._merged(text)
+        else:
+            return self._encoded(word.decode())
+        return self[lower] + (self[word[len(core):]] if len(core) < len(word) else b"")
+
+    def _merged(self, text: str) -> bytes:
+        """The ids of lower letters: one piece, and nothing to normalise."""
+        if len(text) > KEPT_BYTES:
+            return self._encoded(text)
+        spelt = text if text.isascii() else text.translate(self.spelt)
+        return array("I", [token.id for token in self.model.tokenize(spelt)]).tobytes()
+
+    def _encoded(self, text: str) -> bytes:
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
 
 class Encoder:
@@ -110,7 +139,8 @@ class Encoder:
     and lowers characters one by one, and its pattern looks no further than a run of one kind. So the ids of
     a text are those of its words, parted at ASCII white space, and a word that was met before needs no second
     encoding. For the same reasons plain words, of Latin letters alone, are encoded in lower case and apart from
-    the marks that follow them; of ASCII letters, by the vocabulary's merges alone.
+    the marks that follow them, by the vocabulary's merges alone. Texts go through together: each of their
+    distinct words is looked up once, and the ids are laid out in the order of the words.
     """
 
     def __init__(self, path: str | None = None, marks_are_text: bool = True):
@@ -118,13 +148,36 @@ class Encoder:
 
     def __call__(self, texts: Iterable[bytes]) -> Iterator[np.ndarray]:
         """One array per UTF-8 text; a long text goes through in pieces."""
+        together, size = [], 0
         for text in texts:
-            yield np.frombuffer(b"".join(map(self._encode, _pieces(text))), "<u4")
-
-    def _encode(self, piece: bytes) -> bytes:
-        if len(self.known) > KEPT_WORDS:
-            self.known.clear()
-        return b"".join(map(self.known.__getitem__, piece.split()))
+            if size + len(text) > PIECE:
+                yield from self._encode(together)
+                together, size = [], 0
+            if len(text) > PIECE:
+                yield np.concatenate([ids for piece in _pieces(text, PIECE) for ids in self._encode([piece])])
+            else:
+                together.append(text)
+                size += len(text)
+        yield from self._encode(together)
+
+    def _encode(self, texts: list[bytes]) -> list[np.ndarray]:
+        self.known.age()
+        ends = np.cumsum([len(text) + 1 for text in texts])
+        data = np.frombuffer(b" ".join([b"", *texts, b""]), np.uint8)
+        inside = ~N.SEPARATOR[data]
+        edges = np.flatnonzero(inside[1:] != inside[:-1]) + 1
+        starts, sizes = edges[::2], edges[1::2] - edges[::2]
+        places = np.concatenate([[0], np.cumsum(sizes)])
+        words = pa.LargeBinaryArray.from_buffers(
+            pa.large_binary(), len(sizes), [None, pa.py_buffer(places), pa.py_buffer(data[inside])]
+        ).dictionary_encode()
+        found = list(map(self.known.__getitem__, words.dictionary.to_numpy(zero_copy_only=False)))
+        ids, counts = np.frombuffer(b"".join(found), "<u4"), np.fromiter(map(len, found), np.int64) // 4
+        word = words.indices.to_numpy()
+        counts, first = counts[word], (np.cumsum(counts) - counts)[word]
+        before = np.concatenate([[0], np.cumsum(counts)])
+        out = ids[np.repeat(first - before[:-1], counts) + np.arange(before[-1])]
+        return np.split(out, before[np.searchsorted(starts, ends)])[:-1]
 
 
 @lru_cache(maxsize=2)
@@ -133,7 +186,7 @@ def kept_encoder(path: str | None, marks_are_text: bool) -> Encoder:
     return Encoder(path, marks_are_text)
 
 
-def _pieces(text: bytes, size: int = 1 << 20) -> Iterator[bytes]:
+def _pieces(text: bytes, size: int = PIECE) -> Iterator[bytes]:
     """The text cut at white space about every ``size`` bytes."""
     at = 0
     while (blank := _BLANK.search(text, at + size)) and len(text) > at + size:
@@ -162,8 +215,9 @@ def pack_blocks(ids: np.ndarray, percentile: int = PERCENTILE) -> list[bytes]:
     out: list[bytes] = [b""] * len(ids)
     for w in np.unique(width):
         rows = np.flatnonzero(width == w)
-        bits = (delta[rows][:, :, None] >> np.arange(w, dtype=np.uint32)) & np.uint32(1)
-        packed = np.packbits(bits.astype(np.uint8).reshape(len(rows), -1), axis=1, bitorder="little")
+        data = delta[rows].astype("<u4").view(np.uint8).reshape(-1, 4)[:, :-(-w // 8)]
+        bits = np.unpackbits(data.ravel(), bitorder="little").reshape(len(data), -(-w // 8) * 8)[:, :w]
+        packed = np.packbits(bits.reshape(len(rows), -1), axis=1, bitorder="little")
         for row, body in zip(rows, packed):
             at = np.flatnonzero(above[row])
             out[row] = b"".join([
@@ -174,7 +228,8 @@ def pack_blocks(ids: np.ndarray, percentile: int = PERCENTILE) -> list[bytes]:
 
 def unpack_blocks(data: bytes, starts: np.ndarray) -> np.ndarray:
     """The ids of the blocks that begin at ``starts``, one after the other."""
-    raw = np.frombuffer(data, np.uint8)
+    raw = np.frombuffer(data + bytes(8), np.uint8)
+    eight = np.ndarray((len(raw) - 7,), "<u8", raw, strides=(1,))  # the eight bytes from any place on hold an id's bits
     head = raw[starts[:, None] + np.arange(_HEAD.itemsize)].copy().view(_HEAD).ravel()
     counts, widths = head["count"].astype(np.int64), head["width"].astype(np.int64)
     out = np.zeros(counts.sum(), np.uint32)
@@ -182,12 +237,9 @@ def unpack_blocks(data: bytes, starts: np.ndarray) -> np.ndarray:
     sizes = -(-counts * widths // 8)
     for w, count in set(zip(widths.tolist(), counts.tolist())):
         rows = np.flatnonzero((widths == w) & (counts == count))
-        size = -(-count * w // 8)
-        body = raw[(starts[rows] + _HEAD.itemsize)[:, None] + np.arange(size)]
-        bits = np.unpackbits(body, axis=1, bitorder="little")[:, :count * w].reshape(len(rows), count, w)
-        values = np.zeros((len(rows), count), np.uint32)
-        for bit in range(w):
-            values |= bits[:, :, bit].astype(np.uint32) << np.uint32(bit)
+        at = np.arange(count) * w
+        values = eight[(starts[rows] + _HEAD.itemsize)[:, None] + at // 8] >> (at % 8).astype(np.uint64)
+        values = (values & np.uint64((1 << w) - 1)).astype(np.uint32)
         out[first[rows][:, None] + np.arange(count)] = values + head["minimum"][rows][:, None]
     for row in np.flatnonzero(head["exceptions"]):
         n, at = int(head["exceptions"][row]), int(starts[row] + _HEAD.itemsize + sizes[row])
@@ -325,7 +377,7 @@ def write_files(
             size = writer.close()
             done.append((partition, len(done), name, len(writer.sizes), writer.ids, size))
 
-        for batch in N.slices(batches, 1):
+        for batch in N.slices(batches, 1, PIECE):
             for doc_id, found in zip(batch.column(0).to_pylist(), encode(_utf8(batch.column(1)))):
                 if writer is None:
                     name = f"ids-{partition:06d}-{len(done):04d}-{uuid.uuid4().hex}.pfr"

@@ -1,5 +1,6 @@
 """Whitening, ranked search and token files: awkward rows, brute force, round trips."""
 
+import itertools
 import math
 import os
 import random
@@ -236,6 +237,42 @@ def test_kept_words_are_bounded(monkeypatch):
     assert len(encode.known) <= 10 and not any(len(w) > tokenfile.KEPT_BYTES for w in encode.known)
 
 
+class Counted:
+    def __init__(self, model):
+        self.model, self.words = model, []
+
+    def tokenize(self, word):
+        self.words.append(word)
+        return self.model.tokenize(word)
+
+
+def test_words_that_come_again_are_encoded_once(monkeypatch):
+    monkeypatch.setattr(tokenfile, "KEPT_WORDS", 40)
+    encode = tokenfile.Encoder()
+    encode.known.model = counted = Counted(encode.known.model)
+    rare = ["".join(p) for p in itertools.product("abcde", repeat=4)]
+    for first in range(0, len(rare), 10):
+        list(encode([" ".join(["often", *rare[first:first + 10], "often"]).encode()]))
+    assert counted.words.count("often") == 1 and len(counted.words) == len(rare) + 1
+    assert len(encode.known) + len(encode.known.old) <= 40 + 2 * 11
+
+
+def test_latin_letters_need_the_merges_alone():
+    encode, words = tokenfile.Encoder(), "Élève, ÀÉ ÿ ß zx été. ÞÝÖØ øæå"
+    expected = tokenfile.encoder().encode(words, add_special_tokens=False).ids
+    list(encode([b", ."]))
+    encode.known.tokenizer = None
+    assert next(encode([words.encode()])).tolist() == expected
+
+
+@pytest.mark.parametrize("size", [1, 7, 30, 1 << 20])
+def test_texts_encode_together(monkeypatch, size):
+    monkeypatch.setattr(tokenfile, "PIECE", size)
+    texts = ["", "a", " a b\tA,", "", "x" * 40, "Été 3 a " * 9, "\n\x0b \x1c", "\u3000", "b a", ""]
+    found = [ids.tolist() for ids in tokenfile.Encoder()(t.encode() for t in texts)]
+    assert found == [tokenfile.encoder().encode(t, add_special_tokens=False).ids for t in texts]
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.lists(st.integers(0, 2 ** 32 - 1) | st.integers(100, 300), min_size=7, max_size=7), min_size=1, max_size=5), st.integers(1, 100))
 def test_blocks_round_trip(rows, percentile):
