@@ -61,6 +61,8 @@ _BLANK = re.compile(rb"\s")
 _PLAIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
 # Marks that may follow a word; those of reserved strings are not among them.
 _MARKS = b"!\"#$%&'()*+,-./:;=?@[\\]^_`{}~"
+_MARK, _ASCII_LETTER = np.zeros(256, bool), np.zeros(256, bool)
+_MARK[list(_MARKS)] = _ASCII_LETTER[65:91] = _ASCII_LETTER[97:123] = True
 _MANIFEST = "partition int, file int, name string, documents long, ids long, bytes long"
 
 
@@ -139,7 +141,8 @@ class Encoder:
     and lowers characters one by one, and its pattern looks no further than a run of one kind. So the ids of
     a text are those of its words, parted at ASCII white space, and a word that was met before needs no second
     encoding. For the same reasons plain words, of Latin letters alone, are encoded in lower case and apart from
-    the marks that follow them, by the vocabulary's merges alone. Texts go through together: each of their
+    the marks that follow them, by the vocabulary's merges alone; one mark after a letter of ASCII ends any word,
+    and counts as a word of its own. Texts go through together: each of their
     distinct words is looked up once, and the ids are laid out in the order of the words.
     """
 
@@ -166,10 +169,12 @@ class Encoder:
         data = np.frombuffer(b" ".join([b"", *texts, b""]), np.uint8)
         inside = ~N.SEPARATOR[data]
         edges = np.flatnonzero(inside[1:] != inside[:-1]) + 1
-        starts, sizes = edges[::2], edges[1::2] - edges[::2]
-        places = np.concatenate([[0], np.cumsum(sizes)])
+        places = np.concatenate([[0], np.cumsum(edges[1::2] - edges[::2])])
+        bounds = places[np.searchsorted(edges[::2], ends)]
+        marked = _MARK[data[edges[1::2] - 1]] & _ASCII_LETTER[data[edges[1::2] - 2]]
+        places = np.sort(np.concatenate([places, places[1:][marked] - 1]), kind="stable")
         words = pa.LargeBinaryArray.from_buffers(
-            pa.large_binary(), len(sizes), [None, pa.py_buffer(places), pa.py_buffer(data[inside])]
+            pa.large_binary(), len(places) - 1, [None, pa.py_buffer(places), pa.py_buffer(data[inside])]
         ).dictionary_encode()
         found = list(map(self.known.__getitem__, words.dictionary.to_numpy(zero_copy_only=False)))
         ids, counts = np.frombuffer(b"".join(found), "<u4"), np.fromiter(map(len, found), np.int64) // 4
@@ -177,7 +182,7 @@ class Encoder:
         counts, first = counts[word], (np.cumsum(counts) - counts)[word]
         before = np.concatenate([[0], np.cumsum(counts)])
         out = ids[np.repeat(first - before[:-1], counts) + np.arange(before[-1])]
-        return np.split(out, before[np.searchsorted(starts, ends)])[:-1]
+        return np.split(out, before[np.searchsorted(places, bounds)])[:-1]
 
 
 @lru_cache(maxsize=2)
